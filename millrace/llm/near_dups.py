@@ -315,6 +315,8 @@ def _large(one: DataFrame, percent: int, block: int) -> DataFrame:
     left = left.join(width, "root").withColumn("part", F.pmod(F.xxhash64(F.lit("rest"), "node"), "widths"))
     right = left.drop("salt").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     all_of = dealt.join(width, "root").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("widths") - 1)))
+    # both sides come from one frame: fresh names for one of them
+    right = right.select(*(F.col(c).alias(c) for c in ("root", "salt", "part", "node", "signature", "shingles")))
     more = all_of.groupBy("root", "salt", "part").cogroup(right.groupBy("root", "salt", "part")).applyInArrow(_classes_of_rest(percent), LINK)
     return _merge(cut(first.union(more)))
 
