@@ -72,17 +72,22 @@ def widen(blob: bytes, width: int) -> np.ndarray:
 
 
 def send(bid: str, keys: np.ndarray, values: np.ndarray, lane: np.ndarray, parts: int, width: int = 8) -> list[tuple]:
-    """Rows with a batch's distinct keys, dealt by lane."""
+    """Rows with a batch's distinct keys, dealt by lane. Boolean values take a bit each."""
     order, at = deal(lane, parts)
     keys, values = keys[order], values[order]
-    return [(bid, p, int(b - a), narrow(keys[a:b], width), values[a:b].tobytes(), None) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
+    coded = (lambda v: np.packbits(v).tobytes()) if values.dtype == bool else (lambda v: v.tobytes())
+    return [(bid, p, int(b - a), narrow(keys[a:b], width), coded(values[a:b]), None) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
 
 
 def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarray], width: int = 8) -> DataFrame:
-    """For each batch and group: answer(sums over all batches), in the order of the keys that the batch sent."""
+    """For each batch and group: answer(sums over all batches), in the order of the keys that the batch sent.
+
+    value: the type of the values sent; "bit" for a bit that says whether a key counts once or twice.
+    """
 
     def add(table: pa.Table) -> pa.Table:
-        given = [np.frombuffer(v, value) for v in table["vals"].to_pylist()]
+        sizes, vals = table["n"].to_pylist(), table["vals"].to_pylist()
+        given = [bits(v, n) + np.int64(1) if value == "bit" else np.frombuffer(v, value) for v, n in zip(vals, sizes, strict=True)]
         keys = np.concatenate([widen(k, width) for k in table["keys"].to_pylist()])
         _, inverse = np.unique(keys, return_inverse=True)
         sums = np.bincount(inverse, weights=np.concatenate(given).astype(np.float64)).astype(np.int64)
@@ -90,7 +95,7 @@ def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarra
         back = [answer(x).tobytes() for x in np.split(sums[inverse], cuts)]
         return pa.table({"bid": table["bid"], "p": table["p"], "vals": pa.array(back, pa.binary())})
 
-    return sent.where("p >= 0").select("bid", "p", "keys", "vals").groupBy("p").applyInArrow(add, ANSWER)
+    return sent.where("p >= 0").select("bid", "p", "n", "keys", "vals").groupBy("p").applyInArrow(add, ANSWER)
 
 
 def many(sums: np.ndarray) -> np.ndarray:

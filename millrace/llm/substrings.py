@@ -36,7 +36,7 @@ from .words import Words, chunks, cover, window_starts, windows, words
 #: Difference covers by period: fixed values, perfect difference sets.
 COVERS = {1: [0], 3: [0, 1], 7: [0, 1, 3], 13: [0, 1, 3, 9], 21: [0, 1, 4, 14, 16], 31: [0, 1, 3, 8, 12, 18]}
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-ANCHOR_BYTES = 5  # anchors only choose what is compared; a chance match costs time, not a result
+ANCHOR_BYTES = 4  # anchors only choose what is compared; a chance match costs time, not a result
 
 
 def period_for(window: int) -> int:
@@ -73,7 +73,7 @@ def _passages(w: Words, starts: np.ndarray, window: int) -> tuple[np.ndarray, np
 
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     unique, index, inverse, count = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    return unique, index, inverse, np.minimum(count, 2).astype(np.uint8)
+    return unique, index, inverse, count >= 2
 
 
 def _kept(w: Words, gone: np.ndarray, ids: pa.Array) -> pa.Table:
@@ -133,9 +133,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20
         return _kept(w, cover(starts[seen[inverse]], window, len(w.hash)), table["doc_id"])
 
     sent = cut(docs.mapInArrow(first, scatter.ROWS))
-    twice = scatter.totals(sent, "uint8", scatter.many, ANCHOR_BYTES)
+    twice = scatter.totals(sent, "bit", scatter.many, ANCHOR_BYTES)
     again = cut(scatter.meet(sent.where(f"p = {scatter.TEXTS}"), twice, second, scatter.ROWS))
-    found = scatter.totals(again, "uint8", scatter.many)
+    found = scatter.totals(again, "bit", scatter.many)
     texts = again.where(f"p = {scatter.TEXTS}").select("bid", "vals", "texts")
     rest = texts.groupBy("bid").cogroup(found.groupBy("bid")).applyInArrow(third, RESULT)
     return rest.unionByName(scatter.done(again, RESULT))
