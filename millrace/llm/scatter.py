@@ -31,7 +31,7 @@ def pack(table: pa.Table | pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
         writer.write(table)
-    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+    return zstandard.ZstdCompressor(level=6).compress(sink.getvalue())
 
 
 def unpack(blob: bytes) -> pa.Table:
