@@ -63,7 +63,7 @@ def _levels(count: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Counts (contexts, 256) of bytes as zeros and ones of each of the eight decisions."""
     out = []
     for k in range(7, -1, -1):
-        pair = count.reshape(len(count), 1 << k, 2, -1).sum(3)
+        pair = count.reshape(len(count), 1 << k, 2, 128 >> k).sum(3)
         out.append((pair[:, :, 0], pair[:, :, 1]))
     return out[::-1]
 
@@ -80,7 +80,6 @@ class Model:
         one = np.zeros((256, 256))
         np.add.at(one, last, two)
         none = one.sum(0, keepdims=True)
-        seen = one.sum(1) > 0
         table = np.zeros((len(contexts) + 256, 256))
         log_half = math.log(0.5)
         for k, ((a0, b0), (a1, b1), (a2, b2)) in enumerate(zip(_levels(none), _levels(one), _levels(two), strict=True)):
@@ -92,8 +91,9 @@ class Model:
             under = w1.sum(0, keepdims=True)
             of0 = np.exp(log_half + e0 - np.logaddexp(log_half + e0, log_half + under))
             p0, p1, p2 = ((b + 0.5) / (a + b + 1) for a, b in ((a0, b0), (a1, b1), (a2, b2)))
-            deep2 = of0 * p0 + (1 - of0) * (of1[last] * p1[last] + (1 - of1[last]) * np.where(a2 + b2 > 0, p2, p1[last]))
-            deep1 = np.where(seen[:, None] & (a1 + b1 > 0), of0 * p0 + (1 - of0) * p1, p0)
+            under1 = of1[last] * p1[last] + (1 - of1[last]) * np.where(a2 + b2 > 0, p2, p1[last])
+            deep2 = np.where((a1 + b1)[last] > 0, of0 * p0 + (1 - of0) * under1, p0)
+            deep1 = np.where(a1 + b1 > 0, of0 * p0 + (1 - of0) * p1, p0)
             ones = np.concatenate([deep2, deep1])
             bit = np.repeat(np.stack([1 - ones, ones], 2).reshape(len(ones), -1), 256 >> (k + 1), 1)
             table += np.log10(bit)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SAMPLE = 4000
 SURE = 0.9
-ROUNDS = 8
+ROUNDS = 30
 KINDS = ("email", "ip", "card", "phone", "id")
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .store import cut
 
 ROUNDS = 4
+SLACK = 1.05  # while labels spread, a shard may hold so many times its size
 BUCKET_ROWS = 2000  # rows that are numbered together
 
 
@@ -74,7 +75,7 @@ def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
             at = ask.drop("aim", "moves")
             break
         here = {x["shard"]: x["n"] - x["leave"] for x in flow}
-        share = [min(1.0, max(0.0, size - here.get(s, 0)) / into[s]) if s in into else 0.0 for s in range(shards)]
+        share = [min(1.0, max(0.0, SLACK * size - here.get(s, 0)) / into[s]) if s in into else 0.0 for s in range(shards)]
         luck = F.pmod(F.xxhash64("hub", "part", F.lit(f"round {r}")), F.lit(1 << 20)) / float(1 << 20)
         fits = luck < F.element_at(F.array(*map(F.lit, share)), F.coalesce("aim", F.lit(0)) + 1)
         at = ask.withColumn("shard", F.when(F.col("moves") & fits, F.col("aim")).otherwise(F.col("shard"))).drop("aim", "moves")
