@@ -208,44 +208,75 @@ def test_toxicity_learns_without_held_out_rows(spark):
 # context trees
 
 
-def test_tree_is_a_distribution_and_equals_the_plain_recursion():
-    texts = ["abab abba", "abra cadabra", "", "ba"]
-    code, n = np.unique(ct.grams(pa.array(texts))[0], return_counts=True)
-    model = ct.Model(code.astype(np.int64), n.astype(float))
-    assert (10 ** model.table.astype(float)).sum(1) == pytest.approx(1, abs=1e-5)
+TREE_TEXTS = ["abab abba", "abra cadabra", "", "ba", "Abracadabra zz"]
+
+
+def plain_tree(texts, depth):
+    """log10 probability of a text by the recursion as it is written in papers."""
     counts = Counter()
+    code = lambda t: [0] * depth + [*brute.fold(t).encode(), 0]
     for t in texts:
-        b = [0, 0, *t.encode(), 0]
-        for i in range(2, len(b)):
+        b = code(t)
+        for i in range(depth, len(b)):
             for k in range(8):
-                bit, node = b[i] >> (7 - k) & 1, (k, b[i] >> (8 - k))
-                for d in range(3):
-                    counts[node, tuple(b[i - d : i]), bit] += 1
-
-    def pe(node, ctx):
-        a, b = counts[node, ctx, 0], counts[node, ctx, 1]
-        return math.exp(math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)), (b + 0.5) / (a + b + 1), a + b
-
-    def pw(node, ctx):
-        own = pe(node, ctx)[0]
-        if len(ctx) == 2:
-            return own
-        return 0.5 * own + 0.5 * math.prod(pw(node, (c, *ctx)) for c in range(256) if counts[node, (c, *ctx), 0] + counts[node, (c, *ctx), 1])
-
-    def one(node, ctx, d=0):
-        own, kt, _ = pe(node, ctx[len(ctx) - d :])
-        if d == 2 or not pe(node, ctx[len(ctx) - d - 1 :])[2]:
-            return kt if d == 2 else (lambda w: w * kt + (1 - w) * kt)(0.5)
-        w = 0.5 * own / pw(node, ctx[len(ctx) - d :])
-        return w * kt + (1 - w) * one(node, ctx, d + 1)
-
-    for t in ("abz", "", "ab", "qb"):
-        b, total = [0, 0, *t.encode(), 0], 0.0
-        for i in range(2, len(b)):
+                for d in range(depth + 1):
+                    counts[k, b[i] >> (8 - k), tuple(b[i - d : i]), b[i] >> (7 - k) & 1] += 1
+
+    def of(k, node, ctx):
+        return counts[k, node, ctx, 0], counts[k, node, ctx, 1]
+
+    def pe(k, node, ctx):
+        a, b = of(k, node, ctx)
+        return math.exp(math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1))
+
+    def pw(k, node, ctx):
+        if len(ctx) == depth:
+            return pe(k, node, ctx)
+        return 0.5 * pe(k, node, ctx) + 0.5 * math.prod(pw(k, node, (c, *ctx)) for c in range(256) if sum(of(k, node, (c, *ctx))))
+
+    def one(k, node, full, d=0):
+        ctx = full[depth - d :]
+        a, b = of(k, node, ctx)
+        kt = (b + 0.5) / (a + b + 1)
+        if d == depth or not sum(of(k, node, full[depth - d - 1 :])):
+            return kt
+        w = 0.5 * pe(k, node, ctx) / pw(k, node, ctx)
+        return w * kt + (1 - w) * one(k, node, full, d + 1)
+
+    def score(t):
+        b, total = code(t), 0.0
+        for i in range(depth, len(b)):
             for k in range(8):
-                p = one((k, b[i] >> (8 - k)), (b[i - 2], b[i - 1]))
+                p = one(k, b[i] >> (8 - k), tuple(b[i - depth : i]))
                 total += math.log10(p if b[i] >> (7 - k) & 1 else 1 - p)
-        assert model.score(pa.array([t]))[0] == pytest.approx(total, abs=1e-4)
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("depth", [2, 3, 4])
+def test_tree_equals_the_plain_recursion(spark, depth):
+    # doc ids 0, 1, ... with held-out ones, whose texts have contexts that training never saw
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(TREE_TEXTS * 3 + ["qb", "abz", None, "zebra"])]
+    train = [t or "" for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    score = plain_tree(train, depth)
+    got = ct.score_documents(spark.createDataFrame(rows, DOCS).repartition(3), depth=depth, batch_bytes=20).collect()
+    assert any(r.held_out for r in got)
+    want = {i: score(t or "") for i, t, *_ in rows}
+    assert {r.doc_id: r.score for r in got} == pytest.approx(want, abs=1e-3)
+
+
+def test_predictions_add_up_to_one():
+    code, n = np.unique(ct.grams(pa.array(TREE_TEXTS), 3)[0], return_counts=True)
+    context = code[5] >> np.uint64(8)
+    every = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+    codes = np.union1d(code, every)
+    counts = np.zeros(len(codes))
+    counts[np.searchsorted(codes, code)] = n
+    key, *sums = ct.top_parts(codes, counts, 3)
+    names, at = np.unique(key, return_inverse=True)
+    top = ct.Top(names, *(np.bincount(at, x) for x in sums))
+    assert (10 ** ct.predictions(codes, counts, 3, top))[np.searchsorted(codes, every)].sum() == pytest.approx(1)
 
 
 def test_word_statistics(spark):
