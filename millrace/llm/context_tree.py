@@ -31,7 +31,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import scatter
@@ -166,11 +165,11 @@ def _distinct(w, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _pressed(sums: np.ndarray) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdCompressor(level=1).compress(sums.tobytes()), np.uint8)
+    return np.frombuffer(scatter.pressed(sums.tobytes()), np.uint8)
 
 
 def _read_sums(blob: bytes, size: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64)
+    return np.frombuffer(scatter.plain(blob), np.int64)
 
 
 def _read_logs(blob: bytes, size: int) -> np.ndarray:
@@ -181,8 +180,8 @@ def _summed(parts: int, width: int):
     """A group of grams from all batches as sums, dealt by the last two bytes of their contexts."""
 
     def add(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([scatter.widen(k, width) for k in table["keys"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(v, np.int32) for v in table["vals"].to_pylist()])
+        keys = np.concatenate([scatter.widen(scatter.plain(k), width) for k in table["keys"].to_pylist()])
+        counts = np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])
         names, at = np.unique(keys, return_inverse=True)
         sums = np.bincount(at, counts, len(names))
         lane = mix((names >> U64(8)) & U64(0xFFFF))
@@ -218,7 +217,7 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
         logs = np.concatenate([np.frombuffer(x, np.float32) for x in right["vals"].to_pylist()])
         order = np.argsort(keys)
         keys, logs = keys[order], logs[order]
-        back = [logs[np.searchsorted(keys, scatter.widen(k, width))].tobytes() for k in left["keys"].to_pylist()]
+        back = [logs[np.searchsorted(keys, scatter.widen(scatter.plain(k), width))].tobytes() for k in left["keys"].to_pylist()]
         return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array(back, pa.binary())})
 
     rows = sent.where(F.col("p") <= GRAMS).select("bid", "p", "keys", "vals")
@@ -230,7 +229,7 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
     return rows.groupBy("p").cogroup(logs.groupBy("p")).applyInArrow(answer, scatter.ANSWER)
 
 
-def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 4 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 6 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): unigram and context-tree scores learned from rows that are not held out. depth: 2 to 7."""
     parts, width = parts_for(docs), depth + 1
 
@@ -249,12 +248,12 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             codes = np.union1d(known, other)
             counts = np.zeros(len(codes), np.int32)
             counts[np.searchsorted(codes, known)] = n
-            out += [(b, GRAMS - p, *rest) for b, p, *rest in scatter.send(bid, codes, counts, mix(codes), parts, width)]
+            out += [(b, GRAMS - p, *rest) for b, p, *rest in scatter.send(bid, codes, counts, mix(codes), parts, width, press=True)]
             yield scatter.rows(*out)
 
     def vocabulary(table: pa.Table) -> pa.Table:
         keys = np.concatenate([scatter.widen(k, 8) for k in table["keys"].to_pylist()])
-        count = np.concatenate([np.frombuffer(v, np.int32) for v in table["vals"].to_pylist()])
+        count = np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])
         return pa.table({"v": pa.array([len(np.unique(keys[count > 0]))], pa.int64())})
 
     sent = cut(docs.select("doc_id", "text").mapInArrow(first, scatter.ROWS))

@@ -71,12 +71,21 @@ def widen(blob: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def send(bid: str, keys: np.ndarray, values: np.ndarray, lane: np.ndarray, parts: int, width: int = 8) -> list[tuple]:
-    """Rows with a batch's distinct keys, dealt by lane. Boolean values take a bit each."""
+def pressed(blob: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(blob)
+
+
+def plain(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def send(bid: str, keys: np.ndarray, values: np.ndarray, lane: np.ndarray, parts: int, width: int = 8, press: bool = False) -> list[tuple]:
+    """Rows with a batch's distinct keys, dealt by lane. Boolean values take a bit each, others are compressed; keys too, if press is set."""
     order, at = deal(lane, parts)
     keys, values = keys[order], values[order]
-    coded = (lambda v: np.packbits(v).tobytes()) if values.dtype == bool else (lambda v: v.tobytes())
-    return [(bid, p, int(b - a), narrow(keys[a:b], width), coded(values[a:b]), None) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
+    coded = (lambda v: np.packbits(v).tobytes()) if values.dtype == bool else (lambda v: pressed(v.tobytes()))
+    named_ = (lambda k: pressed(narrow(k, width))) if press else (lambda k: narrow(k, width))
+    return [(bid, p, int(b - a), named_(keys[a:b]), coded(values[a:b]), None) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
 
 
 def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarray], width: int = 8) -> DataFrame:
@@ -87,7 +96,7 @@ def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarra
 
     def add(table: pa.Table) -> pa.Table:
         sizes, vals = table["n"].to_pylist(), table["vals"].to_pylist()
-        given = [bits(v, n) + np.int64(1) if value == "bit" else np.frombuffer(v, value) for v, n in zip(vals, sizes, strict=True)]
+        given = [bits(v, n) + np.int64(1) if value == "bit" else np.frombuffer(plain(v), value) for v, n in zip(vals, sizes, strict=True)]
         keys = np.concatenate([widen(k, width) for k in table["keys"].to_pylist()])
         _, inverse = np.unique(keys, return_inverse=True)
         sums = np.bincount(inverse, weights=np.concatenate(given).astype(np.float64)).astype(np.int64)
