@@ -69,20 +69,31 @@ def grams(texts: pa.Array, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = raw(texts)
     n = len(offsets) - 1
     first = offsets + np.arange(n + 1)
-    byte = np.zeros(len(data) + n, U64)
+    byte = np.zeros(len(data) + n, np.uint8)
     here = np.ones(len(byte), bool)
     here[first[1:] - 1] = False
     byte[here] = _FOLD[data]
-    place = np.arange(len(byte)) - np.repeat(first[:-1], np.diff(first))
-    code = byte.copy()
+    del here
+    code = byte.astype(U64)
     for d in range(1, depth + 1):
         before = np.zeros_like(byte)
         before[d:] = byte[: max(0, len(byte) - d)]
-        before[place < d] = 0
-        code |= before << U64(8 * d)
+        for k in range(d):  # no byte before the text
+            start = first[:-1] + k
+            before[start[start < first[1:]]] = 0
+        code |= np.left_shift(before, U64(8 * d), dtype=U64)
     return code, first
 
 
+def looked_up(code: np.ndarray, codes: np.ndarray, values: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    """The value of each gram, by parts that keep the memory small. codes: sorted, without repeats."""
+    out = np.empty(len(code), np.float32)
+    for a in range(0, len(code), step):
+        some, at = np.unique(code[a : a + step], return_inverse=True)
+        out[a : a + step] = values[np.searchsorted(codes, some)][at]
+    return out
+
+
 class Nodes:
     """The nodes that grams visit at one decision: for each depth, which node each gram is at, and the nodes' counts."""
 
@@ -229,7 +240,7 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
     return rows.groupBy("p").cogroup(logs.groupBy("p")).applyInArrow(answer, scatter.ANSWER)
 
 
-def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 4 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 5 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): unigram and context-tree scores learned from rows that are not held out. depth: 2 to 7."""
     parts, width = parts_for(docs), depth + 1
 
@@ -270,15 +281,17 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
         at = np.insert(inverse[:-1], w.first[1:], inverse[-1])  # an end after each text
         ends = w.first + np.arange(len(w.first))
         logs = np.log10((count + 1) / (n + v + 1))
-        codes, begin = grams(table["text"], depth)
-        codes, place = np.unique(codes, return_inverse=True)
+        tokens, n_known, base = w.count + 1, np.add.reduceat((count > 0)[at].astype(np.int64), ends[:-1]), np.add.reduceat(logs[at], ends[:-1])
+        del w, keys, inverse, count
+        code, begin = grams(table["text"], depth)
+        codes = np.unique(np.sort(code))
         mine = answer.filter(pa.array(group <= GRAMS))
         mine = mine.set_column(mine.schema.get_field_index("p"), "p", pa.array(GRAMS - mine["p"].to_numpy(), pa.int32()))
         tree = scatter.gathered(mine, *scatter.deal(mix(codes), parts), _read_logs, np.float64)
         return pa.table({
-            "doc_id": table["doc_id"].cast(pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(w.count + 1, pa.int64()),
-            "n_known": pa.array(np.add.reduceat((count > 0)[at].astype(np.int64), ends[:-1]), pa.int64()), "train_tokens": pa.array(np.full(len(table), n), pa.int64()),
-            "base_score": pa.array(np.add.reduceat(logs[at], ends[:-1])), "score": pa.array(np.add.reduceat(tree[place], begin[:-1])),
+            "doc_id": table["doc_id"].cast(pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(table), n), pa.int64()),
+            "base_score": pa.array(base), "score": pa.array(np.add.reduceat(looked_up(code, codes, tree), begin[:-1], dtype=np.float64)),
         })
 
     return scatter.meet(sent.where(f"p = {scatter.TEXTS}"), answers.where("bid IS NOT NULL"), last, RESULT)

@@ -100,10 +100,12 @@ def words(texts: pa.Array, member: np.ndarray = SPACED, fold: bool = False) -> W
     end = np.flatnonzero(inside & ~after) + 1
     if len(start):
         length = end - start
-        at = np.flatnonzero(inside)
-        rel = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-        value = (_FOLDED if fold else _BYTE)[data[at]] * _powers(int(length.max()) + 1)[rel]
-        hashed = mix(np.add.reduceat(value, np.cumsum(length) - length) + length.astype(U64))
+        begin = np.cumsum(length) - length
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
+        rel = np.arange(int(length.sum()), dtype=kind) - np.repeat(begin.astype(kind), length)
+        value = (_FOLDED if fold else _BYTE)[data[inside]]
+        value *= _powers(int(length.max()) + 1)[rel]
+        hashed = mix(np.add.reduceat(value, begin) + length.astype(U64))
     else:
         hashed = np.zeros(0, U64)
     return Words(data, start, end, hashed, np.searchsorted(start, offsets))
