@@ -20,6 +20,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what cut() wrote for df, when all that was made of it has been cut itself.
+
+    Nothing may read df afterwards. A frame that no cut() made is left alone.
+    """
+    plan = df._jdf.queryExecution().logical()
+    if plan.getClass().getSimpleName() != "LogicalRDD":
+        return
+    file = plan.rdd().getCheckpointFile()
+    if file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def folder(spark: SparkSession) -> str:
     """The shared folder, for tables and archives that are written by name."""
     context = spark.sparkContext

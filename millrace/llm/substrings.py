@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from . import scatter
-from .store import cut, parts_for
+from .store import cut, discard, parts_for
 from .words import Words, chunks, cover, window_starts, windows, words
 
 #: Difference covers by period: fixed values, perfect difference sets.
@@ -135,6 +135,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20
     sent = cut(docs.mapInArrow(first, scatter.ROWS))
     twice = scatter.totals(sent, "bit", scatter.many, ANCHOR_BYTES)
     again = cut(scatter.meet(sent.where(f"p = {scatter.TEXTS}"), twice, second, scatter.ROWS))
+    discard(sent)  # the rest reads `again` alone
     found = scatter.totals(again, "bit", scatter.many)
     texts = again.where(f"p = {scatter.TEXTS}").select("bid", "vals", "texts")
     rest = texts.groupBy("bid").cogroup(found.groupBy("bid")).applyInArrow(third, RESULT)
