@@ -90,10 +90,10 @@ def near_dup_window(spark, sf_dir):
 
 
 @query()
-def near_dup_pairs(spark, sf_dir):
-    """Pairs of user turns with a score of 92 or more."""
+def near_dup_links(spark, sf_dir):
+    """User turns with how many of the 400 before them score 92 or more."""
     users = table(spark, sf_dir, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text")
-    return dedup.near_pairs(users, "row_id")
+    return dedup.near_links(users, "row_id", span=1 << 20)
 
 
 @query(f"""

@@ -1,6 +1,7 @@
 """Case tables of the library's operators: inputs and what is expected."""
 
 import json
+import random
 from datetime import datetime
 
 import duckdb
@@ -250,7 +251,26 @@ def test_window_dedup_replays_the_sequential_rule(spark):
     # a key dropped as near is kept once the window has moved on
     rows = spark.createDataFrame(list(enumerate(["a b c", "a b c d", "q", "a b c d"])), "id long, text string")
     assert [r.verdict for r in dedup.window_dedup(rows, "id", window=1).orderBy("id").collect()] == ["kept", "near", "kept", "kept"]
-    assert {tuple(r) for r in dedup.near_pairs(spark.createDataFrame([(1, "a b c"), (2, "c a b x"), (3, "q r")], "id long, text string"), "id").collect()} == {(1, 2)}
+
+
+def test_near_links_count_the_rows_before(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(rng.randint(0, 4))) for _ in range(120)]
+    texts[7], texts[50] = None, texts[3]
+    ids = sorted(rng.sample(range(1000), 120))
+    rows = spark.createDataFrame(list(zip(ids, texts, strict=True)), "id long, text string")
+    first = {}
+    for i, text in zip(ids, texts, strict=True):
+        if text:
+            first.setdefault(" ".join(text.split()), i)
+    kept = [(i, k) for k, i in first.items()]
+    want = {}
+    for n, (i, key) in enumerate(kept):
+        found = [j for j, other in kept[max(0, n - 9) : n] if udfs.token_set_ratio(key, other) >= 92]
+        want[i] = (len(found), found[0] if found else None)
+    got = {r.id: (r.n_near, r.first_near) for r in dedup.near_links(rows, "id", window=9, span=37).collect()}
+    assert got == want and any(n > 1 for n, _ in want.values())
+    assert dedup.near_links(rows.limit(0), "id").count() == 0
 
 
 def test_decontamination(spark):
