@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from .words import U64, chunks, mix, raw, words
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 END = U64(0x454E445F4F465F54)  # the key of the end token; fixed
-DEPTH = 4
+DEPTH = 5
 #: Rows of grams are in groups numbered down from here, those of words up from 0.
 GRAMS = -10
 SUMS = "q int, p int, keys binary, vals binary"
@@ -85,13 +86,21 @@ def grams(texts: pa.Array, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
     return code, first
 
 
-def looked_up(code: np.ndarray, codes: np.ndarray, values: np.ndarray, step: int = 1 << 20) -> np.ndarray:
-    """The value of each gram, by parts that keep the memory small. codes: sorted, without repeats."""
-    out = np.empty(len(code), np.float32)
-    for a in range(0, len(code), step):
-        some, at = np.unique(code[a : a + step], return_inverse=True)
-        out[a : a + step] = values[np.searchsorted(codes, some)][at]
-    return out
+def pieces(texts: pa.Array, step: int = 1 << 20) -> Iterator[pa.Array]:
+    """Texts by runs of about `step` bytes, which keep the memory small."""
+    for batch in chunks([pa.record_batch({"text": texts})] if len(texts) else [], most=step):
+        yield batch["text"]
+
+
+def counted(texts: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of texts, sorted, and how often each occurs."""
+    # sorts of numbers alone are several times as fast as those that keep track of places
+    some = [np.unique(np.sort(grams(t, depth)[0]), return_counts=True) for t in pieces(texts)]
+    codes = np.unique(np.concatenate([np.zeros(0, U64), *(c for c, _ in some)]))
+    counts = np.zeros(len(codes), np.int32)
+    for c, n in some:
+        counts[np.searchsorted(codes, c)] += n.astype(np.int32)
+    return codes, counts
 
 
 class Nodes:
@@ -191,7 +200,7 @@ def _summed(parts: int, width: int):
     """A group of grams from all batches as sums, dealt by the last two bytes of their contexts."""
 
     def add(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([scatter.widen(scatter.plain(k), width) for k in table["keys"].to_pylist()])
+        keys = np.concatenate([scatter.risen(k, width) for k in table["keys"].to_pylist()])
         counts = np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])
         names, at = np.unique(keys, return_inverse=True)
         sums = np.bincount(at, counts, len(names))
@@ -228,7 +237,7 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
         logs = np.concatenate([np.frombuffer(x, np.float32) for x in right["vals"].to_pylist()])
         order = np.argsort(keys)
         keys, logs = keys[order], logs[order]
-        back = [logs[np.searchsorted(keys, scatter.widen(scatter.plain(k), width))].tobytes() for k in left["keys"].to_pylist()]
+        back = [logs[np.searchsorted(keys, scatter.risen(k, width))].tobytes() for k in left["keys"].to_pylist()]
         return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array(back, pa.binary())})
 
     rows = sent.where(F.col("p") <= GRAMS).select("bid", "p", "keys", "vals")
@@ -240,7 +249,7 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
     return rows.groupBy("p").cogroup(logs.groupBy("p")).applyInArrow(answer, scatter.ANSWER)
 
 
-def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 5 << 20) -> DataFrame:
+def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 8 << 20) -> DataFrame:
     """Per row of docs (doc_id, text): unigram and context-tree scores learned from rows that are not held out. depth: 2 to 7."""
     parts, width = parts_for(docs), depth + 1
 
@@ -253,10 +262,8 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             keys, _, count = _distinct(w, train)
             out = [(bid, scatter.TEXTS, int(w.count[train].sum() + train.sum()), None, None, scatter.pack(chunk)), *scatter.send(bid, keys, count, keys, parts)]
             del w, keys, count
-            # sorts of numbers alone are several times as fast as those that keep track of places
-            known, n = np.unique(np.sort(grams(chunk["text"].filter(pa.array(train)), depth)[0]), return_counts=True)
-            other = np.unique(np.sort(grams(chunk["text"].filter(pa.array(~train)), depth)[0]))
-            codes = np.union1d(known, other)
+            known, n = counted(chunk["text"].filter(pa.array(train)), depth)
+            codes = np.union1d(known, counted(chunk["text"].filter(pa.array(~train)), depth)[0])
             counts = np.zeros(len(codes), np.int32)
             counts[np.searchsorted(codes, known)] = n
             out += [(b, GRAMS - p, *rest) for b, p, *rest in scatter.send(bid, codes, counts, mix(codes), parts, width, press=True)]
@@ -283,15 +290,20 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
         logs = np.log10((count + 1) / (n + v + 1))
         tokens, n_known, base = w.count + 1, np.add.reduceat((count > 0)[at].astype(np.int64), ends[:-1]), np.add.reduceat(logs[at], ends[:-1])
         del w, keys, inverse, count
-        code, begin = grams(table["text"], depth)
-        codes = np.unique(np.sort(code))
+        placed = []
+        for t in pieces(table["text"].combine_chunks()):
+            code, begin = grams(t, depth)
+            some, where = np.unique(code, return_inverse=True)
+            placed.append((some, where.astype(np.int32), begin[:-1]))
+        codes = np.unique(np.concatenate([some for some, *_ in placed]))
         mine = answer.filter(pa.array(group <= GRAMS))
         mine = mine.set_column(mine.schema.get_field_index("p"), "p", pa.array(GRAMS - mine["p"].to_numpy(), pa.int32()))
         tree = scatter.gathered(mine, *scatter.deal(mix(codes), parts), _read_logs, np.float64)
+        score = [np.add.reduceat(tree[np.searchsorted(codes, some)][where], begin, dtype=np.float64) for some, where, begin in placed]
         return pa.table({
             "doc_id": table["doc_id"].cast(pa.int64()), "held_out": pa.array(held), "n_tokens": pa.array(tokens, pa.int64()),
             "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(table), n), pa.int64()),
-            "base_score": pa.array(base), "score": pa.array(np.add.reduceat(looked_up(code, codes, tree), begin[:-1], dtype=np.float64)),
+            "base_score": pa.array(base), "score": pa.array(np.concatenate(score)),
         })
 
     return scatter.meet(sent.where(f"p = {scatter.TEXTS}"), answers.where("bid IS NOT NULL"), last, RESULT)

@@ -79,12 +79,23 @@ def plain(blob: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(blob)
 
 
+def steps(keys: np.ndarray, width: int) -> bytes:
+    """Sorted keys of `width` bytes, compressed: the steps between them, all lowest bytes first."""
+    return pressed(np.frombuffer(narrow(np.diff(keys, prepend=U64(0)), width), np.uint8).reshape(-1, width).T.tobytes())
+
+
+def risen(blob: bytes, width: int) -> np.ndarray:
+    """The keys whose steps were compressed."""
+    planes = np.frombuffer(plain(blob), np.uint8).reshape(width, -1)
+    return np.cumsum(widen(planes.T.tobytes(), width), dtype=U64)
+
+
 def send(bid: str, keys: np.ndarray, values: np.ndarray, lane: np.ndarray, parts: int, width: int = 8, press: bool = False) -> list[tuple]:
-    """Rows with a batch's distinct keys, dealt by lane. Boolean values take a bit each, others are compressed; keys too, if press is set."""
+    """Rows with a batch's distinct keys, dealt by lane. Boolean values take a bit each, others are compressed; keys, which have to be sorted then, too, if press is set."""
     order, at = deal(lane, parts)
     keys, values = keys[order], values[order]
     coded = (lambda v: np.packbits(v).tobytes()) if values.dtype == bool else (lambda v: pressed(v.tobytes()))
-    named_ = (lambda k: pressed(narrow(k, width))) if press else (lambda k: narrow(k, width))
+    named_ = (lambda k: steps(k, width)) if press else (lambda k: narrow(k, width))
     return [(bid, p, int(b - a), named_(keys[a:b]), coded(values[a:b]), None) for p, (a, b) in enumerate(zip(at, at[1:], strict=False)) if b > a]
 
 

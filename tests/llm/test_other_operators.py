@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import context_tree as ct, decision_list as dl, mixing, pii, sharding, toxicity, warc
+from millrace.llm import context_tree as ct, decision_list as dl, mixing, pii, scatter, sharding, toxicity, warc
 
 from . import brute
 
@@ -266,6 +266,20 @@ def test_tree_equals_the_plain_recursion(spark, depth):
     assert {r.doc_id: r.score for r in got} == pytest.approx(want, abs=1e-3)
 
 
+def test_a_byte_is_told_by_the_fifth_byte_before_it(spark):
+    # x or y five bytes before tells 1 from 2; the four bytes between are the same
+    rows = [(i, ("xabcd1 " if i % 2 else "yabcd2 ") * 20, "en", "s", 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got, four = ({r.doc_id: r.score for r in ct.score_documents(docs, **more).collect()} for more in ({}, {"depth": 4}))
+    assert all(got[i] > four[i] / 2 for i in got)
+
+
+def test_sorted_keys_come_back_from_their_steps():
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 48, 1000, np.uint64))
+    for k in (keys, keys[:1], np.array([0, 1, (1 << 48) - 1], np.uint64)):
+        assert (scatter.risen(scatter.steps(k, 6), 6) == k).all()
+
+
 def test_predictions_add_up_to_one():
     code, n = np.unique(ct.grams(pa.array(TREE_TEXTS), 3)[0], return_counts=True)
     context = code[5] >> np.uint64(8)
