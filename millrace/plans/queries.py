@@ -84,16 +84,16 @@ def heldout_split(spark, sf_dir):
 
 @query()
 def near_dup_window(spark, sf_dir):
-    """The sequential rule over benchmark items and first user turns, in order."""
-    users = table(spark, sf_dir, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text")
-    return dedup.window_dedup(users, "row_id")
+    """The sequential rule over whole documents, in order."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    return dedup.window_dedup(docs, "row_id")
 
 
 @query()
 def near_dup_links(spark, sf_dir):
-    """User turns with how many of the 400 before them score 92 or more."""
-    users = table(spark, sf_dir, "conversations").where("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_id"), "text")
-    return dedup.near_links(users, "row_id", span=1 << 20)
+    """Whole documents with how many of the 400 before them score 92 or more."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    return dedup.near_links(docs, "row_id")
 
 
 @query(f"""

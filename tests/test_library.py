@@ -273,6 +273,25 @@ def test_near_links_count_the_rows_before(spark):
     assert dedup.near_links(rows.limit(0), "id").count() == 0
 
 
+def test_near_duplicate_queries_compare_whole_documents(spark):
+    first, verdicts, kept, links = {}, {}, [], {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", tx.norm(F.col("text")).alias("key")).orderBy("doc_id").collect():
+        if not r.key or r.key in first:
+            # a key dropped as near is not remembered: its copies are near again
+            verdicts[r.doc_id] = "empty" if not r.key else "exact" if first[r.key] in kept else "near"
+            continue
+        # fewer than 400 documents: the window holds all of them
+        near = [i for k, i in first.items() if udfs.token_set_ratio(r.key, k) >= 92]
+        links[r.doc_id] = (len(near), near[0] if near else None)
+        verdicts[r.doc_id] = "near" if set(near) & set(kept) else "kept"
+        first[r.key] = r.doc_id
+        if verdicts[r.doc_id] == "kept":
+            kept.append(r.doc_id)
+    assert len(verdicts) <= 400 and any(n for n, _ in links.values())
+    assert {r.row_id: r.verdict for r in plans.QUERIES["near_dup_window"](spark, SF).collect()} == verdicts
+    assert {r.id: (r.n_near, r.first_near) for r in plans.QUERIES["near_dup_links"](spark, SF).collect()} == links
+
+
 def test_decontamination(spark):
     rows = spark.createDataFrame([(1, "A b"), (2, "c d e"), (3, ""), (4, "other words")], "id long, text string")
     train = spark.createDataFrame([("a  B",), ("c d e f",)], "text string")
