@@ -9,8 +9,10 @@ goes on while rules stay precise. The list is emitted as one ordered
 CASE WHEN, which Catalyst sees through.
 
 Defined results: null text has no words and fails the base rule; a null label or
-doc_id teaches nothing; several labels of one doc_id count as bad if one is; an
-empty labels table gives an empty list, which keeps all that pass the base rule.
+doc_id teaches nothing; several labels of one doc_id count as bad if one is;
+repeated rows are judged alike, each of them; an empty labels table gives an empty
+list, which keeps all that pass the base rule; an empty table gives no rows. `judge`
+replaces columns of docs that are named like those it adds; `passing` keeps all.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ BINS = 24
 #: A rule must be at least this precise on the growing and the pruning part, and cover so many bad rows.
 PRECISION, LEAST = 0.9, 4
 MOST_RULES, MOST_TERMS = 12, 3
-#: Positions take the low 20 bits of a sort key; longer texts are sorted by structs.
+#: Positions take the low 20 bits of a first sort key; longer texts are sorted by structs of the whole hash and the place.
 _PLACE = 20
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -45,7 +47,9 @@ def features(docs: DataFrame) -> DataFrame:
     d = d.withColumn("_mr_s", F.expr(f"CASE WHEN _mr_twice AND size(_mr_h) <= {low} THEN sort_array(transform(_mr_h, (x, i) -> (x & {~low}L) | cast(i as bigint))) ELSE cast(array() as array<bigint>) END"))
     same = lambda a, b: f"(_mr_s[{a}] & {~low}L) = (_mr_s[{b}] & {~low}L)"
     d = d.withColumn("_mr_p", F.expr(f"""sort_array(filter(transform(_mr_s, (x, i) -> CASE WHEN (i > 0 AND {same('i', 'greatest(i - 1, 0)')}) OR (i < size(_mr_s) - 1 AND {same('i', 'least(i + 1, size(_mr_s) - 1)')}) THEN x & {low}L ELSE -1L END), x -> x >= 0))"""))
-    d = d.withColumn("_mr_p", F.expr(f"""CASE WHEN _mr_twice AND size(_mr_h) > {low} THEN {_long_places()} ELSE _mr_p END"""))
+    # what looks repeated by the high bits is compared by whole hashes; long texts are so from the start
+    d = d.withColumn("_mr_p", F.expr(f"CASE WHEN _mr_twice AND size(_mr_h) > {low} THEN sequence(0L, size(_mr_h) - 1L) ELSE _mr_p END"))
+    d = d.withColumn("_mr_p", F.expr(f"CASE WHEN size(_mr_p) = 0 THEN _mr_p ELSE {_repeated()} END"))
     repeat = F.expr("CASE WHEN size(_mr_p) = 0 THEN 0L ELSE aggregate(transform(_mr_p, (x, i) -> CASE WHEN i = size(_mr_p) - 1 THEN 3L ELSE least(3L, _mr_p[least(i + 1, size(_mr_p) - 1)] - x) END), 0L, (a, x) -> a + x) END")
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\f\r", "")) > 0)
     d = d.withColumn("_mr_l", lines)
@@ -68,10 +72,10 @@ def features(docs: DataFrame) -> DataFrame:
     return d.select(*docs.columns, F.inline(F.array(F.struct(*BASE, *FEATURES))))
 
 
-def _long_places() -> str:
-    """SQL: the sorted places of repeated windows for texts of more than 2^20 words: by structs of hash and place."""
-    sorted_ = "sort_array(transform(_mr_h, (x, i) -> named_struct('h', x, 'i', cast(i as bigint))))"
-    return f"""sort_array(flatten(transform(array({sorted_}), t -> filter(transform(t, (x, i) -> CASE WHEN (i > 0 AND t[greatest(i - 1, 0)].h = x.h) OR (i < size(t) - 1 AND t[least(i + 1, size(t) - 1)].h = x.h) THEN x.i ELSE -1L END), x -> x >= 0))))"""
+def _repeated() -> str:
+    """SQL: of the places _mr_p, those whose window hash occurs twice among them, sorted."""
+    sorted_ = "sort_array(transform(_mr_p, p -> named_struct('h', _mr_h[cast(p as int)], 'i', p)))"
+    return f"""sort_array(flatten(transform(array({sorted_}), t -> filter(transform(t, (x, k) -> CASE WHEN (k > 0 AND t[greatest(k - 1, 0)].h = x.h) OR (k < size(t) - 1 AND t[least(k + 1, size(t) - 1)].h = x.h) THEN x.i ELSE -1L END), x -> x >= 0))))"""
 
 
 FEATURES = ["f_words", "f_mean_chars", "f_symbols", "f_dup_lines", "f_repeats", "f_upper", "f_marks", "f_lines", "f_distinct"]

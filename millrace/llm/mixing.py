@@ -13,20 +13,26 @@ of a dimension in each step; nothing of it comes to the driver but the largest
 deviation from the targets.
 
 Defined results: null source, lang or text are values "null", "null" and an empty
-text; a document without words counts one token; a null doc_id or a repeated row
-is sampled by its columns' hash like any other; target values without documents
-have no cells, and their share goes to the others in proportion; an empty table
-gives no rows.
+text; a document without words counts one token; a row without doc_id is sampled by
+a hash of its text, source and language; rows that are equal in what is hashed are
+taken or left together; target values without documents have no cells, and their
+share goes to the others in proportion; targets that no weights can meet at once (a
+value whose cells another dimension leaves out) end the sweeps once these stop
+closing in, with a warning that names the deviation; columns of docs that are named
+like those that `mix` adds give way (`sampled` keeps all); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .store import cut
 
 DIMS = ("source", "lang", "topic")
-SWEEPS, TOLERANCE = 20, 1e-4
+TOLERANCE = 1e-4
 BROADCAST_CELLS = 100_000
 #: The part of all tokens that the sample is to hold.
 BUDGET = 0.8
@@ -51,8 +57,8 @@ def _shares(sums: DataFrame) -> DataFrame:
     return sums.select("value", (F.col("w") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS, tolerance: float = TOLERANCE) -> DataFrame:
-    """cells (DIMS, tokens) with weights whose marginals are the targets (value, target); weights add up to 1."""
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """cells (DIMS, tokens) with weights whose marginals are the targets (value, target); weights add up to 1. Sweeps go on until the marginals hold, or stop closing in."""
     at = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         known = target.join(cells.select(F.col(dim).alias("value")).distinct(), "value")
@@ -60,13 +66,19 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS,
         at = at.join(scaled.withColumnRenamed("value", dim), dim)
     at = cut(at)
     columns = at.columns
-    for _ in range(sweeps):
+    last = math.inf
+    while True:
         for dim in targets:
             sums = at.groupBy(dim).agg(F.sum("weight").alias("_sum"))
             at = at.join(sums, dim).withColumn("weight", F.col("weight") * F.col(f"_{dim}") / F.col("_sum")).select(columns)
         at = cut(at)
-        if len(targets) < 2 or _deviation(at, list(targets)) <= tolerance:
+        off = _deviation(at, list(targets)) if len(targets) > 1 else 0.0
+        if off <= tolerance:
+            break
+        if off > 0.999 * last:
+            warnings.warn(f"raking stopped at a deviation of {off:.3g} from its targets", stacklevel=2)
             break
+        last = off
     return at.drop(*(f"_{d}" for d in targets))
 
 
@@ -83,7 +95,7 @@ def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     """raked cells with the sampling probability of their documents: weight / tokens, scaled to a budget of all tokens, 1 at most."""
     at, scale, taken, free = raked, None, 0.0, 1.0
     total = raked.agg(F.sum("tokens")).first()[0] or 0
-    for _ in range(50):
+    while True:  # cells that are taken whole only grow in number
         scale = (budget * total - taken) / free if free > 0 else 0.0
         row = at.agg(F.sum(F.when(F.col("weight") * scale >= F.col("tokens"), F.col("tokens"))), F.sum(F.when(F.col("weight") * scale < F.col("tokens"), F.col("weight")))).first()
         new_taken, new_free = float(row[0] or 0), float(row[1] or 0)
@@ -106,7 +118,8 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: fl
     if chances.count() <= BROADCAST_CELLS:  # beyond it, Spark shuffles both sides and splits hot cells
         chances = F.broadcast(chances)
     rows = rows.join(chances, (rows["_source"] == chances["_source"]) & (rows["_lang"] == chances["_lang"]) & (rows["topic"] == chances["_topic"]), "left").drop("_source", "_lang", "_topic")
-    luck = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 53)) / float(1 << 53)
+    draw = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.lit("sample"))).otherwise(F.xxhash64("text", "source", "lang", F.lit("sample")))
+    luck = F.pmod(draw, F.lit(1 << 53)) / float(1 << 53)
     return rows.withColumns({"weight": F.coalesce("weight", F.lit(0.0)), "probability": F.coalesce("probability", F.lit(0.0))}).withColumn("selected", luck < F.col("probability"))
 
 

@@ -14,15 +14,22 @@
    probability (uniform prior) that its similarity reaches the threshold is below
    MISS. Survivors are verified on their full sets.
 5. A component of more than BLOCK nodes is dealt into blocks which hold, besides,
-   the same few leaders. Blocks agree by way of the leaders. Whatever does not end
-   up with its component's largest class is then compared with every block, in
-   blocks, so no link between two classes is lost and no task holds a component.
+   the same few leaders. Blocks agree by way of the leaders. What does not end up
+   with its component's largest class (the rest) is then compared by buckets: a node
+   of the rest with the nodes of other classes that share one of its buckets, in
+   blocks. A link that the bands find shares a bucket, and one of its ends is in the
+   rest if its ends are in two classes, so none is lost; the work is that of band
+   collisions, however far components that hold few links grow.
+
+Rows meet their node and their class by `store.attach`: what a large group of copies
+shares is broadcast, so no task gets all of its rows.
 
 Defined results: null text, and text without words, has an empty set: linked with
 nothing, its own component, kept. With fewer words than a shingle the whole
 sequence is one shingle. Ties on the smallest doc_id: all rows with it are kept
 here (`keep_one` keeps one row). Nodes without any doc_id have a null component_id
-and kept = false, but for an empty set, which is kept. Other columns are not read.
+and kept = false, but for an empty set, which is kept. Other columns are not read,
+whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .store import cut
+from .store import attach, cut
 from .words import SPACED, U64, chunks, mix, windows, words
 
 MINIMA = 196
@@ -44,7 +51,7 @@ MISS = 1e-6
 STEP = 28  # signature rows compared at once
 BLOCK = 2000
 LEADERS = 8
-NODE = "doc_id long, n_shingles long, node string, bands array<long>"
+NODE = "doc_id long, key binary, n_shingles long, node string, bands array<long>"
 SET = "node string, signature binary, shingles binary"
 FILTER_DIGITS = 6  # hex digits of a node's name that a filter of fixed size, 2^24 bits, looks at
 LINK = "node string, cls string"
@@ -96,7 +103,7 @@ def _nodes(size: int, rows: int):
             names, bands = [None] * len(sets), [None] * len(sets)
             for k, i in enumerate(some):
                 names[i], bands[i] = _name(sets[i]), keys[k]
-            yield pa.RecordBatch.from_arrays([chunk["doc_id"].cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([chunk["doc_id"].cast(pa.int64()), chunk["key"], pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "key", "n_shingles", "node", "bands"])
 
     return make
 
@@ -186,12 +193,12 @@ class Classes:
         self.up[max(i, j)] = min(i, j)
 
 
-def compare(names: list[str], sign: np.ndarray, sets: list[np.ndarray], percent: int, rows: list[int] | None = None) -> list[str]:
-    """The class of each node after comparing nodes (or only `rows`) with all others. Nodes are sorted by name."""
+def compare(names: list[str], sign: np.ndarray, sets: list[np.ndarray], percent: int, rows: list[int] | None = None, known: list[str] | None = None) -> list[str]:
+    """The class of each node after comparing nodes (or only `rows`) with all others. Nodes are sorted by name. known: classes that are known already; within one nothing is compared."""
     found = Classes(len(names))
     size = np.array([len(s) for s in sets])
     limits = bounds(percent / 100)
-    group = np.arange(len(names))
+    group = np.arange(len(names)) if known is None else np.unique(known, return_inverse=True)[1]
     for i in range(len(names)) if rows is None else rows:
         other = np.flatnonzero((group != group[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
         if rows is None:
@@ -247,28 +254,30 @@ def _classes(percent: int):
     return work
 
 
-def _classes_of_rest(percent: int):
-    """Within a block and a block of the rest: the rest against all."""
+def _links_of_rest(percent: int):
+    """Within a block of a bucket and a block of its rest: links of the rest with nodes of other classes."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return pa.table({"node": pa.array([], pa.string()), "cls": pa.array([], pa.string())})
         rest = set(right["node"].to_pylist())
-        columns = ["node", "signature", "shingles"]
+        columns = ["node", "signature", "shingles", "cls"]
         left = left.select(columns)
         left = left.filter(pa.array([x not in rest for x in left["node"].to_pylist()], pa.bool_()))
-        names, sign, sets, _ = _decode(pa.concat_tables([left, right.select(columns)]))
-        return pa.table({"node": names, "cls": compare(names, sign, sets, percent, [i for i, x in enumerate(names) if x in rest])})
+        names, sign, sets, table = _decode(pa.concat_tables([left, right.select(columns)]))
+        found = compare(names, sign, sets, percent, [i for i, x in enumerate(names) if x in rest], table["cls"].to_pylist())
+        some = [(n, c) for n, c in zip(names, found, strict=True) if n != c]
+        return pa.table({"node": pa.array([n for n, _ in some], pa.string()), "cls": pa.array([c for _, c in some], pa.string())})
 
     return work
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 3, block: int = BLOCK) -> DataFrame:
-    """Per row of docs (doc_id, text): set size, component and whether it is the component's smallest doc_id."""
-    texts = docs.select("doc_id", "text")
+def classified(docs: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+    """Per row of docs (doc_id, text, key: any bytes, carried along): doc_id, key, n_shingles and its class; null for an empty set."""
+    texts = docs.select("doc_id", "text", "key")
     rows = cut(texts.mapInArrow(_nodes(size, band_rows(percent)), NODE))
-    some = rows.where("node IS NOT NULL")
-    nodes = some.groupBy("node").agg(F.first("bands").alias("bands"))
+    total = rows.count()
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"), F.count("*").alias("copies"))
     banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
     links = banded.join(buckets, "band").where("node <> a").select("a", F.col("node").alias("b")).distinct()
@@ -276,22 +285,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 3, block: in
     sizes = at.groupBy("root").agg(F.count("*").alias("n"))
     at = cut(at.join(sizes, "root"))
     # sets of candidates alone, one row for each node
-    sets = texts.mapInArrow(_sets(size, _filter(at)), SET).join(at, "node")
+    sets = texts.select("text").mapInArrow(_sets(size, _filter(at)), SET).join(at, "node")
     one = sets.groupBy("node", "root", "n").agg(F.first("signature").alias("signature"), F.first("shingles").alias("shingles"))
     small = F.col("n") <= block
     if at.where(~small).isEmpty():
         classes = one.groupBy("root").applyInArrow(_classes(percent), LINK)
     else:
         one = cut(one)
-        classes = one.where(small).groupBy("root").applyInArrow(_classes(percent), LINK).union(_large(one.where(~small), percent, block))
-    named = rows.join(classes, "node", "left").select("doc_id", "n_shingles", F.coalesce("cls", "node").alias("cls"))
-    named = cut(named)
+        classes = one.where(small).groupBy("root").applyInArrow(_classes(percent), LINK).union(_large(one.where(~small), banded, percent, block))
+    counted = nodes.select("node", "copies").join(classes, "node")
+    slim = rows.select("doc_id", "key", "n_shingles", "node")
+    named = attach(slim, cut(counted), "node", "copies", total, _own_key())
+    return cut(named.select("doc_id", "key", "n_shingles", F.coalesce("cls", "node").alias("cls")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 3, block: int = BLOCK) -> DataFrame:
+    """Per row of docs (doc_id, text): set size, component and whether it is the component's smallest doc_id."""
+    named = classified(docs.select("doc_id", "text", F.lit(None).cast("binary").alias("key")), percent, size, block).drop("key")
     least = named.where("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    out = named.join(least, "cls", "left").select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), F.col("cls").isNull().alias("empty"))
+    out = attach(named, cut(least), "cls", "n", named.count(), _own_key())
+    out = out.select("doc_id", "n_shingles", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"), F.col("cls").isNull().alias("empty"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("empty")).alias("kept"))
 
 
-def _large(one: DataFrame, percent: int, block: int) -> DataFrame:
+def _own_key():
+    """A key for a row that is to meet nothing; names of nodes are hex digits."""
+    return F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))
+
+
+def _large(one: DataFrame, banded: DataFrame, percent: int, block: int) -> DataFrame:
     """Classes of components of more than `block` nodes, in blocks."""
     salts = F.ceil(F.col("n") / F.lit(block)).cast("long")
     dealt = one.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "node"), "salts"))
@@ -303,22 +325,25 @@ def _large(one: DataFrame, percent: int, block: int) -> DataFrame:
     everywhere = leaders.select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     inside = dealt.unionByName(everywhere).dropDuplicates(["root", "salt", "node"])
     first = cut(inside.groupBy("root", "salt").applyInArrow(_classes(percent), LINK))
-    joined = _merge(first)
+    joined = cut(_merge(first))
     weight = dealt.select("node", "root").join(joined, "node")
     largest = weight.groupBy("root", "cls").count().groupBy("root").agg(F.max_by("cls", F.struct("count", "cls")).alias("largest"))
-    rest = cut(weight.join(largest, "root").where("cls <> largest").select("node"))
+    rest = cut(weight.join(largest, "root").where("cls <> largest").select("node", "cls"))
     if rest.isEmpty():
         return joined
-    # the rest in blocks against all blocks: a rest of r nodes meets n nodes ceil(r / block) times
-    left = dealt.join(rest, "node", "left_semi")
-    width = left.groupBy("root").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("widths"))
-    left = left.join(width, "root").withColumn("part", F.pmod(F.xxhash64(F.lit("rest"), "node"), "widths"))
-    right = left.drop("salt").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    all_of = dealt.join(width, "root").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("widths") - 1)))
+    # the rest with whatever shares a bucket, in blocks
+    buckets = banded.join(rest, "node").groupBy("band").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("parts"))
+    all_of = banded.join(buckets, "band").join(joined, "node")
+    mixed = all_of.groupBy("band").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("salts"), (F.min("cls") < F.max("cls")).alias("mixed")).where("mixed").drop("mixed")
+    all_of = cut(all_of.join(mixed, "band"))
+    sets = one.select("node", "signature", "shingles")
+    columns = ["band", "salt", "part", "node", "cls", "signature", "shingles"]
+    left = all_of.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "node"), "salts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets, "node").select(columns)
+    right = all_of.join(rest.select("node"), "node").withColumn("part", F.pmod(F.xxhash64(F.lit("rest"), "node"), "parts")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(sets, "node")
     # both sides come from one frame: fresh names for one of them
-    right = right.select(*(F.col(c).alias(c) for c in ("root", "salt", "part", "node", "signature", "shingles")))
-    more = all_of.groupBy("root", "salt", "part").cogroup(right.groupBy("root", "salt", "part")).applyInArrow(_classes_of_rest(percent), LINK)
-    return _merge(cut(first.union(more)))
+    right = right.select(*(F.col(c).alias(c) for c in columns))
+    more = left.groupBy("band", "salt", "part").cogroup(right.groupBy("band", "salt", "part")).applyInArrow(_links_of_rest(percent), LINK)
+    return _merge(cut(joined.union(more)))
 
 
 def _merge(links: DataFrame) -> DataFrame:
@@ -329,14 +354,22 @@ def _merge(links: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 85, size: int = 3) -> DataFrame:
-    """The rows of docs without near-duplicates: of each component one row stays, with all of its columns.
+    """The rows of docs without near-duplicates: of each component one row stays, with all of its columns, whatever these are called.
 
-    The row with the component's smallest doc_id stays; of several such rows any
-    one. Rows without doc_id can't be named by a component and stay.
+    The row with the component's smallest doc_id stays; of several, the one with the
+    smallest digest of its text; of rows that are equal in both, any one. A row
+    without doc_id stays only if no row of its component has one. Texts without words
+    stay, all of them. Rows with one doc_id whose texts aren't linked stay, each of them.
     """
-    stay = near_duplicates(docs, percent, size).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    digest = F.unhex(F.substring(F.sha2(F.col("text"), 256), 1, 32))
+    empty = ~F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    rows = classified(docs.select("doc_id", "text", digest.alias("key")), percent, size).where("cls IS NOT NULL")
+    first = rows.groupBy("cls").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "key")).alias("x")).select("x.doc_id", "x.key")
+    # one key of bytes for (doc_id, text): texts are shuffled once, by it
+    name = lambda key: F.unhex(F.substring(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")).cast("binary"), F.lit(":").cast("binary"), key), 256), 1, 32))
+    stay = first.select(name(F.col("key")).alias("_mr_name"))
+    some = docs.where(~empty).withColumn("_mr_name", name(digest)).join(stay, "_mr_name", "left_semi").dropDuplicates(["_mr_name"])
+    return some.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where(empty))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

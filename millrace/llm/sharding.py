@@ -2,125 +2,218 @@
 
 Documents are linked through hubs: a hub is anything that several documents
 share (here: equal texts), so a group of copies is a star and never all pairs. A
-document starts in a shard by its hash. In each round every hub names the shard
-that most of its members' weight is in; members elsewhere ask to move there, which
-lessens cut links. A shard takes in linked documents up to its quota: of the requests
-to it, the share that fits is accepted, by a hash of the hub, so that whole groups
-move. (Unlinked documents can be displaced later and cut nothing.) Rounds end when no document asks any more, or after ROUNDS. At last counts are made
-even: shards above their size give up documents, unlinked ones first, to those below.
-Documents are numbered within their shard by prefix sums over buckets, not by one
-sort of a shard. A hub of more members than a shard's size is spread over as many
-shards as it needs.
+document's label is a shard; it starts with one by its hash. In the first round
+every hub asks for the shard that most of its members are in, since that moves the
+fewest documents. A shard's quota is its final size, and it is hard: the hubs that
+ask for a shard are put in order (large ones first, then by hash), and are taken in
+while the prefix sum of their members stays within what the shard has left. In each
+later round refused hubs are laid out, large ones first, over the room that is left
+in the shards with most of it, and again only those are taken in that fit whole.
+Rounds end when fewer than `shards` hubs wait, which the driver places by best fit,
+or when no waiting hub fits anywhere.
+
+A hub of more members than a shard's size fills whole shards and asks with the rest;
+a hub that fits nowhere is cut at as few places as the room allows. Unlinked
+documents cut nothing and fill what is left, so that counts are even to one row.
+Documents are numbered by prefix sums over buckets, not by one sort of a shard.
 
 Law: `rows`. The counts of shards differ by one at most.
 
 Defined results: null text is the empty text (size 1); rows without doc_id and
-repeated rows are rows like others; with fewer rows than shards some shards are
-empty; an empty table gives no rows.
+repeated rows are rows like others; of rows that tie in everything any may get any
+of their slots; with fewer rows than shards some shards are empty; other columns are
+not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .store import cut
+from .store import attach, cut
 
-ROUNDS = 4
-SLACK = 1.05  # while labels spread, a shard may hold so many times its size
 BUCKET_ROWS = 2000  # rows that are numbered together
 
 
-def _ranked(df: DataFrame, by: str, order: list[Column], bucket: Column, buckets: int, name: str) -> DataFrame:
-    """df with a gapless number from 0 within each value of `by` (small integers), ordered by bucket, then by order.
+def _ranked(df: DataFrame, by: str, order: list[Column], bucket: Column, buckets: int, name: str, weight: Column | None = None) -> DataFrame:
+    """df with the weight (by default 1: gapless numbers) of the rows before each, within each value of `by`, ordered by bucket, then by order.
 
-    Buckets are counted, a prefix sum over the counts gives each bucket's first
-    number, and rows are numbered within their bucket.
+    Buckets are summed up, a prefix sum over the sums gives what is before each
+    bucket, and rows are summed up within their bucket.
     """
-    keys = df.withColumn("_bucket", bucket)
-    counts = keys.groupBy(by, "_bucket").agg(F.count("*").alias("_n"))
-    # prefix sums over buckets, in two levels, so that no task sorts all counts of a shard
+    keys = df.withColumns({"_bucket": bucket, "_weight": F.lit(1) if weight is None else weight})
+    sums = keys.groupBy(by, "_bucket").agg(F.sum("_weight").alias("_n"))
+    # prefix sums over buckets, in two levels, so that no task sorts all sums of a shard
     wide = max(1, math.isqrt(buckets))
-    counts = counts.withColumn("_group", F.floor(F.col("_bucket") / wide))
-    inner = counts.withColumn("_in", F.sum("_n").over(Window.partitionBy(by, "_group").orderBy("_bucket")) - F.col("_n"))
-    groups = counts.groupBy(by, "_group").agg(F.sum("_n").alias("_g"))
+    sums = sums.withColumn("_group", F.floor(F.col("_bucket") / wide))
+    inner = sums.withColumn("_in", F.sum("_n").over(Window.partitionBy(by, "_group").orderBy("_bucket")) - F.col("_n"))
+    groups = sums.groupBy(by, "_group").agg(F.sum("_n").alias("_g"))
     groups = groups.withColumn("_before", F.sum("_g").over(Window.partitionBy(by).orderBy("_group")) - F.col("_g")).drop("_g")
     first = inner.join(groups, [by, "_group"]).select(by, "_bucket", (F.col("_in") + F.col("_before")).alias("_first"))
-    within = F.row_number().over(Window.partitionBy(by, "_bucket").orderBy(*order)) - 1
-    return keys.withColumn("_k", within).join(first, [by, "_bucket"]).withColumn(name, (F.col("_first") + F.col("_k")).cast("long")).drop("_bucket", "_k", "_first")
-
+    upto = Window.partitionBy(by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = F.sum("_weight").over(upto) - F.col("_weight")
+    return keys.withColumn("_k", within).join(first, [by, "_bucket"]).withColumn(name, (F.col("_first") + F.col("_k")).cast("long")).drop("_bucket", "_k", "_first", "_weight")
+
+
+def _queue(hubs: DataFrame, by: str, n: int) -> DataFrame:
+    """hubs with `before`: the members of those before each in its queue; large hubs come first."""
+    classes, each = 64, max(1, math.ceil(n / BUCKET_ROWS))
+    step = F.lit(classes - 1) - F.floor(F.log2(F.col("members").cast("double"))).cast("long")
+    bucket = step * each + F.pmod(F.xxhash64("hub"), F.lit(each))
+    return _ranked(hubs, by, [F.desc("members"), F.xxhash64("hub"), F.col("hub")], bucket, classes * each, "before", F.col("members"))
+
+
+def _along(at: Column, starts: list[tuple[int, int]], otherwise: Column) -> Column:
+    """The value of the last (start, value) whose start is not after `at`; starts ascend."""
+    out = otherwise
+    for start, value in starts:
+        out = F.when(at >= F.lit(start), F.lit(value)).otherwise(out)
+    return out
+
+
+class Rooms:
+    """What shards have left, and the pieces (first member, shard) that wide hubs are cut into."""
+
+    def __init__(self, total: int, shards: int):
+        self.left = [total // shards + (s < total % shards) for s in range(shards)]
+        self.pieces: dict[bytes, list[tuple[int, int]]] = {}
+        self.placed: dict[bytes, int] = {}
+
+    def cut(self, hub: bytes, members: int, least: int = 1) -> None:
+        """Give members to the shards with most room, while `least` of them are without a place."""
+        at = self.placed.get(hub, 0)
+        while members - at >= least:
+            s = max(range(len(self.left)), key=lambda x: (self.left[x], -x))
+            self.pieces.setdefault(hub, []).append((at, s))
+            n = min(self.left[s], members - at)
+            self.left[s] -= n
+            at += n
+        self.placed[hub] = at
+
+    def fit(self, members: int) -> int | None:
+        """The shard with least room that members fit into."""
+        some = [s for s, n in enumerate(self.left) if n >= members]
+        return min(some, key=lambda s: (self.left[s], s)) if some else None
+
+
+def propagate(nodes: DataFrame, shards: int) -> DataFrame:
+    """nodes (id, hub: binary, null for a node without links) with `shard` and `slot`."""
+    own = F.when(F.col("id").isNull(), F.xxhash64(F.lit("row"), F.monotonically_increasing_id())).otherwise(F.xxhash64("id"))
+    at = cut(nodes.withColumn("_key", own))
+    total = at.count()
+    rooms = Rooms(total, shards)
+    start = F.pmod(F.xxhash64("_key", F.lit("start")), F.lit(shards)).cast("int")
+    held = at.where("hub IS NOT NULL").groupBy("hub", start.alias("s")).agg(F.count("*").alias("n"))
+    hubs = held.groupBy("hub").agg(F.sum("n").alias("members"), F.max_by("s", F.struct("n", F.xxhash64("hub", "s"))).alias("aim")).where("members > 1")
+    hubs = cut(hubs)
+    # fewer than 2 * shards hubs can be larger than a shard
+    size = max(1, total // shards)
+    large = {bytes(r["hub"]): r["members"] for r in hubs.where(F.col("members") > size).orderBy(F.desc("members"), "hub").collect()}
+    for hub, n in large.items():
+        rooms.cut(hub, n, size)
+    for hub, n in large.items():
+        if 0 < (rest := n - rooms.placed[hub]) and (s := rooms.fit(rest)) is not None:
+            rooms.pieces[hub].append((rooms.placed[hub], s))
+            rooms.left[s] -= rest
+            rooms.placed[hub] = n
+    settled, wait = [], hubs.where(F.col("members") <= size)
+    n = wait.count()
+    for r in itertools.count():
+        fits = wait.where(F.col("members") <= max(rooms.left))
+        if r == 0:
+            asked = _queue(fits.withColumn("_aim", F.col("aim")), "_aim", n)
+            limit = F.element_at(F.array(*map(F.lit, rooms.left)), F.col("_aim") + 1)
+        else:  # the shards' room, one after the other, most room first
+            order = sorted(range(shards), key=lambda s: (-rooms.left[s], s))
+            ends = list(itertools.accumulate(rooms.left[s] for s in order))
+            starts = [0, *ends[:-1]]
+            asked = _queue(fits.withColumn("_all", F.lit(0)), "_all", n).drop("_all")
+            asked = asked.withColumn("_aim", _along(F.col("before"), list(zip(starts, order, strict=True)), F.lit(order[0])))
+            limit = _along(F.col("before"), list(zip(starts, ends, strict=True)), F.lit(0))
+        taken = F.when(F.col("before") + F.col("members") <= limit, F.col("_aim"))
+        done = cut(asked.select("hub", "members", "aim", taken.cast("int").alias("shard")))
+        sums = {x["shard"]: (x["n"], x["m"]) for x in done.groupBy("shard").agg(F.count("*").alias("n"), F.sum("members").alias("m")).collect()}
+        for s, (_, m) in sums.items():
+            if s is not None:
+                rooms.left[s] -= m
+        settled.append(done.where("shard IS NOT NULL").select("hub", "members", "shard"))
+        wait = cut(wait.join(settled[-1].select("hub"), "hub", "left_anti"))
+        n = wait.count()
+        if n < 2 * shards or (r and set(sums) <= {None}):
+            break
+    # where no hub fits, each has more members than any room; all rows have a place, so these are fewer than `shards`
+    few = []
+    for x in sorted(wait.collect(), key=lambda x: (-x["members"], bytes(x["hub"]))):
+        if (s := rooms.fit(x["members"])) is not None:
+            rooms.left[s] -= x["members"]
+            few.append((x["hub"], x["members"], s))
+        else:
+            large[bytes(x["hub"])] = x["members"]
+    for hub, m in large.items():
+        rooms.cut(hub, m)
+    wide = list(large)
+    spark = nodes.sparkSession
+    table = spark.createDataFrame([(h, m, s, None) for h, m, s in few] + [(bytearray(h), large[h], None, i) for i, h in enumerate(wide)], "hub binary, members long, shard int, wide int")
+    for frame in settled:
+        table = table.unionByName(frame.withColumn("wide", F.lit(None).cast("int")))
+    return _placed(at, table, rooms, wide, shards, total).drop("_key", "members", "wide")
+
+
+def _placed(at: DataFrame, table: DataFrame, rooms: Rooms, wide: list[bytes], shards: int, total: int) -> DataFrame:
+    """Rows with the shard of their hub, wide hubs by pieces, unlinked rows in what is left; and slots."""
+    at = attach(at, table, "hub", "members", total, F.encode(F.concat(F.lit("row "), F.col("_key").cast("string")), "utf-8"))
+    buckets = max(1, math.ceil(total / BUCKET_ROWS))
+    spread = F.pmod(F.xxhash64("_key", F.lit("bucket")), F.lit(buckets))
+    order = [F.col("_key"), F.col("id")]
+    if wide:
+        at = cut(at)
+        cutting = _ranked(at.where("wide IS NOT NULL"), "wide", order, spread, buckets, "_member")
+        shard = F.lit(None).cast("int")
+        for i, hub in enumerate(wide):
+            shard = F.when(F.col("wide") == i, _along(F.col("_member"), rooms.pieces[hub], F.lit(None).cast("int"))).otherwise(shard)
+        at = at.where("wide IS NULL").unionByName(cutting.withColumn("shard", shard).drop("_member"))
+    # unlinked rows are numbered in a lane of their own, which is laid over the rooms
+    ranked = _ranked(cut(at.withColumn("_lane", F.coalesce("shard", F.lit(shards)))), "_lane", order, spread, buckets, "_rank")
+    size = [total // shards + (s < total % shards) for s in range(shards)]
+    starts = list(itertools.accumulate(rooms.left, initial=0))[:-1]
+    free = [(start, s) for s, start in enumerate(starts) if rooms.left[s]]
+    shift = [(start, size[s] - rooms.left[s] - start) for start, s in free]
+    loose = F.col("shard").isNull()
+    rank = F.col("_rank")
+    shard = F.when(loose, _along(rank, free, F.lit(0))).otherwise(F.col("shard"))
+    slot = F.when(loose, rank + _along(rank, shift, F.lit(0))).otherwise(rank)
+    return ranked.select(*(c for c in at.columns if c not in ("shard", "_lane")), shard.cast("int").alias("shard"), slot.cast("long").alias("slot"))
 
-def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """nodes (id, hub) with a shard; hub is null for a node without links. Counts are even to one row.
 
-    Returns nodes' columns with `shard` and `slot`.
-    """
-    total = nodes.count()
-    size = max(1, math.ceil(total / shards))
-    hubs = nodes.where("hub IS NOT NULL").groupBy("hub").agg(F.count("*").alias("members")).where("members > 1")
-    at = nodes.join(hubs, "hub", "left").withColumn("shard", F.pmod(F.xxhash64("id", F.lit("start")), F.lit(shards)).cast("int"))
-    at = cut(at.withColumn("linked", F.col("members").isNotNull()))
-    # a hub that is larger than a shard is several hubs, each of which fits
-    parts = F.ceil(F.col("members") / F.lit(size))
-    at = at.withColumn("part", F.when(F.col("linked"), F.pmod(F.xxhash64("id", F.lit("part")), parts)).otherwise(F.lit(0)))
-    for r in range(rounds):
-        held = at.where("linked").groupBy("hub", "part", "shard").agg(F.count("*").alias("weight"))
-        aim = held.groupBy("hub", "part").agg(F.max_by("shard", F.struct("weight", F.xxhash64("hub", "part", "shard"))).alias("aim"))
-        ask = at.join(aim, ["hub", "part"], "left").withColumn("moves", F.coalesce(F.col("aim") != F.col("shard"), F.lit(False)))
-        ask = cut(ask)
-        flow = ask.where("linked").groupBy("shard").agg(F.count("*").alias("n"), F.count_if("moves").alias("leave")).collect()
-        into = {x["aim"]: x["n"] for x in ask.where("moves").groupBy("aim").agg(F.count("*").alias("n")).collect()}
-        if not into:
-            at = ask.drop("aim", "moves")
-            break
-        here = {x["shard"]: x["n"] - x["leave"] for x in flow}
-        share = [min(1.0, max(0.0, SLACK * size - here.get(s, 0)) / into[s]) if s in into else 0.0 for s in range(shards)]
-        luck = F.pmod(F.xxhash64("hub", "part", F.lit(f"round {r}")), F.lit(1 << 20)) / float(1 << 20)
-        fits = luck < F.element_at(F.array(*map(F.lit, share)), F.coalesce("aim", F.lit(0)) + 1)
-        at = ask.withColumn("shard", F.when(F.col("moves") & fits, F.col("aim")).otherwise(F.col("shard"))).drop("aim", "moves")
-    return _even(cut(at), shards, total).drop("members", "linked", "part")
+def equal_texts(text: Column) -> Column:
+    """The hub of documents with equal texts."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
-def _even(at: DataFrame, shards: int, total: int) -> DataFrame:
-    """Move the fewest rows that make counts even, unlinked ones first."""
-    size = [total // shards + (s < total % shards) for s in range(shards)]
-    have = {x["shard"]: x["n"] for x in at.groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    # the larger sizes go to the fuller shards
-    order = sorted(range(shards), key=lambda s: -have.get(s, 0))
-    size = {s: n for s, n in zip(order, sorted(size, reverse=True), strict=True)}
-    buckets = max(1, math.ceil(total / shards / BUCKET_ROWS))
-    side = F.when(F.col("linked"), 0).otherwise(1)
-    # a large hub is spread over buckets by its members
-    place = F.when(F.col("members") > BUCKET_ROWS, F.xxhash64("id")).when(F.col("linked"), F.xxhash64("hub")).otherwise(F.xxhash64("id"))
-    bucket = (side * buckets + F.pmod(place, F.lit(buckets))).cast("long")
-    ranked = _ranked(at, "shard", [F.col("hub"), F.xxhash64("id"), F.col("id")], bucket, 2 * buckets, "rank")
-    limit = F.element_at(F.array(*(F.lit(size[s]) for s in range(shards))), F.col("shard") + 1)
-    ranked = cut(ranked.withColumn("over", F.col("rank") - limit))
-    # surplus rows are numbered from shard to shard, and room likewise
-    offset, n = {}, 0
-    for s in range(shards):
-        offset[s] = n
-        n += max(0, have.get(s, 0) - size[s])
-    room, n = [], 0
-    for s in range(shards):
-        if (gap := size[s] - have.get(s, 0)) > 0:
-            room.append((s, n, have.get(s, 0)))
-            n += gap
-    number = F.element_at(F.array(*(F.lit(offset[s]) for s in range(shards))), F.col("shard") + 1) + F.col("over")
-    goes, slot = F.col("shard"), F.col("rank")
-    for s, start, held in room:  # the last room that starts at or before the number
-        goes = F.when((F.col("over") >= 0) & (number >= start), F.lit(s)).otherwise(goes)
-        slot = F.when((F.col("over") >= 0) & (number >= start), held + number - start).otherwise(slot)
-    return ranked.select(*(c for c in at.columns if c != "shard"), goes.cast("int").alias("shard"), slot.cast("long").alias("slot"))
+OWN = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
 def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """Per row of docs (doc_id, text): size, text_crc32, law, shard, slot, grown_shard and the number of rows with its text."""
+    """Per row of docs (doc_id, text): doc_id and the columns of OWN."""
+    return _sharded(docs.select("doc_id", "text"), shards).select("doc_id", *OWN)
+
+
+def _sharded(docs: DataFrame, shards: int, *more: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    slim = docs.select(F.col("doc_id").cast("long").alias("id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), F.unhex(F.substring(F.sha2(text, 256), 1, 32)).alias("hub"))
-    done = propagate(cut(slim), shards)
-    return done.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    slim = docs.select(*more, F.col("doc_id").cast("long").alias("id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), equal_texts(text).alias("hub"))
+    return propagate(slim, shards).withColumnsRenamed({"id": "doc_id"}).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def with_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
+    """docs with all of its columns, text included, and those of OWN; columns of docs with these names give way.
+
+    Rows get a number and are written once with it; shards are found without texts and joined by that number.
+    """
+    docs = docs.drop(*(c for c in docs.columns if c.lower() in OWN))
+    rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
+    return rows.join(_sharded(rows, shards, "_row").select("_row", *OWN), "_row").drop("_row")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,16 @@ that refer to it. Records are built as one column and written by Spark's own wri
 to any file system Spark knows: a record ends with two line ends, which is the
 writer's row separator, so a file is a sequence of records and nothing else.
 
-Reader: files are read whole by Spark (the writer keeps them near FILE_BYTES) and
-walked record by record. Each record is checked: version line, headers, length,
-separator, block digest. After a failed check the reader searches for the next
-version line (or the next valid gzip member in compressed files), goes on there and
-logs the bytes in between as a quarantined gap. A damaged record never hides those
-that follow.
+With gzip every record is a member of its own. Spark's writer puts one zero byte
+after each, which readers of gzip take as padding.
+
+Reader: files of any name are read whole by Spark (the writer keeps them near
+FILE_BYTES) and walked record by record. Each record is checked: version line,
+headers, length, separator, block digest. After a failed check the reader searches
+for the next version line (or the next valid gzip member in compressed files), goes
+on there and logs the bytes in between as a quarantined gap. A damaged record never
+hides those that follow; of a broken member, records that it gave before its fault
+and that pass their checks are kept.
 
 Defined results: null html is an empty payload; a null page_id is written as
 "null" and read back as null, and never is a response that others refer to; rows
@@ -21,6 +25,7 @@ not read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import uuid
@@ -28,15 +33,17 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .store import folder
+from .store import cut, folder
 
 REVISIT_BYTES = 100
 FILE_BYTES = 32 << 20
 #: A list of first copies of at most so many rows is broadcast; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+STEP = 1 << 16  # bytes of a member that are inflated at once
 VERSION = b"WARC/1.1\r\n"
 RECORD = "path string, start long, page_id long, record_type string, uri string, payload_bytes long, payload_digest string, refers_to long, reason string, end long"
 
@@ -47,11 +54,8 @@ def with_types(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", payload.alias("payload"))
     pages = pages.withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long")})
     first = pages.where(F.col("n_bytes") >= REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select("digest", "first")
-    first = first.persist()
-    try:
-        few = first.count() <= BROADCAST_ROWS
-    finally:
-        first.unpersist()
+    first = cut(first)
+    few = first.count() <= BROADCAST_ROWS
     joined = pages.join(F.broadcast(first) if few else first, "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "payload", "digest", "n_bytes", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
@@ -73,11 +77,20 @@ def records(typed: DataFrame) -> DataFrame:
     return typed.select(F.concat(head.cast("binary"), block).cast("string").alias("value"))
 
 
+@F.pandas_udf(T.BinaryType())
+def _member(records: pd.Series) -> pd.Series:
+    """Each record with its separator as a gzip member."""
+    return records.map(lambda r: gzip.compress(r + b"\r\n\r\n", 6, mtime=0))
+
+
 def write(pages: DataFrame, path: str, compression: str = "none") -> None:
-    """Write archives of pages below path. compression: none, or gzip for one member a file."""
+    """Write archives of pages below path. compression: none, or gzip for one member a record."""
     size = pages.agg(F.avg(F.octet_length("html")), F.max(F.octet_length("html"))).first()
     each = max(1, int(FILE_BYTES // max(1024, size[0] or 0, (size[1] or 0) / 16)))
-    records(with_types(pages)).write.mode("errorifexists").option("lineSep", "\r\n\r\n").option("compression", compression).option("maxRecordsPerFile", each).text(path)
+    made, end = records(with_types(pages)), "\r\n\r\n"
+    if compression == "gzip":
+        made, end = made.select(_member(F.col("value").cast("binary")).cast("string").alias("value")), "\0"
+    made.write.mode("errorifexists").option("lineSep", end).option("maxRecordsPerFile", each).text(path)
 
 
 @dataclass
@@ -94,8 +107,9 @@ class Found:
 def salvage(data: bytes) -> Iterator[Found]:
     """The records of an archive's bytes, and the gaps between those that pass their checks.
 
-    Of gzip archives the offsets are those of the members; a member that doesn't
-    end well is a gap up to the next one that does.
+    Of gzip archives the offsets are those of the members; from a member that doesn't
+    end well up to the next one that does is a gap, and records that it gave before
+    its fault have no extent.
     """
     if data[:2] == b"\x1f\x8b" or (b"\x1f\x8b\x08" in data and VERSION not in data):
         yield from _members(data)
@@ -103,28 +117,46 @@ def salvage(data: bytes) -> Iterator[Found]:
         yield from _plain(data, 0, len(data))
 
 
+def _inflated(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """What the member at a place gives, where it ends, and why it is broken, if it is. Read in steps, so that no rest is copied for each member."""
+    inflate, out, pos = zlib.decompressobj(31), [], at
+    try:
+        while pos < len(data) and not inflate.eof:
+            out.append(inflate.decompress(data[pos : pos + STEP]))
+            pos += STEP
+    except zlib.error as e:
+        return b"".join(out), at, str(e)
+    if not inflate.eof:
+        return b"".join(out), at, "member ends early"
+    return b"".join(out), min(pos, len(data)) - len(inflate.unused_data), ""
+
+
 def _members(data: bytes) -> Iterator[Found]:
+    view = memoryview(data)
     at = gap = 0
+    reason = ""
     while at < len(data):
-        text, reason = b"", ""
-        inflate = zlib.decompressobj(31)
-        try:
-            text = inflate.decompress(data[at:])
-            reason = "" if inflate.eof else "member ends early"
-        except zlib.error as e:
-            reason = str(e)
-        if not reason:
+        if gap == at and data[at] == 0:  # padding
+            at = gap = at + 1
+            continue
+        text, end, why = _inflated(view, at)
+        if not why:
             if gap < at:
-                yield Found(gap, at, reason="lost bytes between members")
-            end = len(data) - len(inflate.unused_data)
+                yield Found(gap, at, reason=reason or "lost bytes between members")
             for f in _plain(text, 0, len(text)):
                 yield Found(at, end, f.headers, f.block, f.reason)
             at = gap = end
+            reason = ""
             continue
+        reason = reason or why
+        for f in _plain(text, 0, len(text)):  # what it gave before its fault
+            if not f.reason:
+                yield Found(at, at, f.headers, f.block)
         at = data.find(b"\x1f\x8b\x08", at + 1)
         if at < 0:
-            yield Found(gap, len(data), reason=reason)
-            return
+            break
+    if gap < len(data):
+        yield Found(gap, len(data), reason=reason or "lost bytes between members")
 
 
 def _plain(data: bytes, start: int, stop: int) -> Iterator[Found]:
@@ -192,13 +224,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     if not f.reason and kind == "response":  # measured, not believed
                         digest, length = hashlib.sha256(f.block).hexdigest(), len(f.block)
                     else:
-                        length = int(h.get("x-payload-length", "0")) if not f.reason else None
+                        length = int(x) if not f.reason and (x := h.get("x-payload-length", "")).isascii() and x.isdigit() else None
                     rows.append((name, f.start, _page(h.get("warc-record-id")), kind, h.get("warc-target-uri"), length, digest or None, _page(h.get("warc-refers-to")), f.reason or None, f.end))
                 kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
                 columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in RECORD.split(", ")])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").mapInArrow(walk, RECORD)
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(walk, RECORD)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,13 +9,16 @@ every word inside it is hit. An item of fewer than n words is one window of its
 own length; as winnowing gives no guarantee for those, windows of just these
 lengths are looked up whole.
 
-The benchmark is taken in blocks of at most BLOCK_BYTES of text, which bounds
-what is broadcast; every document meets every block, and its hits are joined.
+The benchmark is taken in blocks of about BLOCK_BYTES of text. A block's index is a
+few arrays of numbers; it is built, broadcast, held against every document, and
+destroyed before the next block is read, so driver and workers hold one block at a
+time. Between blocks documents are written with the marks that they have so far.
 
 Defined results: null texts have no words and no hits; items of null or empty
 text hit nothing; item rows with one item_id count once, a null item_id is
 written as "null"; repeated documents give repeated rows; other columns are not
-read; an empty table gives no rows.
+read, whatever their names (`drop_contaminated` keeps them); an empty table gives
+no rows, an empty benchmark no hits.
 """
 
 from __future__ import annotations
@@ -28,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .store import cut, discard
 from .words import ALNUM, U64, Words, chunks, cover, window_starts, windows, words
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SECOND = 0xC2B2AE3D27D4EB4F
 MARKED = "doc_id long, text string, marks binary, items array<string>"
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -48,12 +52,14 @@ def minima(hashed: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Windows of one length of a block of the benchmark, by hash."""
+    """Windows of one length of a block of the benchmark: sorted by hash; those of window i are in items[first[i]:first[i + 1]]."""
 
     n: int
     keys: np.ndarray
     second: np.ndarray
-    items: list[set[str]]
+    first: np.ndarray
+    items: np.ndarray
+    names: list[str]
     prints: np.ndarray
     filter: np.ndarray = field(default=None)
 
@@ -76,6 +82,9 @@ def _prints(w: Words, n: int, k: int, whole: bool) -> np.ndarray:
 
 def index(items: list[tuple[str, str]], n: int, k: int) -> list[Index]:
     """One index for windows of n words and one for each length of shorter items."""
+    names = sorted({name for name, _ in items})
+    number = {name: i for i, name in enumerate(names)}
+    of = np.array([number[name] for name, _ in items], np.int32)
     w = words(pa.array([t for _, t in items], pa.string()), ALNUM, fold=True)
     out = []
     for length in sorted({min(int(c), n) for c in w.count if c}):
@@ -83,12 +92,15 @@ def index(items: list[tuple[str, str]], n: int, k: int) -> list[Index]:
         ok = window_starts(w.first, length)
         fits = (w.count == length) if whole else (w.count >= n)
         at = np.flatnonzero(ok & np.repeat(fits, w.count)[: len(ok)])
-        keys, second, item = windows(w.hash, length)[at], windows(w.hash, length, SECOND)[at], w.text_of_word()[at]
-        found: dict[tuple[int, int], set[str]] = {}
-        for a, b, i in zip(keys.tolist(), second.tolist(), item.tolist(), strict=True):
-            found.setdefault((a, b), set()).add(items[i][0])
-        order = sorted(found)
-        out.append(Index(length, np.array([a for a, _ in order], U64), np.array([b for _, b in order], U64), [found[x] for x in order], np.unique(_prints(w, length, k, whole)[at])))
+        keys, second, item = windows(w.hash, length)[at], windows(w.hash, length, SECOND)[at], of[w.text_of_word()[at]]
+        order = np.lexsort((item, second, keys))
+        keys, second, item = keys[order], second[order], item[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])
+        some = new.copy()
+        some[1:] |= item[1:] != item[:-1]
+        first = np.append(np.cumsum(some)[new] - 1, some.sum())
+        out.append(Index(length, keys[new], second[new], first, item[some], names, np.unique(_prints(w, length, k, whole)[at])))
     return out
 
 
@@ -107,24 +119,39 @@ def _hits(w: Words, indexes: list[Index], n: int, k: int) -> tuple[np.ndarray, d
             for i in range(a, b):
                 if x.second[i] == second[j]:
                     true.append(at[j])
-                    items.setdefault(int(np.searchsorted(w.first, at[j], "right")) - 1, set()).update(x.items[i])
+                    items.setdefault(int(np.searchsorted(w.first, at[j], "right")) - 1, set()).update(x.names[q] for q in x.items[x.first[i] : x.first[i + 1]].tolist())
         hit |= cover(np.array(true, np.int64), x.n, len(w.hash))
     return hit, items
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 4, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of docs (doc_id, text): how many words lie in n-word windows of benchmark (item_id, text), and of which items."""
-    frame, blocks = docs.select("doc_id", "text"), _blocks(docs.sparkSession, benchmark, n, k, block_bytes)
-    for b, shared in enumerate(blocks):
-        frame = frame.mapInArrow(_marker(shared, n, k, b == 0, b == len(blocks) - 1), RESULT if b == len(blocks) - 1 else MARKED)
-    return frame
+    return _through(docs.select("doc_id", "text"), benchmark, n, k, block_bytes, lambda shared, first, last: (_marker(shared, n, k, first, last), RESULT if last else MARKED))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, k: int = 4, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs without any hit, with all of their columns."""
-    frame = docs
-    for shared in _blocks(docs.sparkSession, benchmark, n, k, block_bytes):
-        frame = frame.mapInArrow(_cleaner(shared, n, k), docs.schema)
+    return _through(docs, benchmark, n, k, block_bytes, lambda shared, first, last: (_cleaner(shared, n, k), docs.schema))
+
+
+def _through(frame: DataFrame, benchmark: DataFrame, n: int, k: int, block_bytes: int, step) -> DataFrame:
+    """frame after step(broadcast index, first, last) for each block of the benchmark; one block at least."""
+    spark = frame.sparkSession
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where("text IS NOT NULL")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = max(1, math.ceil(size / block_bytes))
+    before = None
+    for b in range(blocks):
+        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        shared = spark.sparkContext.broadcast(index([(r[0], r[1]) for r in block.collect()], n, k))
+        work, schema = step(shared, b == 0, b == blocks - 1)
+        frame = frame.mapInArrow(work, schema)
+        if b < blocks - 1:
+            frame = cut(frame)
+            shared.destroy()
+            if before is not None:
+                discard(before)
+            before = frame
     return frame
 
 
@@ -138,18 +165,6 @@ def _cleaner(shared, n: int, k: int):
     return clean
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, n: int, k: int, block_bytes: int) -> list:
-    """Broadcast indexes of blocks of the benchmark; one at least."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text").where("text IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(2 * size / block_bytes))
-    out = []
-    for b in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        out.append(spark.sparkContext.broadcast(index([(r[0], r[1]) for r in block.collect()], n, k)))
-    return out
-
-
 def _marker(shared, n: int, k: int, first: bool, last: bool):
     def mark(batches):
         for chunk in chunks(batches):
