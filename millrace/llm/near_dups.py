@@ -292,7 +292,7 @@ def classified(docs: DataFrame, percent: int, size: int, block: int = BLOCK) ->
         classes = one.groupBy("root").applyInArrow(_classes(percent), LINK)
     else:
         one = cut(one)
-        classes = one.where(small).groupBy("root").applyInArrow(_classes(percent), LINK).union(_large(one.where(~small), banded, percent, block))
+        classes = one.where(small).groupBy("root").applyInArrow(_classes(percent), LINK).union(_large(one.where(~small), nodes, percent, block))
     counted = nodes.select("node", "copies").join(classes, "node")
     slim = rows.select("doc_id", "key", "n_shingles", "node")
     named = attach(slim, cut(counted), "node", "copies", total, _own_key())
@@ -313,7 +313,7 @@ def _own_key():
     return F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))
 
 
-def _large(one: DataFrame, banded: DataFrame, percent: int, block: int) -> DataFrame:
+def _large(one: DataFrame, nodes: DataFrame, percent: int, block: int) -> DataFrame:
     """Classes of components of more than `block` nodes, in blocks."""
     salts = F.ceil(F.col("n") / F.lit(block)).cast("long")
     dealt = one.withColumn("salts", salts).withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "node"), "salts"))
@@ -331,15 +331,16 @@ def _large(one: DataFrame, banded: DataFrame, percent: int, block: int) -> DataF
     rest = cut(weight.join(largest, "root").where("cls <> largest").select("node", "cls"))
     if rest.isEmpty():
         return joined
-    # the rest with whatever shares a bucket, in blocks
-    buckets = banded.join(rest, "node").groupBy("band").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("parts"))
-    all_of = banded.join(buckets, "band").join(joined, "node")
-    mixed = all_of.groupBy("band").agg(F.ceil(F.count("*") / F.lit(block)).cast("long").alias("salts"), (F.min("cls") < F.max("cls")).alias("mixed")).where("mixed").drop("mixed")
-    all_of = cut(all_of.join(mixed, "band"))
-    sets = one.select("node", "signature", "shingles")
+    # the rest with whatever shares a bucket, in blocks; a node is one row, with its bands as a list, wherever it is joined
+    known = nodes.select("node", "bands").join(joined, "node").join(rest.select("node", F.lit(True).alias("rest")), "node", "left")
+    in_bands = known.select("node", "cls", F.coalesce("rest", F.lit(False)).alias("rest"), F.explode("bands").alias("band"))
+    mixed = in_bands.groupBy("band").agg(F.ceil(F.count_if("rest") / F.lit(block)).cast("long").alias("parts"), F.ceil(F.count("*") / F.lit(block)).cast("long").alias("salts"), F.min("cls").alias("low"), F.max("cls").alias("high"))
+    mixed = mixed.where("parts > 0 AND low < high").select("band", "parts", "salts")
+    places = in_bands.join(mixed, "band").groupBy("node", "cls", "rest").agg(F.collect_list(F.struct("band", "parts", "salts")).alias("places"))  # no more than there are bands
+    put = cut(places.join(one.select("node", "signature", "shingles"), "node")).withColumn("x", F.explode("places")).select("node", "cls", "rest", "signature", "shingles", "x.*")
     columns = ["band", "salt", "part", "node", "cls", "signature", "shingles"]
-    left = all_of.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "node"), "salts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(sets, "node").select(columns)
-    right = all_of.join(rest.select("node"), "node").withColumn("part", F.pmod(F.xxhash64(F.lit("rest"), "node"), "parts")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(sets, "node")
+    left = put.withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), "node"), "salts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(columns)
+    right = put.where("rest").withColumn("part", F.pmod(F.xxhash64(F.lit("rest"), "node"), "parts")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     # both sides come from one frame: fresh names for one of them
     right = right.select(*(F.col(c).alias(c) for c in columns))
     more = left.groupBy("band", "salt", "part").cogroup(right.groupBy("band", "salt", "part")).applyInArrow(_links_of_rest(percent), LINK)
