@@ -1,27 +1,33 @@
-"""Personal data by patterns and a skip-chain conditional random field.
-
-Base spans come from four patterns and their checks. The field then labels tokens
-that hold a digit or an at-sign. Its nodes have a unary potential of the token's
-shape and the word before, learned from tokens inside and outside base spans;
-tokens inside a base span are observed. Neighbouring tokens share a chain
-potential; tokens that repeat anywhere in the document (equal, or equal in their
-letters and digits) share a skip potential, each with its next occurrence. Loopy
-message passing brings the labels of a document's entities into line. A token
-whose marginal reaches SURE and that no base span touches adds a span of kind `id`.
-
-Learning takes at most SAMPLE documents, the first by a hash of doc_id; the field
-has a fixed set of features, so its size does not grow.
-
-Defined results: null text is empty; a text without candidates has no spans;
-repeated rows and rows without doc_id are scored like others; other columns are
-not read; an empty table gives no rows, and without learning rows nothing is added.
+"""Personal data and secrets by patterns and a skip-chain conditional random field.
+
+Base spans come from four patterns and their checks. The field labels tokens as
+other, id or secret. Its nodes are words with a digit, an at-sign or an underscore,
+words of LONG characters or more, and values that are assigned to a name such as
+`password`; the last are observed as secrets, words in base spans as ids. A node has
+a unary potential of its form (length, share of digits, marks, case) and of the word
+before it. Neighbouring nodes share a chain potential; tokens that repeat, or are
+similar (the same letters and digits, or the same first or last EDGE of them), share a
+skip potential, each with its next occurrence, however far away in the document.
+Loopy message passing brings the labels of a document into line. An unobserved node
+whose marginal of id or secret reaches SURE adds a span, unless its messages did not settle.
+
+Unary and coupling weights are learned together by pseudo-likelihood, over all
+documents: for every node, its form, the word before, its neighbours' labels and its
+own label are counted, and the counts alone are collected. Forms, words before (which
+fall into fixed groups) and neighbours' labels have a fixed number of values, about a
+million combinations at most whatever the corpus, of which a few thousand occur.
+
+Defined results: null text is empty; a text without nodes has no added spans; repeated
+rows and rows without doc_id are scored like others, each of them; other columns are
+not read, whatever their names; an empty table gives no rows; without base spans or
+assigned secrets anywhere nothing is added.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
 
@@ -29,12 +35,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .words import chunks
 
-SAMPLE = 4000
 SURE = 0.9
-ROUNDS = 30
-KINDS = ("email", "ip", "card", "phone", "id")
-RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+ROUNDS, SETTLED = 300, 1e-4
+LONG, EDGE = 20, 8
+KINDS = ("email", "ip", "card", "phone", "id", "secret")
+OTHER, ID, SECRET = range(3)
+LABELS = 3
+RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long, n_secret long, n_spans long"
+#: Names whose assigned values are secrets, and words that stand before personal data.
+SECRET_NAMES = "token secret password passwd passwort pwd apikey api_key api-key access_key secret_key private_key credential clave contraseña"
+CUES = ("token secret password passwd pwd key apikey api_key", "phone tel call mobile fax telefon teléfono téléphone", "mail email e-mail contact", "ip host address server adresse")
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -42,9 +54,16 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\s]+")
 _TRIM = "\"'()[]{}<>,;:.!?#*$%&|="
 _CANDIDATE = re.compile(r"[0-9@]")
+_NODE = re.compile(r"[0-9@_]|\S{%d}" % LONG)
+_ASSIGNED = re.compile(r"[:=]\s{0,3}[\"']?([^\s\"']{8,})")
+_NAME = re.compile(rf"(?i)(?<![a-z])(?:{'|'.join(SECRET_NAMES.split())})s?[\"']?\s{{0,3}}$")
+_NAME_ROOM = 24  # longer than any name with what may follow it
+_CUE = {w: i for i, ws in enumerate(CUES) for w in ws.split()}
+_LENGTHS = (4, 6, 8, 12, 16, 24, 40)
+FLAGS, BEFORE = 5, 8
+FORMS = (len(_LENGTHS) + 1) * 4 * (1 << FLAGS)
 
 Span = tuple[int, int, str]
 
@@ -86,44 +105,81 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def assigned(text: str) -> list[tuple[int, int]]:
+    """Where values stand that are assigned to names of secrets."""
+    if "=" not in text and ":" not in text:
+        return []
+    return [m.span(1) for m in _ASSIGNED.finditer(text) if _NAME.search(text, max(0, m.start() - _NAME_ROOM), m.start())]
+
+
 def tokens(text: str) -> list[tuple[int, int, int, str]]:
-    """Candidates: start, end (without marks around them), number among all runs without space, the run before."""
-    out = []
-    before, last = "", -1
-    for m in _CANDIDATE.finditer(text):
-        if m.start() < last:
+    """Nodes: start, end (without marks around them), start of the word, the word before (past marks that stand alone)."""
+    out, last = [], -1
+    places = [m.start() for m in _NODE.finditer(text)]
+    if values := assigned(text):
+        places = sorted([*places, *(a for a, _ in values)])
+    for at in places:
+        if at < last:
             continue
-        a = m.start()
+        a, b = at, at
         while a > 0 and not text[a - 1].isspace():
             a -= 1
-        b = m.end()
         while b < len(text) and not text[b].isspace():
             b += 1
         last = b
         word = text[a:b]
         s = a + len(word) - len(word.lstrip(_TRIM))
         e = b - (len(word) - len(word.rstrip(_TRIM)))
-        before = text[max(0, a - 24) : a].split()[-1:]
         if s < e:
-            out.append((s, e, a, before[0].lower().strip(_TRIM) if before else ""))
+            out.append((s, e, a, _before(text, a)))
     return out
 
 
-def shape(token: str) -> str:
-    """The form of a token: runs of digits and letters with their lengths in steps, and marks."""
-    out = re.sub(r"[0-9]+", lambda m: f"9{min(len(m[0]), 20) // 4}", token[:200])
-    return re.sub(r"[^\W\d_]+", "a", out)[:24]
+def _before(text: str, a: int) -> str:
+    """The word before a place; marks that stand alone, such as an equals sign, are passed."""
+    while a > 0:
+        while a > 0 and text[a - 1].isspace():
+            a -= 1
+        b = a
+        while a > 0 and not text[a - 1].isspace():
+            a -= 1
+        if word := text[a:b].strip(_TRIM):
+            return word.lower()
+        if b - a > 1:
+            break
+    return ""
 
 
-def features(token: str, before: str) -> list[str]:
+def form(token: str) -> int:
+    """One of FORMS: steps of length and of the share of digits, and flags of marks, case and hexadecimal digits."""
     n = sum(c.isdigit() for c in token)
-    return ["bias", f"shape {shape(token)}", f"digits {min(n // 3, 8)}", f"all {n == len(token)}", f"at {'@' in token}", f"plus {'+' in token}", f"dots {min(token.count('.'), 4)}", f"before {before if before.isalpha() and len(before) < 12 else '-'}"]
+    share = 0 if not n else 3 if n == len(token) else 1 if 2 * n < len(token) else 2
+    flags = ("@" in token, "." in token, any(c in "+-(_" for c in token), token.lower() != token != token.upper(), all(c in "0123456789abcdefABCDEF" for c in token))
+    return (bisect_right(_LENGTHS, len(token)) * 4 + share) * (1 << FLAGS) + sum(f << i for i, f in enumerate(flags))
+
+
+def before_group(word: str) -> int:
+    return _CUE.get(word, 4 + zlib.crc32(word.encode()) % (BEFORE - 4))
+
+
+def features(kind: int, group: int) -> list[int]:
+    """Numbers of the unary features of a form and a group: the form itself, its parts, the group, and a bias."""
+    flags, rest = kind % (1 << FLAGS), kind >> FLAGS
+    share, length = rest % 4, rest // 4
+    base = FORMS
+    out = [kind, base + share, base + 4 + length, base + 12 + group]
+    return out + [base + 20 + i for i in range(FLAGS) if flags >> i & 1] + [base + 20 + FLAGS]
+
 
+WEIGHTS = FORMS + 21 + FLAGS
 
-def _key(token: str) -> str:
-    """What similar tokens share: letters and digits, if enough of them."""
+
+def _keys(token: str) -> list[str]:
+    """What similar tokens share: their letters and digits, and the first and last of these."""
     key = "".join(c for c in token.lower() if c.isalnum())
-    return key if len(key) >= 6 else ""
+    if len(key) < 6:
+        return []
+    return [f"={key}"] if len(key) < EDGE + 2 else [f"={key}", f"^{key[:EDGE]}", f"${key[-EDGE:]}"]
 
 
 def _inside(found: list[tuple], spans: list[Span]) -> list[bool]:
@@ -139,128 +195,170 @@ def _inside(found: list[tuple], spans: list[Span]) -> list[bool]:
     return out
 
 
-def edges(text: str, found: list[tuple]) -> list[tuple[int, int, str]]:
-    """Chain edges between candidates with only space between them, skip edges from each occurrence to the next."""
+def edges(text: str, found: list[tuple]) -> list[tuple[int, int, int]]:
+    """Chain edges (0) between nodes with only space and marks between them, skip edges (1) from each occurrence to the next similar one; a pair has one skip edge at most."""
     out, last = [], {}
     for i, (s, e, a, _) in enumerate(found):
         if i and not text[found[i - 1][1] : a].strip(_TRIM + " \t\r\n"):
-            out.append((i - 1, i, "chain"))
-        if key := _key(text[s:e]):
-            if key in last and last[key] != i - 1:
-                out.append((last[key], i, "skip"))
-            elif key in last:
-                out.append((i - 1, i, "skip"))
+            out.append((i - 1, i, 0))
+        near = set()
+        for key in _keys(text[s:e]):
+            if key in last:
+                near.add(last[key])
             last[key] = i
+        out += [(j, i, 1) for j in sorted(near)]
     return out
 
 
+def observed(text: str, found: list[tuple], spans: list[Span]) -> list[int]:
+    """The label of each node that is known, else -1."""
+    label = [ID if x else -1 for x in _inside(found, spans)]
+    values = [(a, b, "") for a, b in assigned(text)]
+    for i, x in enumerate(_inside(found, values)) if values else ():
+        label[i] = SECRET if x and label[i] < 0 else label[i]
+    return label
+
+
 class Field:
-    """Log-odds of features, and the couplings of the two kinds of edges."""
-
-    def __init__(self, weights: dict[str, float], couplings: dict[str, float]):
-        self.weights, self.couplings = weights, couplings
-
-    def marginals(self, text: str, found: list[tuple], observed: list[bool]) -> list[float]:
-        """P(entity) of each candidate by loopy belief propagation on log-odds."""
-        unary = [8.0 if o else sum(self.weights.get(f, 0.0) for f in features(text[s:e], before)) for (s, e, _, before), o in zip(found, observed, strict=True)]
-        links = edges(text, found)
-        messages, into = {}, {i: [] for i in range(len(found))}
-        for i, j, kind in links:
-            for a, b in ((i, j), (j, i)):
-                messages[a, b, kind] = 0.0
-                into[b].append((a, b, kind))
+    """Weights of unary features by label, and of agreement along chain and skip edges."""
+
+    def __init__(self, unary: np.ndarray, couplings: np.ndarray):
+        self.unary, self.couplings = unary, couplings
+        self._cache: dict[tuple[int, int], np.ndarray] = {}
+
+    def potential(self, kind: int, group: int) -> np.ndarray:
+        if (kind, group) not in self._cache:
+            self._cache[kind, group] = self.unary[features(kind, group)].sum(0)
+        return self._cache[kind, group]
+
+    def marginals(self, unary: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, LABELS) marginals by loopy belief propagation, and whether each node's messages settled.
+
+        unary: log-potentials. links: (edges, 3) of node, node, kind. The nodes of a
+        whole batch of documents are one graph, which has no edge between documents.
+        """
+        n = len(unary)
+        if not len(links):
+            return _normal(unary), np.ones(n, bool)
+        src, dst = np.concatenate([links[:, 0], links[:, 1]]), np.concatenate([links[:, 1], links[:, 0]])
+        gain = np.expm1(self.couplings[np.concatenate([links[:, 2]] * 2)])[:, None]
+        back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
+        sent, move = np.zeros((len(src), LABELS)), np.full(len(src), np.inf)
         for _ in range(ROUNDS):
-            belief = [u + sum(messages[m] for m in into[i]) for i, u in enumerate(unary)]
-            change = 0.0
-            for m in list(messages):
-                a, b, kind = m
-                rest = max(-30.0, min(30.0, belief[a] - messages.get((b, a, kind), 0.0)))
-                new = 2 * math.atanh(math.tanh(self.couplings.get(kind, 0.0) / 2) * math.tanh(rest / 2) * (1 - 1e-9))
-                change = max(change, abs(new - messages[m]))
-                messages[m] = 0.5 * (messages[m] + new)  # damped
-            if change < 1e-3:
+            p = np.exp(_log_normal(unary[src] + self._into(sent, dst, n)[src] - sent[back]))
+            new = np.log1p(gain * p)
+            new -= new.max(1, keepdims=True)
+            move = np.abs(new - sent).max(1)
+            sent = 0.5 * (sent + new)  # damped
+            if move.max() < SETTLED:
                 break
-        return [1 / (1 + math.exp(-max(-30.0, min(30.0, u + sum(messages[m] for m in into[i]))))) for i, u in enumerate(unary)]
-
-
-def added(text: str, spans: list[Span], field: Field) -> list[Span]:
-    """Spans that the field adds: candidates that no base span touches."""
-    found = tokens(text)
-    if not found:
-        return []
-    observed = _inside(found, spans)
-    if all(observed):
-        return []
-    sure = field.marginals(text, found, observed)
-    return [(s, e, "id") for (s, e, *_), o, p in zip(found, observed, sure, strict=True) if not o and p >= SURE]
+        settled = np.ones(n, bool)
+        settled[dst[move >= 10 * SETTLED]] = False
+        return _normal(unary + self._into(sent, dst, n)), settled
+
+    @staticmethod
+    def _into(sent: np.ndarray, dst: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.bincount(dst, sent[:, y], n) for y in range(LABELS)], 1)
+
+
+def _log_normal(x: np.ndarray) -> np.ndarray:
+    top = x.max(1, keepdims=True)
+    return x - top - np.log(np.exp(x - top).sum(1, keepdims=True))
+
+
+def _normal(x: np.ndarray) -> np.ndarray:
+    return np.exp(_log_normal(x)) if len(x) else x
+
+
+def added(texts: list[str], spans: list[list[Span]], field: Field) -> list[list[Span]]:
+    """The spans that the field adds to each text of a batch: nodes that no base span touches."""
+    out: list[list[Span]] = [[] for _ in texts]
+    unary, links, place, known = [], [], [], []
+    for t, text in enumerate(texts):
+        if found := tokens(text):
+            start = len(place)
+            label = observed(text, found, spans[t])
+            for (s, e, _, before), y in zip(found, label, strict=True):
+                unary.append(field.potential(form(text[s:e]), before_group(before)) if y < 0 else 30.0 * (np.arange(LABELS) == y))
+                place.append((t, s, e))
+            known += label
+            links += [(i + start, j + start, kind) for i, j, kind in edges(text, found)]
+    if not place:
+        return out
+    p, settled = field.marginals(np.array(unary, float), np.array(links, np.int64).reshape(-1, 3))
+    for (t, s, e), y, x, ok in zip(place, known, p, settled, strict=True):
+        if y == SECRET or (y < 0 and ok and max(x[ID], x[SECRET]) >= SURE):
+            out[t].append((s, e, "secret" if y == SECRET or x[SECRET] > x[ID] else "id"))
+    return out
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]))))
 
 
+def _around(n: int, links: list[tuple[int, int, int]], label: list[int]) -> tuple[list[int], list[int]]:
+    """For each node, how many chain (one at most counts) and skip neighbours (two at most) have each label, as one number."""
+    chain, skip = np.zeros((n, LABELS), int), np.zeros((n, LABELS), int)
+    for i, j, kind in links:
+        (skip if kind else chain)[i, label[j]] += 1
+        (skip if kind else chain)[j, label[i]] += 1
+    return (np.minimum(chain, 1) @ [1, 2, 4]).tolist(), (np.minimum(skip, 2) @ [1, 3, 9]).tolist()
+
+
 def _evidence(batches):
-    """Counts of (features, label) of candidates, and of agreeing and differing edges."""
+    """Counts of (form and group, neighbours' labels, label) over the nodes of texts."""
     count: Counter = Counter()
     for batch in batches:
         for text in batch["text"].to_pylist():
-            text = text or ""
-            found = tokens(text)
-            label = _inside(found, base_spans(text)) if found else []
-            count.update(("\t".join(features(text[s:e], before)), x) for (s, e, _, before), x in zip(found, label, strict=True))
-            count.update((f"edge {kind}", label[i] == label[j]) for i, j, kind in edges(text, found))
-    names = list(count)
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in names], pa.string()), pa.array([x[1] for x in names], pa.bool_()), pa.array([count[x] for x in names], pa.int64())], names=["what", "yes", "n"])
-
-
-def learn(rows: list[tuple[str, bool, int]], rounds: int = 300) -> Field:
-    """A field of counts (features, label, n): logistic regression by gradient, couplings by log-odds of agreement."""
-    agree = {k: [1, 1] for k in ("chain", "skip")}
-    points = []
-    for what, yes, n in rows:
-        if what.startswith("edge "):
-            agree[what[5:]][not yes] += n
-        else:
-            points.append((what.split("\t"), yes, n))
-    couplings = {k: max(0.0, min(4.0, math.log(a / b))) for k, (a, b) in agree.items()}
-    if not points:
-        return Field({"bias": -8.0}, couplings)
-    df = Counter()
-    for f, _, n in points:
-        df.update({x: n for x in f})
-    names = sorted(x for x in df if df[x] >= 5)[:20_000]
-    at = {x: i for i, x in enumerate(names)}
-    rowi = np.array([r for r, (f, _, _) in enumerate(points) for x in f if x in at])
-    coli = np.array([at[x] for f, _, _ in points for x in f if x in at])
-    y = np.array([float(yes) for _, yes, _ in points])
-    n = np.array([float(k) for _, _, k in points])
-    w, square = np.zeros(len(names)), np.full(len(names), 1e-8)
-    for _ in range(rounds):  # AdaGrad
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(rowi, w[coli], len(points)), -30, 30)))
-        grad = np.bincount(coli, (n * (y - p))[rowi], len(names)) - 0.5 * w
+            if text and (found := tokens(text)):
+                label = [max(0, y) for y in observed(text, found, base_spans(text))]
+                chain, skip = _around(len(found), edges(text, found), label)
+                count.update((form(text[s:e]) * BEFORE + before_group(before), c, k, y) for (s, e, _, before), c, k, y in zip(found, chain, skip, label, strict=True))
+    columns = list(zip(*count, strict=True)) or [[]] * 4
+    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns), pa.array(list(count.values()), pa.int64())], names=["what", "chain", "skip", "label", "n"])
+
+
+def learn(what: np.ndarray, chain: np.ndarray, skip: np.ndarray, label: np.ndarray, n: np.ndarray, rounds: int = 400) -> Field:
+    """Unary weights and couplings by pseudo-likelihood of counted nodes: of each node's label, given its neighbours' labels. AdaGrad with a weak prior."""
+    unary, couplings = np.zeros((WEIGHTS, LABELS)), np.zeros(2)
+    if not len(what) or not (label > 0).any():
+        unary[-1] = (8.0, 0.0, 0.0)  # nothing is known of ids and secrets
+        return Field(unary, couplings)
+    lists = [features(int(w) // BEFORE, int(w) % BEFORE) for w in what]
+    row, col = np.repeat(np.arange(len(what)), [len(x) for x in lists]), np.concatenate(lists)
+    beside = np.stack([np.stack([chain >> y & 1 for y in range(LABELS)], 1), np.stack([skip // 3**y % 3 for y in range(LABELS)], 1)])
+    truth = np.eye(LABELS)[label]
+    square, square2 = np.full(unary.shape, 1e-8), np.full(2, 1e-8)
+    for _ in range(rounds):
+        score = np.stack([np.bincount(row, unary[col, y], len(what)) for y in range(LABELS)], 1) + np.tensordot(couplings, beside, 1)
+        off = n[:, None] * (truth - _normal(score))
+        grad = np.stack([np.bincount(col, off[row, y], WEIGHTS) for y in range(LABELS)], 1) - 0.5 * unary
+        grad2 = (beside * off).sum((1, 2)) - 0.5 * couplings
         square += grad * grad
-        w += 0.5 * grad / np.sqrt(square)
-    return Field(dict(zip(names, w.tolist(), strict=True)), couplings)
+        square2 += grad2 * grad2
+        unary += 0.5 * grad / np.sqrt(square)
+        couplings = np.clip(couplings + 0.5 * grad2 / np.sqrt(square2), 0.0, 6.0)
+    return Field(unary, couplings)
 
 
-def find(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Per row of docs (doc_id, text): counts and digest of base spans, and all spans."""
-    few = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # at most `sample` ids: a proven bound
-    counts = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text").mapInArrow(_evidence, "what string, yes boolean, n long").groupBy("what", "yes").agg(F.sum("n").alias("n"))
-    field = docs.sparkSession.sparkContext.broadcast(learn(sorted((r["what"], r["yes"], r["n"]) for r in counts.collect())))
+def find(docs: DataFrame) -> DataFrame:
+    """Per row of docs (doc_id, text): counts and digest of base spans, all spans, and counts of those added."""
+    counts = docs.select("text").mapInArrow(_evidence, "what int, chain int, skip int, label int, n long").groupBy("what", "chain", "skip", "label").agg(F.sum("n").alias("n"))
+    table = counts.toPandas().sort_values(["what", "chain", "skip", "label"])  # of a fixed number of combinations
+    field = docs.sparkSession.sparkContext.broadcast(learn(*(table[c].to_numpy() for c in table.columns)))
 
     def mark(batches):
         for batch in batches:
-            out = []
-            for text in batch["text"].to_pylist():
-                text = text or ""
-                spans = base_spans(text)
-                kinds = Counter(k for _, _, k in spans)
-                out.append((kinds["email"], kinds["ip"], kinds["card"], kinds["phone"], hashlib.sha256(joined(spans).encode()).hexdigest(), joined(spans + added(text, spans, field.value))))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            for chunk in chunks([batch]):
+                texts = [t or "" for t in chunk["text"].to_pylist()]
+                spans = [base_spans(t) for t in texts]
+                out = []
+                for base, more in zip(spans, added(texts, spans, field.value), strict=True):
+                    kinds = Counter(k for _, _, k in [*base, *more])
+                    out.append((kinds["email"], kinds["ip"], kinds["card"], kinds["phone"], hashlib.sha256(joined(base).encode()).hexdigest(), joined([*base, *more]), kinds["id"], kinds["secret"], len(base) + len(more)))
+                kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] * 3
+                columns = list(zip(*out, strict=True)) or [[]] * 9
+                yield pa.RecordBatch.from_arrays([chunk["doc_id"].cast(pa.int64()), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[x.split()[0] for x in RESULT.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(mark, RESULT)
 

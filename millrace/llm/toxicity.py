@@ -1,13 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Texts are cut into clauses at sentence marks. Words become classes by a lexicon:
-insult, threat, target, negation, report, other. Small transducers each read the
-classes and give every insult or threat a factor: a target in the clause
-strengthens it, a negation shortly before weakens it, so does reported speech. The
-transducers are composed lazily into one whose factors are the products; a
-clause's score is the sum of its words' weights times these factors, and only
-clauses with an insult or threat are run. A text's score is a logistic function of
-the sum over its clauses.
+Texts are cut into clauses at sentence marks. A lexical transducer turns words, and
+phrases of several words (the longest that matches), into classes: insult, threat,
+target, intent, negation, report, other. Small transducers each read the classes and
+give the insults and threats among them a factor. Some read from the left: a target
+or an intent stands before, a negation shortly before, reported speech has begun.
+Some read from the right: the target, the object of the threat, a negation or the
+one who is quoted comes after. The transducers of a direction are composed lazily into
+one, whose factors are the products; a clause's score is the sum over its insults and
+threats of weight times the factors of both directions. A threat word by itself says
+little, with an intent or an object it says much; an insult counts more with a target.
 
 The lexicon's insults are learned: words and word stems whose share among toxic
 texts exceeds that among others, with the log of that ratio as weight, from at most
@@ -17,7 +19,8 @@ in four languages has fixed weights. The logistic function is fitted to the same
 Defined results: null and empty texts have no clauses and get the base rate's
 score; a null doc_id is not held out and teaches nothing; several labels of one
 doc_id count as toxic if one is; without labels the fixed lists and a default
-function are used; other columns are not read; an empty table gives no rows.
+function are used; repeated rows are scored alike, each of them; other columns are
+not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ SAMPLE = 20_000
 LEXICON = 20_000
 STEM = 5
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
-INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = range(6)
+INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, OTHER = range(KINDS := 7)
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;\n]")
 _MARKS = frozenset(".!?;\n")
 
@@ -50,14 +53,23 @@ SEEDS = {
     THREAT: "kill murder strangle töten umbringen tuer assassiner matar asesinar",
     TARGET: "you your he she they him her them du dich dein ihr sie er tu toi vous il elle ils usted ustedes él ella ellos",
     NEGATION: "not no never without nicht kein keine nie ohne pas jamais sans nunca jamás sin",
+    INTENT: "will shall gonna going must should werde wirst wird gehört vais va doit voy vas debe",
     REPORT: "said says wrote quoted claimed reported sagte schrieb berichtete dit écrit dijo escribió",
 }
 SEED_WEIGHT = {INSULT: 3.0, THREAT: 3.0}
+#: Insults and threats of several words.
+PHRASES = {
+    INSULT: ["piece of trash", "piece of garbage", "waste of space", "shut up", "go to hell", "drop dead", "son of a bitch", "halt die klappe", "fahr zur hölle", "ferme ta gueule", "va en enfer", "vete al infierno", "hijo de puta"],
+    THREAT: ["hunt you down", "beat you up", "make you pay", "watch your back", "find out where you live", "mach dich fertig", "schlag dich tot", "te faire payer", "te vas a arrepentir"],
+}
+PHRASE_WEIGHT = 4.0
+#: What an insult and a threat count by themselves.
+ALONE = {INSULT: 0.6, THREAT: 0.25}
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """States are small integers, 0 the first. arcs: (state, class) -> state; a missing arc stays. factor: by state, of an insult or threat read there."""
+    """States are small integers, 0 the first. arcs: (state, class) -> state; a missing arc stays. factor: (state, class) -> factor of an insult or threat that is read there; a missing one is 1."""
 
     arcs: dict
     factor: dict
@@ -66,19 +78,22 @@ class Transducer:
         return self.arcs.get((state, kind), state)
 
 
-def _fading(kind: int, span: int, factor: float) -> Transducer:
-    """After a word of `kind`, the next `span` words are read with `factor`."""
-    arcs = {(s, k): max(0, s - 1) for s in range(1, span + 1) for k in range(6)}
+def _fading(kind: int, span: int, factors: dict[int, float]) -> Transducer:
+    """After a word of `kind`, insults and threats among the next `span` words have factors."""
+    arcs = {(s, k): s - 1 for s in range(1, span + 1) for k in range(KINDS)}
     arcs |= {(s, kind): span for s in range(span + 1)}
-    return Transducer(arcs, {s: factor for s in range(1, span + 1)})
+    return Transducer(arcs, {(s, k): f for s in range(1, span + 1) for k, f in factors.items()})
 
 
-def _lasting(kind: int, factor: float) -> Transducer:
-    """After a word of `kind`, the rest of the clause is read with `factor`."""
-    return Transducer({(0, kind): 1}, {1: factor})
+def _lasting(kind: int, factors: dict[int, float]) -> Transducer:
+    """After a word of `kind`, insults and threats in the rest of the clause have factors."""
+    return Transducer({(0, kind): 1}, {(1, k): f for k, f in factors.items()})
 
 
-GRAMMAR = (_lasting(TARGET, 1.25), _fading(NEGATION, 3, 0.25), _lasting(REPORT, 0.4))
+#: From the left: insult with a target, threat with an intent, negation, reported speech.
+FORWARD = (_lasting(TARGET, {INSULT: 1.5}), _fading(INTENT, 4, {THREAT: 3.0}), _fading(NEGATION, 3, {INSULT: 0.25, THREAT: 0.25}), _lasting(REPORT, {INSULT: 0.4, THREAT: 0.4}))
+#: From the right: insult with a target, threat with an object, negation, reported speech.
+BACKWARD = (_fading(TARGET, 3, {INSULT: 1.5, THREAT: 3.0}), _fading(NEGATION, 3, {INSULT: 0.4, THREAT: 0.25}), _lasting(REPORT, {INSULT: 0.4, THREAT: 0.4}))
 
 
 class Composed:
@@ -87,27 +102,72 @@ class Composed:
     def __init__(self, parts: tuple[Transducer, ...]):
         self.parts, self.arcs = parts, {}
 
-    def run(self, kinds: list[int], weights: list[float]) -> float:
-        """The score of a clause."""
-        state, total = (0,) * len(self.parts), 0.0
-        for kind, weight in zip(kinds, weights, strict=True):
+    def factors(self, kinds: list[int]) -> list[float]:
+        """The factor of each word of a clause, in the order in which it is read."""
+        state, out = (0,) * len(self.parts), []
+        for kind in kinds:
             arc = self.arcs.get((state, kind))
             if arc is None:
                 new = tuple(p.step(s, kind) for p, s in zip(self.parts, state, strict=True))
-                factor = math.prod(p.factor.get(s, 1.0) for p, s in zip(self.parts, state, strict=True))
+                factor = math.prod(p.factor.get((s, kind), 1.0) for p, s in zip(self.parts, state, strict=True))
                 arc = self.arcs[state, kind] = (new, factor)
-            if weight:
-                total += weight * arc[1]
+            out.append(arc[1])
             state = arc[0]
-        return total
+        return out
+
+
+class Grammar:
+    """Both directions, composed."""
+
+    def __init__(self, forward: tuple[Transducer, ...] = FORWARD, backward: tuple[Transducer, ...] = BACKWARD):
+        self.forward, self.backward = Composed(forward), Composed(backward)
+
+    def run(self, kinds: list[int], weights: list[float]) -> float:
+        """The score of a clause."""
+        left, right = self.forward.factors(kinds), self.backward.factors(kinds[::-1])[::-1]
+        return sum(w * ALONE[k] * a * b for k, w, a, b in zip(kinds, weights, left, right, strict=True) if w)
+
+
+class Lexical:
+    """From words to (class, weight): phrases by a trie, the longest match first, then single words."""
+
+    def __init__(self, kinds: dict[str, int]):
+        self.kinds, self.trie = kinds, {}
+        for kind, phrases in PHRASES.items():
+            for phrase in phrases:
+                node = self.trie
+                for w in phrase.split():
+                    node = node.setdefault(w, {})
+                node[""] = kind
+
+    def read(self, clause: list[str], hot: dict[str, float]) -> tuple[list[int], list[float]]:
+        """hot: weights of single insults and threats."""
+        kinds, weights, i = [], [], 0
+        while i < len(clause):
+            node, end, kind, j = self.trie, i, OTHER, i
+            while j < len(clause) and (node := node.get(clause[j])):
+                j += 1
+                if "" in node:
+                    end, kind = j, node[""]
+            if end > i:
+                kinds.append(kind)
+                weights.append(PHRASE_WEIGHT)
+                i = end
+                continue
+            w = clause[i]
+            own = self.kinds.get(w, OTHER)
+            kinds.append(THREAT if own == THREAT else INSULT if w in hot else own)
+            weights.append(hot.get(w, 0.0))
+            i += 1
+        return kinds, weights
 
 
 class Scorer:
     def __init__(self, words: dict[str, float], stems: dict[str, float]):
         self.words = {w: SEED_WEIGHT[k] for k in SEED_WEIGHT for w in SEEDS[k].split()} | words
         self.stems = stems
-        self.kinds = {w: k for k, ws in SEEDS.items() for w in ws.split()}
-        self.grammar = Composed(GRAMMAR)
+        self.lexical = Lexical({w: k for k, ws in SEEDS.items() for w in ws.split()})
+        self.grammar = Grammar()
 
     def weight(self, word: str) -> float:
         return self.words.get(word) or (self.stems.get(word[:STEM], 0.0) if len(word) > STEM else 0.0)
@@ -115,13 +175,13 @@ class Scorer:
     def raw(self, text: str) -> float:
         """The sum of the scores of a text's clauses, each 0 at least."""
         tokens = _TOKEN.findall(text.lower())
-        hot = {w: x for w in set(tokens) if (x := self.weight(w))}
-        if not hot:
+        some = set(tokens)
+        hot = {w: x for w in some if (x := self.weight(w))}
+        heads = some & self.lexical.trie.keys()
+        if not hot and not heads:
             return 0.0
-        total, start = 0.0, 0
-        at = [i for i, w in enumerate(tokens) if w in hot]
-        done = -1
-        for i in at:
+        total, done = 0.0, -1
+        for i in [i for i, w in enumerate(tokens) if w in hot or w in heads]:
             if i < done:
                 continue
             start = i
@@ -130,10 +190,9 @@ class Scorer:
             done = i
             while done < len(tokens) and tokens[done] not in _MARKS:
                 done += 1
-            clause = tokens[start:done]
-            kinds = [INSULT if w in hot and self.kinds.get(w) != THREAT else self.kinds.get(w, OTHER) for w in clause]
-            weights = [hot.get(w, 0.0) for w in clause]
-            total += max(0.0, self.grammar.run(kinds, weights))
+            kinds, weights = self.lexical.read(tokens[start:done], hot)
+            if any(weights):
+                total += max(0.0, self.grammar.run(kinds, weights))
         return total
 
 
