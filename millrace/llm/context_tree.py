@@ -184,8 +184,13 @@ def _distinct(w, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return keys, inverse, count.astype(np.int32)
 
 
-def _pressed(sums: np.ndarray) -> np.ndarray:
-    return np.frombuffer(scatter.pressed(sums.tobytes()), np.uint8)
+def _word_sums(table: pa.Table) -> pa.Table:
+    """A group's counts of words over all batches, for each batch in the order in which it sent its words; and a row without a bid that holds in p how many words of the group training has."""
+    keys = [scatter.risen(k, 8) for k in table["keys"].to_pylist()]
+    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.bincount(inverse, np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])).astype(np.int64)
+    back = [scatter.pressed(x.tobytes()) for x in np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])]
+    return pa.table({"bid": pa.array([*table["bid"].to_pylist(), None], pa.string()), "p": pa.array([*table["p"].to_pylist(), int((sums > 0).sum())], pa.int32()), "vals": pa.array([*back, None], pa.binary())})
 
 
 def _read_sums(blob: bytes, size: int) -> np.ndarray:
@@ -260,7 +265,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             train = ~_held(chunk["doc_id"], modulus, remainder)
             w = words(chunk["text"], fold=True)
             keys, _, count = _distinct(w, train)
-            out = [(bid, scatter.TEXTS, int(w.count[train].sum() + train.sum()), None, None, scatter.pack(chunk)), *scatter.send(bid, keys, count, keys, parts)]
+            out = [(bid, scatter.TEXTS, int(w.count[train].sum() + train.sum()), None, None, scatter.pack(chunk)), *scatter.send(bid, keys, count, keys, parts, press=True)]
             del w, keys, count
             known, n = counted(chunk["text"].filter(pa.array(train)), depth)
             codes = np.union1d(known, counted(chunk["text"].filter(pa.array(~train)), depth)[0])
@@ -269,15 +274,11 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             out += [(b, GRAMS - p, *rest) for b, p, *rest in scatter.send(bid, codes, counts, mix(codes), parts, width, press=True)]
             yield scatter.rows(*out)
 
-    def vocabulary(table: pa.Table) -> pa.Table:
-        keys = np.concatenate([scatter.widen(k, 8) for k in table["keys"].to_pylist()])
-        count = np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])
-        return pa.table({"v": pa.array([len(np.unique(keys[count > 0]))], pa.int64())})
-
     sent = cut(docs.select("doc_id", "text").mapInArrow(first, scatter.ROWS))
-    answers = cut(_with_vocabulary(scatter.totals(sent, "int32", _pressed), sent, vocabulary).unionByName(gram_answers(sent, parts, depth)))
-    v = answers.where("bid IS NULL").agg(F.coalesce(F.sum("p"), F.lit(0))).first()[0]
+    known = cut(sent.where("p >= 0").select("bid", "p", "keys", "vals").groupBy("p").applyInArrow(_word_sums, scatter.ANSWER))
+    v = known.where("bid IS NULL").agg(F.coalesce(F.sum("p"), F.lit(0))).first()[0]
     n = sent.where(f"p = {scatter.TEXTS}").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    answers = known.where("bid IS NOT NULL").unionByName(gram_answers(sent, parts, depth))
 
     def last(bid: str, table: pa.Table, answer: pa.Table) -> pa.Table:
         held = _held(table["doc_id"], modulus, remainder)
@@ -306,13 +307,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             "base_score": pa.array(base), "score": pa.array(np.concatenate(score)),
         })
 
-    return scatter.meet(sent.where(f"p = {scatter.TEXTS}"), answers.where("bid IS NOT NULL"), last, RESULT)
-
-
-def _with_vocabulary(answers: DataFrame, sent: DataFrame, vocabulary) -> DataFrame:
-    """Answers, and rows without a bid that hold in p how many distinct keys a group has."""
-    sizes = sent.where("p >= 0").select("keys", "vals", "p").groupBy("p").applyInArrow(vocabulary, "v long")
-    return answers.unionByName(sizes.select(F.lit(None).cast("string").alias("bid"), F.col("v").cast("int").alias("p"), F.lit(None).cast("binary").alias("vals")))
+    return scatter.meet(sent.where(f"p = {scatter.TEXTS}"), answers, last, RESULT)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
