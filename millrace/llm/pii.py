@@ -12,10 +12,12 @@ Loopy message passing brings the labels of a document into line. An unobserved n
 whose marginal of id or secret reaches SURE adds a span, unless its messages did not settle.
 
 Unary and coupling weights are learned together by pseudo-likelihood, over all
-documents: for every node, its form, the word before, its neighbours' labels and its
-own label are counted, and the counts alone are collected. Forms, words before (which
-fall into fixed groups) and neighbours' labels have a fixed number of values, about a
-million combinations at most whatever the corpus, of which a few thousand occur.
+documents: for every node whose label is known, its form, the word before, its
+neighbours' known labels and its own label are counted, and the counts alone are
+collected. Observed nodes are known, and nodes that repeat no observed one are taken
+as other; what repeats an observed node elsewhere is the field's to find, and teaches
+nothing. Forms, words before (which fall into fixed groups) and neighbours' labels have
+a fixed number of combinations whatever the corpus, of which some hundreds occur.
 
 Defined results: null text is empty; a text without nodes has no added spans; repeated
 rows and rows without doc_id are scored like others, each of them; other columns are
@@ -43,6 +45,7 @@ LONG, EDGE = 20, 8
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
 OTHER, ID, SECRET = range(3)
 LABELS = 3
+CHAIN, EQUAL, SIMILAR = range(3)
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_id long, n_secret long, n_spans long"
 #: Names whose assigned values are secrets, and words that stand before personal data.
 SECRET_NAMES = "token secret password passwd passwort pwd apikey api_key api-key access_key secret_key private_key credential clave contraseña"
@@ -63,6 +66,9 @@ _NAME_ROOM = 24  # longer than any name with what may follow it
 _CUE = {w: i for i, ws in enumerate(CUES) for w in ws.split()}
 _LENGTHS = (4, 6, 8, 12, 16, 24, 40)
 FLAGS, BEFORE = 5, 8
+MOST_COUPLING = 8.0
+#: The prior means of the couplings: equal tokens have one label unless the corpus shows otherwise.
+PRIOR = (0.0, 6.0, 0.0)
 FORMS = (len(_LENGTHS) + 1) * 4 * (1 << FLAGS)
 
 Span = tuple[int, int, str]
@@ -196,17 +202,17 @@ def _inside(found: list[tuple], spans: list[Span]) -> list[bool]:
 
 
 def edges(text: str, found: list[tuple]) -> list[tuple[int, int, int]]:
-    """Chain edges (0) between nodes with only space and marks between them, skip edges (1) from each occurrence to the next similar one; a pair has one skip edge at most."""
+    """Edges between nodes: of a CHAIN, with only space and marks between them; from each occurrence to the next that is EQUAL, or else SIMILAR. A pair has one skip edge at most."""
     out, last = [], {}
     for i, (s, e, a, _) in enumerate(found):
         if i and not text[found[i - 1][1] : a].strip(_TRIM + " \t\r\n"):
-            out.append((i - 1, i, 0))
-        near = set()
+            out.append((i - 1, i, CHAIN))
+        near = {}
         for key in _keys(text[s:e]):
             if key in last:
-                near.add(last[key])
+                near.setdefault(last[key], EQUAL if key[0] == "=" else SIMILAR)
             last[key] = i
-        out += [(j, i, 1) for j in sorted(near)]
+        out += [(j, i, kind) for j, kind in sorted(near.items())]
     return out
 
 
@@ -296,55 +302,61 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]))))
 
 
-def _around(n: int, links: list[tuple[int, int, int]], label: list[int]) -> tuple[list[int], list[int]]:
-    """For each node, how many chain (one at most counts) and skip neighbours (two at most) have each label, as one number."""
-    chain, skip = np.zeros((n, LABELS), int), np.zeros((n, LABELS), int)
+def _known(n: int, links: list[tuple[int, int, int]], label: list[int]) -> tuple[list[int], list[int]]:
+    """Labels as training takes them (-1: not known), and for each node which labels its neighbours along each kind of edge have, as bits."""
+    repeats, beside = set(), [0] * n
     for i, j, kind in links:
-        (skip if kind else chain)[i, label[j]] += 1
-        (skip if kind else chain)[j, label[i]] += 1
-    return (np.minimum(chain, 1) @ [1, 2, 4]).tolist(), (np.minimum(skip, 2) @ [1, 3, 9]).tolist()
+        if kind == EQUAL:
+            repeats |= {i} if label[j] > 0 else set()
+            repeats |= {j} if label[i] > 0 else set()
+    known = [y if y >= 0 else -1 if i in repeats else OTHER for i, y in enumerate(label)]
+    for i, j, kind in links:
+        if known[j] >= 0:
+            beside[i] |= 1 << (kind * LABELS + known[j])
+        if known[i] >= 0:
+            beside[j] |= 1 << (kind * LABELS + known[i])
+    return known, beside
 
 
 def _evidence(batches):
-    """Counts of (form and group, neighbours' labels, label) over the nodes of texts."""
+    """Counts of (form and group, neighbours' labels, label) over the nodes of texts whose label is known."""
     count: Counter = Counter()
     for batch in batches:
         for text in batch["text"].to_pylist():
             if text and (found := tokens(text)):
-                label = [max(0, y) for y in observed(text, found, base_spans(text))]
-                chain, skip = _around(len(found), edges(text, found), label)
-                count.update((form(text[s:e]) * BEFORE + before_group(before), c, k, y) for (s, e, _, before), c, k, y in zip(found, chain, skip, label, strict=True))
-    columns = list(zip(*count, strict=True)) or [[]] * 4
-    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns), pa.array(list(count.values()), pa.int64())], names=["what", "chain", "skip", "label", "n"])
+                known, beside = _known(len(found), edges(text, found), observed(text, found, base_spans(text)))
+                count.update((form(text[s:e]) * BEFORE + before_group(before), x, y) for (s, e, _, before), x, y in zip(found, beside, known, strict=True) if y >= 0)
+    columns = list(zip(*count, strict=True)) or [[]] * 3
+    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in columns), pa.array(list(count.values()), pa.int64())], names=["what", "beside", "label", "n"])
 
 
-def learn(what: np.ndarray, chain: np.ndarray, skip: np.ndarray, label: np.ndarray, n: np.ndarray, rounds: int = 400) -> Field:
+def learn(what: np.ndarray, beside: np.ndarray, label: np.ndarray, n: np.ndarray, rounds: int = 400) -> Field:
     """Unary weights and couplings by pseudo-likelihood of counted nodes: of each node's label, given its neighbours' labels. AdaGrad with a weak prior."""
-    unary, couplings = np.zeros((WEIGHTS, LABELS)), np.zeros(2)
+    unary, couplings = np.zeros((WEIGHTS, LABELS)), np.array(PRIOR)
     if not len(what) or not (label > 0).any():
         unary[-1] = (8.0, 0.0, 0.0)  # nothing is known of ids and secrets
         return Field(unary, couplings)
     lists = [features(int(w) // BEFORE, int(w) % BEFORE) for w in what]
     row, col = np.repeat(np.arange(len(what)), [len(x) for x in lists]), np.concatenate(lists)
-    beside = np.stack([np.stack([chain >> y & 1 for y in range(LABELS)], 1), np.stack([skip // 3**y % 3 for y in range(LABELS)], 1)])
+    near = np.stack([np.stack([beside >> (kind * LABELS + y) & 1 for y in range(LABELS)], 1) for kind in range(3)])
     truth = np.eye(LABELS)[label]
-    square, square2 = np.full(unary.shape, 1e-8), np.full(2, 1e-8)
+    square, square2 = np.full(unary.shape, 1e-8), np.full(3, 1e-8)
     for _ in range(rounds):
-        score = np.stack([np.bincount(row, unary[col, y], len(what)) for y in range(LABELS)], 1) + np.tensordot(couplings, beside, 1)
+        score = np.stack([np.bincount(row, unary[col, y], len(what)) for y in range(LABELS)], 1) + np.tensordot(couplings, near, 1)
         off = n[:, None] * (truth - _normal(score))
         grad = np.stack([np.bincount(col, off[row, y], WEIGHTS) for y in range(LABELS)], 1) - 0.5 * unary
-        grad2 = (beside * off).sum((1, 2)) - 0.5 * couplings
+        grad2 = (near * off).sum((1, 2)) - 0.5 * (couplings - PRIOR)
         square += grad * grad
         square2 += grad2 * grad2
         unary += 0.5 * grad / np.sqrt(square)
-        couplings = np.clip(couplings + 0.5 * grad2 / np.sqrt(square2), 0.0, 6.0)
+        couplings = np.clip(couplings + 0.5 * grad2 / np.sqrt(square2), 0.0, MOST_COUPLING)
     return Field(unary, couplings)
 
 
 def find(docs: DataFrame) -> DataFrame:
     """Per row of docs (doc_id, text): counts and digest of base spans, all spans, and counts of those added."""
-    counts = docs.select("text").mapInArrow(_evidence, "what int, chain int, skip int, label int, n long").groupBy("what", "chain", "skip", "label").agg(F.sum("n").alias("n"))
-    table = counts.toPandas().sort_values(["what", "chain", "skip", "label"])  # of a fixed number of combinations
+    counts = docs.select("text").mapInArrow(_evidence, "what int, beside int, label int, n long").groupBy("what", "beside", "label").agg(F.sum("n").alias("n"))
+    table = counts.toPandas().sort_values(["what", "beside", "label"])  # of a fixed number of combinations
     field = docs.sparkSession.sparkContext.broadcast(learn(*(table[c].to_numpy() for c in table.columns)))
 
     def mark(batches):

@@ -110,6 +110,41 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(spark):
     assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None}) and want <= set(ids)
 
 
+def test_keep_one_goes_by_row_not_by_id(spark):
+    text = [" ".join(f"{a}{i}" for i in range(30)) for a in "abcd"]
+    rows = [(7, text[0], "x"), (7, text[1], "x"), (8, text[2], "x"), (None, text[3], "x"), (None, text[3], "x"), (None, text[2], "x"), (9, text[2], "x"), (5, text[0], "x"), (1, "", "x"), (1, "", "x"), (2, None, "x")]
+    got = [(r.doc_id, r.text) for r in near_dups.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(3), 85, 3).collect()]
+    assert sorted(got, key=str) == sorted([(5, text[0]), (7, text[1]), (8, text[2]), (None, text[3]), (1, ""), (1, ""), (2, None)], key=str)
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)]
+    star = [("s000", f"s{i:03d}") for i in range(1, 200)]
+    got = {r.node: r.root for r in near_dups.components(spark.createDataFrame(chain + star, "a string, b string")).collect()}
+    assert got == {f"c{i:03d}": "c000" for i in range(61)} | {f"s{i:03d}": "s000" for i in range(200)}
+
+
+def test_recall_of_bands_on_many_pairs(spark):
+    """300 pairs just above the threshold, against exact similarity."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for p in range(300):
+        base = [f"p{p}w{i}" for i in range(200)]
+        other = list(base)
+        for k in range(rng.choice([1, 2, 4, 5, 6])):
+            other[10 + 30 * k] = f"q{p}x{k}"
+        rows += [(2 * p, " ".join(base), "o"), (2 * p + 1, " ".join(other), "o")]
+    for (d, _, _), (c, _) in zip(rows, brute.components([(d, t) for d, t, _ in rows], 85, 3), strict=True):
+        want[d] = c
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(spark.createDataFrame(rows, SCHEMA), 85, 3).collect()}
+    assert got == want and sum(c != d for d, c in want.items()) > 100
+
+
+def test_index_of_items_is_arrays():
+    (long, short) = sorted(winnowing.index([("b", "a b c d e f g h i j k"), ("a", "a b c d e f g h i j"), ("c", "x y"), ("c", "x y")], 10, 4), key=lambda x: -x.n)
+    assert long.n == 10 and len(long.keys) == 2 and sorted(np.diff(long.first).tolist()) == [1, 2] and short.n == 2 and [short.names[i] for i in short.items] == ["c"]
+
+
 @pytest.mark.parametrize("run", [lambda d: substrings.remove_repeats(d), lambda d: near_dups.near_duplicates(d), lambda d: winnowing.decontaminate(d, d.sparkSession.createDataFrame([], "item_id long, text string"))])
 def test_empty_tables(spark, run):
     assert run(spark.createDataFrame([], SCHEMA)).collect() == []
