@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .store import attach, cut
 
-BUCKET_ROWS = 2000  # rows that are numbered together
+BUCKET_ROWS = 500  # rows that are numbered together
 
 
 def _ranked(df: DataFrame, by: str, order: list[Column], bucket: Column, buckets: int, name: str, weight: Column | None = None) -> DataFrame:
