@@ -27,7 +27,7 @@ HEADERS = {
     "string.h": "strlen strcpy strncpy strcmp strncmp strcat memcpy memset memmove strchr strstr",
 }
 #: Headers of symbols that a compiler names without a hint.
-SYMBOL_HEADERS = {"NULL": "stddef.h", "size_t": "stddef.h", "true": "stdbool.h", "false": "stdbool.h", "bool": "stdbool.h"}
+SYMBOL_HEADERS = {"NULL": "stddef.h", "true": "stdbool.h", "false": "stdbool.h", "bool": "stdbool.h", "size_t": "stddef.h"}
 
 
 def _text(m: Column) -> Column:
@@ -97,8 +97,8 @@ def is_placeholder(code: Column) -> Column:
 
 
 def has_main(code: Column) -> Column:
-    """Defines its own main function."""
-    return F.coalesce(code.rlike(r"(?i)\b(int|void)\s+main\s*\("), F.lit(False))
+    """Defines its own main function: with a return type, or with empty, void or int parameters."""
+    return F.coalesce(code.rlike(r"(?i)\b(?:int|void)\s+main\s*\(|\bmain\s*\(\s*(?:void|int|\))"), F.lit(False))
 
 
 def included_headers(src: Column) -> Column:
@@ -122,7 +122,7 @@ def hinted_headers(stderr: Column) -> Column:
 
 
 def compile_bucket(stderr: Column, wrote_main: Column) -> Column:
-    """Why a compilation failed, by the first rule that holds."""
+    """Why a compilation failed, by the first rule that holds. The names of buckets are fixed values."""
     s = F.lower(stderr)
     own_main = s.contains("redefinition of 'main'") | (s.contains("multiple definition of") & s.contains("main"))
     return (
@@ -144,6 +144,28 @@ def html_soft_issues(html: Column) -> Column:
     return F.array_compact(F.array(form, image))
 
 
+def in_vocabulary(value: Column, words: list[str]) -> Column:
+    """A closed vocabulary: null is outside."""
+    return F.coalesce(value.isin(*words), F.lit(False))
+
+
+def none_blank(*parts: Column) -> Column:
+    """Every component has text."""
+    out = F.lit(True)
+    for part in parts:
+        out = out & ~is_blank(part)
+    return out
+
+
+#: Languages whose solutions can be run.
+VERIFIABLE = ["Python", "C"]
+
+
+def is_verifiable(lang: Column, tests: Column) -> Column:
+    """A language that can be run, with tests to run."""
+    return in_vocabulary(lang, VERIFIABLE) & ~is_blank(tests)
+
+
 def all_match(text: Column, patterns: Column) -> Column:
     """Every regular expression hits, whatever the case."""
     return F.forall(patterns, lambda p: F.regexp_like(text, F.concat(F.lit("(?is)"), p)))

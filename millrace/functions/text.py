@@ -58,11 +58,23 @@ def strip_fence(c: Column, tags: str = r"[a-zA-Z0-9+#.\-]*") -> Column:
     return F.when(strip(c).rlike(pattern), F.regexp_extract(strip(c), pattern, 1)).otherwise(strip(c))
 
 
+def strict_json(c: Column) -> Column:
+    """A text that is one JSON value and nothing else, as VARIANT; null if it isn't.
+
+    try_parse_json reads one value and passes over what follows it. Inside a list
+    and inside an object nothing may follow but an end of that kind, so a text that
+    parses in both is whole.
+    """
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}")))
+    return F.when(named.isNotNull() & (F.size(listed) == 1), F.try_element_at(listed, F.lit(1)))
+
+
 def extract_json(c: Column, greedy: bool = True) -> Column:
     """The JSON object in a reply as VARIANT: of a fenced block, else from the first to the last brace; null if it doesn't parse."""
     fenced = rf"(?s)```(?:json)?\s*(\{{.*{'' if greedy else '?'}\}})\s*```"
     body = F.when(c.rlike(fenced), F.regexp_extract(c, fenced, 1)).otherwise(F.regexp_extract(c, r"(?s)(\{.*\})", 1))
-    return F.try_parse_json(F.when(body != "", body))
+    return strict_json(F.when(body != "", body))
 
 
 def as_fenced_reply(intro: Column, code: Column, lang: Column) -> Column:

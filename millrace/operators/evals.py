@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from ..functions.gates import all_match, hits, is_plain_prose, is_prose
+from ..functions.gates import all_match, has_tool_turn, hits, is_plain_prose, is_prose
 from ..functions.text import extract_code, has_fence
+from .dedup import before_sums
 
 
 def pass_rates(df: DataFrame, by: str, passed: str = "pass") -> DataFrame:
@@ -21,13 +22,46 @@ def running_rate(df: DataFrame, order: str, passed: str = "pass", span: int = 10
     totals is added: no task sorts the whole set.
     """
     rows = df.select(F.col(order).cast("long").alias(order), F.col(passed).cast("long").alias("_p")).withColumn("_span", F.floor(F.col(order) / span))
-    sums = rows.groupBy("_span").agg(F.count("*").alias("_n"), F.sum("_p").alias("_s"))
-    before = Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)  # over one row for each span
-    sums = sums.select("_span", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_s0"))
+    sums = before_sums(rows.groupBy("_span").agg(F.count("*").alias("_n"), F.sum("_p").alias("_s")), "_span", ["_n", "_s"])
     here = Window.partitionBy("_span").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.withColumns({"_k": F.count("*").over(here), "_c": F.sum("_p").over(here)}).join(sums, "_span")
-    n = F.col("_n0") + F.col("_k")
-    return out.select(order, n.alias("n"), F.round((F.col("_s0") + F.col("_c")) / n, 6).alias("rate"))
+    n = F.col("_n_before") + F.col("_k")
+    return out.select(order, n.alias("n"), F.round((F.col("_s_before") + F.col("_c")) / n, 6).alias("rate"))
+
+
+def ticks(df: DataFrame, order: str, every: int, span: int = 10_000) -> DataFrame:
+    """(order, n): each row whose number in a whole-number order is a multiple of `every`."""
+    rows = df.select(F.col(order).cast("long").alias(order)).withColumn("_span", F.floor(F.col(order) / span))
+    sums = before_sums(rows.groupBy("_span").agg(F.count("*").alias("_n")), "_span", ["_n"])
+    here = F.row_number().over(Window.partitionBy("_span").orderBy(order))
+    n = F.col("_n_before") + F.col("_k")
+    return rows.withColumn("_k", here).join(sums, "_span").select(order, n.alias("n")).where(F.col("n") % every == 0)
+
+
+def gate_counters(df: DataFrame, gate: Column) -> DataFrame:
+    """One row: how many rows a gate saw, kept and rejected; null is a rejection. `counted` gives the same beside the kept rows."""
+    ok = F.coalesce(gate, F.lit(False))
+    return df.agg(F.count("*").alias("seen"), F.count_if(ok).alias("kept"), F.count_if(~ok).alias("rejected"))
+
+
+def counted(df: DataFrame, gate: Column, name: str = "gate") -> tuple[DataFrame, Observation]:
+    """The rows that a gate keeps, and its counters, which are there once the rows have been written: no second pass."""
+    ok = F.coalesce(gate, F.lit(False))
+    watch = Observation(name)
+    return df.observe(watch, F.count(F.lit(1)).alias("seen"), F.count_if(ok).alias("kept"), F.count_if(~ok).alias("rejected")).where(ok), watch
+
+
+def joined_line(df: DataFrame, name: str, pattern: str, text: Column, separator: str = " ") -> DataFrame:
+    """One row: the texts of result rows whose name matches, in order of name. For tables of results, which are small."""
+    rows = df.where(F.col(name).rlike(pattern)).select(F.struct(F.col(name).alias("n"), text.alias("t")).alias("x"))
+    return rows.agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["t"]), separator).alias("line"))
+
+
+def preflight(assembled: DataFrame) -> DataFrame:
+    """assembled (mtype, messages: null where a scenario was unusable) by type: how many were assembled, hold a call, and end with a fence."""
+    m = F.col("messages")
+    ends = has_fence(F.try_element_at(m, F.lit(-1))["content"])
+    return assembled.groupBy("mtype").agg(F.count_if(m.isNotNull()).alias("assembled"), F.count("*").alias("total"), F.count_if(m.isNotNull() & has_tool_turn(m)).alias("with_call"), F.count_if(m.isNotNull() & ends).alias("final_fenced"))
 
 
 def buckets(df: DataFrame, bucket: str, order: str) -> DataFrame:

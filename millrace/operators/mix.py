@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -28,19 +29,45 @@ def shuffle_key(seed: int, key: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
 
 
+def smallest(df: DataFrame, by: list[str], key: Column, order: str, wanted: DataFrame, digits: int) -> DataFrame:
+    """Of each group of `by`, the first `_k` rows (of wanted: by, _k) in the order of a hexadecimal key, then of `order`.
+
+    Keys are evenly spread, so a histogram of their first digits tells in which bin
+    the last row lies: bins before it are whole, and rows are ranked in that bin alone.
+    wanted: a row for each named group.
+    """
+    rows = df.withColumn("_key", key).withColumn("_bin", F.substring("_key", 1, digits))
+    bins = rows.groupBy(*by, "_bin").agg(F.count("*").alias("_n")).join(F.broadcast(wanted), by)
+    upto = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # 16 ** digits bins at most
+    bins = bins.withColumn("_had", F.coalesce(F.sum("_n").over(upto), F.lit(0))).where("_had < _k").select(*by, "_bin", "_had", "_k", (F.col("_had") + F.col("_n") <= F.col("_k")).alias("_whole"))
+    found = rows.join(bins, [*by, "_bin"])
+    edge = found.where("NOT _whole").withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy("_key", order))).where("_had + _rank <= _k").drop("_rank")
+    return found.where("_whole").unionByName(edge).drop("_key", "_bin", "_had", "_k", "_whole")
+
+
+def digits_for(rows: int, each: int = 5000) -> int:
+    """How many hexadecimal digits make bins of some `each` rows."""
+    digits = 1
+    while 16**digits * each < rows and digits < 8:
+        digits += 1
+    return digits
+
+
 def replay(df: DataFrame, fractions: dict[str, float], stratum: str, order: str, seed: int = 3407) -> DataFrame:
     """A fraction of each stratum: all, none, or max(1, round half to even) rows by the seeded order. Other strata go.
 
-    Rows are ranked within a stratum only where a part of it is wanted.
+    Rows are counted by the first digits of their place in the order, and ranked only at the cut.
     """
     part = F.lit(0.0)
     for name, fraction in fractions.items():
         part = F.when(F.col(stratum) == name, F.lit(float(fraction))).otherwise(part)
     rows = df.withColumn("_part", part)
-    sizes = rows.where("_part > 0 AND _part < 1").groupBy(stratum).agg(F.greatest(F.lit(1), F.bround(F.count("*") * F.first("_part"), 0)).cast("long").alias("_k"))
-    ranked = rows.where("_part > 0 AND _part < 1").withColumn("_rank", F.row_number().over(Window.partitionBy(stratum).orderBy(shuffle_key(seed, F.col(order)), order)))
-    some = ranked.join(F.broadcast(sizes), stratum).where("_rank <= _k").select(df.columns)  # a row for each named stratum
-    return rows.where("_part >= 1").select(df.columns).unionByName(some)
+    cut = rows.where("_part > 0 AND _part < 1")
+    sizes = cut.groupBy(stratum).agg(F.count("*").alias("_all"), F.greatest(F.lit(1), F.bround(F.count("*") * F.first("_part"), 0)).cast("long").alias("_k"))
+    named = sizes.collect()  # a row for each named stratum
+    wanted = df.sparkSession.createDataFrame([(r[stratum], r["_k"]) for r in named], f"{stratum} string, _k long")
+    some = smallest(cut, [stratum], shuffle_key(seed, F.col(order)), order, wanted, digits_for(max((r["_all"] for r in named), default=0)))
+    return rows.where("_part >= 1").select(df.columns).unionByName(some.select(df.columns))
 
 
 def replay_report(df: DataFrame, kept: DataFrame, stratum: str) -> DataFrame:
@@ -98,12 +125,13 @@ def distinct_by(df: DataFrame, sig: str, order: str) -> DataFrame:
 def holdout_head(df: DataFrame, order: str, fraction: float = 0.03, seed: int = 3407) -> DataFrame:
     """df with split: the first max(1, round half to even) rows of the seeded order are held out.
 
-    The cut is found by a top-k of keys, not by ranking all rows.
+    A histogram of the order's first digits finds the bin of the cut, and only that bin's rows are ranked.
     """
     n = df.count()
     k = max(1, round(n * fraction)) if n else 0
-    key = F.struct(shuffle_key(seed, F.col(order)), F.col(order))
-    head = df.select(order).orderBy(key).limit(k).withColumn("_head", F.lit(True))
+    rows = df.withColumn("_all", F.lit(0))
+    wanted = df.sparkSession.createDataFrame([(0, k)], "_all int, _k long")
+    head = smallest(rows.select("_all", order), ["_all"], shuffle_key(seed, F.col(order)), order, wanted, digits_for(n)).select(order, F.lit(True).alias("_head"))
     return df.join(head, order, "left").withColumn("split", F.when(F.col("_head"), "heldout").otherwise("train")).drop("_head")
 
 
@@ -124,6 +152,37 @@ def standard_rules(config: MixConfig = MixConfig()) -> list[tuple[Column, int]]:
     ]
 
 
+def total_rows(frames: list[DataFrame]) -> DataFrame:
+    """One row: how many rows several sources have together (`total`), and each source by its place (`by_source`)."""
+    counts = [f.agg(F.count("*").alias("n")).withColumn("source", F.lit(i)) for i, f in enumerate(frames)]
+    all_ = functools.reduce(DataFrame.unionByName, counts)
+    return all_.agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("source", "n")))["n"].alias("by_source"))
+
+
+def of_types(df: DataFrame, column: str, names: str | None) -> DataFrame:
+    """Rows whose value is in a comma-separated list; all rows without a list."""
+    return df.where(F.col(column).isin(*[x.strip() for x in names.split(",")])) if names else df
+
+
+def last_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The last n rows in an order: each task keeps n."""
+    return df.orderBy(*(F.desc(c) for c in order)).limit(n)
+
+
+def latest_row(df: DataFrame, by: list[str], order: list[str], *what: str) -> DataFrame:
+    """Columns of the latest row of each group, by an aggregate."""
+    last = F.max(F.struct(*order, *(c for c in what if c not in order))).alias("_last")
+    return df.groupBy(*by).agg(last).select(*by, *(F.col(f"_last.{c}").alias(c) for c in what))
+
+
+def first_of_each(df: DataFrame, by: list[str], order: str, n: int) -> DataFrame:
+    """(by, order) of the first n rows of each group: ranked within tasks first, so that a hot group costs n rows a task."""
+    own = Window.partitionBy(*by, "_task").orderBy(order)
+    few = df.select(*by, order).withColumn("_task", F.spark_partition_id()).withColumn("_k", F.row_number().over(own)).where(F.col("_k") <= n)
+    top = Window.partitionBy(*by).orderBy(order)
+    return few.withColumn("_k", F.row_number().over(top)).where(F.col("_k") <= n).select(*by, order)
+
+
 def composition(df: DataFrame, by: str = "kind") -> DataFrame:
     """Rows by kind, '?' where it is missing."""
     return df.groupBy(F.coalesce(by, F.lit("?")).alias(by)).agg(F.count("*").alias("n"))

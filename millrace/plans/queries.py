@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import gates, text as tx, udfs
+from ..functions import calls, gates, text as tx, udfs
 from ..operators import assemble as asm, dedup, evals, mix
 from ..sources.records import MESSAGES
 from ..streaming import monitor
@@ -32,6 +32,21 @@ def query(sql: str | None = None):
     return add
 
 
+def expected(columns: str, rows: list[tuple]) -> str:
+    """SQL of constant rows: what a query over constants has to give. columns: names and DuckDB types."""
+
+    def literal(x) -> str:
+        if x is None:
+            return "NULL"
+        if isinstance(x, bool):
+            return str(x).lower()
+        return str(x) if isinstance(x, int | float) else "'" + str(x).replace("'", "''") + "'"
+
+    names, kinds = zip(*(c.split() for c in columns.split(", ")), strict=True)
+    picked = ", ".join(f"{n}::{k} AS {n}" for n, k in zip(names, kinds, strict=True))
+    return f"SELECT {picked} FROM (VALUES {', '.join('(' + ', '.join(map(literal, r)) + ')' for r in rows)}) v({', '.join(names)})"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -125,7 +140,7 @@ def decontam_passage(spark, sf_dir):
 def decontam_fuzzy(spark, sf_dir):
     """User turns that score below 92 against all benchmark items."""
     users = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
-    return dedup.decontaminate_fuzzy(users, table(spark, sf_dir, "benchmark"), "turn").select("conv_id", "turn")
+    return dedup.decontaminate_fuzzy(users, table(spark, sf_dir, "benchmark")).select("conv_id", "turn")
 
 
 @query(f"SELECT count(*)::BIGINT AS n_shared FROM (SELECT {KEY} AS key FROM documents) WHERE key <> '' AND key IN (SELECT {KEY} FROM benchmark)")
@@ -236,26 +251,30 @@ CALL_ROWS = [
 ]
 
 
-@query()
+@query(expected("row_id BIGINT, ok BOOLEAN, n_calls INT, errors VARCHAR", [
+    (0, True, 1, ""), (1, False, 1, "search: missing q"), (2, False, 1, "unknown tool other"), (3, False, 1, "search.n: not integer"), (4, False, 0, "bad json; no call"),
+    (5, False, 0, "no call"), (6, True, 2, ""), (7, False, 0, "arguments not an object; no call"), (8, False, 0, "no text; no call"),
+]))
 def tool_call_validate(spark, sf_dir):
     rows = spark.createDataFrame([(i, t, TOOLS) for i, t in CALL_ROWS], "row_id long, text string, spec string")
-    checked = rows.select("row_id", udfs.tool_checker()("text", "spec").alias("c"))
+    checked = rows.select("row_id", calls.checked(F.col("text"), F.col("spec")).alias("c"))
     return checked.select("row_id", "c.ok", F.size("c.calls").alias("n_calls"), F.array_join("c.errors", "; ").alias("errors"))
 
 
 #: Compiler messages by kind of event.
-_STDERR = {"click": "error: implicit declaration of function", "view": "error: unknown type name 'x'", "error": "undefined reference to `f'", "purchase": "error: expected ';'"}
+_STDERR = {"click": "error: implicit declaration of function", "view": "error: unknown type name 'x'", "error": "undefined reference to `f'", "purchase": "in main: error: expected ';'"}
 
 
 @query("""
 SELECT bucket, count(*)::BIGINT AS n, min(event_id)::BIGINT AS first_row FROM (
-  SELECT event_id, CASE event_type WHEN 'click' THEN 'missing_include/decl' WHEN 'view' THEN 'unknown_type (missing struct/typedef)' WHEN 'error' THEN 'link_undefined (fn not defined)' WHEN 'purchase' THEN 'syntax_error' ELSE 'other_compile' END AS bucket FROM events) GROUP BY bucket
+  SELECT event_id, CASE event_type WHEN 'click' THEN 'missing_include/decl' WHEN 'view' THEN 'unknown_type (missing struct/typedef)' WHEN 'error' THEN 'link_undefined (fn not defined)' WHEN 'purchase' THEN (CASE WHEN event_id % 2 = 0 THEN 'dup_main (student wrote main())' ELSE 'syntax_error' END) ELSE 'other_compile' END AS bucket FROM events) GROUP BY bucket
 """)
 def failure_buckets(spark, sf_dir):
     message = F.lit("warning")
     for kind, text in _STDERR.items():
         message = F.when(F.col("event_type") == kind, text).otherwise(message)
-    rows = table(spark, sf_dir, "events").select("event_id", gates.compile_bucket(message, F.lit(False)).alias("bucket"))
+    source = F.when(F.col("event_id") % 2 == 0, "main() {}").otherwise("int remain(void) { return 0; }")
+    rows = table(spark, sf_dir, "events").select("event_id", gates.compile_bucket(message, gates.has_main(source)).alias("bucket"))
     return evals.buckets(rows, "bucket", "event_id")
 
 
@@ -423,11 +442,14 @@ def _research(spark) -> DataFrame:
     return spark.createDataFrame([(0, long, "research"), (1, short, "research"), (2, long, "enrich")], f"row_id long, messages {MESSAGES}, mtype string")
 
 
-@query()
+@query(expected("row_id BIGINT, mtype VARCHAR, n_turns INT, n_tool_turns INT, opening VARCHAR", [
+    (0, "research", 6, 1, "Make a page"), (1, "research", 2, 0, "Only one"), (2, "enrich", 6, 1, "Make a page"), (0, "freshresearch", 4, 1, "Search for tides"),
+]))
 def freshresearch(spark, sf_dir):
     """Tool results inflated, research rows doubled with a fresh opening."""
     rows = asm.with_fresh_research(asm.inflate_tool_turns(_research(spark)))
-    return rows.select("row_id", "mtype", F.size("messages").alias("n_turns"), F.col("messages")[0]["content"].alias("opening"), evals.message_chars(F.col("messages")).alias("n_chars"))
+    noisy = F.size(F.filter("messages", lambda m: (m["role"] == "tool") & m["content"].startswith('[{"type":"text","text":"#1 (primary source')))
+    return rows.select("row_id", "mtype", F.size("messages").alias("n_turns"), noisy.alias("n_tool_turns"), F.col("messages")[0]["content"].alias("opening"))
 
 
 #: One usable scenario of each type, and unusable ones.
@@ -446,7 +468,13 @@ def scenarios(spark) -> DataFrame:
     return spark.createDataFrame([(i, *(s.get(n) for n in names)) for i, s in enumerate(SCENARIOS)], "row_id long, " + ", ".join(f"{n} string" for n in names))
 
 
-@query()
+_CALLED = "user,assistant,tool,assistant"
+
+
+@query(expected("row_id BIGINT, mtype VARCHAR, n_turns INT, roles VARCHAR, has_tools BOOLEAN", [
+    (0, "subtask", 4, _CALLED, True), (1, "recall", 8, f"{_CALLED},{_CALLED}", True), (2, "modeswitch", 4, "user,assistant,user,assistant", False), (3, "revise", 4, "user,assistant,user,assistant", False),
+    (4, "enrich", 6, f"user,assistant,{_CALLED}", True), (5, "research", 6, f"user,assistant,{_CALLED}", True), (6, "modeswitch", 0, None, False), (7, "subtask", 0, None, False), (8, "revise", 0, None, False), (9, "other", 0, None, False), (10, "enrich", 0, None, False),
+]))
 def assemble_multi(spark, sf_dir):
     """Scenario objects as conversations."""
     out = asm.assemble(scenarios(spark))

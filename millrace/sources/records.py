@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.gates import row_ok
+from ..functions.text import strict_json
 
 CALLS = "array<struct<name:string,arguments:string>>"
 MESSAGES = f"array<struct<role:string,content:string,content_type:string,tool_calls:{CALLS}>>"
@@ -54,7 +55,7 @@ def _get(v: Column | str, path: str, kind: str = "string") -> Column:
 
 def parse(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines (value, src, row_id) as RECORD rows, and the lines that are no JSON objects."""
-    v = frame.withColumn("v", F.try_parse_json("value"))
+    v = frame.withColumn("v", strict_json(F.trim("value")))
     is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
     good, bad = v.where(is_object), v.where(~is_object).select("row_id", "src", F.col("value").alias("raw"))
     kind = "CASE WHEN variant_get(m, '$.content', 'variant') IS NULL THEN 'missing' WHEN is_variant_null(variant_get(m, '$.content', 'variant')) THEN 'null' WHEN schema_of_variant(variant_get(m, '$.content', 'variant')) = 'STRING' THEN 'string' ELSE 'other' END"
@@ -86,6 +87,11 @@ def rendered(records: DataFrame, render: Column | None = None) -> tuple[DataFram
     return records.where(ok).select("row_id", render.alias("text")), records.agg(F.count_if(~ok).alias("skipped"))
 
 
+def head(frame: DataFrame, n: int) -> DataFrame:
+    """The first n lines, by their number: a top-k."""
+    return frame.orderBy("row_id").limit(n)
+
+
 def suite(spark: SparkSession, path: str) -> DataFrame:
     """A JSON object of arrays as rows (axis, item_id, item as JSON)."""
     whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))

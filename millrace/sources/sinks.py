@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def as_json(df: DataFrame) -> Column:
@@ -48,3 +50,30 @@ def concatenate(frames: list[DataFrame], path: str) -> None:
     for f in frames[1:]:
         out = out.unionByName(f.select("value"))
     out.write.mode("overwrite").text(path)
+
+
+def mark_done(spark: SparkSession, path: str, status: str = "done") -> None:
+    """A sentinel: one small file below path that says what state a step ended in. Written by the driver, once the step's job has ended."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, f"STATUS.{status}")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True).close()
+
+
+def is_done(spark: SparkSession, path: str, status: str = "done") -> bool:
+    """Whether the sentinel is there; a folder that a Spark job has written whole (`_SUCCESS`) is done, too."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    names = [f"STATUS.{status}", *(["_SUCCESS"] if status == "done" else [])]
+    files = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return any(files.exists(jvm.Path(path, n)) for n in names)
+
+
+def wait_done(spark: SparkSession, path: str, seconds: float, every: float = 1.0) -> bool:
+    """Poll for the sentinel until it is there or the time is up."""
+    end = time.monotonic() + seconds
+    while not (found := is_done(spark, path)) and time.monotonic() < end:
+        time.sleep(min(every, max(0.0, end - time.monotonic())))
+    return found
+
+
+def stamped(df: DataFrame, stamp: str) -> DataFrame:
+    """df with the date that the caller gives for a run: nothing here reads a clock."""
+    return df.withColumn("stamp", F.to_date(F.lit(stamp)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,24 +48,44 @@ def watch(totals: DataFrame, target: int, limit: int = 2) -> DataFrame:
     return totals.groupBy("key").applyInPandasWithState(step, STATUS, "last long, flat long", "append", GroupStateTimeout.NoTimeout)
 
 
-def gated_append(lines: DataFrame, gate, path: str, checkpoint: str, target: int | None = None):
-    """A stream of rows whose gate holds, appended as JSON and resumed from the checkpoint; ends with what is there. target: no batch is added once so many rows are written."""
+def gated_append(lines: DataFrame, gate, path: str, checkpoint: str, target: int | None = None, seconds: float | None = None):
+    """A stream of rows whose gate holds, appended as JSON and resumed from the checkpoint; ends with what is there.
+
+    target: no row is added beyond so many. A batch is a folder of its own below path
+    (a retried batch replaces it), with the rows so far in its name, so nothing is counted twice.
+    seconds: a cap on the time; what was appended until then stays, and a later run goes on from there.
+    """
+    spark = lines.sparkSession
+
+    def folders() -> dict[int, int]:
+        jvm = spark._jvm.org.apache.hadoop.fs
+        files = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.globStatus(jvm.Path(path, "batch=*"))
+        names = [s.getPath().getName().removeprefix("batch=").split("-") for s in found or [] if files.exists(jvm.Path(s.getPath(), "_SUCCESS"))]
+        return {int(number): int(rows) for number, rows in names}
 
     def add(batch: DataFrame, number: int) -> None:
-        good = batch.where(gate)
-        if target is not None:
-            try:
-                have = batch.sparkSession.read.text(path).count()
-            except Exception as e:
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-                have = 0
-            if have >= target:
-                return
-            good = good.limit(target - have)
-        good.write.mode("append").json(path)
-
-    return lines.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        before = {n: rows for n, rows in folders().items() if n != number}
+        good = batch.where(gate).persist()
+        try:
+            rows = good.count()
+            if target is not None:
+                rows = min(rows, target - sum(before.values()))
+                good = good.limit(max(0, rows))
+            if rows > 0:
+                good.write.mode("overwrite").json(f"{path}/batch={number}-{rows}")
+        finally:
+            good.unpersist()
+
+    query = lines.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    if seconds is not None and not query.awaitTermination(seconds):
+        query.stop()
+    return query
+
+
+def producers(streams: list[DataFrame]) -> DataFrame:
+    """Several streams of rows as one, with the number of its producer: they are read side by side and written by one query."""
+    return functools.reduce(DataFrame.unionByName, [s.withColumn("producer", F.lit(i)) for i, s in enumerate(streams)])
 
 
 def first_seen(lines: DataFrame, key: str, time: str, delay: str) -> DataFrame:

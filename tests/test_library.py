@@ -8,9 +8,9 @@ import duckdb
 import pytest
 from pyspark.sql import Row, functions as F
 
-from millrace.functions import gates, text as tx, udfs
+from millrace.functions import calls, fuzzy, gates, text as tx, udfs
 from millrace.operators import assemble as asm, dedup, evals, execgate, mix
-from millrace.plans import queries as plans
+from millrace.plans import inline, queries as plans  # noqa: F401  (inline registers queries)
 from millrace.sources import records, sinks
 from millrace.streaming import monitor
 
@@ -127,12 +127,29 @@ def test_soft_issues(spark):
         ("none", True, False), ("none", False, True), ("<tool_call>{x}</tool_call>", False, False), ('<tool_call>{"name":"nope"}</tool_call>', True, False), ('<tool_call>{"arguments":{}}</tool_call>', True, False),
     ],
 )
-def test_tool_calls(text, required, ok):
-    assert udfs.check_calls(text, plans.TOOLS, required)[0] is ok
+def test_tool_calls(spark, text, required, ok):
+    assert one(spark, calls.checked(F.col("a"), F.col("b"), required)["ok"], text, plans.TOOLS) is ok
 
 
-def test_last_declaration_of_a_name_counts():
-    assert udfs.declared('[{"name":"a","parameters":{"required":["x"]}},{"function":{"name":"a"}}]') == {"a": {}}
+def test_last_declaration_of_a_name_counts(spark):
+    got = one(spark, calls.declared(F.col("a")), '[{"name":"a","parameters":{"required":["x"]}},{"function":{"name":"a"}}]')
+    assert got == {"a": "{}"}
+
+
+@pytest.mark.parametrize("spec", ["no json", "5", '"x"', "{}", "[]", "[1, null, []]", '[{"name":5}]', '[{"name":"search","parameters":"x"}]', '[{"name":"search","parameters":{"properties":"x"}}]', '[{"name":"search","parameters":{"properties":[1],"required":"q"}}]', '[{"name":"search","parameters":{"properties":{"q":3},"required":[5,null]}}]', '[{"function":7,"name":"search"}]'])
+def test_odd_tool_lists_are_errors_of_a_row(spark, spec):
+    known = "search" in spec
+    r = one(spark, calls.checked(F.col("a"), F.col("b")), '<tool_call>{"name":"search","arguments":{"q":"a","n.o":[1]}}</tool_call>', spec)
+    assert r.ok is known and r.errors == ([] if known else ["unknown tool search"])
+
+
+def test_types_of_arguments(spark):
+    spec = json.dumps([{"name": "f", "parameters": {"properties": {k: {"type": k} for k in calls.TYPES} | {"odd": {"type": "thing"}, "two": {"type": ["string"]}}}}])
+    good = {"string": "x", "number": 1.5, "integer": 3, "boolean": True, "array": [1], "object": {"a": 1}, "null": None, "odd": 1, "two": 2, "more": 3}
+    bad = {"string": 1, "number": "1", "integer": 1.5, "boolean": 0, "array": {}, "object": [], "null": 0}
+    said = lambda args: one(spark, calls.checked(F.col("a"), F.col("b")), f'<tool_call>{json.dumps({"name": "f", "arguments": args})}</tool_call>', spec)
+    assert said(good).errors == [] and sorted(said(bad).errors) == sorted(f"f.{k}: not {k}" for k in bad)
+    assert said({"number": 7, "integer": 10**25}).errors == [] and said({"integer": True, "number": False}).ok is False
 
 
 @pytest.mark.parametrize(
@@ -164,6 +181,11 @@ def test_token_set_ratio_against_the_definition():
         assert udfs.token_set_ratio(a, b, 92) in (0.0, pytest.approx(plain(a, b)))
 
 
+@pytest.mark.parametrize(("text", "whole"), [('{"a":1}', True), (' {"a":[1]} ', True), ("5", True), ('{"a":1} x', False), ('{"a":1}{"b":2}', False), ('{"a":1},{"b":2}', False), ('{"a":1}] x', False), ('{"a":1}} x', False), ('{"a":1}, "k": 2', False), ("", False), ("{", False), (None, False)])
+def test_strict_json(spark, text, whole):
+    assert (one(spark, F.to_json(tx.strict_json(F.col("a"))), text) is not None) is whole
+
+
 @pytest.mark.parametrize(("text", "want"), [("```html\nx```", True), ("<p>x</p>", False), ("`a` and ```b``` inline", False), (None, False)])
 def test_fences(spark, text, want):
     assert one(spark, tx.has_fence(F.col("a")), text) is want
@@ -244,6 +266,44 @@ def test_suite_and_sinks(spark, tmp_path):
     assert records.fenced_of_transcript(spark, str(tmp_path / "m.md")).first()["block"] == "<p>\n"
 
 
+def test_recent_texts_score_as_pairs_do():
+    rng = random.Random(2)
+    vocab = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa"] + [f"w{i}" for i in range(60)]
+    texts = []
+    for i in range(300):
+        words = rng.sample(vocab, rng.randrange(1, 25)) if i % 3 or not texts else [w if rng.random() > 0.08 else w + "s" for w in rng.choice(texts)]
+        texts.append(words)
+    sets = [frozenset(t) for t in texts]
+    recent, n = fuzzy.Recent(40, 92.0), 0
+    for i, s in enumerate(sets):
+        want = [j for j in range(max(0, i - 40), i) if udfs.token_sets_ratio(s, sets[j], 92.0) >= 92]
+        assert recent.matches(s) == want and bool(recent.matches(s, first=True)) == bool(want)
+        recent.push(i, s)
+        n += len(want)
+    assert n > 50
+
+
+def test_common_subsequences_end_early():
+    assert udfs.lcs_length("abcbdab" * 20, "bdcaba" * 20) == udfs.lcs_length("bdcaba" * 20, "abcbdab" * 20)
+    assert udfs.lcs_length("abcbdab", "bdcaba") == 4 and udfs.lcs_length("", "a") == 0
+    assert udfs.lcs_length("a" * 500, "b" * 400, 100) < 100 and udfs.lcs_length("ab" * 300, "ab" * 300, 600) == 600
+
+
+def test_window_dedup_looks_beyond_what_was_scored(spark):
+    # near copies of one text fill the scored stretch, so the kept ones reach farther back
+    base = ["m" * 9, "n" * 9, "o" * 9, "p" * 9]
+    texts = ["first text of all", "second other thing here"] + [" ".join([*base, f"x{i}"]) for i in range(30)] + ["first text of all too", "first text of all"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    kept, last, want = set(), [], []
+    for t in texts:
+        v = "exact" if t in kept else "near" if any(udfs.token_set_ratio(t, k) >= 92 for k in last[-4:]) else "kept"
+        want.append(v)
+        if v == "kept":
+            kept.add(t)
+            last.append(t)
+    assert [r.verdict for r in dedup.window_dedup(rows, "id", window=4).orderBy("id").collect()] == want and want.count("near") > 20
+
+
 def test_window_dedup_replays_the_sequential_rule(spark):
     texts = ["a b c", "A  b c", "", "c b a x", "z", "a b c"]
     rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
@@ -296,7 +356,7 @@ def test_decontamination(spark):
     rows = spark.createDataFrame([(1, "A b"), (2, "c d e"), (3, ""), (4, "other words")], "id long, text string")
     train = spark.createDataFrame([("a  B",), ("c d e f",)], "text string")
     assert sorted(r.id for r in dedup.decontaminate_exact(rows, train).collect()) == [2, 4]
-    assert [r.id for r in dedup.decontaminate_fuzzy(rows, train, "id").collect()] == [4]
+    assert [r.id for r in dedup.decontaminate_fuzzy(rows, train, block=1, batch=2).collect()] == [4]
     assert [r.id for r in dedup.shared_keys(rows, train).collect()] == [1]
 
 
@@ -343,7 +403,8 @@ def test_augmentation(spark):
     rows = asm.inflate_tool_turns(plans._research(spark)).where("row_id = 0").first().messages
     blob = json.loads(rows[4].content)
     entries = blob[0]["text"].split("\n\n")
-    assert "High at noon" in entries[0] and 15 <= len(entries) <= 23 and "Relevance Score: 9.0" in entries[0]
+    assert "High at noon" in entries[0] and 15 <= len(entries) <= 23 and entries[0].startswith("#1 (primary source, rank score 1.000)")
+    assert all(e.startswith(f"#{i + 1} (") and "{}" not in e for i, e in enumerate(entries))
     assert over(spark, asm.topic_hint(F.col("messages"), True), [turn("user", "u"), turn("assistant", "", calls=[("s", '{"query":"tides"}')])]) == "tides"
     assert over(spark, asm.topic_hint(F.col("messages")), []) == "the topic"
     for text, want in (("no, x", "No, x"), ("instead, look for the tide tables", "Look for the tide tables"), ("forget the doc: find the new dates", "Find the new dates")):
@@ -393,7 +454,11 @@ def test_gated_append_stops_at_its_target(spark, tmp_path):
     (tmp_path / "in" / "a.txt").write_text("good 1\nbad\ngood 2\ngood 3\n")
     lines = spark.readStream.text(str(tmp_path / "in"))
     monitor.gated_append(lines, F.col("value").startswith("good"), str(tmp_path / "out"), str(tmp_path / "cp"), target=2).awaitTermination(120)
-    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    assert spark.read.json(f"{tmp_path}/out/*").count() == 2
+    # a later run goes on from the checkpoint and stays within the target
+    (tmp_path / "in" / "b.txt").write_text("good 4\n")
+    monitor.gated_append(lines, F.col("value").startswith("good"), str(tmp_path / "out"), str(tmp_path / "cp"), target=3).awaitTermination(120)
+    assert spark.read.json(f"{tmp_path}/out/*").count() == 3
 
 
 def test_execution_is_opt_in(spark):
@@ -403,16 +468,98 @@ def test_execution_is_opt_in(spark):
         execgate.verify(df)
     got = {r.row_id: r.status for r in execgate.verify(df, enabled=True).collect()}
     assert got == {1: "PASS", 2: "FAIL", 3: "FAIL", 4: "PASS"}
-    assert execgate.run_python("while True: pass", timeout=0.5)[0] == "TIMEOUT" and execgate.run_python("while True: pass", timeout=0.5, timeout_passes=True)[0] == "PASS"
+    assert execgate.run_python("while True: pass", timeout=0.5)[0] == "TIMEOUT"
+    with pytest.raises(execgate.NotAllowed):
+        execgate.smoke(df.withColumnRenamed("solution", "code"))
+    replies = spark.createDataFrame([(1, "Python", "```python\ndef f(): return 1\n```", "assert f() == 1"), (2, "Python", "x = 1", "assert x == 2")], "row_id long, lang string, content string, tests string")
+    assert {r.row_id: r["pass"] for r in execgate.score_programs(replies, enabled=True).collect()} == {1: True, 2: False}
+
+
+@pytest.mark.parametrize(
+    ("code", "any_traceback", "want"),
+    [
+        ("print(1)", False, (True, "ok")), ("import sys; sys.exit(1)", False, (True, "exit1")), ("while True: input()", False, (False, "EOFError: EOF when reading a line")), ("while True: pass", False, (True, "timeout(ran)")), ("def f(:", False, (False, "syntax-error")),
+        ("raise ValueError('no')", False, (False, "ValueError: no")), ("import sys; print('Traceback', file=sys.stderr)", False, (True, "ok")), ("import sys; print('Traceback', file=sys.stderr)", True, (False, "Traceback")), ("print(open('numbers.txt').read(), input())", False, (True, "ok")), ("\0", False, (False, "syntax-error")),
+    ],
+)
+def test_interactive_programs(code, any_traceback, want):
+    assert execgate.runs_ok(code, timeout=1.5, any_traceback=any_traceback) == want
+
+
+def test_smoke_of_a_frame(spark):
+    got = execgate.smoke(spark.createDataFrame([(1, "print(2)"), (2, None), (3, "1/0")], "row_id long, code string"), enabled=True).collect()
+    assert {r.row_id: r.ok for r in got} == {1: True, 2: True, 3: False}
+
+
+def test_includes_are_fixed_round_by_round():
+    """A compiler that asks for one header at a time, and never for more than it knows."""
+    needs = [("strlen", "string.h"), ("bool", "stdbool.h"), ("zig", None)]
+
+    def build(text, run):
+        for symbol, header in needs:
+            if symbol in text and f"<{header}>" not in text and not (symbol == "zig" and not run):
+                return "COMPILE_FAIL", f"unknown type name '{symbol}'" if symbol == "bool" else f"'{symbol}' undeclared" + (f"; is defined in header '<{header}>'" if header else "")
+        return "PASS", ""
+
+    assert execgate.fix_includes("bool f = strlen(x);", build=build) == "#include <stdbool.h>\n#include <string.h>\nbool f = strlen(x);"
+    assert execgate.fix_includes("zig; strlen(x)", build=build) == "#include <string.h>\nzig; strlen(x)"  # alone, without linking
+    assert execgate.fix_includes("strlen(x)", "zig()", build=build) == "#include <string.h>\nstrlen(x)"  # nothing new is asked for
+    assert execgate.fix_includes("int x;", build=build) == "int x;"
 
 
 @pytest.mark.skipif(execgate.compile_c("int main(void){return 0;}")[0] != "PASS", reason="no working C compiler")
 def test_execution_of_c():
     assert execgate.compile_c("int f(void){return 1;} int main(void){return f()-1;}")[0] == "PASS"
+    assert execgate.compile_c("int f(void){return 1;}", run=False)[0] == "PASS"
     assert execgate.compile_c("int main(void){return x;}")[0] == "COMPILE_FAIL" and execgate.compile_c("int main(void){return 3;}")[0] == "RUNTIME_FAIL"
     assert execgate.compile_c(execgate.fix_includes("int main(void){ size_t n = 0; bool b = true; return (int)n + !b + (NULL != 0); }"))[0] == "PASS"
 
 
+def test_gates_counted_beside_their_rows(spark):
+    kept, counters = evals.counted(spark.range(10), F.col("id") % 3 == 0)
+    assert kept.count() == 4 and counters.get == {"seen": 10, "kept": 4, "rejected": 6}
+
+
+def test_sentinels_and_stamps(spark, tmp_path):
+    path = str(tmp_path / "step")
+    assert not sinks.wait_done(spark, path, 0.2, 0.1)
+    sinks.mark_done(spark, path)
+    assert sinks.wait_done(spark, path, 5) and not sinks.is_done(spark, path, "failed")
+    spark.range(2).write.json(str(tmp_path / "job"))
+    assert sinks.is_done(spark, str(tmp_path / "job"))
+    assert str(sinks.stamped(spark.range(1), "2024-02-03").first().stamp) == "2024-02-03"
+
+
+def test_first_lines_and_strict_turns(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("\n".join(f'{{"messages":[{{"role":"user","content":"{i}"}}]}}' for i in range(9)))
+    assert records.parse(records.head(records.lines(spark, str(tmp_path / "a.jsonl")), 3))[0].count() == 3
+    assert over(spark, asm.strict_first_user(F.col("messages")), [turn("user", " q ")]) == " q "
+    with pytest.raises(Exception, match="without a user turn"):
+        over(spark, asm.strict_first_user(F.col("messages")), [turn("assistant", "q")])
+    assert one(spark, execgate.with_preamble(F.col("a")), "int x;").count("#include") == 10
+    assert one(spark, gates.is_verifiable(F.col("a"), F.col("b")), "C", " ") is False and one(spark, gates.is_verifiable(F.col("a"), F.col("b")), "C", "t") is True
+
+
+def test_producers_side_by_side(spark, tmp_path):
+    for n in ("a", "b"):
+        (tmp_path / n).mkdir()
+        (tmp_path / n / "x.txt").write_text(f"{n}1\n{n}2\n")
+    both = monitor.producers([spark.readStream.text(str(tmp_path / n)) for n in ("a", "b")])
+    monitor.gated_append(both, F.col("value").endswith("1"), str(tmp_path / "out"), str(tmp_path / "cp"), seconds=60).awaitTermination(60)
+    assert sorted((r.value, r.producer) for r in spark.read.json(f"{tmp_path}/out/*").collect()) == [("a1", 0), ("b1", 1)]
+
+
+def test_cuts_by_histogram_equal_a_sort(spark):
+    rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("lang"))
+    wanted = spark.createDataFrame([("a", 70), ("b", 1999)], "lang string, _k long")
+    key = mix.shuffle_key(1, F.col("id"))
+    for digits in (1, 2):
+        got = {(r.lang, r.id) for r in mix.smallest(rows, ["lang"], key, "id", wanted, digits).collect()}
+        every = sorted((r.lang, r.k, r.id) for r in rows.withColumn("k", key).collect())
+        want = {(l, i) for name, n in (("a", 70), ("b", 1999)) for l, _, i in [x for x in every if x[0] == name][:n]}
+        assert got == want
+
+
 def test_dedup_is_idempotent_and_splits_add_up(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     once = dedup.exact_dedup(docs.select("doc_id", "text"), "doc_id")
