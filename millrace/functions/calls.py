@@ -4,88 +4,114 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import TOOL_CALL, strict_json
+from .text import TOOL_CALL, let, strict_json
 
 #: What an argument's declared type asks of its VARIANT type: a pattern of schema_of_variant's answers. The names of JSON Schema's types.
 #: Whole numbers beyond 64 bits are decimals of 19 digits or more; a short decimal without places is a number such as 1.0, no integer.
 TYPES = {"string": "STRING", "number": "BIGINT|DECIMAL.*|DOUBLE|FLOAT", "integer": r"BIGINT|DECIMAL\((?:19|[23]\d),0\)", "boolean": "BOOLEAN", "array": "ARRAY<.*", "object": "OBJECT<.*", "null": "VOID"}
-OBJECT = "OBJECT<%"
+MAP, LIST = "map<string,variant>", "array<variant>"
+CALLS = "array<struct<name:string,arguments:string>>"
 
 
-def blocks(text: Column) -> Column:
-    """The JSON texts between call marks, in order."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOOL_CALL), F.lit(1))
+def _fields(v: Column) -> Column:
+    """The fields of a VARIANT object; null of anything else."""
+    return F.when(F.schema_of_variant(v).like("OBJECT<%"), F.variant_get(v, "$", MAP))
+
+
+def _string(v: Column) -> Column:
+    """The text of a VARIANT string; null of anything else."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string"))
+
+
+def _get(fields: Column, key: str | Column) -> Column:
+    return F.try_element_at(fields, F.lit(key) if isinstance(key, str) else key)
+
+
+def _has(fields: Column, key: str) -> Column:
+    return F.coalesce(F.map_contains_key(fields, key), F.lit(False))
 
 
 def parsed(text: Column) -> Column:
-    """ARRAY<STRUCT<name, arguments (JSON), error>> of the calls in a text: a block is a call, or has an error."""
-    read = F.transform(blocks(text), lambda b: F.struct(strict_json(b).alias("v")))
-    return F.transform(read, lambda x: _judged(x["v"]))
+    """ARRAY<STRUCT<name, arguments (JSON), error>> of the calls in a text, in order: a block is a call, or has an error."""
+    blocks = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOOL_CALL), F.lit(1))
+    return F.transform(blocks, lambda b: let(strict_json(b), lambda v: let(_fields(v), _call)))
+
+
+def _call(fields: Column) -> Column:
+    whole = _has(fields, "arguments")
+    args = let(_get(fields, "arguments"), lambda a: F.when(F.schema_of_variant(a).like("OBJECT<%"), F.to_json(a)))
+    name = let(_get(fields, "name"), lambda n: F.coalesce(_string(n), F.to_json(n)))
 
+    def made(x: Column) -> Column:
+        error = F.when(fields.isNull(), "bad json").when(~_has(fields, "name"), "no name").when(x["arguments"].isNull(), "arguments not an object")
+        return F.struct(x["name"].alias("name"), x["arguments"].alias("arguments"), error.alias("error"))
 
-def _judged(v: Column) -> Column:
-    whole = F.coalesce(F.schema_of_variant(v).like(OBJECT), F.lit(False))
-    fields = F.when(whole, F.variant_get(v, "$", "map<string,variant>"))
-    name, args = F.try_element_at(fields, F.lit("name")), F.try_element_at(fields, F.lit("arguments"))
-    named = F.coalesce(F.array_contains(F.map_keys(fields), "name"), F.lit(False))
-    given = F.coalesce(F.array_contains(F.map_keys(fields), "arguments"), F.lit(False))
-    fits = ~given | F.coalesce(F.schema_of_variant(args).like(OBJECT), F.lit(False))
-    error = F.when(~whole, "bad json").when(~named, "no name").when(~fits, "arguments not an object")
-    text = F.when(F.schema_of_variant(name) == "STRING", F.variant_get(name, "$", "string")).otherwise(F.to_json(name))
-    return F.struct(F.when(error.isNull(), text).alias("name"), F.when(error.isNull(), F.when(given, F.to_json(args)).otherwise("{}")).alias("arguments"), error.alias("error"))
+    return let(F.struct(name.alias("name"), F.when(whole, args).otherwise("{}").alias("arguments")), made)
 
 
 def declared(spec: Column) -> Column:
     """MAP<name, parameters as JSON> of a JSON list of tools, wrapped or flat; of equal names the last counts; what is no list of objects declares nothing."""
-    tools = F.try_variant_get(strict_json(spec), "$", "array<variant>")
-    item = lambda t: F.when(F.schema_of_variant(t).like(OBJECT), F.variant_get(t, "$", "map<string,variant>"))
-    inner = lambda m: F.coalesce(item(F.try_element_at(m, F.lit("function"))), m)
-    text = lambda v: F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string"))
-    entry = lambda m: F.struct(text(F.try_element_at(m, F.lit("name"))).alias("key"), F.coalesce(F.to_json(F.try_element_at(m, F.lit("parameters"))), F.lit("{}")).alias("value"))
-    entries = F.filter(F.transform(F.coalesce(tools, F.array().cast("array<variant>")), lambda t: entry(inner(item(t)))), lambda e: F.coalesce(e["key"] != "", F.lit(False)))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(last)
+    tools = F.coalesce(F.try_variant_get(strict_json(spec), "$", LIST), F.array().cast(LIST))
+
+    def entry(tool: Column) -> Column:
+        inner = let(_fields(tool), lambda m: F.coalesce(let(_get(m, "function"), _fields), m))
+        return let(inner, lambda m: F.struct(let(_get(m, "name"), _string).alias("key"), F.coalesce(F.to_json(_get(m, "parameters")), F.lit("{}")).alias("value")))
+
+    named = F.filter(F.transform(tools, entry), lambda e: F.coalesce(e["key"] != "", F.lit(False)))
+    # a map that is built up from the entries keeps the last of equal names
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return F.aggregate(named, empty, lambda m, e: F.map_concat(F.map_filter(m, lambda k, v: k != e["key"]), F.create_map(e["key"], e["value"])))
 
 
 def faults(name: Column, arguments: Column, tools: Column) -> Column:
     """What is wrong with a call of a name with arguments (JSON), by declared tools: an unknown name, missing arguments, arguments of another type. Types that are lists or unknown aren't checked."""
-    params = F.try_parse_json(F.try_element_at(tools, name))
-    as_map = lambda v: F.coalesce(F.when(F.schema_of_variant(v).like(OBJECT), F.variant_get(v, "$", "map<string,variant>")), F.map_from_entries(F.array().cast("array<struct<key:string,value:variant>>")))
-    known, args = as_map(F.try_element_at(as_map(params), F.lit("properties"))), as_map(F.try_parse_json(arguments))
-    needed = F.coalesce(F.try_variant_get(F.try_element_at(as_map(params), F.lit("required")), "$", "array<variant>"), F.array().cast("array<variant>"))
-    names = F.filter(F.transform(needed, lambda r: F.when(F.schema_of_variant(r) == "STRING", F.variant_get(r, "$", "string"))), lambda r: r.isNotNull() & ~F.coalesce(F.array_contains(F.map_keys(args), r), F.lit(False)))
-    missing = F.transform(names, lambda r: F.concat(name, F.lit(": missing "), r))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast(LIST))
+    wanted_types = F.create_map(*(F.lit(x) for kv in TYPES.items() for x in kv))
+
+    def against(p: Column) -> Column:  # p: given, known, required
+        given = p["given"]
+        names = F.transform(p["required"], lambda r: _string(r))
+        missing = F.transform(F.filter(names, lambda r: r.isNotNull() & ~F.coalesce(F.map_contains_key(given, r), F.lit(False))), lambda r: F.concat(name, F.lit(": missing "), r))
+
+        def off(key: Column) -> Column:
+            kind = let(let(_get(p["known"], key), _fields), lambda m: let(_get(m, "type"), _string))
+            right = lambda k: F.regexp_like(F.schema_of_variant(F.element_at(given, key)), F.concat(F.lit("^(?:"), _get(wanted_types, k), F.lit(")$")))
+            return let(kind, lambda k: F.when(~right(k), F.concat(name, F.lit("."), key, F.lit(": not "), k)))
 
-    def off(key: Column) -> Column:
-        kind = F.try_element_at(as_map(F.try_element_at(known, key)), F.lit("type"))
-        kind = F.when(F.schema_of_variant(kind) == "STRING", F.variant_get(kind, "$", "string"))
-        wanted = F.try_element_at(F.create_map(*(F.lit(x) for kv in TYPES.items() for x in kv)), kind)
-        bad = wanted.isNotNull() & ~F.regexp_like(F.schema_of_variant(F.element_at(args, key)), F.concat(F.lit("^(?:"), wanted, F.lit(")$")))
-        return F.when(bad, F.concat(name, F.lit("."), key, F.lit(": not "), kind))
+        return F.concat(missing, F.array_compact(F.transform(F.map_keys(given), off)))
 
-    wrong = F.array_compact(F.transform(F.map_keys(args), off))
-    return F.when(F.coalesce(F.map_contains_key(tools, name), F.lit(False)), F.concat(missing, wrong)).otherwise(F.array(F.concat(F.lit("unknown tool "), name)))
+    def checked_against(params: Column) -> Column:
+        known = F.coalesce(let(_get(params, "properties"), _fields), none)
+        required = F.coalesce(F.try_variant_get(_get(params, "required"), "$", LIST), F.array().cast(LIST))
+        given = F.coalesce(let(F.try_parse_json(arguments), _fields), none)
+        return let(F.struct(given.alias("given"), known.alias("known"), required.alias("required")), against)
+
+    found = let(let(F.try_parse_json(F.try_element_at(tools, name)), _fields), checked_against)
+    return F.when(F.coalesce(F.map_contains_key(tools, name), F.lit(False)), found).otherwise(F.array(F.concat(F.lit("unknown tool "), name)))
 
 
 def checked(text: Column, spec: Column, required: bool = True) -> Column:
     """STRUCT<ok, calls, errors> of a reply against a JSON list of tools; a null list checks the form alone. required: no call is an error."""
-    found = parsed(text)
-    calls = F.filter(found, lambda x: x["error"].isNull())
-    errors = F.transform(F.filter(found, lambda x: x["error"].isNotNull()), lambda x: x["error"])
     none = F.array().cast("array<string>")
-    absent = F.when(text.isNull(), F.array(F.lit("no text"))).otherwise(none)
-    needed = F.when(F.lit(required) & (F.size(calls) == 0), F.array(F.lit("no call"))).otherwise(none)
-    faulty = F.when(spec.isNull(), none).otherwise(F.flatten(F.transform(calls, lambda c: faults(c["name"], c["arguments"], declared(spec)))))
-    all_ = F.concat(absent, errors, needed, F.coalesce(faulty, none))
-    return F.struct((F.size(all_) == 0).alias("ok"), F.transform(calls, lambda c: F.struct(c["name"].alias("name"), c["arguments"].alias("arguments"))).alias("calls"), all_.alias("errors"))
+
+    def judged(x: Column) -> Column:  # x: calls, errors, tools
+        needed = F.when(F.lit(required) & (F.size(x["calls"]) == 0), F.array(F.lit("no call"))).otherwise(none)
+        faulty = F.when(spec.isNull(), none).otherwise(F.flatten(F.transform(x["calls"], lambda c: faults(c["name"], c["arguments"], x["tools"]))))
+        absent = F.when(text.isNull(), F.array(F.lit("no text"))).otherwise(none)
+        return let(F.concat(absent, x["errors"], needed, F.coalesce(faulty, none)), lambda e: F.struct((F.size(e) == 0).alias("ok"), x["calls"].alias("calls"), e.alias("errors")))
+
+    def split(found: Column) -> Column:
+        good = F.transform(F.filter(found, lambda x: x["error"].isNull()), lambda x: F.struct(x["name"].alias("name"), x["arguments"].alias("arguments")))
+        errors = F.transform(F.filter(found, lambda x: x["error"].isNotNull()), lambda x: x["error"])
+        return let(F.struct(good.alias("calls"), errors.alias("errors"), declared(spec).alias("tools")), judged)
+
+    return let(parsed(text), split)
 
 
 def normalized(structured: Column, text: Column) -> Column:
-    """ARRAY<STRUCT<name, arguments>>: a message's structured calls if it has any, else those in its text. Arguments that are no JSON object become {}."""
-    own = F.coalesce(structured, F.array().cast("array<struct<name:string,arguments:string>>"))
+    """ARRAY<STRUCT<name, arguments>>: a message's structured calls if it has any, else those in its text. Arguments that are no JSON object become {}; they may come as a JSON string that holds JSON."""
     said = F.transform(F.filter(parsed(text), lambda x: x["error"].isNull()), lambda x: F.struct(x["name"].alias("name"), x["arguments"].alias("arguments")))
-    some = F.when(F.size(own) > 0, own).otherwise(said)
-    # arguments may come as a JSON string that holds JSON
-    read = lambda a: F.coalesce(F.try_parse_json(F.try_variant_get(F.try_parse_json(a), "$", "string")), F.try_parse_json(a))
-    clean = lambda a: F.when(F.schema_of_variant(read(a)).like(OBJECT), F.to_json(read(a))).otherwise("{}")
+    some = F.when(F.size(F.coalesce(structured, F.array().cast(CALLS))) > 0, structured).otherwise(said)
+    inner = lambda v: F.coalesce(let(_string(v), F.try_parse_json), v)
+    clean = lambda a: let(let(F.try_parse_json(a), inner), lambda v: F.when(F.schema_of_variant(v).like("OBJECT<%"), F.to_json(v)))
     return F.transform(some, lambda c: F.struct(c["name"].alias("name"), F.coalesce(clean(c["arguments"]), F.lit("{}")).alias("arguments")))

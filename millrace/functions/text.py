@@ -58,6 +58,11 @@ def strip_fence(c: Column, tags: str = r"[a-zA-Z0-9+#.\-]*") -> Column:
     return F.when(strip(c).rlike(pattern), F.regexp_extract(strip(c), pattern, 1)).otherwise(strip(c))
 
 
+def let(value: Column, body) -> Column:
+    """body(value), in which value is worked out once however often body uses it: expressions would be copied to each place."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def strict_json(c: Column) -> Column:
     """A text that is one JSON value and nothing else, as VARIANT; null if it isn't.
 
@@ -65,9 +70,12 @@ def strict_json(c: Column) -> Column:
     and inside an object nothing may follow but an end of that kind, so a text that
     parses in both is whole.
     """
-    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
-    named = F.try_parse_json(F.concat(F.lit('{"x":'), c, F.lit("}")))
-    return F.when(named.isNotNull() & (F.size(listed) == 1), F.try_element_at(listed, F.lit(1)))
+    def whole(t: Column) -> Column:
+        named = F.try_parse_json(F.concat(F.lit('{"x":'), t, F.lit("}")))
+        listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
+        return let(listed, lambda x: F.when((F.size(x) == 1) & named.isNotNull(), F.try_element_at(x, F.lit(1))))
+
+    return let(c, whole)
 
 
 def extract_json(c: Column, greedy: bool = True) -> Column:
