@@ -221,28 +221,23 @@ def components(links: DataFrame) -> DataFrame:
 
     Every round, a node takes the smallest root among its own and its
     neighbours', and roots point on to their own roots, so that long chains
-    halve. Ends when no root changes. What the middle of a large star, or a root of
-    many nodes, says is broadcast (see `attach`).
+    halve. Ends when no root changes. The joins of a round are plain ones, which Spark
+    splits where one root or the middle of one star is skewed.
     """
     both = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    n = both.count()
-    degrees = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"), F.count("*").alias("degree")).withColumnRenamed("a", "node"))
-    at, nodes = degrees, degrees.count()
+    at = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"))
     while True:
-        said = attach(both, at.withColumnRenamed("node", "b"), "b", "degree", n, _own_key())
-        near = said.groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low"))
+        near = both.join(at.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low"))
         # the smallest root seen by a root's members is the root's own new root
-        step = at.join(near, "node").select("node", "root", F.least("root", "low").alias("low"), "degree")
+        step = at.join(near, "node").select("node", "root", F.least("root", "low").alias("low"))
         hooks = step.where("low < root").groupBy(F.col("root").alias("node")).agg(F.min("low").alias("hook"))
-        new = step.select("node", F.col("low").alias("root"), (F.col("low") < F.col("root")).alias("moved"), "degree")
-        new = cut(new.join(hooks, "node", "left").select("node", F.least("root", F.coalesce("hook", "root")).alias("root"), "moved", "degree"))
-        members = new.groupBy("root").agg(F.count("*").alias("members"))
-        up = members.join(new.select(F.col("node").alias("root"), F.col("root").alias("upper")), "root")
-        new = attach(new, up, "root", "members", nodes, _own_key())
-        new = cut(new.select("node", F.least("root", F.coalesce("upper", "root")).alias("root"), (F.col("moved") | (F.col("upper") < F.col("root"))).alias("moved"), "degree"))
-        at = new.drop("moved")
+        new = step.select("node", F.col("low").alias("root"), (F.col("low") < F.col("root")).alias("moved"))
+        new = new.join(hooks, "node", "left").select("node", F.least("root", F.coalesce("hook", "root")).alias("root"), "moved")
+        up = new.select(F.col("node").alias("root"), F.col("root").alias("upper"))
+        new = cut(new.join(up, "root", "left").select("node", F.least("root", F.coalesce("upper", "root")).alias("root"), (F.col("moved") | (F.col("upper") < F.col("root"))).alias("moved")))
+        at = new.select("node", "root")
         if new.where("moved").isEmpty():
-            return at.select("node", "root")
+            return at
 
 
 def _decode(table: pa.Table) -> tuple[list[str], np.ndarray, list[np.ndarray], pa.Table]:
