@@ -6,6 +6,11 @@ keys; a group adds up what all batches sent and answers each batch with an array
 in the same order. A key that is in a third of all words comes at most once from
 a batch. P follows the size of the input, so that a group stays small.
 
+With more than FAN groups, batches times groups would grow with the square of the
+input. Then a batch sends to FAN lanes only, and each lane has two levels: the arrays of
+many batches are merged first, and what they merge to is dealt on into the lane's
+groups, in arrays that hold about EACH keys or more (`Fan`). Rows then grow as batches do.
+
 Rows are (bid, p, n, keys, vals, texts): bid names a batch. p >= 0: keys of group
 p with their values. p = TEXTS: the batch's own columns, packed.
 """
@@ -13,6 +18,7 @@ p with their values. p = TEXTS: the batch's own columns, packed.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +26,29 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from .words import mix
+
 U64 = np.uint64
 ROWS = "bid string, p int, n long, keys binary, vals binary, texts binary"
 ANSWER = "bid string, p int, vals binary"
 TEXTS, DONE = -1, -2
+FAN, EACH = 1024, 1000
+
+
+@dataclass(frozen=True)
+class Fan:
+    """How keys are dealt: into lanes, of which each has `fine` groups; `fold` batches are merged between the two."""
+
+    lanes: int
+    fine: int
+    fold: int
+
+    @staticmethod
+    def of(parts: int, keys: int, fan: int | None = None) -> Fan:
+        """For so many groups in all, and about so many distinct keys in a batch."""
+        lanes = min(parts, fan or FAN)
+        fine = -(-parts // lanes)
+        return Fan(lanes, fine, max(1, -(-lanes * fine * EACH // max(1, keys))))
 
 
 def pack(table: pa.Table | pa.RecordBatch) -> bytes:
@@ -107,7 +132,7 @@ def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarra
 
     def add(table: pa.Table) -> pa.Table:
         sizes, vals = table["n"].to_pylist(), table["vals"].to_pylist()
-        given = [bits(v, n) + np.int64(1) if value == "bit" else np.frombuffer(plain(v), value) for v, n in zip(vals, sizes, strict=True)]
+        given = [_values(v, n, value) for v, n in zip(vals, sizes, strict=True)]
         keys = np.concatenate([widen(k, width) for k in table["keys"].to_pylist()])
         _, inverse = np.unique(keys, return_inverse=True)
         sums = np.bincount(inverse, weights=np.concatenate(given).astype(np.float64)).astype(np.int64)
@@ -118,6 +143,58 @@ def totals(sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarra
     return sent.where("p >= 0").select("bid", "p", "n", "keys", "vals").groupBy("p").applyInArrow(add, ANSWER)
 
 
+def totals_by(fan: Fan, sent: DataFrame, value: str, answer: Callable[[np.ndarray], np.ndarray], width: int = 8) -> DataFrame:
+    """As `totals`, for keys that were dealt into the lanes of a fan: in two levels if these have groups of their own."""
+    if fan.fine == 1:
+        return totals(sent, value, answer, width)
+    numbered, answers = merged(fan, sent, value, width)
+    found = answers.withColumn("_p", F.split_part("bid", F.lit(":"), F.lit(1)).cast("int")).withColumn("_g", F.split_part("bid", F.lit(":"), F.lit(2)).cast("long"))
+
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("bid")
+        keys, inverse, _, cuts = _union(left, value, width)
+        order, at = _subgroups(keys, fan.fine)
+        first = left["p"][0].as_py() * fan.fine
+        sums = gathered(right.set_column(right.schema.get_field_index("p"), "p", pa.array(right["p"].to_numpy() - first, pa.int32())), order, at, lambda blob, n: np.frombuffer(plain(blob), np.int64), np.int64)
+        return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array([answer(x).tobytes() for x in np.split(sums[inverse], cuts)], pa.binary())})
+
+    return numbered.groupBy("p", "_g").cogroup(found.groupBy("_p", "_g")).applyInArrow(back, ANSWER)
+
+
+def merged(fan: Fan, sent: DataFrame, value: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of batches with the number of their merge (_g), and the sums over all merges, in the order of the keys that each merge sent on."""
+    batches = sent.where(F.col("p") == TEXTS).count()
+    groups = F.pmod(F.xxhash64("bid"), F.lit(max(1, -(-batches // fan.fold))))
+    numbered = sent.where("p >= 0").select("bid", "p", "n", "keys", "vals", groups.alias("_g"))
+
+    def merge(table: pa.Table) -> pa.Table:
+        keys, _, sums, _ = _union(table.sort_by("bid"), value, width)
+        order, at = _subgroups(keys, fan.fine)
+        p, g = table["p"][0].as_py(), table["_g"][0].as_py()
+        keys, sums = keys[order], sums[order]
+        return pa.Table.from_batches([rows(*((f"{p}:{g}", p * fan.fine + b, int(y - x), narrow(keys[x:y], width), pressed(sums[x:y].tobytes()), None) for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if y > x))])
+
+    on = numbered.groupBy("p", "_g").applyInArrow(merge, ROWS)
+    return numbered, totals(on, "int64", lambda sums: np.frombuffer(pressed(sums.tobytes()), np.uint8), width)
+
+
+def _union(table: pa.Table, value: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of several batches, where each sent key is among them, their sums, and where the batches begin."""
+    sent = [widen(k, width) for k in table["keys"].to_pylist()]
+    counts = [_values(v, n, value) for v, n in zip(table["vals"].to_pylist(), table["n"].to_pylist(), strict=True)]
+    keys, inverse = np.unique(np.concatenate(sent), return_inverse=True)
+    return keys, inverse, np.bincount(inverse, np.concatenate(counts).astype(np.float64)).astype(np.int64), np.cumsum([len(k) for k in sent])[:-1]
+
+
+def _subgroups(keys: np.ndarray, fine: int) -> tuple[np.ndarray, np.ndarray]:
+    return deal(mix(keys + U64(1)), fine)
+
+
+def _values(blob: bytes, n: int, value: str) -> np.ndarray:
+    """Counts that were sent; a bit says whether a key counts once or twice."""
+    return bits(blob, n) + np.int64(1) if value == "bit" else np.frombuffer(plain(blob), value)
+
+
 def many(sums: np.ndarray) -> np.ndarray:
     """An answer of one bit for each key: whether it was seen twice or more."""
     return np.packbits(sums >= 2)

@@ -18,7 +18,7 @@ of chance collisions stays below one at 100 TB.
 
 Defined results: null text has no words; a text shorter than the window keeps all
 of its words; repeated rows repeat each other, whatever their doc_id; other columns
-are not read; an empty table gives no rows.
+are not read, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -88,10 +88,12 @@ def _kept(w: Words, gone: np.ndarray, ids: pa.Array) -> pa.Table:
     return pa.table({"doc_id": ids.cast(pa.int64()), "n_words": pa.array(w.count, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20) -> DataFrame:
-    """Per row of docs (doc_id, text): how many words repeated windows cover, and the digest of the rest."""
-    parts = parts_for(docs)
+def remove_repeats(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20, fan: int | None = None) -> DataFrame:
+    """Per row of docs (doc_id, text): how many words repeated windows cover, and the digest of the rest. fan: the most groups that a batch sends to (see `scatter`)."""
+    dealt = scatter.Fan.of(parts_for(docs), batch_bytes // 30, fan)
+    parts = dealt.lanes
     docs = docs.select("doc_id", "text")
+
     def first(batches):
         bids = scatter.named()
         for chunk in chunks(batches, most=batch_bytes):
@@ -133,10 +135,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, batch_bytes: int = 4 << 20
         return _kept(w, cover(starts[seen[inverse]], window, len(w.hash)), table["doc_id"])
 
     sent = cut(docs.mapInArrow(first, scatter.ROWS))
-    twice = scatter.totals(sent, "bit", scatter.many, ANCHOR_BYTES)
+    twice = scatter.totals_by(dealt, sent, "bit", scatter.many, ANCHOR_BYTES)
     again = cut(scatter.meet(sent.where(f"p = {scatter.TEXTS}"), twice, second, scatter.ROWS))
     discard(sent)  # the rest reads `again` alone
-    found = scatter.totals(again, "bit", scatter.many)
+    found = scatter.totals_by(dealt, again, "bit", scatter.many)
     texts = again.where(f"p = {scatter.TEXTS}").select("bid", "vals", "texts")
     rest = texts.groupBy("bid").cogroup(found.groupBy("bid")).applyInArrow(third, RESULT)
     return rest.unionByName(scatter.done(again, RESULT))

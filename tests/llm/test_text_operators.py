@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import near_dups, substrings, winnowing, words as w
+from millrace.llm import near_dups, scatter, substrings, winnowing, words as w
 
 from . import brute
 
@@ -62,6 +62,35 @@ def test_repeated_passages(spark, window):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("window", [5, 35])
+def test_repeated_passages_in_two_levels(spark, window, monkeypatch):
+    """Few lanes, each with groups of its own, and merges of a few batches: the same rows."""
+    monkeypatch.setattr(scatter, "EACH", 20)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert scatter.Fan.of(8, 2000 // 30, 3) == scatter.Fan(3, 3, 3)
+    got, one = (substrings.remove_repeats(docs, window, batch_bytes=2000, fan=fan).collect() for fan in (3, None))
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, one), key=str)
+
+
+def test_rows_sent_grow_as_batches_do(spark):
+    """Of ten times the batches with ten times the groups, two levels send some ten times the rows, one level a hundred times."""
+
+    def sent(batches, groups):
+        fan = scatter.Fan.of(groups, 400, 8)
+        rng = np.random.default_rng(3)
+        rows = []
+        for b in range(batches):
+            keys = np.unique(rng.integers(0, 1 << 63, 400, np.uint64))
+            rows += [(f"0-{b}", scatter.TEXTS, 1, None, None, None), *scatter.send(f"0-{b}", keys, np.ones(len(keys), bool), keys, fan.lanes)]
+        frame = spark.createDataFrame(pa.Table.from_batches([scatter.rows(*rows)]))
+        _, answers = scatter.merged(fan, frame, "bit", 8)
+        return frame.where("p >= 0").count() + answers.count(), batches * groups
+
+    few, many = sent(20, 16), sent(200, 160)
+    assert many[0] <= 15 * few[0] and many[1] == 100 * few[1]
+
+
 @pytest.mark.parametrize("block", [winnowing.BLOCK_BYTES, 200])
 def test_decontamination(spark, block):
     rows = corpus()
