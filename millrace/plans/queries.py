@@ -195,16 +195,29 @@ def multiline_gate(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", gates.is_multiline(F.col("html")).alias("multiline"))
 
 
+#: Documents stand in for code of a language; one of them has no tag of its own.
+_CODE = {"en": "Python", "fr": "C", "de": "Java", "es": "Rust"}
+
+
 @query(r"""
-SELECT page_id, CASE WHEN regexp_matches(html, '(?s)```[a-zA-Z0-9+#.\-]*\n(.*?)```') THEN html ELSE
-  (CASE WHEN contains(lower(html), '<!doctype') THEN 'Here''s a complete, self-contained HTML page:' ELSE 'Here''s the HTML:' END) || chr(10) || chr(10) || '```html' || chr(10) || trim(html) || chr(10) || '```' END AS reply FROM pages
+WITH r AS (
+  SELECT doc_id * 2 AS row_id, text AS body, CASE lang WHEN 'en' THEN 'Here''s the Python solution:' WHEN 'fr' THEN 'Here''s the C solution:' WHEN 'de' THEN 'Here''s the Java solution:' END AS intro, CASE lang WHEN 'en' THEN 'python' WHEN 'fr' THEN 'c' WHEN 'de' THEN 'java' END AS tag FROM documents
+  UNION ALL SELECT page_id * 2 + 1, html, CASE WHEN contains(lower(html), '<!doctype') THEN 'Here''s a complete, self-contained HTML page:' ELSE 'Here''s the HTML:' END, 'html' FROM pages
+)
+SELECT row_id::BIGINT AS row_id, CASE WHEN tag IS NULL OR regexp_matches(body, '(?s)```[a-zA-Z0-9+#.\-]*\n(.*?)```') THEN body ELSE
+  intro || chr(10) || chr(10) || '```' || tag || chr(10) || regexp_replace(body, '^\s+|\s+$', '', 'g') || chr(10) || '```' END AS reply FROM r
 """)
 def fence_normalize(spark, sf_dir):
-    """Pages as assistant turns of web rows."""
+    """Documents as assistant turns of code rows, pages as those of web rows."""
     turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"), F.lit("string").alias("content_type"), F.lit(None).cast("array<struct<name:string,arguments:string>>").alias("tool_calls"))
-    rows = table(spark, sf_dir, "pages").select("page_id", F.array(turn("user", F.col("url")), turn("assistant", F.col("html"))).cast(MESSAGES).alias("messages"))
-    out = mix.normalized_messages(F.col("messages"), F.lit("web"), F.lit("HTML"))
-    return rows.select("page_id", out[1]["content"].alias("reply"))
+    lang = F.lit(None).cast("string")
+    for name, code in _CODE.items():
+        lang = F.when(F.col("lang") == name, code).otherwise(lang)
+    docs = table(spark, sf_dir, "documents").select((F.col("doc_id") * 2).alias("row_id"), F.lit("code").alias("kind"), lang.alias("lang"), F.lit("q").alias("ask"), F.col("text").alias("body"))
+    pages = table(spark, sf_dir, "pages").select((F.col("page_id") * 2 + 1).alias("row_id"), F.lit("web").alias("kind"), F.lit("HTML").alias("lang"), F.col("url").alias("ask"), F.col("html").alias("body"))
+    rows = docs.unionByName(pages).select("row_id", "kind", "lang", F.array(turn("user", F.col("ask")), turn("assistant", F.col("body"))).cast(MESSAGES).alias("messages"))
+    out = mix.normalized_messages(F.col("messages"), F.col("kind"), F.col("lang"))
+    return rows.select("row_id", out[1]["content"].alias("reply"))
 
 
 @query()
@@ -373,16 +386,18 @@ def rescued(spark, sf_dir):
     return evals.rescued(rows, "raw", "fixed")
 
 
-_KEYWORDS = ["the", "and", "les", "der", "que"]
-
-
-@query("""
-WITH h AS (SELECT (contains(lower(text), 'the')::INT + contains(lower(text), 'and')::INT + contains(lower(text), 'les')::INT + contains(lower(text), 'der')::INT + contains(lower(text), 'que')::INT) AS n FROM documents)
-SELECT sum(n)::BIGINT AS n_hit, (5 * count(*))::BIGINT AS n_needed, round(coalesce(sum(n) / nullif(5 * count(*), 0), 1.0), 6)::DOUBLE AS rate FROM h
+@query(r"""
+WITH k AS (SELECT row_number() OVER (ORDER BY item_id) - 1 AS item, list_sort(list_distinct(regexp_extract_all(lower(text), '[a-z]{4,}')))[1:5] AS ws FROM benchmark),
+h AS (SELECT len(list_filter(ws, lambda w: contains(lower(coalesce(text, '')), w))) AS n, len(ws) AS m FROM documents JOIN k ON item = doc_id % (SELECT count(*) FROM benchmark))
+SELECT sum(n)::BIGINT AS n_hit, sum(m)::BIGINT AS n_needed, round(coalesce(sum(n) / nullif(sum(m), 0), 1.0), 6)::DOUBLE AS rate FROM h
 """)
 def keyword_hits(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.col("text").alias("content"), F.array(*map(F.lit, _KEYWORDS)).alias("must_include"))
-    return evals.keyword_rate(evals.score_keywords(rows), "n_hit", "n_needed")
+    """Documents as replies to benchmark items, with words of the item as what they have to hold."""
+    bench = table(spark, sf_dir, "benchmark")
+    words = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0)))), 1, 5)
+    items = evals.ticks(bench, "item_id", 1).join(bench.select("item_id", words.alias("must_include")), "item_id").select((F.col("n") - 1).alias("item"), "must_include")
+    docs = table(spark, sf_dir, "documents").select(F.pmod("doc_id", F.lit(bench.count())).alias("item"), F.col("text").alias("content"))
+    return evals.keyword_rate(evals.score_keywords(docs.join(items, "item")), "n_hit", "n_needed")
 
 
 @query("""
