@@ -12,11 +12,13 @@ log10 probability of the text and its end; its code length is -score * log2(10)
 
 A context with the byte after it is a gram. Counts of grams come from all training
 texts: batches send their distinct grams with counts, groups by a hash of the gram
-add them up, and groups by the last two bytes of the context then hold whole
-subtrees of depth 2 and more. What lies above, 65,536 nodes at most whatever the
-corpus, is summed up at the driver and broadcast. Predictions go back to the
-batches by the same ways, as words' counts do (see `scatter`), so the model never
-meets in one place.
+add them up, and groups by the last three bytes of the context then hold whole
+subtrees of depth 3 and more: of five bytes, 2^24 grams at most, whatever the corpus.
+Nodes of depth 2 are summed by the last two bytes, in at most 65,536 lots of 255 nodes,
+and sent to the groups below them. What lies above, 65,536 nodes at most, is summed up at the
+driver and broadcast. Predictions go back to the batches by the same ways, as words'
+counts do, in two levels where there are many groups (see `scatter`), so the model
+never meets in one place and rows sent grow as batches do.
 
 Defined results: null text is empty and scored as its end alone; a null doc_id has
 no crc32, and is never held out; repeated rows count as often as they occur; other
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ DEPTH = 5
 #: Rows of grams are in groups numbered down from here, those of words up from 0.
 GRAMS = -10
 SUMS = "q int, p int, keys binary, vals binary"
+LEVEL = "q int, lot int, keys binary, vals binary"
 TOP = "key int, zeros double, ones double, below double"
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
@@ -142,30 +145,53 @@ class Top:
         self.kt0, self.own0 = (b0 + 0.5) / (a0 + b0 + 1), np.exp(math.log(0.5) + pe0 - np.logaddexp(math.log(0.5) + pe0, math.log(0.5) + under0))
 
 
-def top_parts(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-    """What the subtrees of these grams add to nodes of depth 1: key (last byte, node), zeros, ones, sum of log Pw below."""
-    parts = []
+class Second:
+    """The nodes of depth 2 that some grams visit, with their weights: keys (last two bytes, node), sorted, and zeros, ones and the sum of log Pw below of each."""
+
+    def __init__(self, keys: np.ndarray, sums: np.ndarray, depth: int):
+        a, b, below = sums
+        pe = log_pe(a, b)
+        self.keys, self.zeros, self.ones = keys, a, b
+        self.pw = pe if depth == 2 else np.logaddexp(math.log(0.5) + pe, math.log(0.5) + below)
+        self.kt, self.own, self.seen = (b + 0.5) / (a + b + 1), np.exp(math.log(0.5) + pe - self.pw), a + b > 0
+
+    def above(self) -> tuple[np.ndarray, np.ndarray]:
+        """What these add to nodes of depth 1: keys (last byte, node), and rows of zeros, ones, sum of log Pw below."""
+        return added(self.keys & U64(0xFFFF), np.stack([self.zeros, self.ones, self.pw]))
+
+
+def added(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the rows of sums added up for each."""
+    names, at = np.unique(keys, return_inverse=True)
+    return names, np.stack([np.bincount(at, x, len(names)) for x in sums])
+
+
+def second_parts(codes: np.ndarray, counts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the subtrees of these grams add to nodes of depth 2: keys (last two bytes, node), and rows of zeros, ones, sum of log Pw below."""
+    low, parts = min(3, depth), []
     for k in range(8):
-        nodes = Nodes(codes, counts, k, range(2, depth + 1))
-        pw, _ = nodes.weigh(2, depth)
-        key = nodes.key[2] & U64(0xFFFF)  # last byte of the context, node
-        names, at = np.unique(key, return_inverse=True)
-        parts.append((names.astype(np.int32), *(np.bincount(at, x, len(names)) for x in (*nodes.zeros_ones[2], pw[2]))))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        nodes = Nodes(codes, counts, k, range(low, depth + 1))
+        pw, _ = nodes.weigh(low, depth)
+        parts.append(added(nodes.key[low] & U64(0xFFFFFF), np.stack([*nodes.zeros_ones[low], pw[low]])))
+    return np.concatenate([n for n, _ in parts]), np.concatenate([x for _, x in parts], axis=1)
 
 
-def predictions(codes: np.ndarray, counts: np.ndarray, depth: int, top: Top) -> np.ndarray:
+def predictions(codes: np.ndarray, counts: np.ndarray, depth: int, second: Second, top: Top) -> np.ndarray:
     """The log10 probability of each gram's byte after its context."""
-    out = np.zeros(len(codes))
+    low, out = min(3, depth), np.zeros(len(codes))
     for k in range(8):
-        n = Nodes(codes, counts, k, range(2, depth + 1))
-        _, own = n.weigh(2, depth)
+        n = Nodes(codes, counts, k, range(low, depth + 1))
+        _, own = n.weigh(low, depth)
         value = n.kt[depth][n.at[depth]]
-        for d in range(depth - 1, 1, -1):
+        for d in range(depth - 1, low - 1, -1):
             kt, w = n.kt[d][n.at[d]], own[d][n.at[d]]
             value = np.where(n.seen[d + 1][n.at[d + 1]], w * kt + (1 - w) * value, kt)
-        key = (n.key[2] & U64(0xFFFF)).astype(np.int64)[n.at[2]]
-        value = np.where(n.seen[2][n.at[2]], top.own1[key] * top.kt1[key] + (1 - top.own1[key]) * value, top.kt1[key])
+        at = np.searchsorted(second.keys, n.key[low] & U64(0xFFFFFF))[n.at[low]]
+        if depth > 2:
+            kt, w = second.kt[at], second.own[at]
+            value = np.where(n.seen[3][n.at[3]], w * kt + (1 - w) * value, kt)
+        key = (second.keys[at] & U64(0xFFFF)).astype(np.int64)
+        value = np.where(second.seen[at], top.own1[key] * top.kt1[key] + (1 - top.own1[key]) * value, top.kt1[key])
         node = key & 255
         value = np.where(top.seen1[key], top.own0[node] * top.kt0[node] + (1 - top.own0[node]) * value, top.kt0[node])
         out += np.log10(np.where(n.ones, value, 1 - value))
@@ -184,13 +210,21 @@ def _distinct(w, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return keys, inverse, count.astype(np.int32)
 
 
-def _word_sums(table: pa.Table) -> pa.Table:
+def _word_sums(kind: str):
     """A group's counts of words over all batches, for each batch in the order in which it sent its words; and a row without a bid that holds in p how many words of the group training has."""
-    keys = [scatter.risen(k, 8) for k in table["keys"].to_pylist()]
-    _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.bincount(inverse, np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])).astype(np.int64)
-    back = [scatter.pressed(x.tobytes()) for x in np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])]
-    return pa.table({"bid": pa.array([*table["bid"].to_pylist(), None], pa.string()), "p": pa.array([*table["p"].to_pylist(), int((sums > 0).sum())], pa.int32()), "vals": pa.array([*back, None], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        keys = [scatter.risen(k, 8) for k in table["keys"].to_pylist()]
+        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(inverse, np.concatenate([np.frombuffer(scatter.plain(v), kind) for v in table["vals"].to_pylist()])).astype(np.int64)
+        back = [_write_sums(x) for x in np.split(sums[inverse], np.cumsum([len(k) for k in keys])[:-1])]
+        return pa.table({"bid": pa.array([*table["bid"].to_pylist(), None], pa.string()), "p": pa.array([*table["p"].to_pylist(), int((sums > 0).sum())], pa.int32()), "vals": pa.array([*back, None], pa.binary())})
+
+    return add
+
+
+def _write_sums(sums: np.ndarray) -> bytes:
+    return scatter.pressed(sums.tobytes())
 
 
 def _read_sums(blob: bytes, size: int) -> np.ndarray:
@@ -201,15 +235,15 @@ def _read_logs(blob: bytes, size: int) -> np.ndarray:
     return np.frombuffer(blob, np.float32)
 
 
-def _summed(parts: int, width: int):
-    """A group of grams from all batches as sums, dealt by the last two bytes of their contexts."""
+def _summed(parts: int, width: int, kind: str):
+    """A group of grams from all batches as sums, dealt by the last three bytes of their contexts."""
 
     def add(table: pa.Table) -> pa.Table:
         keys = np.concatenate([scatter.risen(k, width) for k in table["keys"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(scatter.plain(v), np.int32) for v in table["vals"].to_pylist()])
+        counts = np.concatenate([np.frombuffer(scatter.plain(v), kind) for v in table["vals"].to_pylist()])
         names, at = np.unique(keys, return_inverse=True)
         sums = np.bincount(at, counts, len(names))
-        lane = mix((names >> U64(8)) & U64(0xFFFF))
+        lane = mix((names >> U64(8)) & U64(0xFFFFFF))
         order, cuts = scatter.deal(lane, parts)
         names, sums = names[order], sums[order]
         found = [(q, table["p"][0].as_py(), names[x:y].tobytes(), sums[x:y].tobytes()) for q, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x]
@@ -224,17 +258,47 @@ def _subtree(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[int]]:
     return np.concatenate(keys), np.concatenate(vals), [len(k) for k in keys]
 
 
-def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
-    """For each batch and group of grams: their predictions, in the order in which the batch sent them."""
+def _level(found: list[tuple[int, int, np.ndarray, np.ndarray]]) -> pa.Table:
+    """Rows of LEVEL."""
+    q, lot, keys, sums = zip(*found, strict=True) if found else ([], [], [], [])
+    return pa.table({"q": pa.array(q, pa.int32()), "lot": pa.array(lot, pa.int32()), "keys": pa.array([x.tobytes() for x in keys], pa.binary()), "vals": pa.array([np.ascontiguousarray(x).tobytes() for x in sums], pa.binary())})
+
+
+def _of_level(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    keys = [np.frombuffer(x, U64) for x in table["keys"].to_pylist()]
+    return keys, [np.frombuffer(x, np.float64).reshape(3, -1) for x in table["vals"].to_pylist()]
+
+
+def gram_answers(rows: DataFrame, parts: int, depth: int, kind: str) -> DataFrame:
+    """For each batch (or merge of batches) and group of grams: their predictions, in the order in which they were sent. rows: bid, p, keys and counts (vals, of type `kind`)."""
     width = depth + 1
 
-    def tops(table: pa.Table) -> pa.Table:
+    def seconds(table: pa.Table) -> pa.Table:
+        """A group's parts of nodes of depth 2, by lots of the last two bytes."""
         codes, counts, _ = _subtree(table)
-        return pa.table(dict(zip(("key", "zeros", "ones", "below"), top_parts(codes, counts, depth), strict=True)))
-
-    def predict(table: pa.Table) -> pa.Table:
+        keys, sums = second_parts(codes, counts, depth)
+        order, cuts = scatter.deal(mix(keys >> U64(8)), parts)
+        keys, sums = keys[order], sums[:, order]
+        return _level([(table["q"][0].as_py(), lot, keys[x:y], sums[:, x:y]) for lot, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x])
+
+    def whole(table: pa.Table) -> pa.Table:
+        """A lot's nodes with all that groups know of them, for each group that asked; and for group -1 what they add to depth 1."""
+        keys, sums = _of_level(table)
+        names, total = added(np.concatenate(keys), np.concatenate(sums, axis=1))
+        lot = table["lot"][0].as_py()
+        out = [(q, lot, k, total[:, np.searchsorted(names, k)]) for q, k in zip(table["q"].to_pylist(), keys, strict=True)]
+        return _level([*out, (-1, lot, *Second(names, total, depth).above())])
+
+    def flat(batches):
+        for batch in batches:
+            for keys, sums in zip(*_of_level(batch), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), *(pa.array(x) for x in sums)], names=["key", "zeros", "ones", "below"])
+
+    def predict(table: pa.Table, level: pa.Table) -> pa.Table:
         codes, counts, sizes = _subtree(table)
-        logs = predictions(codes, counts, depth, top.value).astype(np.float32)
+        keys, sums = (np.concatenate(x, axis=-1) for x in _of_level(level))
+        order = np.argsort(keys)
+        logs = predictions(codes, counts, depth, Second(keys[order], sums[:, order], depth), top.value).astype(np.float32)
         return pa.table({"p": table["p"], "keys": table["keys"], "vals": pa.array([x.tobytes() for x in np.split(logs, np.cumsum(sizes)[:-1])], pa.binary())})
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -245,18 +309,29 @@ def gram_answers(sent: DataFrame, parts: int, depth: int) -> DataFrame:
         back = [logs[np.searchsorted(keys, scatter.risen(k, width))].tobytes() for k in left["keys"].to_pylist()]
         return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array(back, pa.binary())})
 
-    rows = sent.where(F.col("p") <= GRAMS).select("bid", "p", "keys", "vals")
-    sums = cut(rows.groupBy("p").applyInArrow(_summed(parts, width), SUMS))
+    rows = rows.select("bid", "p", "keys", "vals")
+    sums = cut(rows.groupBy("p").applyInArrow(_summed(parts, width, kind), SUMS))
+    level = cut(sums.groupBy("q").applyInArrow(seconds, LEVEL).groupBy("lot").applyInArrow(whole, LEVEL))
     # 65,536 nodes at most
-    found = sums.groupBy("q").applyInArrow(tops, TOP).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toPandas()
-    top = sent.sparkSession.sparkContext.broadcast(Top(found["key"].to_numpy(np.int64), *(found[c].to_numpy(float) for c in ("zeros", "ones", "below"))))
-    logs = sums.groupBy("q").applyInArrow(predict, "p int, keys binary, vals binary")
+    found = level.where("q < 0").mapInArrow(flat, TOP).groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zeros", "ones", "below"))).toPandas()
+    top = rows.sparkSession.sparkContext.broadcast(Top(found["key"].to_numpy(np.int64), *(found[c].to_numpy(float) for c in ("zeros", "ones", "below"))))
+    logs = sums.groupBy("q").cogroup(level.where("q >= 0").groupBy("q")).applyInArrow(predict, "p int, keys binary, vals binary")
     return rows.groupBy("p").cogroup(logs.groupBy("p")).applyInArrow(answer, scatter.ANSWER)
 
 
-def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 8 << 20) -> DataFrame:
-    """Per row of docs (doc_id, text): unigram and context-tree scores learned from rows that are not held out. depth: 2 to 7."""
-    parts, width = parts_for(docs), depth + 1
+def _levels(fan: scatter.Fan, sent: DataFrame, batches: int, width: int, read, kind, write) -> tuple[DataFrame, str, Callable[[DataFrame], DataFrame]]:
+    """The rows that are to be answered, of batches or of merges of them; the type of their counts; and how answers become those to batches."""
+    if fan.fine == 1:
+        return sent, "int32", lambda answers: answers
+    numbered, on = scatter.merged(fan, sent, "int32", width, True, batches)
+    return cut(on), "int64", lambda answers: scatter.sent_back(fan, numbered, answers, read, kind, write, width, True)
+
+
+def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth: int = DEPTH, batch_bytes: int = 8 << 20, fan: int | None = None) -> DataFrame:
+    """Per row of docs (doc_id, text): unigram and context-tree scores learned from rows that are not held out. depth: 2 to 7. fan: the most groups that a batch sends words or grams to (see `scatter`)."""
+    # a batch has about a word in 80 bytes, and a gram in 16, that it has not had before
+    (for_words, for_grams), width = (scatter.Fan.of(parts_for(docs), batch_bytes // each, fan) for each in (80, 16)), depth + 1
+    parts = for_words.lanes
 
     def first(batches):
         bids = scatter.named()
@@ -275,10 +350,14 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, depth
             yield scatter.rows(*out)
 
     sent = cut(docs.select("doc_id", "text").mapInArrow(first, scatter.ROWS))
-    known = cut(sent.where("p >= 0").select("bid", "p", "keys", "vals").groupBy("p").applyInArrow(_word_sums, scatter.ANSWER))
+    n, batches = sent.where(f"p = {scatter.TEXTS}").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    asked, kind, back = _levels(for_words, sent.where("p >= 0"), batches, 8, _read_sums, np.int64, _write_sums)
+    known = cut(asked.select("bid", "p", "keys", "vals").groupBy("p").applyInArrow(_word_sums(kind), scatter.ANSWER))
     v = known.where("bid IS NULL").agg(F.coalesce(F.sum("p"), F.lit(0))).first()[0]
-    n = sent.where(f"p = {scatter.TEXTS}").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    answers = known.where("bid IS NOT NULL").unionByName(gram_answers(sent, parts, depth))
+    answers = back(known.where("bid IS NOT NULL"))
+    asked, kind, back = _levels(for_grams, sent.where(F.col("p") <= GRAMS).withColumn("p", F.lit(GRAMS) - F.col("p")), batches, width, _read_logs, np.float32, np.ndarray.tobytes)
+    logs = back(gram_answers(asked, for_grams.lanes * for_grams.fine, depth, kind))
+    answers = answers.unionByName(logs.withColumn("p", F.lit(GRAMS) - F.col("p")))
 
     def last(bid: str, table: pa.Table, answer: pa.Table) -> pa.Table:
         held = _held(table["doc_id"], modulus, remainder)

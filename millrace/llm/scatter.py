@@ -147,43 +147,55 @@ def totals_by(fan: Fan, sent: DataFrame, value: str, answer: Callable[[np.ndarra
     """As `totals`, for keys that were dealt into the lanes of a fan: in two levels if these have groups of their own."""
     if fan.fine == 1:
         return totals(sent, value, answer, width)
-    numbered, answers = merged(fan, sent, value, width)
-    found = answers.withColumn("_p", F.split_part("bid", F.lit(":"), F.lit(1)).cast("int")).withColumn("_g", F.split_part("bid", F.lit(":"), F.lit(2)).cast("long"))
+    numbered, on = merged(fan, sent, value, width)
+    sums = totals(on, "int64", lambda x: np.frombuffer(pressed(x.tobytes()), np.uint8), width)
+    return sent_back(fan, numbered, sums, lambda blob, n: np.frombuffer(plain(blob), np.int64), np.int64, lambda x: answer(x).tobytes(), width)
 
-    def back(left: pa.Table, right: pa.Table) -> pa.Table:
-        left = left.sort_by("bid")
-        keys, inverse, _, cuts = _union(left, value, width)
-        order, at = _subgroups(keys, fan.fine)
-        first = left["p"][0].as_py() * fan.fine
-        sums = gathered(right.set_column(right.schema.get_field_index("p"), "p", pa.array(right["p"].to_numpy() - first, pa.int32())), order, at, lambda blob, n: np.frombuffer(plain(blob), np.int64), np.int64)
-        return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array([answer(x).tobytes() for x in np.split(sums[inverse], cuts)], pa.binary())})
-
-    return numbered.groupBy("p", "_g").cogroup(found.groupBy("_p", "_g")).applyInArrow(back, ANSWER)
 
+def merged(fan: Fan, sent: DataFrame, value: str, width: int, press: bool = False, batches: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of batches with the number of their merge (_g), and what the merges send on: rows like those of batches, with groups of fan.fine times as many numbers.
 
-def merged(fan: Fan, sent: DataFrame, value: str, width: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of batches with the number of their merge (_g), and the sums over all merges, in the order of the keys that each merge sent on."""
-    batches = sent.where(F.col("p") == TEXTS).count()
+    batches: how many there are, if `sent` holds no row of TEXTS for each.
+    """
+    if batches is None:
+        batches = sent.where(F.col("p") == TEXTS).count()
     groups = F.pmod(F.xxhash64("bid"), F.lit(max(1, -(-batches // fan.fold))))
     numbered = sent.where("p >= 0").select("bid", "p", "n", "keys", "vals", groups.alias("_g"))
+    coded = (lambda k: steps(k, width)) if press else (lambda k: narrow(k, width))
 
     def merge(table: pa.Table) -> pa.Table:
-        keys, _, sums, _ = _union(table.sort_by("bid"), value, width)
+        table = table.sort_by("bid")
+        keys, inverse, _ = _union(table, width, press)
+        counts = [_values(v, n, value) for v, n in zip(table["vals"].to_pylist(), table["n"].to_pylist(), strict=True)]
+        sums = np.bincount(inverse, np.concatenate(counts).astype(np.float64)).astype(np.int64)
         order, at = _subgroups(keys, fan.fine)
         p, g = table["p"][0].as_py(), table["_g"][0].as_py()
         keys, sums = keys[order], sums[order]
-        return pa.Table.from_batches([rows(*((f"{p}:{g}", p * fan.fine + b, int(y - x), narrow(keys[x:y], width), pressed(sums[x:y].tobytes()), None) for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if y > x))])
+        return pa.Table.from_batches([rows(*((f"{p}:{g}", p * fan.fine + b, int(y - x), coded(keys[x:y]), pressed(sums[x:y].tobytes()), None) for b, (x, y) in enumerate(zip(at, at[1:], strict=False)) if y > x))])
+
+    return numbered, numbered.groupBy("p", "_g").applyInArrow(merge, ROWS)
 
-    on = numbered.groupBy("p", "_g").applyInArrow(merge, ROWS)
-    return numbered, totals(on, "int64", lambda sums: np.frombuffer(pressed(sums.tobytes()), np.uint8), width)
+
+def sent_back(fan: Fan, numbered: DataFrame, answers: DataFrame, read: Callable[[bytes, int], np.ndarray], kind, write: Callable[[np.ndarray], bytes], width: int, press: bool = False) -> DataFrame:
+    """The answers to merges as answers to their batches. read, kind: how a merge's answer is read; write: how a batch's is written."""
+    found = answers.withColumn("_p", F.split_part("bid", F.lit(":"), F.lit(1)).cast("int")).withColumn("_g", F.split_part("bid", F.lit(":"), F.lit(2)).cast("long"))
+
+    def back(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("bid")
+        keys, inverse, cuts = _union(left, width, press)
+        order, at = _subgroups(keys, fan.fine)
+        first = left["p"][0].as_py() * fan.fine
+        told = gathered(right.set_column(right.schema.get_field_index("p"), "p", pa.array(right["p"].to_numpy() - first, pa.int32())), order, at, read, kind)
+        return pa.table({"bid": left["bid"], "p": left["p"], "vals": pa.array([write(x) for x in np.split(told[inverse], cuts)], pa.binary())})
+
+    return numbered.groupBy("p", "_g").cogroup(found.groupBy("_p", "_g")).applyInArrow(back, ANSWER)
 
 
-def _union(table: pa.Table, value: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys of several batches, where each sent key is among them, their sums, and where the batches begin."""
-    sent = [widen(k, width) for k in table["keys"].to_pylist()]
-    counts = [_values(v, n, value) for v, n in zip(table["vals"].to_pylist(), table["n"].to_pylist(), strict=True)]
+def _union(table: pa.Table, width: int, press: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of several batches, where each sent key is among them, and where the batches begin."""
+    sent = [risen(k, width) if press else widen(k, width) for k in table["keys"].to_pylist()]
     keys, inverse = np.unique(np.concatenate(sent), return_inverse=True)
-    return keys, inverse, np.bincount(inverse, np.concatenate(counts).astype(np.float64)).astype(np.int64), np.cumsum([len(k) for k in sent])[:-1]
+    return keys, inverse, np.cumsum([len(k) for k in sent])[:-1]
 
 
 def _subgroups(keys: np.ndarray, fine: int) -> tuple[np.ndarray, np.ndarray]:

@@ -432,6 +432,28 @@ def test_a_byte_is_told_by_the_fifth_byte_before_it(spark):
     assert all(got[i] > four[i] / 2 for i in got)
 
 
+def test_scores_in_two_levels(spark, monkeypatch):
+    """Few lanes, each with groups of its own, and merges of a few batches: the same rows."""
+    monkeypatch.setattr(ct.scatter, "EACH", 20)
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choices("abcd e", k=rng.randrange(300))), "en", "s", 1) for i in range(80)] + odd(100)
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    got, one = (sorted(ct.score_documents(docs, batch_bytes=1000, fan=fan).collect(), key=str) for fan in (3, None))
+    assert [r[:5] for r in got] == [r[:5] for r in one]
+    assert [x for r in got for x in r[5:]] == pytest.approx([x for r in one for x in r[5:]], rel=1e-6)
+
+
+def test_no_group_of_grams_holds_two_endings_of_a_common_pair():
+    # a third of all grams follow "e ": their subtrees go by the byte before, too
+    rng = np.random.default_rng(4)
+    codes = np.unique(rng.integers(0, 1 << 48, 20_000, np.uint64))
+    codes[::3] = (codes[::3] & ~np.uint64(0xFFFF00)) | np.uint64(0x652000)
+    codes = np.unique(codes)
+    table = pa.table({"p": pa.array([0], pa.int32()), "keys": [ct.scatter.steps(codes, 6)], "vals": [ct.scatter.pressed(np.ones(len(codes), np.int32).tobytes())]})
+    sizes = [len(k) // 8 for k in ct._summed(64, 6, "int32")(table)["keys"].to_pylist()]
+    assert sum(sizes) == len(codes) and max(sizes) < 2 * len(codes) / 64
+
+
 def test_sorted_keys_come_back_from_their_steps():
     keys = np.unique(np.random.default_rng(5).integers(0, 1 << 48, 1000, np.uint64))
     for k in (keys, keys[:1], np.array([0, 1, (1 << 48) - 1], np.uint64)):
@@ -445,10 +467,10 @@ def test_predictions_add_up_to_one():
     codes = np.union1d(code, every)
     counts = np.zeros(len(codes))
     counts[np.searchsorted(codes, code)] = n
-    key, *sums = ct.top_parts(codes, counts, 3)
-    names, at = np.unique(key, return_inverse=True)
-    top = ct.Top(names, *(np.bincount(at, x) for x in sums))
-    assert (10 ** ct.predictions(codes, counts, 3, top))[np.searchsorted(codes, every)].sum() == pytest.approx(1)
+    second = ct.Second(*ct.added(*ct.second_parts(codes, counts, 3)), 3)
+    key, sums = second.above()
+    top = ct.Top(key.astype(np.int64), *sums)
+    assert (10 ** ct.predictions(codes, counts, 3, second, top))[np.searchsorted(codes, every)].sum() == pytest.approx(1)
 
 
 def test_word_statistics(spark):

@@ -84,8 +84,8 @@ def test_rows_sent_grow_as_batches_do(spark):
             keys = np.unique(rng.integers(0, 1 << 63, 400, np.uint64))
             rows += [(f"0-{b}", scatter.TEXTS, 1, None, None, None), *scatter.send(f"0-{b}", keys, np.ones(len(keys), bool), keys, fan.lanes)]
         frame = spark.createDataFrame(pa.Table.from_batches([scatter.rows(*rows)]))
-        _, answers = scatter.merged(fan, frame, "bit", 8)
-        return frame.where("p >= 0").count() + answers.count(), batches * groups
+        _, on = scatter.merged(fan, frame, "bit", 8)
+        return frame.where("p >= 0").count() + on.count(), batches * groups
 
     few, many = sent(20, 16), sent(200, 160)
     assert many[0] <= 15 * few[0] and many[1] == 100 * few[1]
