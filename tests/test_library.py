@@ -2,13 +2,15 @@
 
 import json
 import random
+import time
 from datetime import datetime
+from html.parser import HTMLParser
 
 import duckdb
 import pytest
 from pyspark.sql import Row, functions as F
 
-from millrace.functions import calls, fuzzy, gates, text as tx, udfs
+from millrace.functions import calls, fuzzy, gates, markup, text as tx, udfs
 from millrace.operators import assemble as asm, dedup, evals, execgate, mix
 from millrace.plans import inline, queries as plans  # noqa: F401  (inline registers queries)
 from millrace.sources import records, sinks
@@ -110,6 +112,49 @@ def test_html_errors(html, hard):
     assert len(udfs.html_errors(html)) == hard
 
 
+@pytest.mark.parametrize("name", ["script", "style"])
+def test_html_that_ends_in_a_raw_element_has_an_error(name):
+    assert udfs.html_errors(f"<p>hi</p><{name}>var x = 1;") == [f"unclosed at end: {name}"]
+    assert udfs.html_errors(f"<{name}>if (a<b) '</p>'</{name.upper()} ><p>x") == []
+
+
+@pytest.mark.parametrize("piece", ["<script ", "<script>", "<a ", "<p>", "<div><p>", "<a b='", '<a b="', "<a b=", "<!--", "<!", "</", "<", "<b></i>", "</p>", "<br/ "])
+def test_html_errors_take_linear_time(piece):
+    def seconds(size):
+        text, began = piece * (size // len(piece)), time.process_time()
+        udfs.html_errors(text)
+        return time.process_time() - began
+
+    assert seconds(1_000_000) < 5 and seconds(1_000_000) < 40 * seconds(100_000) + 0.1
+
+
+class _Events(HTMLParser):
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        self.found.append(("open", tag))
+
+    def handle_startendtag(self, tag, attrs):
+        self.found.append(("empty", tag))
+
+    def handle_endtag(self, tag):
+        self.found.append(("close", tag))
+
+
+def test_scan_gives_what_the_standard_parser_gives_on_random_markup():
+    pieces = ["<p>", "</p>", "<div class='a>b'>", "</div>", "<b>", "</b>", "<br/>", "<br>", "<script>", "</script>", "<style>", "</style>", "text", "<!-- <p> -->", "<a href=x/>", "</a>", "< 3", "&amp;", '<img alt="<p>">', "<svg/>", "</SCRIPT >", "<!doctype html>", "<?x?>", "<x-y z>", "</x-y>", "</>", "\n", "<A HREF='q'>"]
+    draw = random.Random(5)
+    for _ in range(3000):
+        text = "".join(draw.choices(pieces, k=draw.randint(1, 14)))
+        parser = _Events()
+        parser.feed(text)
+        parser.close()
+        assert [(kind, name) for kind, name, _ in markup.scan(text) if kind != "text"] == parser.found, text
+
+
+
 def test_whole_documents_need_a_doctype(spark):
     assert one(spark, udfs.is_valid_html(F.col("a"), allow_fragment=False), "<p>x</p>") is False
     assert one(spark, udfs.is_valid_html(F.col("a"), allow_fragment=False), "<!doctype html><html></html>") is True
