@@ -8,17 +8,17 @@ would exceed 1, the cell is taken whole and the rest of the budget is spread ove
 the others. A document is sampled if a hash of its id is below its probability: the
 same documents at every run, on any cluster.
 
-The table of cells is raked where it is: as a DataFrame, with one sum per value
-of a dimension in each step; nothing of it comes to the driver but the largest
-deviation from the targets.
+A table of cells whose count is small is raked at the driver; a larger one as a
+DataFrame, with one sum per value of a dimension in each step.
 
 Defined results: null source, lang or text are values "null", "null" and an empty
 text; a document without words counts one token; a row without doc_id is sampled by
 a hash of its text, source and language; rows that are equal in what is hashed are
 taken or left together; target values without documents have no cells, and their
-share goes to the others in proportion; targets that no weights can meet at once (a
-value whose cells another dimension leaves out) end the sweeps once these stop
-closing in, with a warning that names the deviation; columns of docs that are named
+share goes to the others in proportion; where no weights meet all targets at once (a
+value whose cells another dimension leaves out), sweeps go on until the weights are
+at rest, and the column `deviation` and a warning say by how much a marginal is off;
+columns of docs that are named
 like those that `mix` adds give way (`sampled` keeps all); an empty table gives no rows.
 """
 
@@ -27,12 +27,18 @@ from __future__ import annotations
 import math
 import warnings
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .store import cut
 
 DIMS = ("source", "lang", "topic")
 TOLERANCE = 1e-4
+#: Weights are at rest once a sweep moves less than this of their sum, which is 1.
+REST = 1e-10
+#: A table of at most so many cells is raked at the driver; a larger one by sums and joins, with the same rules.
+FEW_CELLS = 50_000
 BROADCAST_CELLS = 100_000
 #: The part of all tokens that the sample is to hold.
 BUDGET = 0.8
@@ -57,29 +63,58 @@ def _shares(sums: DataFrame) -> DataFrame:
     return sums.select("value", (F.col("w") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
-    """cells (DIMS, tokens) with weights whose marginals are the targets (value, target); weights add up to 1. Sweeps go on until the marginals hold, or stop closing in."""
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, few: int = FEW_CELLS) -> DataFrame:
+    """cells (DIMS, tokens) with weights whose marginals are the targets (value, target), and the largest relative deviation from these; weights add up to 1.
+
+    Sweeps go on until the deviation is within the tolerance, or the weights are at
+    rest, which means that no weights meet all targets.
+    """
     at = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dim, target in targets.items():
         known = target.join(cells.select(F.col(dim).alias("value")).distinct(), "value")
         scaled = _shares(known.select("value", F.col("target").alias("w"))).withColumnRenamed("target", f"_{dim}")
         at = at.join(scaled.withColumnRenamed("value", dim), dim)
     at = cut(at)
+    at, off = (_swept_here if at.count() <= few else _swept)(at, list(targets), tolerance)
+    if off > tolerance:
+        warnings.warn(f"no weights meet the targets: the largest deviation of a marginal is {off:.3g}", stacklevel=2)
+    return at.drop(*(f"_{d}" for d in targets)).withColumn("deviation", F.lit(float(off)))
+
+
+def _swept_here(at: DataFrame, dims: list[str], tolerance: float) -> tuple[DataFrame, float]:
+    """Sweeps over a table of few cells at the driver."""
+    rows = at.toPandas()
+    codes = [pd.factorize(rows[d], use_na_sentinel=False)[0] for d in dims]
+    goals = [rows.groupby(code)[f"_{d}"].first().to_numpy() for code, d in zip(codes, dims, strict=True)]
+    weight = rows["weight"].to_numpy() / max(1.0, rows["weight"].sum())
+    off, moved = 0.0, math.inf if len(rows) else 0.0
+    while moved > REST:
+        before = weight
+        for code, goal in zip(codes, goals, strict=True):
+            sums = np.bincount(code, weight, len(goal))
+            weight = weight * np.divide(goal, sums, out=np.zeros_like(goal), where=sums > 0)[code]
+        off = max((float(np.abs(np.bincount(code, weight, len(goal)) / goal - 1).max()) for code, goal in zip(codes[:-1], goals[:-1], strict=True)), default=0.0)
+        if off <= tolerance:
+            break
+        moved = float(np.abs(weight - before).sum())
+    spark = at.sparkSession
+    return spark.createDataFrame(rows.assign(weight=weight), at.schema) if len(rows) else at, off
+
+
+def _swept(at: DataFrame, dims: list[str], tolerance: float) -> tuple[DataFrame, float]:
+    """Sweeps over a table of any size by sums and joins."""
     columns = at.columns
-    last = math.inf
+    total = at.agg(F.sum("weight")).first()[0]
+    at = at.withColumn("weight", F.col("weight") / F.lit(total))
     while True:
-        for dim in targets:
+        at = at.withColumn("_old", F.col("weight"))
+        for dim in dims:
             sums = at.groupBy(dim).agg(F.sum("weight").alias("_sum"))
-            at = at.join(sums, dim).withColumn("weight", F.col("weight") * F.col(f"_{dim}") / F.col("_sum")).select(columns)
+            at = at.join(sums, dim).withColumn("weight", F.when(F.col("_sum") > 0, F.col("weight") * F.col(f"_{dim}") / F.col("_sum")).otherwise(0.0)).select(*columns, "_old")
         at = cut(at)
-        off = _deviation(at, list(targets)) if len(targets) > 1 else 0.0
-        if off <= tolerance:
-            break
-        if off > 0.999 * last:
-            warnings.warn(f"raking stopped at a deviation of {off:.3g} from its targets", stacklevel=2)
-            break
-        last = off
-    return at.drop(*(f"_{d}" for d in targets))
+        off = _deviation(at, dims) if len(dims) > 1 else 0.0
+        if off <= tolerance or at.agg(F.sum(F.abs(F.col("weight") - F.col("_old")))).first()[0] <= REST:
+            return at.select(columns), off
 
 
 def _deviation(at: DataFrame, dims: list[str]) -> float:
@@ -106,14 +141,14 @@ def probabilities(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
-    """docs (doc_id, text, source, lang) with topic, tokens, weight, probability and selected. targets: (value, target) by dimension; where none is given, the corpus' own, tempered."""
+    """docs (doc_id, text, source, lang) with topic, tokens, weight, probability, deviation and selected. targets: (value, target) by dimension; where none is given, the corpus' own, tempered."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    own = ["topic", "tokens", "weight", "probability", "selected"]
+    own = ["topic", "tokens", "weight", "probability", "deviation", "selected"]
     docs = docs.drop(*(c for c in docs.columns if c.lower() in own))
     rows = docs.withColumns({"_source": F.coalesce("source", F.lit("null")), "_lang": F.coalesce("lang", F.lit("null")), "topic": topic(text), "tokens": F.greatest(F.regexp_count(text, F.lit(r"[^ \t-\r]+")), F.lit(1)).cast("long")})
     cells = cut(rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
     targets = targets or {d: tempered(cells, d, TEMPER[d]) for d in DIMS}
-    chances = probabilities(rake(cells, targets), budget).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("weight"), "probability")
+    chances = probabilities(rake(cells, targets), budget).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("weight"), "probability", "deviation")
     chances = cut(chances)
     if chances.count() <= BROADCAST_CELLS:  # beyond it, Spark shuffles both sides and splits hot cells
         chances = F.broadcast(chances)
@@ -133,4 +168,4 @@ def sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights, probabilities and the sample of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 9).alias("weight"), F.round("probability", 9).alias("probability"), "selected")
+    return mix(docs).select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 9).alias("weight"), F.round("probability", 9).alias("probability"), F.round("deviation", 9).alias("deviation"), "selected")

@@ -603,6 +603,38 @@ def test_targets_that_cannot_be_met_are_named(spark):
 # odd rows, columns with clashing names, empty tables
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+@pytest.mark.parametrize(
+    ("tokens", "source", "lang", "want"),
+    [
+        ((1, 10**6, 10**6, 1), (0.9, 0.1), (0.9, 0.1), (0.8, 0.1, 0.1, 0.0)),  # the deviation grows before it shrinks
+        ((10**6, 1, 1, 10**6), (0.9, 0.1), (0.9, 0.1), (0.9, 0.0, 0.0, 0.1)),
+        ((5, 3, 7, 1), (0.5, 0.5), (0.3, 0.7), None),
+    ],
+)
+def test_raking_meets_targets_that_can_be_met(spark, few, tokens, source, lang, want):
+    cells = spark.createDataFrame([(s, g, t) for (s, g), t in zip([("a", "x"), ("a", "y"), ("b", "x"), ("b", "y")], tokens, strict=True)], "source string, lang string, tokens long")
+    goal = lambda names, shares: spark.createDataFrame(list(zip(names, shares, strict=True)), "value string, target double")
+    rows = mixing.rake(cells, {"source": goal("ab", source), "lang": goal("xy", lang)}, few=few).collect()
+    weight = {(r.source, r.lang): r.weight for r in rows}
+    assert {r.deviation for r in rows} <= {rows[0].deviation} and rows[0].deviation <= mixing.TOLERANCE
+    for name, share in zip("ab", source, strict=True):
+        assert weight[name, "x"] + weight[name, "y"] == pytest.approx(share, rel=2e-4)
+    for name, share in zip("xy", lang, strict=True):
+        assert weight["a", name] + weight["b", name] == pytest.approx(share, rel=2e-4)
+    if want:
+        assert [weight["a", "x"], weight["a", "y"], weight["b", "x"], weight["b", "y"]] == pytest.approx(want, abs=1e-3)
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_raking_says_when_no_weights_meet_the_targets(spark, few):
+    cells = spark.createDataFrame([("a", "x", 5), ("b", "y", 5)], "source string, lang string, tokens long")
+    goal = lambda names, shares: spark.createDataFrame(list(zip(names, shares, strict=True)), "value string, target double")
+    with pytest.warns(UserWarning, match="no weights meet the targets"):
+        rows = mixing.rake(cells, {"source": goal("ab", (0.9, 0.1)), "lang": goal("xy", (0.5, 0.5))}, few=few).collect()
+    assert {round(r.deviation, 6) for r in rows} == {4.0} and sum(r.weight for r in rows) == pytest.approx(1)
+
+
 @pytest.mark.parametrize("run", [lambda d, lab: pii.find(d), lambda d, lab: toxicity.score_documents(d, lab), lambda d, lab: ct.score_documents(d), lambda d, lab: sharding.shard_documents(d), lambda d, lab: mixing.mix(d), lambda d, lab: dl.judge(d, lab)], ids=["pii", "toxicity", "tree", "sharding", "mixing", "rules"])
 def test_odd_rows_give_a_row_each(spark, run):
     lab = spark.createDataFrame([(0, 1, 0), (4, 0, 1), (None, 0, 1), (5, None, None)], "doc_id long, quality int, toxic int")
