@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.gates import all_match, has_tool_turn, hits, is_plain_prose, is_prose
 from ..functions.text import extract_code, has_fence
-from .dedup import before_sums
+from .ordering import numbered, running
 
 
 def pass_rates(df: DataFrame, by: str, passed: str = "pass") -> DataFrame:
@@ -15,27 +15,16 @@ def pass_rates(df: DataFrame, by: str, passed: str = "pass") -> DataFrame:
     return out.select(F.when(F.col("_all") == 1, "ALL").otherwise(F.coalesce(by, F.lit("?"))).alias(by), "passed", "total", F.round(F.col("passed") / F.col("total"), 6).alias("rate"))
 
 
-def running_rate(df: DataFrame, order: str, passed: str = "pass", span: int = 10_000) -> DataFrame:
-    """(order, n, rate): the pass rate of all rows up to each, by an integer order.
+def running_rate(df: DataFrame, order: str, passed: str = "pass", parts: int | None = None) -> DataFrame:
+    """(order, n, rate): the pass rate of all rows up to each, by an order of any type."""
+    rows = running(df.select(order, F.coalesce(F.col(passed).cast("long"), F.lit(0)).alias("_p")), order, sums=["_p"], parts=parts)
+    n = F.col("position") + 1
+    return rows.select(order, n.alias("n"), F.round(F.col("_p_upto") / n, 6).alias("rate"))
 
-    Rows are numbered within spans of the order, and a prefix sum over the spans'
-    totals is added: no task sorts the whole set.
-    """
-    rows = df.select(F.col(order).cast("long").alias(order), F.col(passed).cast("long").alias("_p")).withColumn("_span", F.floor(F.col(order) / span))
-    sums = before_sums(rows.groupBy("_span").agg(F.count("*").alias("_n"), F.sum("_p").alias("_s")), "_span", ["_n", "_s"])
-    here = Window.partitionBy("_span").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.withColumns({"_k": F.count("*").over(here), "_c": F.sum("_p").over(here)}).join(sums, "_span")
-    n = F.col("_n_before") + F.col("_k")
-    return out.select(order, n.alias("n"), F.round((F.col("_s_before") + F.col("_c")) / n, 6).alias("rate"))
-
-
-def ticks(df: DataFrame, order: str, every: int, span: int = 10_000) -> DataFrame:
-    """(order, n): each row whose number in a whole-number order is a multiple of `every`."""
-    rows = df.select(F.col(order).cast("long").alias(order)).withColumn("_span", F.floor(F.col(order) / span))
-    sums = before_sums(rows.groupBy("_span").agg(F.count("*").alias("_n")), "_span", ["_n"])
-    here = F.row_number().over(Window.partitionBy("_span").orderBy(order))
-    n = F.col("_n_before") + F.col("_k")
-    return rows.withColumn("_k", here).join(sums, "_span").select(order, n.alias("n")).where(F.col("n") % every == 0)
+
+def ticks(df: DataFrame, order: str, every: int, parts: int | None = None) -> DataFrame:
+    """(order, n): each row whose number in an order of any type is a multiple of `every`."""
+    return numbered(df.select(order), order, parts=parts).select(order, (F.col("position") + 1).alias("n")).where(F.col("n") % every == 0)
 
 
 def gate_counters(df: DataFrame, gate: Column) -> DataFrame:

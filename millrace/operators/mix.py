@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.gates import has_tool_turn
 from ..functions.text import as_fenced_reply, has_fence, strip
+from ..sources.sinks import write_jsonl
+from .ordering import in_order, numbered
 
 #: The tag of a fence by language.
 FENCES = {"Python": "python", "C": "c", "Java": "java", "HTML": "html", "html": "html", "python": "python", "c": "c", "java": "java"}
@@ -29,6 +31,16 @@ def shuffle_key(seed: int, key: Column) -> Column:
     return F.sha2(F.concat(F.lit(f"{seed}:"), key.cast("string")), 256)
 
 
+def shuffled(df: DataFrame, key: str, seed: int = 3407, parts: int | None = None) -> DataFrame:
+    """df with its `position` in the seeded order: a permutation of all rows that depends on their keys alone."""
+    return numbered(df, shuffle_key(seed, F.col(key)), parts=parts)
+
+
+def write_shuffled(df: DataFrame, key: str, path: str, seed: int = 3407, parts: int | None = None) -> None:
+    """Write df as JSON lines in the seeded order: files by name, and lines within them, follow it."""
+    write_jsonl(in_order(shuffled(df, key, seed, parts), "position", parts).drop("position"), path)
+
+
 def smallest(df: DataFrame, by: list[str], key: Column, order: str, wanted: DataFrame, digits: int) -> DataFrame:
     """Of each group of `by`, the first `_k` rows (of wanted: by, _k) in the order of a hexadecimal key, then of `order`.
 

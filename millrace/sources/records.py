@@ -12,18 +12,38 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.gates import row_ok
+from ..operators.ordering import running
 from ..functions.text import strict_json
 
 CALLS = "array<struct<name:string,arguments:string>>"
 MESSAGES = f"array<struct<role:string,content:string,content_type:string,tool_calls:{CALLS}>>"
 RECORD = f"row_id bigint, src string, raw string, messages {MESSAGES}, kind string, lang string, task string, difficulty string, tests string, domain string, topic string, style string, mtype string, needs_tool boolean, img boolean, issues array<string>, tools_spec string"
+#: A table of at most so many pieces of files (of 128 MB, as a rule) is broadcast; a larger one is joined by a shuffle.
+BROADCAST_PIECES = 100_000
 TEXTS = ["kind", "lang", "task", "difficulty", "domain", "topic", "style", "mtype"]
 
 
 def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines that are not blank (value), with their file and a number that follows file and line order."""
-    raw = spark.read.text(path).withColumn("src", F.input_file_name())
-    return raw.withColumn("row_id", F.monotonically_increasing_id()).where("trim(value) <> ''")
+    """Lines that are not blank (value), with their file (src) and their number in a sequential read (row_id), blank lines counted.
+
+    Paths are read in the order given, files of a folder by name. Spark cuts files and
+    packs the pieces by size, so a line's number comes from its piece: lines of a piece
+    are in order, a first pass counts them, and the counts of all pieces before are
+    added up. Both passes have to cut files alike; a piece that the first pass did not
+    see is an error.
+    """
+    paths = [path] if isinstance(path, str) else path
+    read = lambda at, p: spark.read.text(p).select("value", F.lit(at).alias("_at"), F.col("_metadata.file_path").alias("src"), F.col("_metadata.file_block_start").alias("_start"))
+    raw = functools.reduce(DataFrame.unionAll, [read(at, p) for at, p in enumerate(paths)]).withColumn("_id", F.monotonically_increasing_id())
+    raw = raw.withColumn("_task", F.shiftright("_id", 33))
+    piece = ["_at", "src", "_start", "_task"]
+    pieces = raw.groupBy(*piece).agg(F.min("_id").alias("_first"), F.count("*").alias("_lines"))
+    placed = running(pieces, "_at", "src", "_start", sums=["_lines"]).select(*piece, "_first", (F.col("_lines_upto") - F.col("_lines")).alias("_before"))
+    if placed.count() <= BROADCAST_PIECES:
+        placed = F.broadcast(placed)
+    number = F.col("_before") + F.col("_id") - F.col("_first")
+    found = raw.join(placed, piece, "left").withColumn("row_id", F.coalesce(number, F.raise_error(F.lit("files were cut differently in the second pass")).cast("long")))
+    return found.where("trim(value) <> ''").select("value", "src", "row_id")
 
 
 def optional_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -37,10 +57,13 @@ def optional_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_existing(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Lines of the first path of several that has any."""
+    """Lines of the first path of several that is there, even if it is empty; none if none is."""
     for path in paths:
-        if not (found := optional_lines(spark, path)).isEmpty():
-            return found
+        try:
+            return lines(spark, path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return optional_lines(spark, paths[-1])
 
 

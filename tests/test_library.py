@@ -459,7 +459,7 @@ def test_augmentation(spark):
 def test_evaluation(spark):
     df = spark.createDataFrame([(0, "C", True), (1, "C", False), (2, "Py", True)], "id long, lang string, pass boolean")
     assert {r.lang: (r.passed, r.total) for r in evals.pass_rates(df, "lang").collect()} == {"C": (1, 2), "Py": (1, 1), "ALL": (2, 3)}
-    assert [r.rate for r in evals.running_rate(df, "id", "pass", span=2).orderBy("id").collect()] == [1.0, 0.5, 0.666667]
+    assert [r.rate for r in evals.running_rate(df, "id", "pass", parts=2).orderBy("id").collect()] == [1.0, 0.5, 0.666667]
     for n, want in ((1, (0, 0, 0)), (2, (1, 1, 1)), (20, (10, 19, 19)), (21, (10, 19, 20))):
         r = evals.exact_percentiles(spark.range(n), "id", {"p50": 0.5, "p95": 0.95}).first()
         assert (r.p50, r.p95, r.max) == want

@@ -1,0 +1,85 @@
+"""Global orders: positions and running sums, lines of files, seeded shuffles as written order."""
+
+import random
+from itertools import accumulate
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import evals, mix, ordering
+from millrace.sources import records
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+@pytest.mark.parametrize("parts", [1, 9])
+def test_positions_and_running_sums_for_keys_of_any_type(spark, kind, parts):
+    draw = random.Random(parts)
+    values = [draw.choice([None, 7, draw.randrange(-(10**15), 10**15), draw.randrange(50)]) for _ in range(500)]
+    df = spark.createDataFrame([(v, i, draw.choice([None, 1, 2])) for i, v in enumerate(values)], "k long, i int, w long").withColumn("k", F.col("k").cast(kind))
+    rows = ordering.running(df.repartition(7), "k", sums=["w"], parts=parts).orderBy("position").collect()
+    assert [r.position for r in rows] == list(range(500))
+    assert [r.k for r in rows] == sorted((r.k for r in rows), key=lambda k: (k is not None, k))
+    assert [r.w_upto for r in rows] == list(accumulate(r.w or 0 for r in rows)) and sorted(r.i for r in rows) == list(range(500))
+    assert ordering.numbered(df.where("false"), "k").collect() == []
+
+
+def test_a_key_of_a_third_of_all_rows_is_spread(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    at, _ = ordering._dealt(df, ("k",), 30)
+    assert max(r["count"] for r in at.groupBy("_part").count().collect()) < 400
+
+
+def test_no_window_without_partitions(spark):
+    df = spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), (F.col("id") % 2 == 0).alias("pass"))
+    for out in (evals.running_rate(df, "k"), evals.ticks(df, "k", 10), ordering.numbered(df, "k")):
+        assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = {r.k: (r.n, r.rate) for r in evals.running_rate(df, "k").collect()}
+    hits = 0
+    for n, (k, ok) in enumerate(sorted((r.k, r["pass"]) for r in df.collect()), 1):
+        hits += ok
+        assert rows[k] == (n, pytest.approx(hits / n, abs=6e-7))
+    assert sorted(r.n for r in evals.ticks(df, "k", 10).collect()) == list(range(10, 1001, 10))
+
+
+@pytest.mark.parametrize("cut", ["128m", "64"])
+def test_lines_are_numbered_as_a_sequential_read(spark, tmp_path, cut):
+    draw = random.Random(3)
+    files = {"z.jsonl": 1, "a.jsonl": 5, "m.jsonl": 400, "dir/part-1": 3, "dir/part-0": 70, "empty": 0}
+    (tmp_path / "dir").mkdir()
+    text = {name: [draw.choice(["", f"{name} {i} " + "x" * draw.randrange(40)]) if i else f"{name} first" for i in range(n)] for name, n in files.items()}
+    for name, rows in text.items():
+        (tmp_path / name).write_text("\n".join(rows) + ("\n" if draw.random() < 0.5 and rows else ""))
+    order = ["z.jsonl", "m.jsonl", "dir", "empty", "a.jsonl", "z.jsonl"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+    try:
+        found = records.lines(spark, [str(tmp_path / o) for o in order])
+        got = {r.row_id: r.value for r in found.repartition(5).collect()}
+        assert [r.value for r in records.head(found, 2).collect()] == ["z.jsonl first", "m.jsonl first"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    seen = [r for o in order for r in _sequential(tmp_path / o)]
+    assert got == {i: r for i, r in enumerate(seen) if r.strip()}
+
+
+def _sequential(path):
+    files = sorted(path.iterdir()) if path.is_dir() else [path]
+    return [line.rstrip("\n") for f in files for line in f.open()]
+
+
+def test_first_existing_takes_an_empty_file(spark, tmp_path):
+    (tmp_path / "a").write_text("")
+    (tmp_path / "b").write_text("{}\n")
+    assert records.first_existing(spark, [str(tmp_path / x) for x in ("none", "a", "b")]).count() == 0
+    assert records.first_existing(spark, [str(tmp_path / x) for x in ("none", "b", "a")]).count() == 1
+    assert records.first_existing(spark, [str(tmp_path / x) for x in ("none", "nor")]).count() == 0
+
+
+def test_a_seeded_shuffle_is_a_written_order(spark, tmp_path):
+    df = spark.range(200).select(F.col("id").alias("row_id"))
+    one = mix.shuffled(df, "row_id", 3407)
+    ids = [r.row_id for r in one.orderBy("position").collect()]
+    assert sorted(ids) == list(range(200)) and ids != sorted(ids)
+    assert ids == [r.row_id for r in mix.shuffled(df.repartition(9), "row_id", 3407).orderBy("position").collect()] != [r.row_id for r in mix.shuffled(df, "row_id", 1).orderBy("position").collect()]
+    mix.write_shuffled(df, "row_id", str(tmp_path / "out"), 3407)
+    assert [r.value for r in records.lines(spark, str(tmp_path / "out")).orderBy("row_id").collect()] == [f'{{"row_id":{i}}}' for i in ids]
