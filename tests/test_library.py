@@ -7,6 +7,7 @@ from datetime import datetime
 from html.parser import HTMLParser
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import Row, functions as F
 
@@ -358,6 +359,53 @@ def test_window_dedup_replays_the_sequential_rule(spark):
     assert [r.verdict for r in dedup.window_dedup(rows, "id", window=1).orderBy("id").collect()] == ["kept", "near", "kept", "kept"]
 
 
+def sequential(texts, window):
+    """(verdicts) of the rule, one row after the other."""
+    kept, last, out = set(), [], []
+    for t in texts:
+        key = " ".join((t or "").split())
+        v = "empty" if not key else "exact" if key in kept else "near" if any(udfs.token_set_ratio(key, k) >= 92 for k in last[-window:]) else "kept"
+        out.append(v)
+        if v == "kept":
+            kept.add(key)
+            last.append(key)
+    return out
+
+
+@pytest.mark.parametrize(("seed", "window", "few", "chunk"), [(1, 1, 10**6, 1), (2, 5, 10**6, 1), (3, 40, 10**6, 1), (4, 20, 0, 12)])
+def test_window_dedup_equals_the_replay_on_random_texts(spark, seed, window, few, chunk, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    draw = random.Random(seed)
+    words = [draw.choice("abcdefgh") * draw.randint(2, 9) for _ in range(9)]
+    texts = [" ".join(draw.choices(words, k=draw.randint(0, 4))) for _ in range(60)] + [None, ""]
+    texts += [f"{words[0]} {words[1]} {draw.choice(['x', 'y', 'z'])}" for _ in range(20)] + texts[:20]
+    rows = spark.createDataFrame([(f"{i:05d}", t) for i, t in enumerate(texts)], "id string, text string")
+    got = [r.verdict for r in dedup.window_dedup(rows, "id", window=window, few=few, chunk=chunk).orderBy("id").collect()]
+    assert got == sequential(texts, window) and {"kept", "near", "exact", "empty"} == set(got)
+
+
+def test_window_dedup_is_dealt_by_blocks_and_settles_without_texts(spark):
+    rows = spark.createDataFrame([(i, f"word{i} other{i}") for i in range(50)], "id long, text string")
+    plan = dedup.window_dedup(rows, "id", few=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "FlatMapGroupsInPandas" not in plan
+    assert dedup.window_dedup(rows.where("false"), "id").collect() == []
+
+
+def test_near_pairs_equal_all_pairs_on_random_texts(monkeypatch):
+    monkeypatch.setattr(fuzzy, "COLUMNS", 5)
+    draw = random.Random(8)
+    words = ["".join(draw.choices("abcd", k=draw.randint(1, 12))) for _ in range(30)]
+    near = []
+    for _ in range(60):
+        base = draw.choices(words, k=draw.randint(1, 9))
+        near.append(" ".join(base))
+        near.append(" ".join(w if draw.random() < 0.8 else w[:-1] + draw.choice("abcd") for w in base))
+    sets = [udfs.token_set(t) for t in [*near, ""]]
+    allowed = np.array([[(i + j) % 5 > 0 for j in range(len(sets))] for i in range(len(sets))])
+    want = {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if allowed[i, j] and udfs.token_sets_ratio(a, b) >= 92}
+    assert set(zip(*(x.tolist() for x in fuzzy.near_pairs(sets, sets, 92.0, allowed)), strict=True)) == want and len(want) > 150
+
+
 def test_near_links_count_the_rows_before(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(rng.randint(0, 4))) for _ in range(120)]
@@ -373,7 +421,7 @@ def test_near_links_count_the_rows_before(spark):
     for n, (i, key) in enumerate(kept):
         found = [j for j, other in kept[max(0, n - 9) : n] if udfs.token_set_ratio(key, other) >= 92]
         want[i] = (len(found), found[0] if found else None)
-    got = {r.id: (r.n_near, r.first_near) for r in dedup.near_links(rows, "id", window=9, span=37).collect()}
+    got = {r.id: (r.n_near, r.first_near) for r in dedup.near_links(rows, "id", window=9).collect()}
     assert got == want and any(n > 1 for n, _ in want.values())
     assert dedup.near_links(rows.limit(0), "id").count() == 0
 
