@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+import time
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 STATUS = "key string, sample timestamp, total long, flat long, status string"
 
 
@@ -91,3 +94,89 @@ def producers(streams: list[DataFrame]) -> DataFrame:
 def first_seen(lines: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """A stream without repeats of a key within the watermark, so that state is bounded."""
     return lines.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+
+
+class _Once(StatefulProcessor):
+    """Lets the first row of a key through; keys of the initial state are known already."""
+
+    def __init__(self, columns: list[str]):
+        self.columns = columns
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.known = handle.getValueState("known", "yes boolean")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.known.update((True,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            if not self.known.exists() and len(frame):
+                self.known.update((True,))
+                yield frame[self.columns].head(1)
+
+    def close(self) -> None:
+        pass
+
+
+def unseen(lines: DataFrame, key: str, earlier: DataFrame | None = None) -> DataFrame:
+    """A stream of rows whose key came neither earlier in this stream nor in what was written before (earlier: a frame with the key).
+
+    A key is remembered for good, in the state store on disk (RocksDB; the session is set
+    to it where it has another). State begins with the earlier keys, which are
+    read at the first start of a checkpoint only.
+    """
+    spark = lines.sparkSession
+    if "RocksDB" not in spark.conf.get(_STORE, ""):
+        spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    known = earlier.select(key).where(F.col(key).isNotNull()).distinct().groupBy(key) if earlier is not None else None
+    return lines.groupBy(key).transformWithStateInPandas(_Once(lines.columns), lines.schema, "append", "None", initialState=known)
+
+
+class _Counts(StreamingQueryListener):
+    """Sums what a query's observation counts, and stops the query once enough rows are kept."""
+
+    def __init__(self, name: str, target: int | None):
+        self.name, self.target = name, target
+        self.total: dict[str, int] = {}
+        self.batches: set[int] = set()
+        self.ids: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        if row is None or event.progress.batchId in self.batches:
+            return
+        self.batches.add(event.progress.batchId)
+        for field, n in row.asDict().items():
+            self.total[field] = self.total.get(field, 0) + (n or 0)
+        if self.target is not None and self.total.get("kept", 0) >= self.target:
+            self.ids.add(str(event.progress.id))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def counted_stream(lines: DataFrame, gate: Column, name: str = "gate", target: int | None = None) -> tuple[DataFrame, _Counts]:
+    """The rows of a stream that a gate keeps, and a listener whose `total` sums seen, kept and rejected over the batches of this run.
+
+    With a target the listener's `ids` names the query once so many rows are kept:
+    `run_counted` stops it then.
+    """
+    ok = F.coalesce(gate, F.lit(False))
+    listener = _Counts(name, target)
+    lines.sparkSession.streams.addListener(listener)
+    return lines.observe(name, F.count(F.lit(1)).alias("seen"), F.count_if(ok).alias("kept"), F.count_if(~ok).alias("rejected")).where(ok), listener
+
+
+def run_counted(query, listener: _Counts, seconds: float = 60.0) -> dict[str, int]:
+    """Wait until a query of `counted_stream` ends, reaches its target or the time is up; its counters."""
+    end = time.monotonic() + seconds
+    while query.isActive and str(query.id) not in listener.ids and time.monotonic() < end:
+        query.awaitTermination(0.2)
+    query.stop()
+    return dict(listener.total)

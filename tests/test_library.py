@@ -576,7 +576,7 @@ def test_execution_is_opt_in(spark):
     ],
 )
 def test_interactive_programs(code, any_traceback, want):
-    assert execgate.runs_ok(code, timeout=1.5, any_traceback=any_traceback) == want
+    assert execgate.runs_ok(code, "7\nadd\n", 1.5, any_traceback, {"numbers.txt": "4\n8\n"}) == want
 
 
 def test_smoke_of_a_frame(spark):
@@ -584,7 +584,7 @@ def test_smoke_of_a_frame(spark):
     assert {r.row_id: r.ok for r in got} == {1: True, 2: True, 3: False}
 
 
-def test_includes_are_fixed_round_by_round():
+def test_includes_are_fixed_round_by_round_over_a_frame(spark):
     """A compiler that asks for one header at a time, and never for more than it knows."""
     needs = [("strlen", "string.h"), ("bool", "stdbool.h"), ("zig", None)]
 
@@ -594,10 +594,41 @@ def test_includes_are_fixed_round_by_round():
                 return "COMPILE_FAIL", f"unknown type name '{symbol}'" if symbol == "bool" else f"'{symbol}' undeclared" + (f"; is defined in header '<{header}>'" if header else "")
         return "PASS", ""
 
-    assert execgate.fix_includes("bool f = strlen(x);", build=build) == "#include <stdbool.h>\n#include <string.h>\nbool f = strlen(x);"
-    assert execgate.fix_includes("zig; strlen(x)", build=build) == "#include <string.h>\nzig; strlen(x)"  # alone, without linking
-    assert execgate.fix_includes("strlen(x)", "zig()", build=build) == "#include <string.h>\nstrlen(x)"  # nothing new is asked for
-    assert execgate.fix_includes("int x;", build=build) == "int x;"
+    rows = [(1, "bool f = strlen(x);", None), (2, "zig; strlen(x)", ""), (3, "strlen(x)", "zig()"), (4, "int x;", None), (5, None, None)]
+    df = spark.createDataFrame(rows, "row_id long, solution string, tests string")
+    with pytest.raises(execgate.NotAllowed):
+        execgate.fix_includes(df)
+    found = execgate.fix_includes(df, execgate.include_rounds(build), enabled=True)
+    assert {r.row_id: (r.raw, r.fixed, r.rounds, r.headers, r.source) for r in found.collect()} == {
+        1: (False, True, 2, ["stdbool.h", "string.h"], "#include <stdbool.h>\n#include <string.h>\nbool f = strlen(x);"),
+        2: (False, True, 1, ["string.h"], "#include <string.h>\nzig; strlen(x)"),  # alone, without linking
+        3: (False, False, 1, ["string.h"], "#include <string.h>\nstrlen(x)"),  # nothing new is asked for
+        4: (True, True, 0, [], "int x;"), 5: (True, True, 0, [], ""),
+    }
+    assert evals.rescued(found, "raw", "fixed").first().asDict() == {"n_raw": 2, "n_fixed": 4, "n_rescued": 2, "n_gain": 2}
+    assert execgate.fix_includes(df, execgate.include_rounds(build, rounds=1), enabled=True).where("fixed").count() == 3
+
+
+def test_programs_end_with_all_that_they_started(tmp_path):
+    mark = tmp_path / "mark"
+    child = f"import time, pathlib; time.sleep(1.5); pathlib.Path({str(mark)!r}).write_text('late')"
+    began = time.monotonic()
+    assert execgate.run_python(f"import subprocess, sys, time\nsubprocess.Popen([sys.executable, '-c', {child!r}])\ntime.sleep(30)", timeout=0.7)[0] == "TIMEOUT"
+    assert execgate.run_python(f"import subprocess, sys\nsubprocess.Popen([sys.executable, '-c', {child!r}])", timeout=5)[0] == "PASS"
+    assert time.monotonic() - began < 5
+    time.sleep(2)
+    assert not mark.exists()
+    assert execgate.run_python("x = bytearray(8 << 30)", timeout=5)[0] == "FAIL"
+    assert execgate.run_python("open('f', 'wb').write(b'0' * (80 << 20))", timeout=5)[0] == "FAIL"
+    assert execgate.run_python("print('x' * (1 << 22))", timeout=5)[0] == "PASS"
+
+
+def test_programs_of_a_frame_run_once_and_in_many_tasks(spark, tmp_path):
+    code = f"import os\nopen({str(tmp_path)!r} + f'/{{os.getpid()}}', 'w')"
+    df = spark.createDataFrame([(i, "Python", code, "") for i in range(8)], "row_id long, lang string, solution string, tests string").coalesce(1)
+    found = execgate.verify(df, enabled=True)
+    assert found.rdd.getNumPartitions() >= 4
+    assert found.where("status = 'PASS'").count() == found.join(df, "row_id").count() == 8 == len(list(tmp_path.iterdir()))
 
 
 @pytest.mark.skipif(execgate.compile_c("int main(void){return 0;}")[0] != "PASS", reason="no working C compiler")
@@ -605,7 +636,8 @@ def test_execution_of_c():
     assert execgate.compile_c("int f(void){return 1;} int main(void){return f()-1;}")[0] == "PASS"
     assert execgate.compile_c("int f(void){return 1;}", run=False)[0] == "PASS"
     assert execgate.compile_c("int main(void){return x;}")[0] == "COMPILE_FAIL" and execgate.compile_c("int main(void){return 3;}")[0] == "RUNTIME_FAIL"
-    assert execgate.compile_c(execgate.fix_includes("int main(void){ size_t n = 0; bool b = true; return (int)n + !b + (NULL != 0); }"))[0] == "PASS"
+    (*_, last) = execgate.include_rounds().func().eval("int main(void){ size_t n = 0; bool b = true; return (int)n + !b + (NULL != 0); }", "")
+    assert last[1] == "PASS"
 
 
 def test_gates_counted_beside_their_rows(spark):
