@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.gates import all_match, has_tool_turn, hits, is_plain_prose, is_prose
 from ..functions.text import extract_code, has_fence
@@ -68,17 +68,47 @@ def rescued(df: DataFrame, raw: str, fixed: str) -> DataFrame:
     return df.agg(F.count_if(raw).alias("n_raw"), F.count_if(fixed).alias("n_fixed"), F.count_if(F.col(fixed) & ~F.col(raw)).alias("n_rescued"), (F.count_if(fixed) - F.count_if(raw)).alias("n_gain"))
 
 
-def exact_percentiles(df: DataFrame, value: str, fractions: dict[str, float]) -> DataFrame:
-    """One row: the values at index floor(n * q) of the ascending list, and the maximum (`max`).
+def exact_percentiles(df: DataFrame, value: str, fractions: dict[str, float], accuracy: int = 1000) -> DataFrame:
+    """One row: the values at index floor(n * q) of the ascending list, and the maximum (`max`). Nulls are left out, NaN comes last.
 
-    A histogram of values is summed up first, so what is sorted are distinct values.
+    Nothing is sorted. Approximate quantiles name values near each wanted place, and counts below and up to
+    these say whether one is it, or between which two it lies; the next round looks between these alone, for
+    all quantiles at once. An open interval leaves out the values at its ends, however
+    many rows share them, so it shrinks to the place of the answer, as a rule within two rounds.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_n"))
-    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn("_upto", F.sum("_n").over(upto))
-    n = counts.agg(F.sum("_n").alias("n"))
-    total = n.first()["n"] or 0
-    return counts.agg(*(F.min(F.when(F.col("_upto") > int(total * q), F.col(value))).alias(name) for name, q in fractions.items()), F.max(value).alias("max"))
+    kind = df.schema[value].dataType
+    v = F.col("v")
+    rows = df.where(F.col(value).isNotNull()).select(F.col(value).alias("v"))
+    real = rows.where(~F.isnan("v")) if kind.typeName() in ("double", "float") else rows
+    ends = rows.agg(F.count("*").alias("n"), F.max("v").alias("max")).first()
+    n, last = ends["n"], real.count() if real is not rows else ends["n"]
+    places = {name: int(n * q) for name, q in fractions.items()}
+    answer = {name: (float("nan") if last <= k < n else None) for name, k in places.items()}
+    open_ = {name: (None, None, 0, last) for name, k in places.items() if k < last}  # value below, value above, rows up to the first, rows below the second
+    while open_:
+        inside = {name: (F.lit(True) if low is None else v > F.lit(low)) & (F.lit(True) if high is None else v < F.lit(high)) for name, (low, high, _, _) in open_.items()}
+        asks = []
+        for name, (_, _, before, upto) in open_.items():
+            at = (places[name] - before + 0.5) / (upto - before)
+            near = sorted({min(1.0, max(0.0, x)) for x in (0.0, at - 3 / accuracy, at, at + 3 / accuracy, 1.0)})
+            asks.append(F.percentile_approx(F.when(inside[name], v), near, accuracy).alias(name))
+        found = real.agg(*asks).first()
+        tried = {name: sorted(set(found[name])) for name in open_}
+        counts = real.agg(*(c for name in open_ for i, x in enumerate(tried[name]) for c in (F.count_if(v < F.lit(x)).alias(f"{name} {i} below"), F.count_if(v <= F.lit(x)).alias(f"{name} {i} upto")))).first()
+        for name in list(open_):
+            low, high, before, upto = open_.pop(name)
+            for i, x in enumerate(tried[name]):
+                below, to = counts[f"{name} {i} below"], counts[f"{name} {i} upto"]
+                if below <= places[name] < to:
+                    answer[name] = x
+                elif to <= places[name] and to >= before:
+                    low, before = x, to
+                elif below > places[name] and below <= upto:
+                    high, upto = x, below
+            if answer[name] is None:
+                open_[name] = (low, high, before, upto)
+    schema = T.StructType([*(T.StructField(name, kind) for name in fractions), T.StructField("max", kind)])
+    return df.sparkSession.createDataFrame([(*answer.values(), ends["max"])], schema)
 
 
 def message_chars(messages: Column) -> Column:

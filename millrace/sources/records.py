@@ -7,7 +7,10 @@ turn an object under `content` into a string, and a gate could not tell.
 from __future__ import annotations
 
 import functools
+import json
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -110,6 +113,30 @@ def rendered(records: DataFrame, render: Column | None = None) -> tuple[DataFram
     return records.where(ok).select("row_id", render.alias("text")), records.agg(F.count_if(~ok).alias("skipped"))
 
 
+def rendered_by(records: DataFrame, make: Callable[[], Callable[[list[dict], list | None], tuple[str, int]]]) -> DataFrame:
+    """(row_id, text, length) of valid records by a renderer that takes messages and the offered tools, and gives a text and its length in tokens.
+
+    make() builds the renderer, once in each task's worker: a template or a tokenizer is loaded there.
+    """
+
+    @F.pandas_udf("text string, length long")
+    def render(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        one = make()
+        for messages, tools in batches:
+            made = [one([dict(m) for m in turns], json.loads(spec) if spec else None) for turns, spec in zip(messages, tools, strict=True)]
+            yield pd.DataFrame(made, columns=["text", "length"])
+
+    ok = row_ok(F.col("messages"), F.col("kind"))
+    # not deterministic for Spark: it is not put into filters on its result, and runs once a row
+    out = records.where(ok).select("row_id", render.asNondeterministic()("messages", "tools_spec").alias("r"))
+    return out.select("row_id", "r.text", "r.length")
+
+
+def fitting(texts: DataFrame, most: int = 2048) -> DataFrame:
+    """texts (row_id, text, length) with `fits`: whether a trainer that cuts at `most` tokens sees all of it."""
+    return texts.withColumn("fits", F.col("length") <= most)
+
+
 def head(frame: DataFrame, n: int) -> DataFrame:
     """The first n lines, by their number: a top-k."""
     return frame.orderBy("row_id").limit(n)
@@ -139,7 +166,3 @@ def fenced_of_transcript(spark: SparkSession, path: str, tag: str = "html") -> D
 
     return spark.read.text(path, wholetext=True).select(F.regexp_extract(unescape_html(F.col("value")), rf"(?s)```{tag}\n(.*?)```", 1).alias("block"))
 
-
-def generated(prompts: DataFrame, generate, schema: str) -> DataFrame:
-    """A generator of replies as a stage: generate(iterator of pandas frames). Tests give a table of canned replies."""
-    return prompts.mapInPandas(generate, schema)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -26,9 +28,47 @@ def write_metrics(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def append_results(df: DataFrame, path: str) -> None:
-    """Rows of a result table, which is Parquet; `markdown` prints it."""
-    df.write.mode("append").parquet(path)
+def append_results(df: DataFrame, path: str, kind: str = "results") -> str:
+    """Add rows to a table of results below path; kinds of tables are kept apart. Returns the run's folder.
+
+    A run is written aside and renamed into its place, so a reader sees all of it or
+    nothing, and of two that end at once the second takes the next number.
+    """
+    spark = df.sparkSession
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    staged = jvm.Path(f"{path}/_staged/{uuid.uuid4().hex}")
+    df.write.parquet(staged.toString())
+    files.mkdirs(jvm.Path(path, kind))
+    number = 1 + max((int(name.removeprefix("run-")) for name in _runs(spark, path, kind)), default=0)
+    while True:
+        at = jvm.Path(f"{path}/{kind}/run-{number:06d}")
+        # a rename onto a folder that is there would move into it, so the name is claimed by creating a file, which fails for the second
+        try:
+            files.create(jvm.Path(f"{path}/_claimed/{kind}-{number:06d}"), False).close()
+        except Py4JJavaError:
+            number += 1
+            continue
+        if not files.rename(staged, at):
+            raise OSError(f"can't move a run to {at.toString()}")
+        return at.toString()
+
+
+def _runs(spark: SparkSession, path: str, kind: str) -> list[str]:
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.globStatus(jvm.Path(f"{path}/{kind}/run-*")) or [])
+
+
+def results(spark: SparkSession, path: str, kind: str = "results") -> DataFrame:
+    """All rows of a table of results with the number of their run. Columns keep the order in which runs brought them; where a run lacks one, it is null."""
+    runs = _runs(spark, path, kind)
+    if not runs:
+        return spark.createDataFrame([], "run int")
+    columns = list(dict.fromkeys(c for r in runs for c in spark.read.parquet(f"{path}/{kind}/{r}").columns))
+    rows = spark.read.option("mergeSchema", "true").parquet(*(f"{path}/{kind}/{r}" for r in runs))
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/run-(\d+)/[^/]*$", 1).cast("int")
+    return rows.select(number.alias("run"), *columns)
 
 
 def markdown(df: DataFrame) -> DataFrame:

@@ -1,0 +1,112 @@
+"""Generators, renderers, result tables and exact quantiles."""
+
+import json
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.operators import evals
+from millrace.sources import generator, records, sinks
+
+
+def _client(folder):
+    """Counts what it is asked; fails with tools for prompts that are even, and always for multiples of five."""
+
+    def make():
+        def ask(prompt, tools):
+            number = int(prompt.split()[1])
+            with open(f"{folder}/{number}-{'tools' if tools else 'plain'}", "a") as f:
+                f.write("x")
+            if number % 5 == 0 or (tools and number % 2 == 0):
+                raise ValueError(f"no {number}")
+            return f"reply to {prompt}"
+
+        return ask
+
+    return make
+
+
+@pytest.fixture
+def asked(tmp_path):
+    (tmp_path / "asked").mkdir()
+    return tmp_path / "asked"
+
+
+def test_replies_of_a_batch_with_retries_and_errors(spark, asked):
+    df = generator.replies(spark, _client(str(asked)), lambda i: f"prompt {i}", 12, each=5, tools=[{"name": "t"}])
+    assert df.rdd.getNumPartitions() == 3
+    rows = {r.prompt_id: r for r in df.collect()}
+    assert sorted(rows) == list(range(12))
+    assert (rows[3].reply, rows[3].with_tools, rows[3].attempts, rows[3].error) == ("reply to prompt 3", True, 1, None)
+    assert (rows[4].reply, rows[4].with_tools, rows[4].attempts, rows[4].error) == ("reply to prompt 4", False, 2, None)
+    assert (rows[5].reply, rows[5].attempts, rows[5].error) == (None, 2, "ValueError: no 5")
+
+
+def test_a_stream_of_replies_resumes_without_repeats(spark, asked, tmp_path):
+    def run(total):
+        df = generator.replies(spark, _client(str(asked)), lambda i: f"prompt {i}", total, stream=True, each=2)
+        df.writeStream.format("json").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+        return sorted(r.prompt_id for r in spark.read.schema(generator.REPLY).json(str(tmp_path / "out")).collect())
+
+    assert run(5) == list(range(5)) and run(5) == list(range(5)) and run(9) == list(range(9))
+    assert {p.name: len(p.read_text()) for p in asked.iterdir()} == {f"{i}-plain": 2 if i % 5 == 0 else 1 for i in range(9)}
+
+
+def test_a_renderer_is_made_once_a_task_and_gets_tools(spark, tmp_path):
+    rows = [{"messages": [{"role": "user", "content": f"hello {i}"}, {"role": "assistant", "content": "w " * i}], "kind": "tools", "tools_spec": [{"name": "search"}]} if i % 2 else {"messages": [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "w " * i + "."}]} for i in range(1, 41)]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, [*rows, {"messages": []}])))
+    made = str(tmp_path / "made")
+
+    def make():
+        with open(made, "a") as f:
+            f.write("x")
+
+        def render(messages, tools):
+            text = " ".join(m["content"] for m in messages) + (" " + ",".join(t["name"] for t in tools) if tools else "")
+            return text, len(text.split())
+
+        return render
+
+    out = records.rendered_by(records.read(spark, str(tmp_path / "in.jsonl")).repartition(2), make)
+    found = out.collect()
+    assert len(found) == 40 and sum(r.text.endswith("search") for r in found) == 20 and len(open(made).read()) == 2
+    assert all(r.length == len(r.text.split()) for r in found)
+    assert records.fitting(out, 20).where("fits").count() == sum(r.length <= 20 for r in found)
+    assert evals.exact_percentiles(out, "length", {"p99": 0.99}).first().p99 == sorted(r.length for r in found)[39]
+
+
+def test_results_keep_their_columns(spark, tmp_path):
+    path = str(tmp_path / "r")
+    assert sinks.results(spark, path).collect() == []
+    for n, row in enumerate([{"model": "a", "C": 5}, {"model": "b", "C": 6, "web": 7}, {"web": 8, "model": "c"}], 1):
+        at = sinks.append_results(spark.createDataFrame([tuple(row.values())], list(row)), path)
+        assert at.endswith(f"run-{n:06d}")
+    sinks.append_results(spark.createDataFrame([("x", 0.5)], "axis string, rate double"), path, "rates")
+    table = sinks.results(spark, path)
+    assert table.columns == ["run", "model", "C", "web"]
+    assert sorted(map(tuple, table.collect())) == [(1, "a", 5, None), (2, "b", 6, 7), (3, "c", None, 8)]
+    assert [tuple(r) for r in sinks.results(spark, path, "rates").collect()] == [(1, "x", 0.5)]
+    lines = [r.line for r in sinks.markdown(table.orderBy("run").drop("run")).collect()]
+    assert lines[0] == "| model | C | web |" and "| a | 5 | - |" in lines
+    (tmp_path / "r" / "_claimed" / "results-000004").touch()  # another run is about to take the next number
+    assert sinks.append_results(table.drop("run"), path).endswith("run-000005")
+
+
+@pytest.mark.parametrize("kind", ["long", "double", "int"])
+@pytest.mark.parametrize("seed", range(4))
+def test_quantiles_equal_a_sort(spark, kind, seed):
+    draw = random.Random(seed)
+    values = [draw.choice([None, 5, 5, 5, -3, draw.randrange(-10**6, 10**6), draw.randrange(100)]) for _ in range(draw.choice([1, 7, 3000]))]
+    if kind == "double":
+        values = [v if v is None else draw.choice([v * 1e-9, v * 1e290, float(v), math.inf, -0.0]) for v in values] + [math.nan] * (seed % 2 * 4)
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}").repartition(3)
+    want = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+    fractions = {"least": 0.0, "p10": 0.1, "p50": 0.5, "p95": 0.95, "p99": 0.999}
+    got = evals.exact_percentiles(df, "v", fractions, accuracy=20).first()
+    same = lambda a, b: a == b or (a is not None and math.isnan(a) and math.isnan(b))
+    for name, q in fractions.items():
+        assert same(got[name], want[int(len(want) * q)] if want else None), name
+    assert same(got["max"], want[-1] if want else None)
+    assert "Window" not in evals.exact_percentiles(df, "v", {"p": 0.5})._jdf.queryExecution().executedPlan().toString()
