@@ -1,162 +1,12 @@
-"""Queries of the smaller operators: over the driver's tables where these have what is asked for, else over constants with the rows that are expected."""
+"""Queries of the smaller operators over the driver's tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
-from ..functions import calls, gates, text as tx
-from ..operators import assemble as asm, dedup, evals, execgate, mix
-from ..sources.records import CALLS, MESSAGES
-from .queries import TOOLS, conversations, expected, query, scenarios, table
-
-
-def turn(role: str, content: str | None, made: list[tuple] | None = None, kind: str = "string") -> tuple:
-    return (role, content, kind, made)
-
-
-# calls
-
-
-_CALL = '<tool_call>{"name":"search","arguments":{"q":"%s"}}</tool_call>'
-#: Structured calls, reply, offered tools and the tool that is wanted.
-_REPLIES = [
-    (0, [("search", '{"q":"a"}')], None, "search"), (1, None, _CALL % "b", "search"), (2, [("search", "{bad")], None, "search"), (3, [("search", '"{\\"q\\":\\"c\\"}"')], _CALL % "d", "search"),
-    (4, None, "no call at all", "search"), (5, None, "no call is right", None), (6, None, _CALL % "e", None), (7, [("other", "[1]")], None, "search"),
-]
-
-
-def _replies(spark) -> DataFrame:
-    rows = spark.createDataFrame(_REPLIES, f"row_id long, structured {CALLS}, content string, expect_tool string")
-    return rows.withColumn("calls", calls.normalized(F.col("structured"), F.col("content")))
-
-
-@query(expected("row_id BIGINT, name VARCHAR, arguments VARCHAR", [(0, "search", '{"q":"a"}'), (1, "search", '{"q":"b"}'), (2, "search", "{}"), (3, "search", '{"q":"c"}'), (6, "search", '{"q":"e"}'), (7, "other", "{}")]))
-def calls_normalized(spark, sf_dir):
-    """Structured calls, else those in the text; bad arguments are {}."""
-    return _replies(spark).select("row_id", F.explode("calls").alias("c")).select("row_id", "c.name", "c.arguments")
-
-
-@query(expected("axis VARCHAR, passed BIGINT, total BIGINT", [("named", 4, 8), ("tools", 4, 8)]))
-def calls_scored(spark, sf_dir):
-    """The axes that ask for a tool by name, and for a valid call (or none)."""
-    rows = _replies(spark)
-    named = evals.tally(evals.score_calls(rows)).withColumn("axis", F.lit("named"))
-    valid = F.transform("calls", lambda c: F.size(calls.faults(c["name"], c["arguments"], calls.declared(F.lit(TOOLS)))) == 0)
-    return named.unionByName(evals.tally(evals.score_tools(rows.withColumn("valid", valid))).withColumn("axis", F.lit("tools"))).select("axis", "passed", "total")
-
-
-#: Rows of kinds with and without calls.
-_TURNS = [
-    (0, "tools", [turn("user", "q"), turn("assistant", "", [("f", "{}")]), turn("tool", "r"), turn("assistant", "done")]), (1, "tools", [turn("user", "q"), turn("assistant", " ")]),
-    (2, "chat", [turn("user", "q"), turn("assistant", None, None, "null")]), (3, "chat", [turn("user", "q"), turn("assistant", "a")]), (4, "multi", [turn("user", "q"), turn("assistant", "", [("f", "{}")])]), (5, "chat", []),
-]
-
-
-@query(expected("row_id BIGINT, tool_turn BOOLEAN, valid BOOLEAN, ok BOOLEAN", [(0, True, False, True), (1, False, False, False), (2, False, False, False), (3, False, True, True), (4, True, False, False), (5, False, False, False)]))
-def tool_turns(spark, sf_dir):
-    rows = spark.createDataFrame(_TURNS, f"row_id long, kind string, messages {MESSAGES}")
-    m = F.col("messages")
-    return rows.select("row_id", gates.has_tool_turn(m).alias("tool_turn"), gates.valid_messages(m).alias("valid"), gates.row_ok(m, F.col("kind")).alias("ok"))
-
-
-_ASK = [turn("user", " q "), turn("assistant", "", [("f", "{}")])]
-_KINDS = [(1, _ASK, "tools", None, ["a", "b"]), (2, _ASK, "tools", None, ["b", "a"]), (3, _ASK, "tools", None, ["a"]), (4, _ASK, "multi", "revise", None), (5, _ASK, "multi", "enrich", None), (6, _ASK, "multi", "enrich", None), (7, _ASK[:1], "chat", None, None), (8, _ASK[:1], "code", None, None), (9, [turn("user", "")], "code", None, None), (10, [], "code", None, None)]
-
-
-@query(expected("row_id BIGINT, tag VARCHAR", [(1, "tools"), (3, "tools"), (4, "multi"), (5, "multi"), (7, "query"), (9, "query"), (10, "query")]))
-def distinct_by_kind(spark, sf_dir):
-    """The first row of each signature, by kind: tools by name and first call, scenarios by type."""
-    rows = spark.createDataFrame(_KINDS, f"row_id long, messages {MESSAGES}, kind string, mtype string, tools array<string>")
-    rows = rows.withColumn("sig", mix.signature(F.col("messages"), F.col("kind"), F.col("mtype"), F.col("tools")))
-    return mix.distinct_by(rows, "sig", "row_id").select("row_id", F.col("sig.tag").alias("tag"))
-
-
-# text
-
-
-_TEXTS = [
-    (0, 'Sure:\n```json\n{"a":1}\n```', '{"a":1}', '{"a":1}', '{"a":1}\n'), (1, 'x {"a":{"b":2}} y', '{"a":{"b":2}}', '{"a":{"b":2}}', 'x {"a":{"b":2}} y'), (2, "nothing", None, None, "nothing"),
-    (3, "```c\nint x;\n```", None, None, "int x;\n"), (4, '```json\n{"a":1}\n``` and ```json\n{"b":2}\n```', '{"a":1}', None, '{"a":1}\n'), (5, "```c\n```", None, None, ""), (6, None, None, None, ""),
-]
-
-
-@query(expected("row_id BIGINT, lazy VARCHAR, greedy VARCHAR, code VARCHAR", [(i, a, b, c) for i, _, a, b, c in _TEXTS]))
-def text_extracts(spark, sf_dir):
-    """JSON by a lazy and a greedy fence, and code, from replies."""
-    t = F.col("t")
-    rows = spark.createDataFrame([(i, x) for i, x, *_ in _TEXTS], "row_id long, t string")
-    return rows.select("row_id", F.to_json(tx.extract_json(t, greedy=False)).alias("lazy"), F.to_json(tx.extract_json(t)).alias("greedy"), tx.extract_code(t).alias("code"))
-
-
-_FENCES = [(0, "```c\nx\n```", "x", "x\n"), (1, " ```c++\nx\n``` ", "x", "x\n"), (2, "say ```c\nx\n```", "say ```c\nx\n```", "x\n"), (3, " y ", "y", None), (4, "```c\n```", "", "")]
-
-
-@query(expected("row_id BIGINT, bare VARCHAR, fenced VARCHAR", [(i, a, b) for i, _, a, b in _FENCES]))
-def fence_strip(spark, sf_dir):
-    rows = spark.createDataFrame([(i, x) for i, x, *_ in _FENCES], "row_id long, t string")
-    return rows.select("row_id", tx.strip_fence(F.col("t")).alias("bare"), tx.extract_fenced(F.col("t")).alias("fenced"))
-
-
-_MESSAGES = [(0, "'NULL' undeclared; is defined in header '<stdio.h>'; unknown type name 'bool'", "stdbool.h,stddef.h,stdio.h"), (1, "unknown type name 'size_t'", "stddef.h"), (2, "'zig' undeclared", ""), (3, "is defined in header '<math.h>' is defined in header '<math.h>'", "math.h")]
-
-
-@query(expected("row_id BIGINT, headers VARCHAR", [(i, h) for i, _, h in _MESSAGES]))
-def compiler_hints(spark, sf_dir):
-    rows = spark.createDataFrame([(i, m) for i, m, _ in _MESSAGES], "row_id long, m string")
-    return rows.select("row_id", F.array_join(gates.hinted_headers(F.col("m")), ",").alias("headers"))
-
-
-_MAINS = [(0, "int main(void) {}", True), (1, "main() {", True), (2, "MAIN( int argc", True), (3, "main(void)", True), (4, "void  main (x)", True), (5, "int remain(void)", False), (6, "domain(x)", False), (7, "main(x)", False), (8, None, False)]
-
-
-@query(expected("n BIGINT, n_flagged BIGINT, share DOUBLE, ok BOOLEAN", [(9, sum(x for *_, x in _MAINS), 0.555556, False)]))
-def own_main_share(spark, sf_dir):
-    """The share of sources that define their own main function."""
-    rows = spark.createDataFrame([(i, c) for i, c, _ in _MAINS], "row_id long, code string")
-    return evals.share_above(rows, gates.has_main(F.col("code")))
-
-
-@query(expected("uri VARCHAR, plain VARCHAR", [("data:image/svg+xml,%3Csvg xmlns='http://www.w3.org/2000/svg' width='2' height='3'%3E%3Crect width='100%25' height='100%25' fill='red'/%3E%3Ctext x='50%25' y='50%25'%3Ea%3C/text%3E%3C/svg%3E", "<p>&</p>")]))
-def svg_and_entities(spark, sf_dir):
-    one = spark.range(1)
-    return one.select(tx.svg_uri(F.lit(2), F.lit(3), F.lit("red"), F.lit("a")).alias("uri"), tx.unescape_html(F.lit("&lt;p&gt;&amp;&lt;/p&gt;")).alias("plain"))
-
-
-# prompts and programs
-
-
-@query("""
-SELECT lang, task::BIGINT AS task, 'Write a ' || d || ' task no. ' || task || ' in ' || lang || '.' || CASE lang WHEN 'C' THEN ' No main function.' ELSE '' END AS prompt
-FROM (VALUES ('Python'), ('C')) a(lang), (VALUES ('easy'), ('hard')) b(d), range(3) c(task)
-""")
-def prompt_grid(spark, sf_dir):
-    """Prompts of all cells of a grid, with a suffix by language."""
-    cells = asm.grid(spark, lang=["Python", "C"], difficulty=["easy", "hard"], task=list(range(3)))
-    made = asm.templated(cells, "Write a {difficulty} task no. {task} in {lang}.", suffixes={"lang": {"C": " No main function."}})
-    return made.select("lang", F.col("task").cast("long").alias("task"), "prompt")
-
-
-_PROGRAMS = [(0, "def f(x):\n  return x", "def f(x):", "check = print", "f"), (1, "  return x", "def f(x):", "check = print", "f"), (2, "def ff(x): pass", "def f(x):", "t", "f"), (3, "def a.b(): pass", "p", "t", "a.b")]
-
-
-@query(expected("row_id BIGINT, whole VARCHAR, paired VARCHAR", [
-    (0, "import re\n\ndef f(x):\n  return x\n\ncheck = print\n\ncheck(f)\n", "def f(x):\n  return x\n\ncheck = print\n"), (1, "import re\n\ndef f(x):\n  return x\n\ncheck = print\n\ncheck(f)\n", "  return x\n\ncheck = print\n"),
-    (2, "import re\n\ndef f(x):\ndef ff(x): pass\n\nt\n\ncheck(f)\n", "def ff(x): pass\n\nt\n"), (3, "import re\n\ndef a.b(): pass\n\nt\n\ncheck(a.b)\n", "def a.b(): pass\n\nt\n"),
-]))
-def program_assembly(spark, sf_dir):
-    """Programs from code or from a prompt and its completion, and solution with tests."""
-    rows = spark.createDataFrame(_PROGRAMS, "row_id long, code string, prompt string, tests string, entry string")
-    whole = execgate.completed_program(F.col("code"), F.col("prompt"), F.col("tests"), F.col("entry"), "import re\n")
-    return rows.select("row_id", whole.alias("whole"), execgate.program(F.col("code"), F.col("tests")).alias("paired"))
-
-
-@query(expected("row_id BIGINT, reply VARCHAR", [(0, "Hi\n\n```python\nx = 1\n```"), (1, "```python\nx\n```")]))
-def prefenced_reply(spark, sf_dir):
-    rows = spark.createDataFrame([(0, " Hi ", "x = 1\n"), (1, "", "x")], "row_id long, intro string, block string")
-    return rows.select("row_id", asm.prefenced_reply(F.col("intro"), F.col("block"), F.lit("python")).alias("reply"))
-
-
-# rows of the driver's tables
+from ..functions import gates, text as tx
+from ..operators import dedup, evals, execgate, mix
+from .queries import conversations, query, table
 
 
 @query("SELECT conv_id AS row_id, trim(coalesce(arg_min(text, turn) FILTER (role = 'user'), '')) AS opening FROM conversations GROUP BY conv_id")
@@ -256,12 +106,6 @@ def web_counts(spark, sf_dir):
     return pages.agg(F.count("*").alias("n"), F.count_if(low.contains("<!doctype") & low.contains("<html")).alias("n_whole"), F.count_if(tx.has_fence(F.col("html"))).alias("n_fenced"), F.sum(F.length("html")).alias("n_chars"))
 
 
-@query(expected("mtype VARCHAR, assembled BIGINT, total BIGINT, with_call BIGINT, final_fenced BIGINT", [("enrich", 1, 2, 1, 1), ("modeswitch", 1, 2, 0, 0), ("other", 0, 1, 0, 0), ("recall", 1, 1, 1, 0), ("research", 1, 1, 1, 0), ("revise", 1, 2, 0, 1), ("subtask", 1, 2, 1, 1)]))
-def preflight(spark, sf_dir):
-    """Of the scenarios of each type: how many could be assembled, hold a call, and end with a fence."""
-    return evals.preflight(asm.assemble(scenarios(spark)))
-
-
 @query("""
 WITH k AS (SELECT trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS key FROM documents)
 SELECT count(*) FILTER (key = '')::BIGINT AS n_blank, count(DISTINCT key) FILTER (key <> '')::BIGINT AS n_keys FROM k

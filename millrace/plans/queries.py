@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import calls, gates, text as tx, udfs
+from ..functions import gates, text as tx, udfs
 from ..operators import assemble as asm, dedup, evals, mix
 from ..sources.records import MESSAGES
 from ..streaming import monitor
@@ -32,21 +32,6 @@ def query(sql: str | None = None):
     return add
 
 
-def expected(columns: str, rows: list[tuple]) -> str:
-    """SQL of constant rows: what a query over constants has to give. columns: names and DuckDB types."""
-
-    def literal(x) -> str:
-        if x is None:
-            return "NULL"
-        if isinstance(x, bool):
-            return str(x).lower()
-        return str(x) if isinstance(x, int | float) else "'" + str(x).replace("'", "''") + "'"
-
-    names, kinds = zip(*(c.split() for c in columns.split(", ")), strict=True)
-    picked = ", ".join(f"{n}::{k} AS {n}" for n, k in zip(names, kinds, strict=True))
-    return f"SELECT {picked} FROM (VALUES {', '.join('(' + ', '.join(map(literal, r)) + ')' for r in rows)}) v({', '.join(names)})"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -235,43 +220,8 @@ def html_soft_checks(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.lower("html").contains("<!doctype").alias("doctype"), F.array_contains(issues, "form without label").alias("bad_form"), F.array_contains(issues, "img without alt").alias("bad_img"))
 
 
-#: C sources, one per family of symbols, with and without the include.
-C_ROWS = [
-    (0, "#include <limits.h>\nint f(void) { return INT_MAX; }"), (1, "int f(void) { return INT_MAX; }"), (2, "int f(int c) { return isdigit(c); }"), (3, "double f(double x) { return sqrt(x); }"),
-    (4, "// sqrt\nint f(void) { return 0; }"), (5, "/* malloc */ int f(void) { return 1; }"), (6, "#include <string.h>\nint f(char *s) { return strlen(s) + isalpha(*s); }"), (7, "bool f(uint8_t x) { return x; }"), (8, "// #include <math.h>\ndouble f(double x) { return pow(x, 2); }"),
-]
-
-
-@query(r"""
-WITH c(row_id, code) AS (VALUES (0, '#include <limits.h>' || chr(10) || 'int f(void) { return INT_MAX; }'), (1, 'int f(void) { return INT_MAX; }'), (2, 'int f(int c) { return isdigit(c); }'), (3, 'double f(double x) { return sqrt(x); }'),
-  (4, '// sqrt' || chr(10) || 'int f(void) { return 0; }'), (5, '/* malloc */ int f(void) { return 1; }'), (6, '#include <string.h>' || chr(10) || 'int f(char *s) { return strlen(s) + isalpha(*s); }'), (7, 'bool f(uint8_t x) { return x; }'), (8, '// #include <math.h>' || chr(10) || 'double f(double x) { return pow(x, 2); }')),
-h(header, pattern) AS (VALUES ('limits.h', '\b(INT_MAX|INT_MIN|UINT_MAX|LONG_MAX|LONG_MIN|CHAR_BIT)\b'), ('ctype.h', '\b(isalpha|isdigit|isalnum|isspace|isupper|islower|toupper|tolower|ispunct)\b'), ('math.h', '\b(sqrt|pow|fabs|floor|ceil|round|log|sin|cos|tan|exp)\b'),
-  ('stdbool.h', '\b(bool|true|false)\b'), ('stdint.h', '\b(uint8_t|uint16_t|uint32_t|uint64_t|int8_t|int16_t|int32_t|int64_t)\b'), ('stdlib.h', '\b(malloc|calloc|realloc|free|strtol|strtod|qsort)\b'), ('string.h', '\b(strlen|strcpy|strncpy|strcmp|strncmp|strcat|memcpy|memset|memmove|strchr|strstr)\b')),
-s AS (SELECT row_id, code, regexp_replace(regexp_replace(code, '(?s)/\*.*?\*/', ' ', 'g'), '//[^\n]*', ' ', 'g') AS bare FROM c),
-m AS (SELECT row_id, header FROM s, h WHERE regexp_matches(bare, pattern) AND NOT contains(code, '#include <' || header || '>'))
-SELECT s.row_id::BIGINT AS row_id, coalesce(string_agg(header, ',' ORDER BY header), '') AS missing FROM s LEFT JOIN m ON s.row_id = m.row_id GROUP BY s.row_id
-""")
-def header_lint(spark, sf_dir):
-    rows = spark.createDataFrame(C_ROWS, "row_id long, code string")
-    return rows.select("row_id", F.array_join(gates.missing_headers(F.col("code")), ",").alias("missing"))
-
-
-#: A tool list and calls on it.
+#: A list of tools, wrapped and flat.
 TOOLS = '[{"type":"function","function":{"name":"search","parameters":{"type":"object","properties":{"q":{"type":"string"},"n":{"type":"integer"}},"required":["q"]}}},{"name":"flat","parameters":{"properties":{"x":{"type":["number"]}}}}]'
-CALL_ROWS = [
-    (0, '<tool_call>{"name":"search","arguments":{"q":"a","n":3}}</tool_call>'), (1, '<tool_call>{"name":"search","arguments":{"n":3}}</tool_call>'), (2, '<tool_call>{"name":"other","arguments":{}}</tool_call>'), (3, '<tool_call>{"name":"search","arguments":{"q":"a","n":true}}</tool_call>'),
-    (4, "<tool_call>{bad}</tool_call>"), (5, "plain"), (6, '<tool_call>{"name":"flat"}</tool_call><tool_call>{"name":"flat","arguments":{"x":"y","z":1}}</tool_call>'), (7, '<tool_call>{"name":"search","arguments":[1]}</tool_call>'), (8, None),
-]
-
-
-@query(expected("row_id BIGINT, ok BOOLEAN, n_calls INT, errors VARCHAR", [
-    (0, True, 1, ""), (1, False, 1, "search: missing q"), (2, False, 1, "unknown tool other"), (3, False, 1, "search.n: not integer"), (4, False, 0, "bad json; no call"),
-    (5, False, 0, "no call"), (6, True, 2, ""), (7, False, 0, "arguments not an object; no call"), (8, False, 0, "no text; no call"),
-]))
-def tool_call_validate(spark, sf_dir):
-    rows = spark.createDataFrame([(i, t, TOOLS) for i, t in CALL_ROWS], "row_id long, text string, spec string")
-    checked = rows.select("row_id", calls.checked(F.col("text"), F.col("spec")).alias("c"))
-    return checked.select("row_id", "c.ok", F.size("c.calls").alias("n_calls"), F.array_join("c.errors", "; ").alias("errors"))
 
 
 #: Compiler messages by kind of event.
@@ -435,11 +385,6 @@ def char_percentiles(spark, sf_dir):
     return evals.exact_percentiles(rows, "v", {"p50": 0.5, "p95": 0.95})
 
 
-@query("SELECT l AS lang, d AS difficulty, t::BIGINT AS task FROM (VALUES ('Python'), ('C')) a(l), (VALUES ('easy'), ('medium'), ('hard')) b(d), range(6) c(t)")
-def param_grid(spark, sf_dir):
-    return asm.grid(spark, lang=["Python", "C"], difficulty=["easy", "medium", "hard"], task=list(range(6))).select("lang", "difficulty", F.col("task").cast("long").alias("task"))
-
-
 @query("""
 WITH c AS (SELECT time_bucket(INTERVAL '15 minutes', ts) AS s, count(*) AS n FROM events GROUP BY 1), a AS (SELECT unnest(generate_series((SELECT min(s) FROM c), (SELECT max(s) FROM c), INTERVAL '15 minutes')) AS s),
 t AS (SELECT a.s, sum(coalesce(n, 0)) OVER (ORDER BY a.s) AS total FROM a LEFT JOIN c ON a.s = c.s), g AS (SELECT s, total, coalesce(total > lag(total) OVER (ORDER BY s), true) AS grew FROM t),
@@ -450,52 +395,6 @@ def stall_monitor(spark, sf_dir):
     return monitor.stalls(monitor.samples(table(spark, sf_dir, "events")), 1550)
 
 
-def _research(spark) -> DataFrame:
-    turn = lambda role, content, calls=None: (role, content, "string", calls)
-    long = [turn("user", "Make a page"), turn("assistant", "```html\n<p>x</p>\n```"), turn("user", "Actually, stop making documents; search for tides"), turn("assistant", "", [("search", '{"query":"tides"}')]), turn("tool", '[{"type":"text","text":"High at noon"}]'), turn("assistant", "High tide is at noon today, says the table.")]
-    short = [turn("user", "Only one"), turn("assistant", "Reply")]
-    return spark.createDataFrame([(0, long, "research"), (1, short, "research"), (2, long, "enrich")], f"row_id long, messages {MESSAGES}, mtype string")
-
-
-@query(expected("row_id BIGINT, mtype VARCHAR, n_turns INT, n_tool_turns INT, opening VARCHAR", [
-    (0, "research", 6, 1, "Make a page"), (1, "research", 2, 0, "Only one"), (2, "enrich", 6, 1, "Make a page"), (0, "freshresearch", 4, 1, "Search for tides"),
-]))
-def freshresearch(spark, sf_dir):
-    """Tool results inflated, research rows doubled with a fresh opening."""
-    rows = asm.with_fresh_research(asm.inflate_tool_turns(_research(spark)))
-    noisy = F.size(F.filter("messages", lambda m: (m["role"] == "tool") & m["content"].startswith('[{"type":"text","text":"#1 (primary source')))
-    return rows.select("row_id", "mtype", F.size("messages").alias("n_turns"), noisy.alias("n_tool_turns"), F.col("messages")[0]["content"].alias("opening"))
-
-
-#: One usable scenario of each type, and unusable ones.
-_P1, _P2 = "<div><p>One</p></div>", "<div><p>Two</p></div>"
-_SAY = "This is a plain answer of some length."
-_BASE = {"tools": TOOLS, "tool_name": "search", "arguments": '{"q":"x"}', "tool_result": "r", "artifact_request": "Make it", "artifact_html": _P1}
-SCENARIOS = [
-    _BASE | {"mtype": "subtask", "query": "Do it", "deliverable_html": _P1}, _BASE | {"mtype": "recall", "q1": "a", "a1": _SAY, "q2": "b", "a2": _SAY, "tool1": "search", "args1": '{"q":"1"}', "tool2": "search", "args2": '{"q":"2"}'},
-    _BASE | {"mtype": "modeswitch", "followup_question": "Why", "followup_answer": _SAY}, _BASE | {"mtype": "revise", "change_request": "Change", "revised_html": _P2}, _BASE | {"mtype": "enrich", "enrich_request": "Add", "revised_html": _P2}, _BASE | {"mtype": "research", "research_request": "Find", "answer": _SAY},
-    _BASE | {"mtype": "modeswitch", "followup_question": "Why", "followup_answer": "```\nx\n```" + _SAY}, _BASE | {"mtype": "subtask", "query": "Do it", "deliverable_html": _P1, "tool_name": "other"}, _BASE | {"mtype": "revise", "change_request": "Change", "revised_html": _P1}, _BASE | {"mtype": "other"}, _BASE | {"mtype": "enrich", "enrich_request": "Add", "revised_html": _P2, "tools": '[{"description":"nameless"}]'},
-]
-
-
-def scenarios(spark) -> DataFrame:
-    names = ["mtype", "tools", *asm.FIELDS]
-    return spark.createDataFrame([(i, *(s.get(n) for n in names)) for i, s in enumerate(SCENARIOS)], "row_id long, " + ", ".join(f"{n} string" for n in names))
-
-
-_CALLED = "user,assistant,tool,assistant"
-
-
-@query(expected("row_id BIGINT, mtype VARCHAR, n_turns INT, roles VARCHAR, has_tools BOOLEAN", [
-    (0, "subtask", 4, _CALLED, True), (1, "recall", 8, f"{_CALLED},{_CALLED}", True), (2, "modeswitch", 4, "user,assistant,user,assistant", False), (3, "revise", 4, "user,assistant,user,assistant", False),
-    (4, "enrich", 6, f"user,assistant,{_CALLED}", True), (5, "research", 6, f"user,assistant,{_CALLED}", True), (6, "modeswitch", 0, None, False), (7, "subtask", 0, None, False), (8, "revise", 0, None, False), (9, "other", 0, None, False), (10, "enrich", 0, None, False),
-]))
-def assemble_multi(spark, sf_dir):
-    """Scenario objects as conversations."""
-    out = asm.assemble(scenarios(spark))
-    return out.select("row_id", "mtype", F.coalesce(F.size("messages"), F.lit(0)).alias("n_turns"), F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"), F.col("tools_spec").isNotNull().alias("has_tools"))
-
-
 @query(f"SELECT doc_id, {KEY} AS key FROM documents")
 def norm_keys(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.norm(F.col("text")).alias("key"))

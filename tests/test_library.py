@@ -13,10 +13,12 @@ from pyspark.sql import Row, functions as F
 
 from millrace.functions import calls, fuzzy, gates, markup, text as tx, udfs
 from millrace.operators import assemble as asm, dedup, evals, execgate, mix
-from millrace.plans import inline, queries as plans  # noqa: F401  (inline registers queries)
+from millrace.plans import inline, queries as plans, tables  # noqa: F401  (these register queries)
 from millrace.sources import records, sinks
 from millrace.streaming import monitor
 
+from . import test_cases
+
 SF = "/root/testdata/sf0.001"
 MESSAGES = records.MESSAGES
 
@@ -486,14 +488,14 @@ def test_normalized_rows(spark, kind, lang, code, want):
 
 
 def test_scenarios(spark):
-    got = {r.row_id: r for r in plans.QUERIES["assemble_multi"](spark, SF).collect()}
+    got = {r.row_id: r for r in test_cases.assemble_multi(spark, None).collect()}
     assert [got[i].n_turns for i in range(11)] == [4, 8, 4, 4, 6, 6, 0, 0, 0, 0, 0]
 
 
 def test_augmentation(spark):
-    got = {(r.row_id, r.mtype): r for r in plans.QUERIES["freshresearch"](spark, SF).collect()}
+    got = {(r.row_id, r.mtype): r for r in test_cases.freshresearch(spark, None).collect()}
     assert len(got) == 4 and got[0, "freshresearch"].opening == "Search for tides" and got[0, "freshresearch"].n_turns == 4
-    rows = asm.inflate_tool_turns(plans._research(spark)).where("row_id = 0").first().messages
+    rows = asm.inflate_tool_turns(test_cases._research(spark)).where("row_id = 0").first().messages
     blob = json.loads(rows[4].content)
     entries = blob[0]["text"].split("\n\n")
     assert "High at noon" in entries[0] and 15 <= len(entries) <= 23 and entries[0].startswith("#1 (primary source, rank score 1.000)")

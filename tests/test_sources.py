@@ -5,7 +5,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from millrace.operators import evals
 from millrace.sources import generator, records, sinks
