@@ -40,7 +40,7 @@ def over(spark, column, messages, kind=None, lang=None):
 @pytest.mark.parametrize("name", sorted(plans.SQL))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark", "conversations", "pages", "events"):
+    for t in ("documents", "labels", "benchmark", "conversations", "pages", "events", "region", "nation"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got, want = plans.QUERIES[name](spark, SF).toPandas(), con.sql(plans.SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
