@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation, by DataFrame functions alone.
 
 Documents are linked through hubs: a hub is anything that several documents
-share (here: equal texts), so a group of copies is a star and never all pairs. A
-document's label is a shard; it starts with one by its hash. In the first round
-every hub asks for the shard that most of its members are in, since that moves the
-fewest documents. A shard's quota is its final size, and it is hard: the hubs that
+share (equal texts, and whatever a frame of links (doc_id, hub) names), so a group of
+copies is a star and never all pairs. A document's label is a shard; it starts with
+one by its hash, and first follows its main hub, the largest that fits into a shard.
+In the first round every hub asks for the shard that most of its members are in, since
+that moves the fewest documents. A shard's quota is its final size, and it is hard: the hubs that
 ask for a shard are put in order (large ones first, then by hash), and are taken in
 while the prefix sum of their members stays within what the shard has left. In each
 later round refused hubs are laid out, large ones first, over the room that is left
@@ -15,12 +16,20 @@ or when no waiting hub fits anywhere.
 A hub of more members than a shard's size fills whole shards and asks with the rest;
 a hub that fits nowhere is cut at as few places as the room allows. Unlinked
 documents cut nothing and fill what is left, so that counts are even to one row.
+
+Then documents move one by one (`_rounds`), as some have several hubs, and some hubs
+are cut: each adds up the labels of its neighbours over its hubs and asks for the
+shard with most of them. Of those that ask, as many move as trade places with others
+or find room, those that gain most first; where a shard is full, those in it that lose
+least make place, as long as both together gain. A round that doesn't lower the number of cut edges (pairs
+of neighbours in different shards, counted by hubs and shards and never listed) is undone;
+the next one lets half of the documents ask, then a quarter. `cut_links` counts what is left.
 Documents are numbered by prefix sums over buckets, not by one sort of a shard.
 
 Law: `rows`. The counts of shards differ by one at most.
 
 Defined results: null text is the empty text (size 1); rows without doc_id and
-repeated rows are rows like others; of rows that tie in everything any may get any
+repeated rows are rows like others; links hold for all rows with their doc_id, links without doc_id or hub, or given twice, add nothing; of rows that tie in everything any may get any
 of their slots; with fewer rows than shards some shards are empty; other columns are
 not read, whatever their names; an empty table gives no rows.
 """
@@ -35,6 +44,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .store import attach, cut
 
 BUCKET_ROWS = 500  # rows that are numbered together
+ROUNDS = 16  # of documents that move, at most
+STUCK = 3  # rounds in succession that bring nothing end them
+VOTE = 1 << 20  # a neighbour's vote; ties go by a hash below half of one
 
 
 def _ranked(df: DataFrame, by: str, order: list[Column], bucket: Column, buckets: int, name: str, weight: Column | None = None) -> DataFrame:
@@ -98,12 +110,184 @@ class Rooms:
         return min(some, key=lambda s: (self.left[s], s)) if some else None
 
 
-def propagate(nodes: DataFrame, shards: int) -> DataFrame:
-    """nodes (id, hub: binary, null for a node without links) with `shard` and `slot`."""
+def _shared(at: DataFrame, links: DataFrame | None, size: int) -> DataFrame:
+    """(_node, hub, members) of the hubs that two rows or more share and that a shard of `size` rows holds: those of at, and links (id, hub)."""
+    given = at.where("hub IS NOT NULL").select("_node", "hub")
+    if links is not None:
+        more = links.select(F.col("id").cast("long").alias("id"), F.col("hub").cast("binary").alias("hub")).where("id IS NOT NULL AND hub IS NOT NULL").distinct()
+        given = given.unionByName(at.select("_node", "id").join(more, "id").select("_node", "hub")).distinct()
+    given = cut(given)
+    sizes = given.groupBy("hub").agg(F.count("*").alias("members")).where(F.col("members").between(2, size))
+    return cut(attach(given, sizes, "hub", "members", given.count(), _own_key("_node")).where("members IS NOT NULL"))
+
+
+def _own_key(name: str) -> Column:
+    """A binary key of a row's own, equal to no hub."""
+    return F.encode(F.concat(F.lit("row "), F.col(name).cast("string")), "utf-8")
+
+
+def _flows(asked: dict[tuple[int, int], int], left: list[int]) -> dict[tuple[int, int], int]:
+    """How many of those that ask to go from one shard to another (from -1: from none) may: those that trade places, and those that find room. left is what shards have left, and is kept."""
+    out = {k: min(n, asked.get(k[::-1], 0)) for k, n in asked.items()}
+    open_ = sorted(asked, key=lambda k: (-asked[k], k))
+    while True:
+        moved = 0
+        for a, b in open_:
+            n = min(asked[a, b] - out[a, b], left[b])
+            out[a, b] += n
+            left[b] -= n
+            if a >= 0:
+                left[a] += n
+            moved += n
+        if not moved:
+            return {k: n for k, n in out.items() if n}
+
+
+def _held(links: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
+    """How many members of each hub have each label, and how many pairs of neighbours have one label (a pair counts for each hub that it shares)."""
+    held = cut(links.join(label, "_node").where("_s >= 0").groupBy("hub", "_s").agg(F.count("*").alias("n")))
+    return held, held.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
+
+
+def _votes(links: DataFrame, label: DataFrame, held: DataFrame, total: int) -> DataFrame:
+    """(_node, _s, own, to, gain, votes, self) of nodes: what is said for its own shard, the shard that has most votes and what going there gains, and all votes by shard. Each counts itself once a hub (self), so that two that could go to each other don't."""
+    by = held.groupBy("hub").agg(F.collect_list(F.struct("_s", "n")).alias("votes"), F.sum("n").alias("_w"))  # as many as there are shards at most
+    voted = attach(links.join(label, "_node"), by, "hub", "_w", total, _own_key("_node"))
+    each = voted.select("_node", "_s", "hub", F.explode("votes").alias("v")).select("_node", "_s", F.col("v._s").alias("to"), (F.col("v.n") * VOTE + F.pmod(F.xxhash64("hub", F.col("v._s")), F.lit(VOTE // 2))).alias("vote"))
+    sums = each.groupBy("_node", "_s", "to").agg(F.sum("vote").alias("vote"), F.count("*").alias("n"))
+    best = sums.groupBy("_node", "_s").agg(F.max(F.struct("vote", "to")).alias("b"), F.map_from_entries(F.collect_list(F.struct("to", "vote"))).alias("votes"), F.coalesce(F.max(F.when(F.col("to") == F.col("_s"), F.col("n"))), F.lit(0)).alias("self"))
+    own = F.coalesce(F.try_element_at("votes", F.col("_s")), F.lit(0))
+    return best.select("_node", "_s", own.alias("own"), F.col("b.to").alias("to"), (F.col("b.vote") - own).alias("gain"), "votes", (F.col("self") * VOTE).alias("self"))
+
+
+def _step(gain: Column) -> Column:
+    """Gains in whole votes: exact ones up to 32, then powers of two; never more than the gain."""
+    whole = F.floor(gain / VOTE)
+    power = lambda x: F.pow(F.lit(2.0), F.floor(F.log2(x.cast("double"))))
+    return F.when(whole > 32, power(whole)).when(whole < -32, -2 * power(-whole)).otherwise(whole).cast("long")
+
+
+def _trades(asks: list[tuple[int, int]], others: list[tuple[int, int]], skip: int) -> int:
+    """How many of those that ask, after `skip` that go anyway, may trade places with others at a gain for both together. Lists of (gain, how many), large gains first."""
+    asks, others = [list(x) for x in asks], [list(x) for x in others]
+    for x in asks:
+        n = min(skip, x[1])
+        x[1] -= n
+        skip -= n
+    done = i = j = 0
+    while i < len(asks) and j < len(others) and asks[i][0] + others[j][0] > 0:
+        n = min(asks[i][1], others[j][1])
+        done += n
+        asks[i][1] -= n
+        others[j][1] -= n
+        i += not asks[i][1]
+        j += not others[j][1]
+    return done
+
+
+def _counts(frame: DataFrame) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """For each way (_s, to) how many gain how much, large gains first: a bounded number of rows for each pair of shards."""
+    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x in sorted(frame.groupBy("_s", "to", "step").agg(F.count("*").alias("n")).collect(), key=lambda x: -x["step"]):
+        out.setdefault((x["_s"], x["to"]), []).append((x["step"], x["n"]))
+    return out
+
+
+def _moves(votes: DataFrame, room: list[int], shards: int) -> DataFrame | None:
+    """(_node, to) of the nodes that move, none if none may. room is kept.
+
+    Those that ask go by `_flows`. Where more want into a full shard, the rows of that
+    shard that lose least by it trade places with them, as long as both together gain.
+    """
+    asks = cut(votes.where("to <> _s AND gain > 0").select("_node", "_s", "to", "gain", _step(F.col("gain") + F.col("self")).alias("step")))
+    gains = _counts(asks)
+    sizes = {k: sum(n for _, n in v) for k, v in gains.items()}
+    take = _flows(sizes, room)
+    waiting: dict[int, tuple[int, int]] = {}
+    for (a, b), n in sizes.items():
+        if a >= 0 and (rest := n - take.get((a, b), 0)):
+            waiting[b] = max(waiting.get(b, (0, 0)), (rest, a))
+    rows = asks.select("_node", "_s", "to", "gain")
+    if waiting:
+        # a full shard gives to the one with most room, or else to the one that most wait in
+        wide = max(range(shards), key=lambda s: (room[s], -s))
+        target = {b: wide if room[wide] and wide != b else a for b, (_, a) in waiting.items()}
+        to = F.element_at(F.array(*(F.lit(target.get(s)).cast("int") for s in range(shards))), F.col("_s") + 1)
+        kept = votes.where("_s >= 0 AND NOT (to <> _s AND gain > 0)").withColumn("to", to).where("to IS NOT NULL")
+        kept = kept.withColumn("gain", F.coalesce(F.try_element_at("votes", F.col("to")), F.lit(0)) - F.col("own") + F.col("self"))
+        kept = cut(kept.select("_node", "_s", "to", "gain", _step(F.col("gain")).alias("step")))
+        for (b, c), others in _counts(kept).items():
+            a = waiting[b][1]
+            n = _trades(gains[a, b], others, take.get((a, b), 0))
+            if c != a:
+                n = min(n, room[c])
+                room[c] -= n
+                room[a] += n
+            if n:
+                take[a, b] = take.get((a, b), 0) + n
+                take[b, c + shards] = n  # a way of their own: others may ask for it as well
+        rows = rows.unionByName(kept.select("_node", "_s", (F.col("to") + shards).alias("to"), "gain"))
+    if not take:
+        return None
+    rows = rows.withColumn("_queue", (F.col("_s") + 1) * (2 * shards) + F.col("to"))
+    limits = rows.sparkSession.createDataFrame([((a + 1) * 2 * shards + b, n) for (a, b), n in take.items()], "_queue long, _take long")  # two rows for each pair of shards at most
+    rows = rows.join(F.broadcast(limits), "_queue")
+    classes, each = 128, max(1, math.ceil(rows.count() / BUCKET_ROWS))
+    power = F.floor(F.log2(F.abs("gain").cast("double") + 1)).cast("long")
+    bucket = F.when(F.col("gain") > 0, 63 - power).otherwise(64 + power) * each
+    # rows of one power are spread over buckets by what is left of the gain, so that order by bucket is order by gain
+    within = F.abs("gain").cast("double") + 1 - F.pow(F.lit(2.0), power)
+    part = F.least(F.lit(each - 1), F.floor(within / F.pow(F.lit(2.0), power) * each)).cast("long")
+    bucket = bucket + F.when(F.col("gain") > 0, each - 1 - part).otherwise(part)
+    ranked = _ranked(rows, "_queue", [F.desc("gain"), F.xxhash64("_node"), F.col("_node")], bucket, classes * each, "before")
+    return ranked.where("before < _take").select("_node", F.pmod(F.col("to"), F.lit(shards)).alias("to"))
+
+
+def _rounds(at: DataFrame, links: DataFrame, left: list[int], shards: int, rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
+    """at after documents moved towards their neighbours, and what shards have left then.
+
+    at: _node, shard (null: none so far). Where no hub has members in two shards, or a
+    member without one, nothing can be gained and no round is made.
+    """
+    total = links.count()
+    every = links.groupBy("hub").agg(F.first("members").alias("n")).agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
+    label = cut(links.select("_node").distinct().join(at.select("_node", F.coalesce("shard", F.lit(-1)).alias("_s")), "_node"))
+    held, kept = _held(links, label)
+    stuck, changed = 0, False
+    for r in range(rounds):
+        if kept == every or stuck == STUCK:
+            break
+        votes = _votes(links, label, held, total)
+        if stuck:  # neighbours that all moved at once miss each other
+            votes = votes.where(F.pmod(F.xxhash64("_node", F.lit(r)), F.lit(1 << stuck)) == 0)
+        room = list(left)
+        went = _moves(cut(votes), room, shards)
+        if went is None:
+            stuck += 1
+            continue
+        after = cut(label.join(went, "_node", "left").select("_node", F.coalesce("to", "_s").cast("int").alias("_s")))
+        now, more = _held(links, after)
+        if more <= kept:
+            stuck += 1
+            continue
+        label, held, kept, left, stuck, changed = after, now, more, room, 0, True
+    if not changed:
+        return at, left
+    moved = at.join(label, "_node", "left")
+    return cut(moved.withColumn("shard", F.when(F.col("_s") >= 0, F.col("_s")).otherwise(F.col("shard")).cast("int")).select(*at.columns)), left
+
+
+def propagate(nodes: DataFrame, shards: int, links: DataFrame | None = None) -> DataFrame:
+    """nodes (id, hub: binary, null for none) with `shard` and `slot`. links (id, hub): more hubs of nodes, as many as there are."""
     own = F.when(F.col("id").isNull(), F.xxhash64(F.lit("row"), F.monotonically_increasing_id())).otherwise(F.xxhash64("id"))
-    at = cut(nodes.withColumn("_key", own))
+    at = cut(nodes.withColumns({"_key": own, "_node": F.monotonically_increasing_id()}))
     total = at.count()
     rooms = Rooms(total, shards)
+    shared = None
+    if links is not None:
+        shared = _shared(at, links, max(1, total // shards))
+        main = shared.groupBy("_node").agg(F.max(F.struct("members", "hub")).alias("_main")).select("_node", F.col("_main.hub").alias("_hub"))
+        at = cut(at.join(main, "_node", "left").withColumn("hub", F.coalesce("_hub", "hub")).drop("_hub"))
     start = F.pmod(F.xxhash64("_key", F.lit("start")), F.lit(shards)).cast("int")
     held = at.where("hub IS NOT NULL").groupBy("hub", start.alias("s")).agg(F.count("*").alias("n"))
     hubs = held.groupBy("hub").agg(F.sum("n").alias("members"), F.max_by("s", F.struct("n", F.xxhash64("hub", "s"))).alias("aim")).where("members > 1")
@@ -158,12 +342,12 @@ def propagate(nodes: DataFrame, shards: int) -> DataFrame:
     table = spark.createDataFrame([(h, m, s, None) for h, m, s in few] + [(bytearray(h), large[h], None, i) for i, h in enumerate(wide)], "hub binary, members long, shard int, wide int")
     for frame in settled:
         table = table.unionByName(frame.withColumn("wide", F.lit(None).cast("int")))
-    return _placed(at, table, rooms, wide, shards, total).drop("_key", "members", "wide")
+    return _placed(at, table, rooms, wide, shards, total, shared).drop("_key", "_node", "members", "wide")
 
 
-def _placed(at: DataFrame, table: DataFrame, rooms: Rooms, wide: list[bytes], shards: int, total: int) -> DataFrame:
-    """Rows with the shard of their hub, wide hubs by pieces, unlinked rows in what is left; and slots."""
-    at = attach(at, table, "hub", "members", total, F.encode(F.concat(F.lit("row "), F.col("_key").cast("string")), "utf-8"))
+def _placed(at: DataFrame, table: DataFrame, rooms: Rooms, wide: list[bytes], shards: int, total: int, shared: DataFrame | None) -> DataFrame:
+    """Rows with the shard of their hub, wide hubs by pieces; then moved towards their neighbours; unlinked rows in what is left; and slots."""
+    at = attach(at, table, "hub", "members", total, _own_key("_key"))
     buckets = max(1, math.ceil(total / BUCKET_ROWS))
     spread = F.pmod(F.xxhash64("_key", F.lit("bucket")), F.lit(buckets))
     order = [F.col("_key"), F.col("id")]
@@ -174,8 +358,16 @@ def _placed(at: DataFrame, table: DataFrame, rooms: Rooms, wide: list[bytes], sh
         for i, hub in enumerate(wide):
             shard = F.when(F.col("wide") == i, _along(F.col("_member"), rooms.pieces[hub], F.lit(None).cast("int"))).otherwise(shard)
         at = at.where("wide IS NULL").unionByName(cutting.withColumn("shard", shard).drop("_member"))
+    at = cut(at)
+    if shared is None:
+        # each row has one hub: only hubs of a shard's size at most that were cut, because they fitted nowhere, can gain
+        torn = [h for h in wide if len({s for _, s in rooms.pieces[h]}) > 1]
+        if torn:
+            shared = _shared(at.where(F.col("wide").isin([wide.index(h) for h in torn])), None, max(1, total // shards))
+    if shared is not None:
+        at, rooms.left = _rounds(at, shared, rooms.left, shards)
     # unlinked rows are numbered in a lane of their own, which is laid over the rooms
-    ranked = _ranked(cut(at.withColumn("_lane", F.coalesce("shard", F.lit(shards)))), "_lane", order, spread, buckets, "_rank")
+    ranked = _ranked(at.withColumn("_lane", F.coalesce("shard", F.lit(shards))), "_lane", order, spread, buckets, "_rank")
     size = [total // shards + (s < total % shards) for s in range(shards)]
     starts = list(itertools.accumulate(rooms.left, initial=0))[:-1]
     free = [(start, s) for s, start in enumerate(starts) if rooms.left[s]]
@@ -195,25 +387,33 @@ def equal_texts(text: Column) -> Column:
 OWN = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 
-def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id and the columns of OWN."""
-    return _sharded(docs.select("doc_id", "text"), shards).select("doc_id", *OWN)
+def cut_links(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """One row for placed (doc_id, shard) and links (doc_id, hub), each given once: n_links of hubs that two rows or more share, and n_cut, those of rows outside the shard that has most of their hub."""
+    held = links.select("doc_id", "hub").join(placed.select("doc_id", "shard"), "doc_id").groupBy("hub", "shard").agg(F.count("*").alias("n"))
+    hubs = held.groupBy("hub").agg(F.sum("n").alias("n"), F.max("n").alias("most")).where("n > 1")
+    return hubs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_links"), F.coalesce(F.sum(F.col("n") - F.col("most")), F.lit(0)).alias("n_cut"))
+
+
+def shard_documents(docs: DataFrame, shards: int = 8, links: DataFrame | None = None) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id and the columns of OWN. links (doc_id, hub): what else holds documents together."""
+    return _sharded(docs.select("doc_id", "text"), shards, links).select("doc_id", *OWN)
 
 
-def _sharded(docs: DataFrame, shards: int, *more: str) -> DataFrame:
+def _sharded(docs: DataFrame, shards: int, links: DataFrame | None, *more: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(*more, F.col("doc_id").cast("long").alias("id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"), equal_texts(text).alias("hub"))
-    return propagate(slim, shards).withColumnsRenamed({"id": "doc_id"}).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+    links = None if links is None else links.select(F.col("doc_id").alias("id"), "hub")
+    return propagate(slim, shards, links).withColumnsRenamed({"id": "doc_id"}).withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
-def with_shards(docs: DataFrame, shards: int = 8) -> DataFrame:
-    """docs with all of its columns, text included, and those of OWN; columns of docs with these names give way.
+def with_shards(docs: DataFrame, shards: int = 8, links: DataFrame | None = None) -> DataFrame:
+    """docs with all of its columns, text included, and those of OWN; columns of docs with these names give way. links: as in shard_documents.
 
     Rows get a number and are written once with it; shards are found without texts and joined by that number.
     """
     docs = docs.drop(*(c for c in docs.columns if c.lower() in OWN))
     rows = cut(docs.withColumn("_row", F.monotonically_increasing_id()))
-    return rows.join(_sharded(rows, shards, "_row").select("_row", *OWN), "_row").drop("_row")
+    return rows.join(_sharded(rows, shards, links, "_row").select("_row", *OWN), "_row").drop("_row")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

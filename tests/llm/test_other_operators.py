@@ -94,6 +94,71 @@ def test_shards_of_odd_rows_keep_columns(spark):
     assert [(r.slot) for r in sharding.shard_documents(spark.createDataFrame(odd()[:2], DOCS)).collect()] == [0, 0]
 
 
+LINKS = "doc_id long, hub binary"
+
+
+def sharded(spark, rows, links, shards, rounds, monkeypatch):
+    """Shards by doc_id with so many rounds of moves, and how many links are cut."""
+    monkeypatch.setattr(sharding._rounds, "__defaults__", (rounds,))
+    links = spark.createDataFrame(links, LINKS)
+    got = sharding.shard_documents(spark.createDataFrame(rows, DOCS).repartition(3), shards, links).cache()
+    count = {s: n for s, n in got.groupBy("shard").count().collect()}
+    assert sum(count.values()) == len(rows) and max(count.values()) - min(count.get(s, 0) for s in range(shards)) <= 1
+    slots = {}
+    for r in got.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    where = {r.doc_id: r.shard for r in got.collect()}
+    return where, sharding.cut_links(got, links.distinct().where("doc_id IS NOT NULL AND hub IS NOT NULL")).first()
+
+
+def test_a_document_moves_to_most_of_its_neighbours(spark, monkeypatch):
+    """Document 0 is in one large hub that pulls it first, and in two smaller ones whose members are together elsewhere."""
+    rows = [(i, f"t{i}", "en", "s", 1) for i in range(40)]
+    hubs = {b"large": [0, *range(1, 8)], b"x": [0, *range(10, 15)], b"y": [0, *range(10, 15)], b"z": list(range(10, 15)), b"large2": list(range(1, 8))}
+    links = [(d, h) for h, ds in hubs.items() for d in ds]
+    before, cut_before = sharded(spark, rows, links, 2, 0, monkeypatch)
+    after, cut_after = sharded(spark, rows, links, 2, 16, monkeypatch)
+    assert len({before[d] for d in range(1, 8)}) == 1 and before[0] == before[1]
+    assert after[0] == after[10] and len({after[d] for d in range(10, 15)}) == 1
+    assert (cut_before.n_cut, cut_after.n_cut) in {(2, 1), (0, 0)}
+
+
+def test_rounds_lower_cut_links_and_keep_counts(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, f"t{i}", "en", "s", 1) for i in range(200)] + [(None, "t", "en", "s", 1), (3, "t3", "en", "s", 1)]
+    links = [(i, f"{i % 4}-{rng.randrange(12)}".encode()) for i in range(160) for _ in range(3)]
+    links += links[:20] + [(None, b"0-1"), (7, None), (100_000, b"1-1")] + [(i, b"wide") for i in range(150)]
+    _, before = sharded(spark, rows, links, 4, 0, monkeypatch)
+    where, after = sharded(spark, rows, links, 4, 16, monkeypatch)
+    assert before.n_links == after.n_links and after.n_cut < before.n_cut * 0.9
+    again, same = sharded(spark, rows, links, 4, 16, monkeypatch)
+    assert same == after and sum(again[d] != s for d, s in where.items()) == 0
+
+
+def test_without_links_nothing_moves(spark):
+    rows = [(i, f"t{i % 9}", "en", "s", 1) for i in range(30)]
+    none = spark.createDataFrame([], LINKS)
+    got = sharding.shard_documents(spark.createDataFrame(rows, DOCS), 3, none)
+    assert got.count() == 30 and sharding.cut_links(got, none).first() == (0, 0)
+    assert sharding.shard_documents(spark.createDataFrame([], DOCS), 3, none).collect() == []
+
+
+def test_places_go_by_trade_and_room():
+    left = [1, 0, 0]
+    asked = {(0, 1): 3, (1, 0): 1, (2, 0): 2, (-1, 2): 2}
+    got = sharding._flows(asked, left)
+    assert all(n >= 0 for n in left)
+    for s in range(3):
+        into = sum(n for (_, b), n in got.items() if b == s) - sum(n for (a, _), n in got.items() if a == s)
+        assert into <= [1, 0, 0][s] and left[s] == [1, 0, 0][s] - into
+    assert all(n <= asked[k] for k, n in got.items())
+    assert sharding._flows({(0, 1): 5, (1, 0): 2}, [0, 0]) == {(0, 1): 2, (1, 0): 2}
+    # gains 5, 5, 2, 1 against losses 0, 1, 1, 4: three pairs gain; after one that goes anyway, the last pair loses
+    assert sharding._trades([(5, 2), (2, 1), (1, 1)], [(0, 1), (-1, 2), (-4, 1)], 0) == 3
+    assert sharding._trades([(5, 2), (2, 1), (1, 1)], [(0, 1), (-1, 2), (-4, 1)], 1) == 2
+
+
 # WARC
 
 
