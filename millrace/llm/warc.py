@@ -4,7 +4,9 @@ Writer: a record per page. Of pages with equal payloads of at least REVISIT_BYTE
 bytes that with the smallest page_id is a response, the others are revisit records
 that refer to it. Records are built as one column and written by Spark's own writer
 to any file system Spark knows: a record ends with two line ends, which is the
-writer's row separator, so a file is a sequence of records and nothing else.
+writer's row separator, so a file is a sequence of records and nothing else. Records
+are packed into files by their bytes, so one large page has a file of its own and
+changes no other.
 
 With gzip every record is a member of its own. Spark's writer puts one zero byte
 after each, which readers of gzip take as padding.
@@ -33,9 +35,8 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .store import cut, folder
 
@@ -77,20 +78,30 @@ def records(typed: DataFrame) -> DataFrame:
     return typed.select(F.concat(head.cast("binary"), block).cast("string").alias("value"))
 
 
-@F.pandas_udf(T.BinaryType())
-def _member(records: pd.Series) -> pd.Series:
-    """Each record with its separator as a gzip member."""
-    return records.map(lambda r: gzip.compress(r + b"\r\n\r\n", 6, mtime=0))
+def write(pages: DataFrame, path: str, compression: str = "none", file_bytes: int = FILE_BYTES) -> None:
+    """Write archives of pages below path. compression: none, or gzip for one member a record.
 
+    A task packs its records into files of file_bytes at most; a record that is larger has
+    a file of its own, and a task's last file may be small.
+    """
+    member = compression == "gzip"
+    end = b"\0" if member else b"\r\n\r\n"
 
-def write(pages: DataFrame, path: str, compression: str = "none") -> None:
-    """Write archives of pages below path. compression: none, or gzip for one member a record."""
-    size = pages.agg(F.avg(F.octet_length("html")), F.max(F.octet_length("html"))).first()
-    each = max(1, int(FILE_BYTES // max(1024, size[0] or 0, (size[1] or 0) / 16)))
-    made, end = records(with_types(pages)), "\r\n\r\n"
-    if compression == "gzip":
-        made, end = made.select(_member(F.col("value").cast("binary")).cast("string").alias("value")), "\0"
-    made.write.mode("errorifexists").option("lineSep", end).option("maxRecordsPerFile", each).text(path)
+    def packs(batches):
+        held, size = [], 0
+        for batch in batches:
+            for value in batch["value"]:
+                record = gzip.compress(value.as_py() + b"\r\n\r\n", 6, mtime=0) if member else value.as_py()
+                if held and size + len(record) + len(end) > file_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["value"])
+                    held, size = [], 0
+                held.append(record)
+                size += len(record) + len(end)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["value"])
+
+    made = records(with_types(pages)).select(F.col("value").cast("binary").alias("value")).mapInArrow(packs, "value binary")
+    made.select(F.col("value").cast("string").alias("value")).write.mode("errorifexists").option("lineSep", end.decode()).option("maxRecordsPerFile", 1).text(path)
 
 
 @dataclass

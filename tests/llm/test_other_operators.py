@@ -184,6 +184,20 @@ def test_archives_come_back_whole(spark, tmp_path, compression):
     assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_archives_are_cut_by_bytes(spark, tmp_path, compression):
+    """One large page changes no file but its own."""
+    noise = random.Random(3).randbytes(300_000).hex()
+    rows = [(i, "u", f"<p>{i}</p>" * 20) for i in range(2000)] + [(5000, "u", noise)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "w"), compression, 200_000)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "w").glob("part-*"))
+    total = sum(sizes[:-1])
+    assert sizes[-1] > 200_000 >= sizes[-2] and len(sizes) <= 2 + -(-total // 190_000)
+    got = warc.read(spark, str(tmp_path / "w"))
+    assert {(r.page_id, r.payload_bytes) for r in got.collect()} == {(i, len(h)) for i, _, h in rows} and got.where("reason IS NOT NULL").isEmpty()
+
+
 def record(name, block, **more):
     head = {"WARC-Type": "response", "WARC-Record-ID": f"<urn:page:{name}>", "WARC-Block-Digest": "sha256:" + hashlib.sha256(block).hexdigest(), "Content-Length": len(block)} | more
     return warc.VERSION + b"".join(f"{k}: {v}\r\n".encode() for k, v in head.items()) + b"\r\n" + block + b"\r\n\r\n"
