@@ -91,15 +91,16 @@ def test_rows_sent_grow_as_batches_do(spark):
     assert many[0] <= 15 * few[0] and many[1] == 100 * few[1]
 
 
-@pytest.mark.parametrize("block", [winnowing.BLOCK_BYTES, 200])
-def test_decontamination(spark, block):
+@pytest.mark.parametrize("bits", [winnowing.FILTER_BITS, 4])
+def test_decontamination(spark, bits):
+    """With 16 bits nearly all fingerprints pass the filter, and the joins alone decide."""
     rows = corpus()
     items = [(i, " ".join(rows[i][1].split()[5:25]).upper()) for i in range(0, 12)] + [(12, "w1 w2"), (13, None), (14, ""), (None, "w3 w4 w5"), (12, "w1 w2")]
     docs, bench = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
-    got = winnowing.decontaminate(docs, bench, 10, block_bytes=block).collect()
+    got = winnowing.decontaminate(docs, bench, 10, bits=bits).collect()
     want = [(d, n, h, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), h > 0) for (d, _, _), (n, h, x) in zip(rows, brute.contamination([(d, t) for d, t, _ in rows], items, 10), strict=True)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
-    clean = winnowing.drop_contaminated(docs, bench, 10, block_bytes=block)
+    clean = winnowing.drop_contaminated(docs, bench, 10, bits=bits)
     assert clean.columns == docs.columns
     assert sorted(map(str, clean.collect())) == sorted(str(r) for r, x in zip(docs.collect(), want, strict=True) if not x[5])
 
@@ -169,9 +170,32 @@ def test_recall_of_bands_on_many_pairs(spark):
     assert got == want and sum(c != d for d, c in want.items()) > 100
 
 
-def test_index_of_items_is_arrays():
-    (long, short) = sorted(winnowing.index([("b", "a b c d e f g h i j k"), ("a", "a b c d e f g h i j"), ("c", "x y"), ("c", "x y")], 10, 4), key=lambda x: -x.n)
-    assert long.n == 10 and len(long.keys) == 2 and sorted(np.diff(long.first).tolist()) == [1, 2] and short.n == 2 and [short.names[i] for i in short.items] == ["c"]
+def test_windows_of_items_know_their_sets(spark):
+    items = [("b", "a b c d e f g h i j k"), ("a", "a b c d e f g h i j"), ("c", "x y"), ("c", "x y"), ("d", None), ("e", "- -")]
+    given = winnowing.Benchmark(spark.createDataFrame(items, "item_id string, text string"), 10, 4, 16)
+    assert sorted((r.n, tuple(r.items)) for r in given.windows.select("n", "items").collect()) == [(2, ("c",)), (10, ("a", "b")), (10, ("b",))]
+    assert given.lengths == [2, 10] and given.windows.select("set").distinct().count() == 3
+
+
+def test_filter_of_fingerprints_holds_two_bits_each(spark):
+    prints = [0, 1, -1, 2**40 + 77, -(2**63), 123456789012345]
+    held = np.unpackbits(np.frombuffer(winnowing.filter_bits(spark.createDataFrame([(p,) for p in prints], "print long"), 20), np.uint8), bitorder="little")
+    want = {b for p in prints for b in ((p % 2**64) % 2**20, ((p % 2**64) >> 32) % 2**20)}
+    assert set(np.flatnonzero(held).tolist()) == want and len(held) == 2**20
+
+
+def test_passage_in_many_items_and_documents_is_listed_once(spark):
+    """300 documents and 40 items share one passage: the joins see windows and sets of items, and no pair of document and item."""
+    passage = " ".join(f"p{i}" for i in range(14))
+    items = [(i, f"{passage} own{i} " * 2) for i in range(40)]
+    rows = [(d, f"d{d} {passage} " + (f"{passage} own{d} p0" if d % 50 == 0 else "end")) for d in range(300)]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = winnowing.decontaminate(docs, bench).collect()
+    want = [(d, n, h, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), h > 0) for (d, _), (n, h, x) in zip(rows, brute.contamination(rows, items, 10), strict=True)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    given = winnowing.Benchmark(bench, 10, 4, 16)
+    hits = given.hits(winnowing._flat(given.candidates(docs, "doc_id", "long", False), "doc_id").withColumnRenamed("doc_id", "_row"))
+    assert hits.count() == sum(len({i for i in range(len(t.split()) - 9) if any(" ".join(t.split()[i : i + 10]) in x for _, x in items)}) for _, t in rows)
 
 
 @pytest.mark.parametrize("run", [lambda d: substrings.remove_repeats(d), lambda d: near_dups.near_duplicates(d), lambda d: winnowing.decontaminate(d, d.sparkSession.createDataFrame([], "item_id long, text string"))])
