@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import gates, text as tx, udfs
-from ..operators import assemble as asm, dedup, evals, mix
+from ..operators import assemble as asm, dedup, evals, mix, passages
 from ..sources.records import MESSAGES
 from ..streaming import monitor
 
@@ -118,7 +118,7 @@ def decontam_heldout(spark, sf_dir):
 @query("SELECT doc_id, count(item_id)::BIGINT AS n_passages FROM documents d LEFT JOIN benchmark b ON contains(d.text, b.text) GROUP BY doc_id")
 def decontam_passage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup.contains_passage(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "n_passages")
+    return passages.contains_passage(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "n_passages")
 
 
 @query()

@@ -1,0 +1,57 @@
+"""Passages found by anchors, against plain `in`."""
+
+import random
+
+import numpy as np
+import pytest
+
+from millrace.operators import passages as ps
+
+
+def corpus(seed):
+    """Texts over few letters, wide characters among them, and passages cut from them at any byte length, near misses, repeats and shared beginnings."""
+    rng = random.Random(seed)
+    texts = ["".join(rng.choices("ab é€\n", [6, 6, 3, 1, 1, 1], k=rng.choice([0, 3, 40, 400, 3000]))) for _ in range(60)]
+    texts += [texts[7], texts[8], None, "", "x" * 500]
+    given = []
+    for size in (1, 2, 3, 5, 7, 8, 9, 15, 24, 30, 31, 32, 33, 40, 80, 200):
+        for _ in range(4):
+            t = rng.choice([t for t in texts if t and len(t) > 300])
+            i = rng.randrange(len(t) - size + 1)
+            given += [t[i : i + size], t[i : i + size][:-1] + "#"]
+    given += [given[0], given[40], given[40], "", None, "x" * 499, "x" * 501]
+    return texts, given
+
+
+@pytest.mark.parametrize(("seed", "bits"), [(0, 26), (1, 26), (2, 3)])
+def test_passages_equal_a_plain_search(spark, seed, bits):
+    """With 8 bits all prints pass the filter, and anchors and `contains` alone decide."""
+    texts, given = corpus(seed)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, body string")
+    got = ps.contains_passage(df, spark.createDataFrame([(p,) for p in given], "p string"), "body", "p", bits)
+    assert got.columns == ["id", "body", "n_passages"]
+    assert {r.id: r.n_passages for r in got.collect()} == {i: sum(p in t for p in given if p) if t else 0 for i, t in enumerate(texts)}
+
+
+def test_candidates_are_few_though_passages_begin_alike(spark):
+    """200 passages share 60 characters, as do all texts: by first prints that were 40,000 pairs; rare prints leave those that hold."""
+    rng = random.Random(3)
+    start = "".join(rng.choices("abcdefgh ", k=60))
+    tails = ["".join(rng.choices("abcdefgh ", k=400)) for _ in range(200)]
+    texts = spark.createDataFrame([(str(i), start + (tails[i] if i % 10 == 0 else "".join(rng.choices("ijklmnop ", k=400)))) for i in range(200)], "_digest string, text string")
+    pairs = ps.anchored(texts, spark.createDataFrame([(i, start + t) for i, t in enumerate(tails)], "_id long, passage string")).collect()
+    held = {(str(i), i) for i in range(0, 200, 10)}
+    assert held <= set(map(tuple, pairs)) and len(pairs) <= 30 * len(held)
+
+
+def test_nothing_asked_or_nothing_there(spark):
+    texts = spark.createDataFrame([(1, "abc"), (2, None)], "id long, text string")
+    none = spark.createDataFrame([], "text string")
+    assert [r.n_passages for r in ps.contains_passage(texts, none).collect()] == [0, 0]
+    assert ps.contains_passage(texts.where("id > 5"), texts).collect() == []
+
+
+def test_filter_holds_two_bits_of_each_print(spark):
+    prints = [0, 1, -1, 2**40 + 77, -(2**63)]
+    bits = np.unpackbits(np.frombuffer(ps.filter_bits(spark.createDataFrame([(p,) for p in prints], "print long"), 20), np.uint8), bitorder="little")
+    assert set(np.flatnonzero(bits).tolist()) == {b for p in prints for b in ((p % 2**64) % 2**20, ((p % 2**64) >> 32) % 2**20)}
