@@ -408,6 +408,57 @@ def test_near_pairs_equal_all_pairs_on_random_texts(monkeypatch):
     assert set(zip(*(x.tolist() for x in fuzzy.near_pairs(sets, sets, 92.0, allowed)), strict=True)) == want and len(want) > 150
 
 
+def _syllables(seed: int, n: int, words: int) -> list[str]:
+    draw = random.Random(seed)
+    parts = "th an er on re he in ed nd ha at en ou ea nt ti or st es ing tion ble".split()
+    return [" ".join("".join(draw.choices(parts, k=draw.randint(1, 4))) for _ in range(words)) for _ in range(n)]
+
+
+def test_pairs_of_long_texts_are_read_side_by_side_and_few_scored_one_by_one(monkeypatch):
+    texts = _syllables(2, 24, 160)
+    texts += [t[: len(t) // 2] + "zq " + t[len(t) // 2 :] for t in texts[:5]]
+    sets = [udfs.token_set(t) for t in texts]
+    allowed = np.arange(len(sets))[:, None] > np.arange(len(sets))
+    want = {(i, j) for i, j in zip(*np.nonzero(allowed), strict=True) if udfs.token_sets_ratio(sets[i], sets[j]) >= 92}
+    scored = []
+    monkeypatch.setattr(fuzzy, "token_sets_ratio", lambda *a: scored.append(a) or udfs.token_sets_ratio(*a))
+    assert set(zip(*(x.tolist() for x in fuzzy.near_pairs(sets, sets, 92.0, allowed)), strict=True)) == want and len(want) >= 5
+    assert len(scored) <= len(want) + 2  # the profiles alone leave most of the 400 pairs
+
+
+def test_reachable_loses_no_subsequence():
+    draw = random.Random(3)
+    pairs, least, right = [], [], []
+    for _ in range(400):
+        a = "".join(draw.choices("abcd efghé中", k=draw.choice([0, 1, 5, 63, 64, 65, 128, 129, 400])))
+        b = list(a)
+        for _ in range(draw.choice([0, 1, 3, 20, 100])):
+            if b and draw.random() < 0.5:
+                b.pop(draw.randrange(len(b)))
+            else:
+                b.insert(draw.randrange(len(b) + 1), draw.choice("abcd efghé中"))
+        pairs.append((a, "".join(b)))
+        have = udfs.lcs_length(*pairs[-1])
+        least.append(max(0, have + draw.choice([-2, -1, 0, 0, 1, 2, 5, 40])))
+        right.append(have >= least[-1])
+    got = fuzzy.reachable([a for a, _ in pairs], [b for _, b in pairs], np.array(least))
+    assert all(g for g, r in zip(got, right, strict=True) if r) and sum(g and not r for g, r in zip(got, right, strict=True)) < 40
+
+
+def test_new_entries_are_held_against_their_blocks_alone(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 10)
+    keys = _syllables(4, 10, 3) * 10
+    entries = spark.createDataFrame([(i, i, k, i == 55) for i, k in enumerate(keys)], "at long, rank long, key string, fresh boolean")
+
+    def some(left, right, near, allowed):
+        assert allowed.any(), "a block without fresh entries"
+        return fuzzy.near_pairs(left, right, near, allowed)
+
+    monkeypatch.setattr(dedup, "near_pairs", some)
+    got = dedup._near_pairs(entries, 92.0, 20, 20)
+    assert sorted(tuple(r) for r in got.collect()) == [(55, 35), (55, 45), (65, 55), (75, 55)]
+
+
 def test_near_links_count_the_rows_before(spark):
     rng = random.Random(5)
     texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(rng.randint(0, 4))) for _ in range(120)]
