@@ -178,17 +178,26 @@ def distinct_by_kind(spark, sf_dir):
 # texts, fences, markup
 
 
-@query("""
-WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{}`', '') AS s, '{"a":' || doc_id || '}' AS j FROM documents),
-t AS (SELECT doc_id, s, j, CASE doc_id % 3 WHEN 0 THEN s || chr(10) || '```json' || chr(10) || j || chr(10) || '```' WHEN 1 THEN s || ' {"b":' || j || '} end' ELSE s END AS t FROM d)
-SELECT doc_id AS row_id, CASE doc_id % 3 WHEN 0 THEN j WHEN 1 THEN '{"b":' || j || '}' END AS lazy, CASE doc_id % 3 WHEN 0 THEN j WHEN 1 THEN '{"b":' || j || '}' END AS greedy, CASE doc_id % 3 WHEN 0 THEN j || chr(10) ELSE t END AS code FROM t
+_JSON = r"CASE WHEN regexp_matches(t, '(?s)```(?:json)?[\t-\r ]*(\{{.*{0}\}})[\t-\r ]*```') THEN regexp_extract(t, '(?s)```(?:json)?[\t-\r ]*(\{{.*{0}\}})[\t-\r ]*```', 1) ELSE regexp_extract(t, '(?s)(\{{.*\}})', 1) END"
+_CODE = r"(?s)```[a-zA-Z0-9+#.\-]*\n(.*?)```"
+
+
+@query(rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS s, '{{"a":' || doc_id || '}}' AS j, chr(10) AS n FROM documents),
+t AS (SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN s || n || '```json' || n || j || n || '```' WHEN 1 THEN s || ' {{"b":' || j || '}} end' WHEN 2 THEN s WHEN 3 THEN s || n || '```c' || n || 'int x;' || n || '```'
+  WHEN 4 THEN s || n || '```json' || n || j || n || '``` and ```json' || n || '{{"b":2}}' || n || '```' ELSE s || n || '```c' || n || '```' END AS t FROM d),
+x AS (SELECT doc_id, t, {_JSON.format('?')} AS l, {_JSON.format('')} AS g FROM t)
+SELECT doc_id AS row_id, CASE WHEN json_valid(l) THEN json(l)::VARCHAR END AS lazy, CASE WHEN json_valid(g) THEN json(g)::VARCHAR END AS greedy, CASE WHEN regexp_matches(t, '{_CODE}') THEN regexp_extract(t, '{_CODE}', 1) ELSE t END AS code FROM x
 """)
 def text_extracts(spark, sf_dir):
-    """JSON and code from documents as replies: in a fence, among words, and none."""
-    s, k = F.translate("text", "{}`", ""), F.col("doc_id") % 3
+    """JSON and code from whole documents as replies: in a fence, among words, none, in a fence of code, in the first of two fences, and in an empty fence."""
+    s, k = F.coalesce("text", F.lit("")), F.col("doc_id") % 6
     j = F.concat(F.lit('{"a":'), F.col("doc_id").cast("string"), F.lit("}"))
-    rows = _docs(spark, sf_dir).select("doc_id", F.when(k == 0, F.concat(s, F.lit("\n```json\n"), j, F.lit("\n```"))).when(k == 1, F.concat(s, F.lit(' {"b":'), j, F.lit("} end"))).otherwise(s).alias("t"))
-    t = F.col("t")
+    ends = [(F.lit("\n```json\n"), j, F.lit("\n```")), (F.lit(' {"b":'), j, F.lit("} end")), (), (F.lit("\n```c\nint x;\n```"),), (F.lit("\n```json\n"), j, F.lit('\n``` and ```json\n{"b":2}\n```')), (F.lit("\n```c\n```"),)]
+    t = F.concat(s, *ends[5])
+    for i, end in enumerate(ends[:5]):
+        t = F.when(k == i, F.concat(s, *end)).otherwise(t)
+    t, rows = F.col("t"), _docs(spark, sf_dir).select("doc_id", t.alias("t"))
     return rows.select(F.col("doc_id").alias("row_id"), F.to_json(tx.extract_json(t, greedy=False)).alias("lazy"), F.to_json(tx.extract_json(t)).alias("greedy"), tx.extract_code(t).alias("code"))
 
 

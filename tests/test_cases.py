@@ -252,3 +252,16 @@ def test_rows_are_as_expected(spark, name):
     found = duckdb.sql(sql)
     assert sorted(found.columns) == sorted(df.columns)
     assert sorted(map(repr, map(tuple, df.select(found.columns).collect()))) == sorted(map(repr, found.fetchall()))
+
+
+def test_text_extracts_keeps_the_braces_and_fences_of_documents(spark, tmp_path):
+    from millrace.plans import tables  # noqa: F401  (registers its queries)
+    from millrace.plans.queries import QUERIES, SQL
+
+    texts = ['see {"k":1} x', 'a `b` {c', 'x {"k": 2} y', '```json\n{"k":3}\n``` z', '```json\n{"k":4}\n```', None, 'no {"k":', None, '```py\nq\n```', "", "{}", "`"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.row_id: (r.lazy, r.greedy, r.code) for r in QUERIES["text_extracts"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == {i: tuple(x) for i, *x in con.execute(SQL["text_extracts"]).fetchall()}
+    assert got[2] == ('{"k":2}', '{"k":2}', 'x {"k": 2} y') and got[4][0] == '{"k":4}' and got[4][1] is None and got[8][2] == "q\n"
