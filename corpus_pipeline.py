@@ -48,8 +48,8 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place what is left in shards 0 to 7: documents with all their columns, size, text_crc32, law, shard, slot and grown_shard."""
-    return sharding.with_shards(docs, 8)
+    """Place what is left in shards 0 to 7: documents with all their columns, size, text_crc32, law, shard, slot and grown_shard. Documents that share lines are neighbours: of equal texts near-dedup has left one."""
+    return sharding.with_shards(docs, 8, sharding.shared_lines(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -384,6 +384,12 @@ def equal_texts(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
 
 
+def shared_lines(docs: DataFrame) -> DataFrame:
+    """Links (doc_id, hub) of docs (doc_id, text) by their lines: a hub for each line that isn't blank, white space at its ends left out. Those that one document alone has hold nothing together and go in `_shared`."""
+    line = F.explode(F.array_distinct(F.transform(F.split(F.col("text"), "\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))))
+    return docs.where("doc_id IS NOT NULL").select("doc_id", line.alias("line")).where("line <> ''").select("doc_id", F.unhex(F.md5(F.encode("line", "utf-8"))).alias("hub"))
+
+
 OWN = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 

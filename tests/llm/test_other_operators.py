@@ -854,3 +854,17 @@ def test_stages_take_odd_rows(spark, tmp_path):
         assert bool(got) == bool(given)
         if given:
             assert {c for c in CLASH_NAMES if c not in ("shard",)} <= set(docs.columns) and {r.topic for r in got} == {"t"}
+
+
+def test_pipeline_keeps_documents_that_share_lines_together(spark):
+    """Different texts, in groups by a line: near-dedup leaves them, and hashes alone would spread each group over the shards."""
+    import corpus_pipeline
+
+    texts = [(i, f"line of group {i % 20}\nown words {i} {i * 7}\n") for i in range(160)] + [(None, "line of group 1\nx"), (200, None), (201, " \n ")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    placed = corpus_pipeline.shards(spark, docs, "").cache()
+    rows = placed.collect()
+    sizes = [sum(r.shard == s for r in rows) for s in range(8)]
+    assert len(rows) == 163 and max(sizes) - min(sizes) <= 1 and all(sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s])) for s in range(8))
+    cut = sharding.cut_links(placed, sharding.shared_lines(docs)).first()
+    assert cut.n_links == 160 and cut.n_cut <= 40  # by hash alone more than half are cut
