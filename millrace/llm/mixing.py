@@ -147,6 +147,8 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: fl
     docs = docs.drop(*(c for c in docs.columns if c.lower() in own))
     rows = docs.withColumns({"_source": F.coalesce("source", F.lit("null")), "_lang": F.coalesce("lang", F.lit("null")), "topic": topic(text), "tokens": F.greatest(F.regexp_count(text, F.lit(r"[^ \t-\r]+")), F.lit(1)).cast("long")})
     cells = cut(rows.groupBy(F.col("_source").alias("source"), F.col("_lang").alias("lang"), "topic").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")))
+    if cells.count() <= FEW_CELLS:  # few enough for one task: what is made of them needs no shuffle
+        cells = cells.coalesce(1)
     targets = targets or {d: tempered(cells, d, TEMPER[d]) for d in DIMS}
     chances = probabilities(rake(cells, targets), budget).select(F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("topic").alias("_topic"), F.col("weight"), "probability", "deviation")
     chances = cut(chances)

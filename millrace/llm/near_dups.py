@@ -224,12 +224,14 @@ def components(links: DataFrame) -> DataFrame:
     halve. Ends when no root changes. The joins of a round are plain ones, which Spark
     splits where one root or the middle of one star is skewed.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    at = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).withColumnRenamed("a", "node"))
+    edges = links.select("a", "b").union(links.select(F.col("b"), F.col("a")))
+    # a node is its own neighbour, so that what it sees holds its own root
+    both = cut(edges.union(edges.select("a", F.col("a").alias("b"))).distinct())
+    at = cut(both.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node"))
     while True:
-        near = both.join(at.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("low"))
+        near = both.join(at.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
+        step = near.agg(F.min(F.when(F.col("a") == F.col("b"), F.col("root"))).alias("root"), F.min("root").alias("low"))
         # the smallest root seen by a root's members is the root's own new root
-        step = at.join(near, "node").select("node", "root", F.least("root", "low").alias("low"))
         hooks = step.where("low < root").groupBy(F.col("root").alias("node")).agg(F.min("low").alias("hook"))
         new = step.select("node", F.col("low").alias("root"), (F.col("low") < F.col("root")).alias("moved"))
         new = new.join(hooks, "node", "left").select("node", F.least("root", F.coalesce("hook", "root")).alias("root"), "moved")

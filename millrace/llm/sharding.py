@@ -41,7 +41,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .store import attach, cut
+from .store import attach, cut, discard
 
 BUCKET_ROWS = 500  # rows that are numbered together
 ROUNDS = 16  # of documents that move, at most
@@ -60,8 +60,9 @@ def _ranked(df: DataFrame, by: str, order: list[Column], bucket: Column, buckets
     # prefix sums over buckets, in two levels, so that no task sorts all sums of a shard
     wide = max(1, math.isqrt(buckets))
     sums = sums.withColumn("_group", F.floor(F.col("_bucket") / wide))
-    inner = sums.withColumn("_in", F.sum("_n").over(Window.partitionBy(by, "_group").orderBy("_bucket")) - F.col("_n"))
-    groups = sums.groupBy(by, "_group").agg(F.sum("_n").alias("_g"))
+    group = Window.partitionBy(by, "_group")
+    inner = sums.withColumns({"_in": F.sum("_n").over(group.orderBy("_bucket")) - F.col("_n"), "_g": F.sum("_n").over(group), "_head": F.col("_bucket") == F.min("_bucket").over(group)})
+    groups = inner.where("_head").select(by, "_group", "_g")
     groups = groups.withColumn("_before", F.sum("_g").over(Window.partitionBy(by).orderBy("_group")) - F.col("_g")).drop("_g")
     first = inner.join(groups, [by, "_group"]).select(by, "_bucket", (F.col("_in") + F.col("_before")).alias("_first"))
     upto = Window.partitionBy(by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -118,7 +119,9 @@ def _shared(at: DataFrame, links: DataFrame | None, size: int) -> DataFrame:
         given = given.unionByName(at.select("_node", "id").join(more, "id").select("_node", "hub")).distinct()
     given = cut(given)
     sizes = given.groupBy("hub").agg(F.count("*").alias("members")).where(F.col("members").between(2, size))
-    return cut(attach(given, sizes, "hub", "members", given.count(), _own_key("_node")).where("members IS NOT NULL"))
+    out = cut(attach(given, sizes, "hub", "members", given.count(), _own_key("_node")).where("members IS NOT NULL"))
+    discard(given)
+    return out
 
 
 def _own_key(name: str) -> Column:
@@ -143,21 +146,22 @@ def _flows(asked: dict[tuple[int, int], int], left: list[int]) -> dict[tuple[int
             return {k: n for k, n in out.items() if n}
 
 
-def _held(links: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
-    """How many members of each hub have each label, and how many pairs of neighbours have one label (a pair counts for each hub that it shares)."""
-    held = cut(links.join(label, "_node").where("_s >= 0").groupBy("hub", "_s").agg(F.count("*").alias("n")))
-    return held, held.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
-
+def _votes(label: DataFrame, shards: int, total: int) -> DataFrame:
+    """label (_node, _s, hubs) with what its neighbours say, by one shuffle to hubs, one back and one to nodes.
 
-def _votes(links: DataFrame, label: DataFrame, held: DataFrame, total: int) -> DataFrame:
-    """(_node, _s, own, to, gain, votes, self) of nodes: what is said for its own shard, the shard that has most votes and what going there gains, and all votes by shard. Each counts itself once a hub (self), so that two that could go to each other don't."""
-    by = held.groupBy("hub").agg(F.collect_list(F.struct("_s", "n")).alias("votes"), F.sum("n").alias("_w"))  # as many as there are shards at most
-    voted = attach(links.join(label, "_node"), by, "hub", "_w", total, _own_key("_node"))
-    each = voted.select("_node", "_s", "hub", F.explode("votes").alias("v")).select("_node", "_s", F.col("v._s").alias("to"), (F.col("v.n") * VOTE + F.pmod(F.xxhash64("hub", F.col("v._s")), F.lit(VOTE // 2))).alias("vote"))
-    sums = each.groupBy("_node", "_s", "to").agg(F.sum("vote").alias("vote"), F.count("*").alias("n"))
-    best = sums.groupBy("_node", "_s").agg(F.max(F.struct("vote", "to")).alias("b"), F.map_from_entries(F.collect_list(F.struct("to", "vote"))).alias("votes"), F.coalesce(F.max(F.when(F.col("to") == F.col("_s"), F.col("n"))), F.lit(0)).alias("self"))
-    own = F.coalesce(F.try_element_at("votes", F.col("_s")), F.lit(0))
-    return best.select("_node", "_s", own.alias("own"), F.col("b.to").alias("to"), (F.col("b.vote") - own).alias("gain"), "votes", (F.col("self") * VOTE).alias("self"))
+    votes: by shard, null where it has no neighbour; each node counts itself once a hub (self), so that two that could go to each
+    other don't. own: what is said for its own shard; to: the shard that has most votes; gain: what going there brings; uncut: neighbours
+    that have its label, once for each hub shared.
+    """
+    each = label.select("_node", "_s", F.explode("hubs").alias("hub"))
+    held = each.where("_s >= 0").groupBy("hub").agg(F.array(*(F.count_if(F.col("_s") == s) for s in range(shards))).alias("n"), F.count("*").alias("_w"))
+    voted = attach(each, held, "hub", "_w", total, _own_key("_node"))
+    said = lambda s: F.when(F.get("n", F.lit(s)) > 0, F.get("n", F.lit(s)) * VOTE + F.pmod(F.xxhash64("hub", F.lit(s)), F.lit(VOTE // 2)))
+    sums = voted.groupBy("_node", "_s").agg(F.collect_list("hub").alias("hubs"), F.array(*(F.sum(said(s)) for s in range(shards))).alias("votes"), F.coalesce(F.sum(F.get("n", F.col("_s")) - 1), F.lit(0)).alias("uncut"))
+    best = F.array_max(F.filter(F.transform("votes", lambda v, i: F.struct(v.alias("vote"), i.alias("to"))), lambda x: x["vote"].isNotNull()))
+    own = F.coalesce(F.get("votes", F.col("_s")), F.lit(0))
+    sums = sums.withColumns({"_best": best, "own": own, "self": F.when(F.col("_s") >= 0, F.size("hubs")).otherwise(0).cast("long") * VOTE})
+    return sums.select("_node", "_s", "hubs", "votes", "uncut", "own", "self", F.col("_best.to").alias("to"), (F.col("_best.vote") - F.col("own")).alias("gain"))
 
 
 def _step(gain: Column) -> Column:
@@ -185,96 +189,126 @@ def _trades(asks: list[tuple[int, int]], others: list[tuple[int, int]], skip: in
     return done
 
 
-def _counts(frame: DataFrame) -> dict[tuple[int, int], list[tuple[int, int]]]:
-    """For each way (_s, to) how many gain how much, large gains first: a bounded number of rows for each pair of shards."""
-    out: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for x in sorted(frame.groupBy("_s", "to", "step").agg(F.count("*").alias("n")).collect(), key=lambda x: -x["step"]):
-        out.setdefault((x["_s"], x["to"]), []).append((x["step"], x["n"]))
-    return out
+Ways = dict[tuple[int, int], list[tuple[int, int]]]
+
+
+def _asks() -> Column:
+    """Whether a row would rather be in another shard."""
+    return F.coalesce((F.col("to") != F.col("_s")) & (F.col("gain") > 0), F.lit(False))
+
+
+def _leaving(to: Column) -> Column:
+    """What a row gains by leaving its shard for another than it would ask for."""
+    return F.coalesce(F.get("votes", to), F.lit(0)) - F.col("own") + F.col("self")
+
+
+def _counts(votes: DataFrame, shards: int, may: Column) -> tuple[Ways, Ways, int]:
+    """For each way (_s, to) how many of the rows that may ask for it gain how much, large gains first; the same for rows that don't ask, by every way out of their shard; and uncut of all rows. A bounded number of rows for each pair of shards reaches the driver."""
+    way = lambda to, gain, uncut: F.struct(to.cast("int").alias("to"), gain.alias("step"), uncut.alias("uncut"))
+    none = F.lit(0).cast("long")
+    asks = F.array(way(F.col("to"), _step(F.col("gain") + F.col("self")), none))
+    others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("_s"))
+    ways = F.when(may & _asks(), asks).when(may & (F.col("_s") >= 0), F.transform(others, lambda s: way(s, _step(_leaving(s)), none))).otherwise(F.array().cast("array<struct<to: int, step: bigint, uncut: bigint>>"))
+    rows = votes.select("_s", _asks().alias("asks"), F.explode(F.concat(ways, F.array(way(F.lit(None), none, F.col("uncut"))))).alias("w")).select("_s", "asks", "w.*")
+    out: tuple[Ways, Ways] = ({}, {})
+    uncut = 0
+    for x in sorted(rows.groupBy("_s", "asks", "to", "step").agg(F.count("*").alias("n"), F.sum("uncut").alias("uncut")).collect(), key=lambda x: -x["step"]):
+        if x["to"] is None:
+            uncut += x["uncut"]
+        else:
+            out[not x["asks"]].setdefault((x["_s"], x["to"]), []).append((x["step"], x["n"]))
+    return *out, uncut
 
 
-def _moves(votes: DataFrame, room: list[int], shards: int) -> DataFrame | None:
-    """(_node, to) of the nodes that move, none if none may. room is kept.
+def _moves(votes: DataFrame, gains: Ways, stay: Ways, may: Column, room: list[int], shards: int) -> tuple[DataFrame, DataFrame] | None:
+    """label (_node, _s, hubs) after the moves, and the written frame that it reads; none if no row may move. gains, stay: as _counts gives them. room is kept.
 
     Those that ask go by `_flows`. Where more want into a full shard, the rows of that
     shard that lose least by it trade places with them, as long as both together gain.
+    Queues are ranges of one order, in which the driver looks for the row where each ends.
     """
-    asks = cut(votes.where("to <> _s AND gain > 0").select("_node", "_s", "to", "gain", _step(F.col("gain") + F.col("self")).alias("step")))
-    gains = _counts(asks)
     sizes = {k: sum(n for _, n in v) for k, v in gains.items()}
     take = _flows(sizes, room)
     waiting: dict[int, tuple[int, int]] = {}
     for (a, b), n in sizes.items():
         if a >= 0 and (rest := n - take.get((a, b), 0)):
             waiting[b] = max(waiting.get(b, (0, 0)), (rest, a))
-    rows = asks.select("_node", "_s", "to", "gain")
-    if waiting:
-        # a full shard gives to the one with most room, or else to the one that most wait in
-        wide = max(range(shards), key=lambda s: (room[s], -s))
-        target = {b: wide if room[wide] and wide != b else a for b, (_, a) in waiting.items()}
-        to = F.element_at(F.array(*(F.lit(target.get(s)).cast("int") for s in range(shards))), F.col("_s") + 1)
-        kept = votes.where("_s >= 0 AND NOT (to <> _s AND gain > 0)").withColumn("to", to).where("to IS NOT NULL")
-        kept = kept.withColumn("gain", F.coalesce(F.try_element_at("votes", F.col("to")), F.lit(0)) - F.col("own") + F.col("self"))
-        kept = cut(kept.select("_node", "_s", "to", "gain", _step(F.col("gain")).alias("step")))
-        for (b, c), others in _counts(kept).items():
-            a = waiting[b][1]
-            n = _trades(gains[a, b], others, take.get((a, b), 0))
-            if c != a:
-                n = min(n, room[c])
-                room[c] -= n
-                room[a] += n
-            if n:
-                take[a, b] = take.get((a, b), 0) + n
-                take[b, c + shards] = n  # a way of their own: others may ask for it as well
-        rows = rows.unionByName(kept.select("_node", "_s", (F.col("to") + shards).alias("to"), "gain"))
+    # a full shard gives to the one with most room, or else to the one that most wait in
+    wide = max(range(shards), key=lambda s: (room[s], -s))
+    target = {b: wide if room[wide] and wide != b else a for b, (_, a) in waiting.items()}
+    for b, c in sorted(target.items()):
+        a = waiting[b][1]
+        n = _trades(gains[a, b], stay.get((b, c), []), take.get((a, b), 0))
+        if c != a:
+            n = min(n, room[c])
+            room[c] -= n
+            room[a] += n
+        if n:
+            take[a, b] = take.get((a, b), 0) + n
+            take[b, c + shards] = n  # a way of their own: others may ask for it as well
     if not take:
         return None
-    rows = rows.withColumn("_queue", (F.col("_s") + 1) * (2 * shards) + F.col("to"))
-    limits = rows.sparkSession.createDataFrame([((a + 1) * 2 * shards + b, n) for (a, b), n in take.items()], "_queue long, _take long")  # two rows for each pair of shards at most
-    rows = rows.join(F.broadcast(limits), "_queue")
-    classes, each = 128, max(1, math.ceil(rows.count() / BUCKET_ROWS))
-    power = F.floor(F.log2(F.abs("gain").cast("double") + 1)).cast("long")
-    bucket = F.when(F.col("gain") > 0, 63 - power).otherwise(64 + power) * each
-    # rows of one power are spread over buckets by what is left of the gain, so that order by bucket is order by gain
-    within = F.abs("gain").cast("double") + 1 - F.pow(F.lit(2.0), power)
-    part = F.least(F.lit(each - 1), F.floor(within / F.pow(F.lit(2.0), power) * each)).cast("long")
-    bucket = bucket + F.when(F.col("gain") > 0, each - 1 - part).otherwise(part)
-    ranked = _ranked(rows, "_queue", [F.desc("gain"), F.xxhash64("_node"), F.col("_node")], bucket, classes * each, "before")
-    return ranked.where("before < _take").select("_node", F.pmod(F.col("to"), F.lit(shards)).alias("to"))
+    key = lambda a, b: (a + 1) * 2 * shards + b
+    out = F.get(F.array(*(F.lit(target.get(s)).cast("int") for s in range(shards))), F.col("_s"))
+    to = F.when(may & _asks(), F.col("to")).when(may, out).cast("int")
+    rows = votes.select("_node", "_s", "hubs", to.alias("_to"), F.when(_asks(), F.col("gain")).otherwise(_leaving(to)).alias("_gain"), key(F.col("_s"), to + F.when(_asks(), 0).otherwise(shards)).cast("long").alias("_queue"))
+    rows = rows.withColumn("_queue", F.when(F.col("_queue").isin([key(*k) for k in take]), F.col("_queue")))  # two for each pair of shards at most
+    order = [F.col("_queue"), F.desc("_gain"), F.xxhash64("_node"), F.col("_node")]
+    ranged = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    # ids ascend from range to range, without gaps within one; a row for each queue in each range reaches the driver
+    pieces = ranged.where("_queue IS NOT NULL").groupBy("_queue", F.shiftright("_id", 33).alias("_part")).agg(F.min("_id").alias("first"), F.count("*").alias("n")).collect()
+    ends = []
+    for k, most in take.items():
+        for x in sorted((x for x in pieces if x["_queue"] == key(*k)), key=lambda x: x["first"]):
+            if 0 < most <= x["n"]:
+                ends.append((key(*k), x["first"] + most))
+            most -= x["n"]
+    limits = ranged.sparkSession.createDataFrame(ends, "_queue long, _end long")
+    goes = F.col("_id") < F.col("_end")
+    return ranged.join(F.broadcast(limits), "_queue", "left").select("_node", F.when(goes, F.pmod(F.col("_to"), F.lit(shards))).otherwise(F.col("_s")).cast("int").alias("_s"), "hubs"), ranged
 
 
 def _rounds(at: DataFrame, links: DataFrame, left: list[int], shards: int, rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
     """at after documents moved towards their neighbours, and what shards have left then.
 
     at: _node, shard (null: none so far). Where no hub has members in two shards, or a
-    member without one, nothing can be gained and no round is made.
+    member without one, nothing can be gained and no round is made. What a round has written goes with the next one.
     """
-    total = links.count()
-    every = links.groupBy("hub").agg(F.first("members").alias("n")).agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.lit(0.0))).first()[0]
-    label = cut(links.select("_node").distinct().join(at.select("_node", F.coalesce("shard", F.lit(-1)).alias("_s")), "_node"))
-    held, kept = _held(links, label)
+    total, every = links.agg(F.count("*"), F.coalesce(F.sum(F.col("members") - 1), F.lit(0))).first()
+    hubs = links.groupBy("_node").agg(F.collect_list("hub").alias("hubs"))
+    label = base = cut(hubs.join(at.select("_node", F.coalesce("shard", F.lit(-1)).alias("_s")), "_node").select("_node", "_s", "hubs"))
+    votes = cut(_votes(label, shards, total))
+    gains, stay, kept = _counts(votes, shards, F.lit(True))
     stuck, changed = 0, False
     for r in range(rounds):
         if kept == every or stuck == STUCK:
             break
-        votes = _votes(links, label, held, total)
+        may = F.lit(True)
         if stuck:  # neighbours that all moved at once miss each other
-            votes = votes.where(F.pmod(F.xxhash64("_node", F.lit(r)), F.lit(1 << stuck)) == 0)
+            may = F.pmod(F.xxhash64("_node", F.lit(r)), F.lit(1 << stuck)) == 0
+            gains, stay, _ = _counts(votes, shards, may)
         room = list(left)
-        went = _moves(cut(votes), room, shards)
+        went = _moves(votes, gains, stay, may, room, shards)
         if went is None:
             stuck += 1
             continue
-        after = cut(label.join(went, "_node", "left").select("_node", F.coalesce("to", "_s").cast("int").alias("_s")))
-        now, more = _held(links, after)
+        after, written = went
+        heard = cut(_votes(after, shards, total))
+        *ways, more = _counts(heard, shards, F.lit(True))
         if more <= kept:
+            discard(heard)
+            discard(written)
             stuck += 1
             continue
-        label, held, kept, left, stuck, changed = after, now, more, room, 0, True
-    if not changed:
-        return at, left
-    moved = at.join(label, "_node", "left")
-    return cut(moved.withColumn("shard", F.when(F.col("_s") >= 0, F.col("_s")).otherwise(F.col("shard")).cast("int")).select(*at.columns)), left
+        discard(votes)
+        discard(base)
+        label, base, votes, (gains, stay), kept, left, stuck, changed = after, written, heard, ways, more, room, 0, True
+    discard(votes)
+    if changed:
+        moved = at.join(label.select("_node", "_s"), "_node", "left")
+        at = cut(moved.withColumn("shard", F.when(F.col("_s") >= 0, F.col("_s")).otherwise(F.col("shard")).cast("int")).select(*at.columns))
+    discard(base)
+    return at, left
 
 
 def propagate(nodes: DataFrame, shards: int, links: DataFrame | None = None) -> DataFrame:
@@ -294,7 +328,7 @@ def propagate(nodes: DataFrame, shards: int, links: DataFrame | None = None) ->
     hubs = cut(hubs)
     # fewer than 2 * shards hubs can be larger than a shard
     size = max(1, total // shards)
-    large = {bytes(r["hub"]): r["members"] for r in hubs.where(F.col("members") > size).orderBy(F.desc("members"), "hub").collect()}
+    large = {bytes(r["hub"]): r["members"] for r in sorted(hubs.where(F.col("members") > size).collect(), key=lambda r: (-r["members"], bytes(r["hub"])))}
     for hub, n in large.items():
         rooms.cut(hub, n, size)
     for hub, n in large.items():
@@ -305,7 +339,8 @@ def propagate(nodes: DataFrame, shards: int, links: DataFrame | None = None) ->
     settled, wait = [], hubs.where(F.col("members") <= size)
     n = wait.count()
     for r in itertools.count():
-        fits = wait.where(F.col("members") <= max(rooms.left))
+        most = max(rooms.left)
+        fits = wait.where(F.col("members") <= most)
         if r == 0:
             asked = _queue(fits.withColumn("_aim", F.col("aim")), "_aim", n)
             limit = F.element_at(F.array(*map(F.lit, rooms.left)), F.col("_aim") + 1)
@@ -323,8 +358,9 @@ def propagate(nodes: DataFrame, shards: int, links: DataFrame | None = None) ->
             if s is not None:
                 rooms.left[s] -= m
         settled.append(done.where("shard IS NOT NULL").select("hub", "members", "shard"))
-        wait = cut(wait.join(settled[-1].select("hub"), "hub", "left_anti"))
-        n = wait.count()
+        # what fitted nowhere, and what was not taken in
+        wait = wait.where(F.col("members") > most).unionByName(done.where("shard IS NULL").select("hub", "members", "aim"))
+        n -= sum(x for s, (x, _) in sums.items() if s is not None)
         if n < 2 * shards or (r and set(sums) <= {None}):
             break
     # where no hub fits, each has more members than any room; all rows have a place, so these are fewer than `shards`

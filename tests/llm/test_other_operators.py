@@ -136,6 +136,22 @@ def test_rounds_lower_cut_links_and_keep_counts(spark, monkeypatch):
     assert same == after and sum(again[d] != s for d, s in where.items()) == 0
 
 
+def test_a_round_of_moves_takes_few_stages(spark, monkeypatch):
+    """Each stage has as many tasks as there are partitions, and each checkpoint as many files, however small the data are."""
+    rng = random.Random(6)
+    rows = [(i, f"t{i}", "en", "s", 1) for i in range(120)]
+    links = [(i, f"{i % 4}-{rng.randrange(8)}".encode()) for i in range(100) for _ in range(3)]
+    jobs, cut = spark.sparkContext.statusTracker(), []
+    stages = []
+    for rounds in (0, 2):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "moves")
+        cut.append(sharded(spark, rows, links, 4, rounds, monkeypatch)[1].n_cut)
+        ran = {s for j in jobs.getJobIdsForGroup(f"rounds {rounds}") for s in jobs.getJobInfo(j).stageIds}
+        stages.append(sum(1 for s in ran if (x := jobs.getStageInfo(s)) and x.numCompletedTasks))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert cut[1] < cut[0] and stages[1] - stages[0] <= 2 * 20, (cut, stages)
+
+
 def test_without_links_nothing_moves(spark):
     rows = [(i, f"t{i % 9}", "en", "s", 1) for i in range(30)]
     none = spark.createDataFrame([], LINKS)
